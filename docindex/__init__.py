@@ -6,6 +6,14 @@ form compile to Catalyst expressions; bulk index/create/update/delete
 actions apply as relational upserts; relevance is a DataFrame job.
 """
 
+try:  # executors need not have the package installed: ship its code by value
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001
+    pass
+
 from docindex.functions.query import Q, count_query, query_column, where_query
 from docindex.sources.hits import as_hits, flatten_hits, nest_hits, read_slice, slice_column
 from docindex.sources.schema import META_FIELDS, complete_schema

@@ -44,28 +44,45 @@ def _bounded(body: str) -> str:
     return f"(?<!{TOKEN_CHAR})(?:{body})(?!{TOKEN_CHAR})"
 
 
+def _any_substring(low: Column, toks: list[str]) -> Column:
+    out = None
+    for t in toks:
+        p = low.contains(t)
+        out = p if out is None else (out | p)
+    return out
+
+
 def has_any_token(c: Column, toks: list[str]) -> Column:
-    """True if any of ``toks`` (already analyzed) is a token of ``c``."""
+    """True if any of ``toks`` (already analyzed) is a token of ``c``.
+
+    A plain substring test runs first: it is necessary for a token match
+    and much cheaper than the bounded regex, which then only runs on the
+    texts that contain a candidate.
+    """
     if not toks:
         return F.lit(False)
-    return F.lower(c).rlike(_bounded("|".join(sorted(set(toks)))))
+    toks = sorted(set(toks))
+    low = F.lower(c)
+    return _any_substring(low, toks) & low.rlike(_bounded("|".join(toks)))
+
+
+def has_token(c: Column, tok: str) -> Column:
+    return has_any_token(c, [tok])
 
 
 def has_all_tokens(c: Column, toks: list[str]) -> Column:
     if not toks:
         return F.lit(False)
-    low = F.lower(c)
     out = None
     for t in sorted(set(toks)):
-        p = low.rlike(_bounded(t))
+        p = has_token(c, t)
         out = p if out is None else (out & p)
     return out
 
 
 def count_tokens_present(c: Column, toks: list[str]) -> Column:
     """Number of distinct query tokens present in ``c`` (int)."""
-    low = F.lower(c)
-    terms = [F.when(low.rlike(_bounded(t)), 1).otherwise(0) for t in sorted(set(toks))]
+    terms = [F.when(has_token(c, t), 1).otherwise(0) for t in sorted(set(toks))]
     if not terms:
         return F.lit(0)
     out = terms[0]
@@ -78,12 +95,18 @@ def has_phrase(c: Column, toks: list[str]) -> Column:
     """True if ``toks`` occur as adjacent tokens, in order."""
     if not toks:
         return F.lit(False)
+    low = F.lower(c)
+    pre = None
+    for t in sorted(set(toks)):
+        p = low.contains(t)
+        pre = p if pre is None else (pre & p)
     body = "[^\\p{L}\\p{N}]+".join(toks)
-    return F.lower(c).rlike(_bounded(body))
+    return pre & low.rlike(_bounded(body))
 
 
 def has_token_prefix(c: Column, prefix: str) -> Column:
     """True if some token of ``c`` starts with ``prefix``."""
     if not prefix:
         return c.isNotNull()
-    return F.lower(c).rlike(f"(?<!{TOKEN_CHAR}){prefix}")
+    low = F.lower(c)
+    return low.contains(prefix) & low.rlike(f"(?<!{TOKEN_CHAR}){prefix}")
