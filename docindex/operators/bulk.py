@@ -10,12 +10,16 @@ override per-row ``_index`` / ``_op_type``.
   index/create/delete wins; later updates win column by column).  The
   aggregation is partial: a key with very many actions is pre-combined on
   the map side before the shuffle, so a hot key costs one row per map task;
-* one full outer join with the current documents;
+* a left join of the index with the folded actions (the folded actions are
+  the build side: small batches are broadcast at run time by AQE and the
+  index is not shuffled), plus the new keys found from the index's key
+  column only;
 * validation (``create`` on an existing document, ``update`` or ``delete``
   on a missing one) fails the job with the offending id, as the bulk helper
-  fails on the first error.  Validation needs each action's predecessor, a
-  window over the key, and only runs over keys with more than one action;
-  single-action keys are checked from the aggregate alone.
+  fails on the first error.  Validation needs each action's predecessor; it
+  runs only over keys with more than one action, in buckets of consecutive
+  order values so that a hot key is split over many tasks (single-action
+  keys are checked from the aggregate alone).
 
 Column semantics of ``update``: a column present in the action table is set,
 also to null; a column absent from it is kept.  An optional ``_fields``
@@ -104,8 +108,40 @@ def _auto_id(actions: DataFrame, order: Column) -> Column:
     return F.substring(digest, 1, 20)
 
 
+def _bad(prev: Column, op: Column) -> Column:
+    """An action that may not follow ``prev`` on the same document."""
+    return (((prev == "delete") & op.isin("update", "delete"))
+            | (prev.isin("index", "create", "update") & (op == "create")))
+
+
+def _bad_pairs(A: DataFrame, G: DataFrame, key: list[str], width: int) -> DataFrame:
+    """Per key, the op of one action that may not follow its predecessor.
+
+    Only keys with several actions are looked at.  Consecutive pairs are
+    checked in two levels so that a key with very many actions is spread
+    over many tasks: inside buckets of ``width`` consecutive order values
+    (a window over key and bucket), then across bucket edges (a window over
+    one summary row per key and bucket).
+    """
+    op, o = F.col("_op"), F.col("_o")
+    multi = A.join(G.where(F.col("_n") > 1).select(*key), key, "left_semi") \
+        .withColumn("_b", F.expr(f"_o div {int(width)}"))
+    w1 = Window.partitionBy(*key, "_b").orderBy("_o")
+    inside = (multi.withColumn("_prev", F.lag("_op").over(w1))
+              .where(_bad(F.col("_prev"), op))
+              .select(*key, op.alias("_pair_op"), o.alias("_pair_o")))
+    summary = multi.groupBy(*key, "_b").agg(F.min_by(op, o).alias("_fop"), F.min(o).alias("_fo"),
+                                             F.max_by(op, o).alias("_lop"))
+    w2 = Window.partitionBy(*key).orderBy("_b")
+    edges = (summary.withColumn("_prev", F.lag("_lop").over(w2))
+             .where(_bad(F.col("_prev"), F.col("_fop")))
+             .select(*key, F.col("_fop").alias("_pair_op"), F.col("_fo").alias("_pair_o")))
+    return (inside.unionByName(edges).groupBy(*key)
+            .agg(F.min_by("_pair_op", "_pair_o").alias("_pair_op")))
+
+
 def apply_bulk(current: DataFrame, actions: DataFrame, order_col: str | None = None,
-               validate: bool = True) -> DataFrame:
+               validate: bool = True, bucket_width: int = 1 << 20) -> DataFrame:
     """The index after applying ``actions`` (as from ``bulk_actions``).
 
     ``current`` is a flat index (``_id`` plus document columns, optionally
@@ -160,14 +196,7 @@ def apply_bulk(current: DataFrame, actions: DataFrame, order_col: str | None = N
     G = A.groupBy(*key).agg(*aggs)
 
     if validate:
-        multi = A.join(G.where(F.col("_n") > 1).select(*key), key, "left_semi")
-        w = Window.partitionBy(*key).orderBy("_o")
-        prev = F.lag("_op").over(w)
-        bad = ((prev == "delete") & op.isin("update", "delete")) | \
-              (prev.isin("index", "create", "update") & (op == "create"))
-        pair = (multi.withColumn("_bad", bad).where(F.col("_bad"))
-                .groupBy(*key).agg(F.min_by(op, o).alias("_pair_op")))
-        G = G.join(pair, key, "left")
+        G = G.join(_bad_pairs(A, G, key, bucket_width), key, "left")
     else:
         G = G.withColumn("_pair_op", F.lit(None).cast("string"))
 
@@ -176,23 +205,38 @@ def apply_bulk(current: DataFrame, actions: DataFrame, order_col: str | None = N
     C = current.select(*[F.col(k) for k in key], *[F.col(m) for m in carry + cur_meta],
                        *[F.col("`" + c + "`").alias("_c_" + c) for c in c_src],
                        F.lit(True).alias("_existed"))
-    J = C.join(G, key, "full_outer")
-
+    # Which action keys exist: the index's key column semi-joined with the
+    # action keys (the folded side is the build side; AQE broadcasts it at
+    # run time when it is small, so the index is not shuffled).
+    touched = current.select(*key).join(G.select(*key), key, "left_semi") \
+        .withColumn("_existed", F.lit(True))
+    Gx = G.join(touched, key, "left")
     existed = F.coalesce(F.col("_existed"), F.lit(False))
-    has_actions = F.col("_n").isNotNull()
     first = F.col("_first_op")
-    err = (F.when(has_actions & (first == "create") & existed,
+    err = (F.when((first == "create") & existed,
                   F.concat(F.lit("create: document already exists: "), F.col("_id")))
-           .when(has_actions & first.isin("update", "delete") & ~existed,
-                 F.concat(F.lit(first), F.lit(": document missing: "), F.col("_id")))
+           .when(first.isin("update", "delete") & ~existed,
+                 F.concat(first, F.lit(": document missing: "), F.col("_id")))
            .when(F.col("_pair_op") == "create",
                  F.concat(F.lit("create: document already exists: "), F.col("_id")))
            .when(F.col("_pair_op").isNotNull(),
                  F.concat(F.col("_pair_op"), F.lit(": document missing: "), F.col("_id"))))
+    # The check reads the right side of the left join, so Catalyst keeps it
+    # above that join: it sees every folded key exactly once.
+    Gv = Gx.where(F.when(err.isNotNull(), F.raise_error(err)).otherwise(F.lit(True)))
+    # Existing documents: the index left-joined with the folded actions
+    # (the folded side is the build side again).  New documents: folded
+    # keys that did not exist.
+    old = C.join(Gv.drop("_existed"), key, "left")
+    new = Gv.where(~existed).withColumn("_existed", F.lit(False))
+    J = old.unionByName(new, allowMissingColumns=True)
+
+    existed = F.coalesce(F.col("_existed"), F.lit(False))
+    has_actions = F.col("_n").isNotNull()
     has_reset = F.col("_reset_o").isNotNull()
     exists_after = F.when(~has_actions, existed).when(has_reset, F.col("_reset_op") != "delete") \
         .otherwise(existed)
-    keep = F.when(err.isNotNull(), F.raise_error(err)).otherwise(exists_after)
+    keep = exists_after
 
     out_cols = []
     for c in list(dict.fromkeys(c_src + a_src)):
