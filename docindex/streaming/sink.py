@@ -1,0 +1,70 @@
+"""Streams of rows written as bulk actions.
+
+The reference has no streaming.  This adapter only lets a Structured
+Streaming query use the same bulk writers through ``foreachBatch``: each
+micro-batch becomes one bulk application to the folder store (one new
+version) or one append through the ``docindex`` data source.
+
+Replays: after a restart Spark may hand the same epoch again.  For the
+folder store the epoch is recorded next to the version it produced, and an
+epoch already committed is skipped, so a micro-batch is applied once.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame
+
+from docindex.sources.store import _fs, latest_version, write_bulk
+
+
+def _epoch_marker(root: str, epoch_id: int) -> str:
+    return f"{root}/_epochs/{epoch_id}"
+
+
+def bulk_foreach_batch(root: str | None = None, index: str | None = None, op_type: str | None = None,
+                       source_fields: Iterable[str] | None = None,
+                       meta_fields: Iterable[str] | None = None, order_col: str | None = None,
+                       remote_options: dict | None = None):
+    """A ``foreachBatch`` function applying each micro-batch as bulk actions."""
+    src = list(source_fields) if source_fields is not None else None
+    meta = list(meta_fields) if meta_fields is not None else None
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        if remote_options is not None:
+            from docindex.sources.datasource import register
+            register(batch.sparkSession)
+            opts = dict(remote_options)
+            for k, v in (("index", index), ("op_type", op_type)):
+                if v is not None:
+                    opts[k] = v
+            if src is not None:
+                opts["source_fields"] = ",".join(src)
+            if meta is not None:
+                opts["meta_fields"] = ",".join(meta)
+            batch.write.format("docindex").mode("append").options(**opts).save()
+            return
+        spark = batch.sparkSession
+        fs, marker, jvm = _fs(spark, _epoch_marker(root, epoch_id))
+        if fs.exists(marker):
+            return
+        version = write_bulk(batch, root, index=index, op_type=op_type, source_fields=src,
+                             meta_fields=meta, order_col=order_col)
+        out = fs.create(marker, True)
+        out.write(str(version).encode())
+        out.close()
+
+    return run
+
+
+def write_stream(df: DataFrame, checkpoint_location: str, trigger: dict | None = None, **kwargs):
+    """Start a streaming query that writes ``df`` as bulk actions."""
+    writer = df.writeStream.foreachBatch(bulk_foreach_batch(**kwargs)).option(
+        "checkpointLocation", checkpoint_location)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
+__all__ = ["bulk_foreach_batch", "write_stream", "latest_version"]
