@@ -33,6 +33,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docindex.session import shared_dir
 from docindex.sources.schema import META_NAMES, meta_name
 
 # The four bulk operations.
@@ -141,7 +142,8 @@ def _bad_pairs(A: DataFrame, G: DataFrame, key: list[str], width: int) -> DataFr
 
 
 def apply_bulk(current: DataFrame, actions: DataFrame, order_col: str | None = None,
-               validate: bool = True, bucket_width: int = 1 << 20) -> DataFrame:
+               validate: bool = True, bucket_width: int = 1 << 20,
+               materialize: bool = True) -> DataFrame:
     """The index after applying ``actions`` (as from ``bulk_actions``).
 
     ``current`` is a flat index (``_id`` plus document columns, optionally
@@ -224,6 +226,12 @@ def apply_bulk(current: DataFrame, actions: DataFrame, order_col: str | None = N
     # The check reads the right side of the left join, so Catalyst keeps it
     # above that join: it sees every folded key exactly once.
     Gv = Gx.where(F.when(err.isNotNull(), F.raise_error(err)).otherwise(F.lit(True)))
+    if materialize:
+        # One row per touched key, used three times below: computed once
+        # and written to the shared checkpoint folder (survives executor
+        # loss; cuts the actions' lineage).
+        shared_dir(current.sparkSession)
+        Gv = Gv.checkpoint(eager=True)
     # Existing documents: the index left-joined with the folded actions
     # (the folded side is the build side again).  New documents: folded
     # keys that did not exist.

@@ -136,7 +136,7 @@ def test_hot_key_is_pre_aggregated(spark):
     acts = spark.range(0, 20000).select(F.lit("hot").alias("_id"), F.lit("index").alias("_op_type"),
                                         F.col("id").alias("_o"), F.col("id").alias("a"))
     cur = spark.createDataFrame([], "_id string, _version bigint")
-    out = apply_bulk(cur, bulk_actions(acts), order_col="_o", validate=False)
+    out = apply_bulk(cur, bulk_actions(acts), order_col="_o", validate=False, materialize=False)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan or "partial_max" in plan
     row = out.collect()[0]
@@ -149,9 +149,8 @@ def test_bucketed_validation_finds_pairs_across_edges(spark, width):
     ops = ["update", "update", "delete", "update"]  # update after delete at position 3
     acts = spark.createDataFrame([("1", op, i, i) for i, op in enumerate(ops)],
                                  "_id string, _op_type string, _o bigint, a bigint")
-    out = apply_bulk(cur, bulk_actions(acts), order_col="_o", bucket_width=width)
     with pytest.raises(PySparkException, match="update: document missing"):
-        out.count()
+        apply_bulk(cur, bulk_actions(acts), order_col="_o", bucket_width=width).count()
     ok = acts.where("_o < 3")
     assert apply_bulk(cur, bulk_actions(ok), order_col="_o", bucket_width=width).count() == 0
 
@@ -160,7 +159,7 @@ def test_hot_key_validation_is_split_by_bucket(spark):
     acts = spark.range(0, 5000).select(F.lit("hot").alias("_id"), F.lit("index").alias("_op_type"),
                                        F.col("id").alias("_o"), F.col("id").alias("a"))
     cur = spark.createDataFrame([], "_id string, _version bigint")
-    out = apply_bulk(cur, bulk_actions(acts), order_col="_o", bucket_width=256)
+    out = apply_bulk(cur, bulk_actions(acts), order_col="_o", bucket_width=256, materialize=False)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "_b" in plan                       # window keyed by (key, bucket)
     assert out.collect()[0]["a"] == 4999
