@@ -22,7 +22,9 @@ def _path(*names: str) -> str:
 
 
 def hits_from_json(df: DataFrame, col: str, schema: StructType) -> DataFrame:
-    v = F.parse_json(F.col(col))
+    # parse once in its own projection; the fields read the variant
+    df = df.select(F.parse_json(F.col(col)).alias("_hit_v"))
+    v = F.col("_hit_v")
     cols = []
     for f in schema.fields:
         if f.name in META_NAMES:
