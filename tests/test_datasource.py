@@ -152,3 +152,40 @@ def test_write_fails_fast_on_item_error(spark):
     df = spark.range(5).select(F.col("id").cast("string").alias("_id")).coalesce(1)
     with pytest.raises(Exception, match="failed for _id='3'"):
         _write(spark, df, path, **{"client.fail_id": "3", "spark.task.maxFailures": 1})
+
+
+def test_complex_types_through_arrow(spark):
+    path = tempfile.mkdtemp(prefix="fake-index-")
+    docs = [{"_id": "1", "_source": {"obj": {"a": 1, "b": "x"}, "items": [{"k": "p", "v": 2}],
+                                     "feats": {"f1": 0.5}, "vec": [1.0, 2.0], "day": "2024-01-30",
+                                     "tags": "solo"}},
+            {"_id": "2", "_source": {"obj": None, "items": [], "feats": {}, "vec": [0.0, 1.0],
+                                     "day": "2024-02-01", "tags": ["a", "b"]}}]
+    with open(os.path.join(path, "docs.json"), "w") as f:
+        json.dump(docs, f)
+    with open(os.path.join(path, "mapping.json"), "w") as f:
+        json.dump({"properties": {
+            "obj": {"properties": {"a": {"type": "long"}, "b": {"type": "keyword"}}},
+            "items": {"type": "nested", "properties": {"k": {"type": "keyword"}, "v": {"type": "integer"}}},
+            "feats": {"type": "rank_features"},
+            "vec": {"type": "dense_vector", "dims": 2},
+            "day": {"type": "date", "format": "strict_date"},
+        }}, f)
+    df = read_remote(spark, "idx", transport=FAKE, **{"client.path": path}, meta_fields=["id"])
+    rows = {r._id: r for r in df.collect()}
+    assert rows["1"].obj.a == 1 and rows["1"].items[0].k == "p" and rows["1"].feats == {"f1": 0.5}
+    assert rows["2"].obj is None and rows["2"].items == [] and list(rows["2"].vec) == [0.0, 1.0]
+    assert str(rows["1"].day) == "2024-01-30"
+    # one-or-many with an explicit list schema
+    multi = read_remote(spark, "idx", transport=FAKE, **{"client.path": path},
+                        schema="tags ARRAY<STRING>, _id STRING")
+    assert {r._id: list(r.tags) for r in multi.collect()} == {"1": ["solo"], "2": ["a", "b"]}
+
+
+def test_write_complex_types(spark):
+    path = _setup(1)
+    df = spark.createDataFrame([("1", {"a": 1.5}, [1, 2], ("x", 3))],
+                               "_id string, m map<string,double>, arr array<int>, s struct<p:string,q:int>")
+    _write(spark, df.coalesce(1), path)
+    lines = _bulk_lines(path)
+    assert json.loads(lines[1]) == {"m": {"a": 1.5}, "arr": [1, 2], "s": {"p": "x", "q": 3}}
