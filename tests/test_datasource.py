@@ -189,3 +189,13 @@ def test_write_complex_types(spark):
     _write(spark, df.coalesce(1), path)
     lines = _bulk_lines(path)
     assert json.loads(lines[1]) == {"m": {"a": 1.5}, "arr": [1, 2], "s": {"p": "x", "q": 3}}
+
+
+def test_write_requires_ids_unless_allowed(spark):
+    path = _setup(1)
+    df = spark.range(2).select(F.col("id").alias("value")).coalesce(1)
+    with pytest.raises(Exception, match="allow_auto_id"):
+        _write(spark, df, path)
+    path2 = _setup(1)
+    _write(spark, df, path2, allow_auto_id="true")
+    assert json.loads(_bulk_lines(path2)[0]) == {"index": {"_index": "out"}}
