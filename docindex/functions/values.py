@@ -186,7 +186,7 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
             c = F.lit(None).cast(f.dataType)
         if not f.nullable:
             c = require(c, f.name)
-        cols.append(c.alias(f.name))
+        cols.append(c.alias(f.name, metadata=f.metadata or {}))
     return df.select(*cols)
 
 

@@ -735,3 +735,65 @@ def q_hits_json(spark, sf_dir):
     flat = hits_from_json(wire, "hit", schema)
     return flat.select("_index", "_id", "_version", "o_orderkey", F.round("o_totalprice", 2).alias("o_totalprice"),
                        _us("o_orderdate").alias("o_orderdate_us"), "o_orderpriority")
+
+
+# ---------------------------------------------------------------------------
+# Queries on an explicitly mapped text field (term-level queries per token)
+# ---------------------------------------------------------------------------
+
+# The mapping used for the documents index.
+DOCUMENTS_MAPPING = {
+    "properties": {
+        "doc_id": {"type": "long"},
+        "text": {"type": "text"},
+        "lang": {"type": "keyword"},
+        "source": {"type": "keyword"},
+        "n_chars": {"type": "long"},
+    }
+}
+
+
+def _docs_mapped(spark, sf_dir):
+    schema = complete_schema(mapping_to_struct(DOCUMENTS_MAPPING), meta_fields=["index", "id"])
+    return conform(_docs(spark, sf_dir), schema)
+
+
+@register("query_match_msm")
+def q_match_msm(spark, sf_dir):
+    """``match`` with ``minimum_should_match``: two of three tokens."""
+    q = {"match": {"text": {"query": "the und der", "minimum_should_match": "2"}}}
+    return where_query(_docs_mapped(spark, sf_dir), q).select("doc_id")
+
+
+@register("query_text_prefix")
+def q_text_prefix(spark, sf_dir):
+    """``prefix`` on a text field: some token starts with the prefix."""
+    return where_query(_docs_mapped(spark, sf_dir), {"prefix": {"text": "thr"}}).select("doc_id")
+
+
+@register("query_text_wildcard")
+def q_text_wildcard(spark, sf_dir):
+    """``wildcard`` on a text field: some token matches the pattern."""
+    return where_query(_docs_mapped(spark, sf_dir), {"wildcard": {"text": "th?n*"}}).select("doc_id")
+
+
+@register("query_term_text")
+def q_term_text(spark, sf_dir):
+    """``term`` on a text field matches a token exactly (an upper-case term
+    never matches analyzed text)."""
+    q = {"bool": {"should": [{"term": {"text": "und"}}, {"term": {"text": "The"}}]}}
+    return where_query(_docs_mapped(spark, sf_dir), q).select("doc_id")
+
+
+@register("query_dis_max")
+def q_dis_max(spark, sf_dir):
+    q = {"dis_max": {"queries": [{"match": {"text": "und"}}, {"term": {"lang": "fr"}}]}}
+    return where_query(_docs_mapped(spark, sf_dir), q).select("doc_id")
+
+
+@register("query_cross_fields")
+def q_cross_fields(spark, sf_dir):
+    """``multi_match`` of type ``cross_fields``: every token in some field."""
+    q = {"multi_match": {"query": "und de", "type": "cross_fields", "operator": "and",
+                         "fields": ["text", "lang"]}}
+    return where_query(_docs_mapped(spark, sf_dir), q).select("doc_id")

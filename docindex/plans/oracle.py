@@ -336,3 +336,32 @@ SELECT 'orders' AS _index, CAST(o_orderkey AS VARCHAR) AS _id, 1::BIGINT AS _ver
        round(o_totalprice, 2) AS o_totalprice, epoch_us(o_orderdate) AS o_orderdate_us, o_orderpriority
 FROM orders
 """
+
+# --- mapped text field -------------------------------------------------------
+ORACLE["query_match_msm"] = f"""
+WITH d AS (SELECT doc_id, {tok('text')} AS t FROM documents)
+SELECT doc_id FROM d
+WHERE CAST(list_contains(t, 'the') AS INT) + CAST(list_contains(t, 'und') AS INT)
+    + CAST(list_contains(t, 'der') AS INT) >= 2
+"""
+
+ORACLE["query_text_prefix"] = f"""
+SELECT doc_id FROM documents
+WHERE len(list_filter({tok('text')}, lambda x: starts_with(x, 'thr'))) > 0
+"""
+
+ORACLE["query_text_wildcard"] = f"""
+SELECT doc_id FROM documents WHERE len(list_filter({tok('text')}, lambda x: x LIKE 'th_n%')) > 0
+"""
+
+ORACLE["query_term_text"] = f"SELECT doc_id FROM documents WHERE list_contains({tok('text')}, 'und')"
+
+ORACLE["query_dis_max"] = f"""
+SELECT doc_id FROM documents WHERE list_contains({tok('text')}, 'und') OR lang = 'fr'
+"""
+
+ORACLE["query_cross_fields"] = f"""
+SELECT doc_id FROM documents
+WHERE (list_contains({tok('text')}, 'und') OR lang = 'und')
+  AND (list_contains({tok('text')}, 'de') OR lang = 'de')
+"""

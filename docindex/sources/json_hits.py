@@ -33,7 +33,7 @@ def hits_from_json(df: DataFrame, col: str, schema: StructType) -> DataFrame:
             c = variant_field(v, _path("_source", f.name), f.dataType, f.metadata)
         if not f.nullable:
             c = require(c, f.name)
-        cols.append(c.alias(f.name))
+        cols.append(c.alias(f.name, metadata=f.metadata or {}))
     return df.select(*cols)
 
 

@@ -85,3 +85,12 @@ def test_conform_required_and_missing(spark):
     assert out.columns == ["a", "c"] and out.first() == (1, None)
     with pytest.raises(PySparkException, match="required field 'b'"):
         conform(df, StructType.fromDDL("b string not null")).collect()
+
+
+def test_conform_keeps_mapping_metadata(spark):
+    from docindex.functions.query import where_query
+    df = spark.createDataFrame([("1", "Hello brave world"), ("2", "bravery")], "_id string, t string")
+    mapped = conform(df, mapping_to_struct({"t": {"type": "text"}, "_id": {"type": "keyword"}}))
+    assert mapped.schema["t"].metadata["es_type"] == "text"
+    got = where_query(mapped, {"term": {"t": "brave"}}).select("_id").collect()
+    assert [r._id for r in got] == ["1"]
