@@ -14,12 +14,36 @@ try:  # executors need not have the package installed: ship its code by value
 except Exception:  # noqa: BLE001
     pass
 
+from docindex.functions.analyzer import analyze, tokens
 from docindex.functions.query import Q, count_query, query_column, where_query
+from docindex.functions.values import conform, parse_date, parse_timestamp
+from docindex.operators.bulk import action_lines, apply_bulk, bulk_actions
+from docindex.operators.nested import where_nested
+from docindex.operators.score import bm25
+from docindex.operators.transform import (
+    map_document_batches, map_documents, unwrap_document, unwrap_documents,
+)
+from docindex.sources.datasource import (
+    DocIndexDataSource, count_remote, read_remote, register, size_remote, write_remote,
+)
 from docindex.sources.hits import as_hits, flatten_hits, nest_hits, read_slice, slice_column
+from docindex.sources.json_hits import hits_from_json, hits_to_json
+from docindex.sources.mapping import mapping_to_struct
+from docindex.sources.model import Document, InnerDoc, Nested, Object, model_to_struct
 from docindex.sources.schema import META_FIELDS, complete_schema
+from docindex.sources.stats import size_estimate
+from docindex.sources.store import read_index, versions, write_bulk, write_index
 
 __all__ = [
+    "analyze", "tokens",
     "Q", "count_query", "query_column", "where_query",
+    "conform", "parse_date", "parse_timestamp",
+    "action_lines", "apply_bulk", "bulk_actions", "where_nested", "bm25",
+    "map_document_batches", "map_documents", "unwrap_document", "unwrap_documents",
+    "DocIndexDataSource", "count_remote", "read_remote", "register", "size_remote", "write_remote",
     "as_hits", "flatten_hits", "nest_hits", "read_slice", "slice_column",
-    "META_FIELDS", "complete_schema",
+    "hits_from_json", "hits_to_json", "mapping_to_struct",
+    "Document", "InnerDoc", "Nested", "Object", "model_to_struct",
+    "META_FIELDS", "complete_schema", "size_estimate",
+    "read_index", "versions", "write_bulk", "write_index",
 ]

@@ -33,6 +33,7 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .config("spark.sql.python.filterPushdown.enabled", "true")
         .config("spark.driver.memory", os.environ.get("DOCINDEX_DRIVER_MEMORY", "16g"))
         .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
