@@ -50,11 +50,13 @@ def _src_cols(df: DataFrame) -> list[str]:
 
 def bulk_actions(df: DataFrame, index: str | None = None, op_type: str | None = None,
                  source_fields: Iterable[str] | None = None,
-                 meta_fields: Iterable[str] | None = None) -> DataFrame:
+                 meta_fields: Iterable[str] | None = None,
+                 order_col: str | None = None) -> DataFrame:
     """Rows to action rows: ``_op_type, _index, _id, ...meta, source columns``.
 
     ``meta_fields`` names (without ``_``) select the metadata columns used;
     ``source_fields`` select document fields.  A missing op is ``index``.
+    ``order_col`` is kept whatever the field lists say.
     """
     if op_type is not None and op_type not in OP_TYPES:
         raise ValueError(f"op_type must be one of {OP_TYPES}, got {op_type!r}")
@@ -75,6 +77,8 @@ def bulk_actions(df: DataFrame, index: str | None = None, op_type: str | None =
     ]
     cols += [F.col(m) for m in metas if m not in ("_op_type", "_index", "_id")]
     cols += [F.col("`" + c + "`") for c in src]
+    if order_col and order_col not in metas and order_col not in src:
+        cols.append(F.col("`" + order_col + "`"))
     out = df.select(*cols)
     bad = ~F.col("_op_type").isin(*OP_TYPES)
     return out.withColumn("_op_type", F.when(bad, F.raise_error(

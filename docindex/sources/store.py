@@ -119,12 +119,7 @@ def write_bulk(df: DataFrame, root: str, index: str | None = None, op_type: str
 
     spark = spark_of(df)
     actions = bulk_actions(df, index=index, op_type=op_type, source_fields=source_fields,
-                           meta_fields=meta_fields)
-    if order_col and order_col not in actions.columns and order_col in df.columns:
-        actions = bulk_actions(df, index=index, op_type=op_type,
-                               source_fields=list(source_fields or []) + [order_col]
-                               if source_fields is not None else None,
-                               meta_fields=meta_fields)
+                           meta_fields=meta_fields, order_col=order_col)
     last = latest_version(spark, root)
     if last is None:
         schema = "_index string, _id string, _version bigint, _seq_no bigint, _primary_term bigint"

@@ -36,3 +36,15 @@ def test_query_matches_oracle(spark, con, name):
     want = canon([d[0] for d in cur.description], cur.fetchall())
     assert got[0] == want[0]
     assert got[1] == want[1]
+
+
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "PythonUDF",
+                "FlatMapGroupsInPandas")
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"map_documents", "map_document_batches"}))
+def test_no_python_in_local_plans(spark, name):
+    """Everything except user document transforms stays in the JVM."""
+    df = E.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in PYTHON_NODES), name

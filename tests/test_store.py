@@ -44,3 +44,10 @@ def test_several_indices_by_routing(spark):
     got = {r["_index"]: r["count"] for r in read_index(spark, root).groupBy("_index").count().collect()}
     assert got == {"even": 3, "odd": 3}
     assert read_index(spark, root, "odd").count() == 3
+
+
+def test_order_column_survives_field_lists(spark):
+    root = _root(spark)
+    rows = spark.createDataFrame([("1", 1, 10), ("1", 2, 20)], "_id string, _o long, value long")
+    write_bulk(rows, root, index="t", source_fields=["value"], meta_fields=["id"], order_col="_o")
+    assert [r.value for r in read_index(spark, root, "t").collect()] == [20]
