@@ -95,19 +95,37 @@ def parse_date(c: Column, fmt: str | None = None) -> Column:
     return tries[0] if len(tries) == 1 else F.coalesce(*tries)
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_micros(c: Column) -> Column:
+    """Microseconds since the epoch of a zone-less timestamp read as UTC
+    (independent of the session time zone)."""
+    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), c)
+
+
 def parse_timestamp(c: Column, ntz: bool = False) -> Column:
-    """Timestamp from ISO-8601 text or epoch milliseconds (text or number)."""
-    s = c.cast("string")
-    ts = F.coalesce(
-        F.try_to_timestamp(s),
-        F.timestamp_millis(s.try_cast("bigint")),
-    )
-    return ts.cast("timestamp_ntz") if ntz else ts
-
-
-def epoch_millis(c: Column) -> Column:
-    """Epoch milliseconds of a timestamp (the write form of date fields)."""
-    return F.unix_millis(c.cast("timestamp"))
+    """Timestamp from ISO-8601 text or epoch milliseconds (text or number).
+
+    Text with a zone (``Z``, ``+01:00``) is read in that zone; text without
+    one is read as UTC, whatever the session time zone.
+    """
+    s = F.trim(c.cast("string"))
+    micros = (F.when(s.rlike(r"^-?[0-9]+$"), s.try_cast("bigint") * F.lit(1000))
+              .when(s.rlike(r"[Tt ][0-9]{2}:[0-9]{2}.*(Z|z|[+-][0-9]{2}(:?[0-9]{2})?)$"),
+                    F.unix_micros(F.try_to_timestamp(s)))
+              .otherwise(ntz_micros(s.try_cast("timestamp_ntz"))))
+    if ntz:
+        return F.timestamp_add("MICROSECOND", micros, F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+    return F.timestamp_micros(micros)
+
+
+def epoch_millis(c: Column, ntz: bool = False) -> Column:
+    """Epoch milliseconds of a timestamp (the write form of date fields);
+    zone-less timestamps are read as UTC."""
+    if ntz:
+        return F.floor(ntz_micros(c) / 1000).cast("bigint")
+    return F.unix_millis(c)
 
 
 def one_or_many(v: Column, path: str, elem_ddl: str) -> Column:

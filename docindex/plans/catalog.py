@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docindex.functions.query import Q, query_column, where_query
-from docindex.functions.values import conform, parse_date, parse_timestamp
+from docindex.functions.values import conform, epoch_millis, ntz_micros, parse_date, parse_timestamp
 from docindex.operators.bulk import action_lines, apply_bulk, bulk_actions
 from docindex.operators.nested import where_nested
 from docindex.operators.score import bm25
@@ -46,8 +46,9 @@ def _sum_count(df: DataFrame, col: str = "value") -> DataFrame:
     return df.agg(F.round(F.sum(col), 2).alias("sum_value"), F.count(F.lit(1)).alias("n"))
 
 
-def _us(c: str):
-    return F.unix_micros(F.col(c).cast("timestamp"))
+def _us(c: str, ntz: bool = True):
+    """Epoch microseconds; zone-less timestamps read as UTC (session-zone free)."""
+    return ntz_micros(F.col(c)) if ntz else F.unix_micros(F.col(c))
 
 
 # ---------------------------------------------------------------------------
@@ -662,7 +663,7 @@ def q_types_dates(spark, sf_dir):
         parse_date(F.date_format(d, "yyyyMMdd"), "basic_date").cast("string").alias("d_basic"),
         parse_date(F.date_format(d, "yyyy-DDD"), "ordinal_date").cast("string").alias("d_ordinal"),
         parse_date(week_text, "week_date").cast("string").alias("d_week"),
-        F.unix_micros(parse_timestamp(F.unix_millis(F.col("ts").cast("timestamp")).cast("string")))
+        F.unix_micros(parse_timestamp(epoch_millis(F.col("ts"), ntz=True).cast("string")))
         .alias("ts_ms_us"),
     )
 
@@ -734,7 +735,7 @@ def q_hits_json(spark, sf_dir):
         "o_orderpriority": {"type": "keyword"}}), meta_fields=["index", "id", "version"])
     flat = hits_from_json(wire, "hit", schema)
     return flat.select("_index", "_id", "_version", "o_orderkey", F.round("o_totalprice", 2).alias("o_totalprice"),
-                       _us("o_orderdate").alias("o_orderdate_us"), "o_orderpriority")
+                       _us("o_orderdate", ntz=False).alias("o_orderdate_us"), "o_orderpriority")
 
 
 # ---------------------------------------------------------------------------

@@ -94,3 +94,17 @@ def test_conform_keeps_mapping_metadata(spark):
     assert mapped.schema["t"].metadata["es_type"] == "text"
     got = where_query(mapped, {"term": {"t": "brave"}}).select("_id").collect()
     assert [r._id for r in got] == ["1"]
+
+
+@pytest.mark.parametrize("tz", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_timestamps_do_not_depend_on_session_zone(spark, tz):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        texts = ["2024-01-30T10:00:00Z", "2024-01-30T10:00:00", "1706608800000",
+                 "2024-01-30T11:00:00+01:00", "2024-01-30 10:00:00"]
+        row = spark.range(1).select(*[F.unix_millis(parse_timestamp(F.lit(t))).alias(f"c{i}")
+                                      for i, t in enumerate(texts)]).first()
+        assert set(row) == {1706608800000}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
