@@ -22,7 +22,8 @@ override per-row ``_index`` / ``_op_type``.
   keys are checked from the aggregate alone).
 
 Column semantics of ``update``: a column present in the action table is set,
-also to null; a column absent from it is kept.  An optional ``_fields``
+also to null; a column absent from it is kept.  Object (struct) columns merge
+field by field, recursively; arrays and scalars are replaced.  An optional ``_fields``
 array<string> column narrows an update row to the named columns.
 """
 
@@ -32,6 +33,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from docindex.session import shared_dir
 from docindex.sources.schema import META_NAMES, meta_name
@@ -113,6 +115,47 @@ def _auto_id(actions: DataFrame, order: Column) -> Column:
     return F.substring(digest, 1, 20)
 
 
+def _union_struct(ct: StructType, at: StructType) -> StructType:
+    """Fields of the index's object type, then fields only the actions have."""
+    afields = {f.name: f for f in at.fields}
+    out = []
+    for f in ct.fields:
+        a = afields.get(f.name)
+        if a is not None and isinstance(f.dataType, StructType) and isinstance(a.dataType, StructType):
+            out.append(StructField(f.name, _union_struct(f.dataType, a.dataType), True))
+        else:
+            out.append(StructField(f.name, f.dataType, True))
+    names = {f.name for f in ct.fields}
+    out += [StructField(a.name, a.dataType, True) for a in at.fields if a.name not in names]
+    return StructType(out)
+
+
+def _shape(c: Column, t: DataType, u: DataType) -> Column:
+    """``c`` of type ``t`` as type ``u`` (missing object fields null)."""
+    if isinstance(t, StructType) and isinstance(u, StructType):
+        have = {f.name: f.dataType for f in t.fields}
+        parts = [(_shape(c.getField(f.name), have[f.name], f.dataType) if f.name in have
+                  else F.lit(None).cast(f.dataType)).alias(f.name) for f in u.fields]
+        return F.when(c.isNotNull(), F.struct(*parts))
+    return c if t == u else c.cast(u)
+
+
+def _merge(upd: Column, at: StructType, found: Column, u: StructType) -> Column:
+    """A partial update of an object: fields it names are set (recursively
+    for objects, also to null), the others keep the value found."""
+    have = {f.name: f.dataType for f in at.fields}
+    parts = []
+    for f in u.fields:
+        if f.name not in have:
+            v = found.getField(f.name)
+        elif isinstance(have[f.name], StructType) and isinstance(f.dataType, StructType):
+            v = _merge(upd.getField(f.name), have[f.name], found.getField(f.name), f.dataType)
+        else:
+            v = _shape(upd.getField(f.name), have[f.name], f.dataType)
+        parts.append(v.alias(f.name))
+    return F.when(upd.isNotNull(), F.struct(*parts))
+
+
 def _bad(prev: Column, op: Column) -> Column:
     """An action that may not follow ``prev`` on the same document."""
     return (((prev == "delete") & op.isin("update", "delete"))
@@ -252,13 +295,27 @@ def apply_bulk(current: DataFrame, actions: DataFrame, order_col: str | None = N
 
     out_cols = []
     for c in list(dict.fromkeys(c_src + a_src)):
+        ctype = current.schema[c].dataType if c in c_src else None
+        atype = actions.schema[c].dataType if c in a_src else None
+        both = isinstance(ctype, StructType) and isinstance(atype, StructType)
+        utype = _union_struct(ctype, atype) if both else None
         base = F.col("_c_" + c) if c in c_src else F.lit(None)
+        if both:
+            base = _shape(base, ctype, utype)
         if c in a_src:
-            from_reset = F.when(F.col("_reset_op").isin("index", "create"), F.col("_r_" + c))
+            reset_val = F.col("_r_" + c)
+            upd_val = F.col("_u_" + c)
+            if both:
+                reset_val, upd_val = _shape(reset_val, atype, utype), upd_val
+            from_reset = F.when(F.col("_reset_op").isin("index", "create"), reset_val)
             updated = F.col("_uo_" + c).isNotNull() & (
                 ~has_reset | (F.col("_uo_" + c) > F.col("_reset_o")))
+            if both:
+                # objects merge field by field into what the update finds
+                found = F.when(has_reset, from_reset).otherwise(base)
+                upd_val = _merge(upd_val, atype, found, utype)
             val = (F.when(~has_actions, base)
-                   .when(updated, F.col("_u_" + c))
+                   .when(updated, upd_val)
                    .when(has_reset, from_reset)
                    .otherwise(base))
         else:

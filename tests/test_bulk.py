@@ -163,3 +163,16 @@ def test_hot_key_validation_is_split_by_bucket(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "_b" in plan                       # window keyed by (key, bucket)
     assert out.collect()[0]["a"] == 4999
+
+
+def test_update_merges_objects_field_by_field(spark):
+    cur = spark.createDataFrame([("1", 1, ("x", 5, ("deep", 1)), [1, 2])],
+                                "_id string, _version bigint, obj struct<a:string,b:int,c:struct<d:string,e:int>>, arr array<int>")
+    acts = spark.createDataFrame([("1", "update", 0, (None, ("new",)), [9])],
+                                 "_id string, _op_type string, _o bigint, obj struct<b:int,c:struct<d:string>>, arr array<int>")
+    row = apply_bulk(cur, bulk_actions(acts), order_col="_o").collect()[0]
+    # b set (to null), c.d set, c.e and a kept; the array is replaced
+    assert row.obj.asDict(recursive=True) == {"a": "x", "b": None, "c": {"d": "new", "e": 1}}
+    assert row.arr == [9]
+    acts2 = spark.createDataFrame([("1", "update", 0, None)], "_id string, _op_type string, _o bigint, obj struct<b:int>")
+    assert apply_bulk(cur, bulk_actions(acts2), order_col="_o").collect()[0].obj is None
