@@ -176,3 +176,27 @@ def test_update_merges_objects_field_by_field(spark):
     assert row.arr == [9]
     acts2 = spark.createDataFrame([("1", "update", 0, None)], "_id string, _op_type string, _o bigint, obj struct<b:int>")
     assert apply_bulk(cur, bulk_actions(acts2), order_col="_o").collect()[0].obj is None
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_narrowed_updates_match_replay(spark, seed):
+    r = random.Random(100 + seed)
+    current = {str(i): {"a": i, "b": f"b{i}", "c": None, "_version": 1} for i in range(8)}
+    state = {k: dict(v) for k, v in current.items()}
+    log = []
+    for o in range(40):
+        i = str(r.randint(0, 7))
+        fields = r.choice([["a"], ["c"], ["a", "c"], None])
+        a, c = r.choice([None, r.randint(0, 99)]), r.choice([None, "x", "y"])
+        log.append((i, "update", o, a, c, fields))
+        for name, v in (("a", a), ("c", c)):
+            if fields is None or name in fields:
+                state[i][name] = v
+        state[i]["_version"] += 1
+    cur = spark.createDataFrame([(k, v["_version"], v["a"], v["b"]) for k, v in current.items()], CUR_SCHEMA)
+    acts = spark.createDataFrame(log, "_id string, _op_type string, _o bigint, a bigint, c string, "
+                                      "_fields array<string>")
+    got = {x["_id"]: x for x in apply_bulk(cur, bulk_actions(acts), order_col="_o").collect()}
+    for k, e in state.items():
+        g = got[k]
+        assert (g["a"], g["b"], g["c"], g["_version"]) == (e["a"], e["b"], e["c"], e["_version"]), (k, g, e)
