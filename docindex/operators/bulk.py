@@ -325,9 +325,9 @@ def apply_bulk(current: DataFrame, actions: DataFrame, order_col: str | None = N
     old_version = F.col("_version") if "_version" in cur_meta else F.when(existed, F.lit(1))
     version = (F.coalesce(old_version, F.lit(0)) + F.coalesce(F.col("_n"), F.lit(0))).cast("long")
     if "_seq_no" in cur_meta:
-        seq_base = current.agg(F.max("_seq_no")).first()[0]
-        seq_base = -1 if seq_base is None else int(seq_base)
-        seq = F.when(has_actions, F.lit(seq_base + 1) + F.col("_last_o")).otherwise(F.col("_seq_no"))
+        # old maximum as a scalar subquery: one partial aggregate, no driver job
+        seq_base = current.agg(F.coalesce(F.max("_seq_no"), F.lit(-1)).cast("long")).scalar()
+        seq = F.when(has_actions, seq_base + F.lit(1) + F.col("_last_o")).otherwise(F.col("_seq_no"))
     else:
         seq = F.when(has_actions, F.col("_last_o"))
     term = F.col("_primary_term") if "_primary_term" in cur_meta else F.lit(1)
