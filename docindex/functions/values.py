@@ -191,6 +191,14 @@ def convert(c: Column, src: DataType, dst: DataType, meta: dict | None, name: st
     return c.cast(dst)
 
 
+def _has_struct(t: DataType) -> bool:
+    if isinstance(t, StructType):
+        return True
+    if isinstance(t, ArrayType):
+        return t.containsNull and _has_struct(t.elementType)
+    return False
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """``df`` projected onto ``schema``: converted, missing fields null,
     required fields checked.  Extra columns are dropped."""
@@ -202,6 +210,9 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
                         f.metadata, f.name)
         else:
             c = F.lit(None).cast(f.dataType)
+        if _has_struct(f.dataType):
+            # the target type carries the nested fields' mapping metadata
+            c = c.cast(f.dataType)
         if not f.nullable:
             c = require(c, f.name)
         cols.append(c.alias(f.name, metadata=f.metadata or {}))

@@ -108,3 +108,15 @@ def test_timestamps_do_not_depend_on_session_zone(spark, tz):
         assert set(row) == {1706608800000}
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_conform_keeps_nested_metadata(spark):
+    from docindex.functions.query import where_query
+    df = spark.createDataFrame([("1", ("Hello brave world", "k")), ("2", ("bravery", "k"))],
+                               "_id string, obj struct<title:string,tag:string>")
+    sch = mapping_to_struct({"_id": {"type": "keyword"},
+                             "obj": {"properties": {"title": {"type": "text"}, "tag": {"type": "keyword"}}}})
+    mapped = conform(df, sch)
+    assert mapped.schema["obj"].dataType["title"].metadata["es_type"] == "text"
+    got = where_query(mapped, {"term": {"obj.title": "brave"}}).select("_id").collect()
+    assert [r._id for r in got] == ["1"]
