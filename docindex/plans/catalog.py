@@ -798,3 +798,13 @@ def q_cross_fields(spark, sf_dir):
     q = {"multi_match": {"query": "und de", "type": "cross_fields", "operator": "and",
                          "fields": ["text", "lang"]}}
     return where_query(_docs_mapped(spark, sf_dir), q).select("doc_id")
+
+
+@register("hits_json_inferred")
+def q_hits_json_inferred(spark, sf_dir):
+    """JSON hits read without a schema: one schema inferred over all hits."""
+    wire = hits_to_json(hits(spark, sf_dir, "orders"))
+    flat = hits_from_json(wire, "hit")
+    return flat.select("_index", "_id", "_version", "o_orderkey", "o_custkey",
+                       F.round("o_totalprice", 2).alias("o_totalprice"),
+                       "o_orderstatus", "o_orderpriority")

@@ -365,3 +365,9 @@ SELECT doc_id FROM documents
 WHERE (list_contains({tok('text')}, 'und') OR lang = 'und')
   AND (list_contains({tok('text')}, 'de') OR lang = 'de')
 """
+
+ORACLE["hits_json_inferred"] = """
+SELECT 'orders' AS _index, CAST(o_orderkey AS VARCHAR) AS _id, 1::BIGINT AS _version, o_orderkey,
+       o_custkey, round(o_totalprice, 2) AS o_totalprice, o_orderstatus, o_orderpriority
+FROM orders
+"""

@@ -9,19 +9,49 @@ value or a list into a list, objects into structs.  Parsing is Spark's own
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from docindex.functions.values import require, variant_field
-from docindex.sources.schema import META_NAMES
+from docindex.sources.schema import META_FIELDS, META_NAMES
+
+
+def _decimal(m: re.Match) -> str:
+    p, scale = int(m.group(1)), int(m.group(2))
+    if scale > 0:
+        return "DOUBLE"
+    return "BIGINT" if p <= 18 else f"DECIMAL({p},0)"
+
+
+def infer_source_schema(df: DataFrame, col: str) -> StructType:
+    """One schema for the ``_source`` of all hits in ``df[col]``.
+
+    A single partial aggregate (``schema_of_variant_agg``); only the schema
+    text comes back.  JSON numbers with a fraction become DOUBLE, integral
+    ones BIGINT; a field that is sometimes one value and sometimes a list,
+    or of mixed types, stays VARIANT.  Fields come in name order.
+    """
+    src = F.variant_get(F.parse_json(F.col(col)), "$._source", "variant")
+    text = df.select(F.schema_of_variant_agg(src)).first()[0]
+    if not text or not text.startswith("OBJECT<"):
+        return StructType([])
+    text = text.replace("OBJECT<", "STRUCT<")
+    text = re.sub(r"DECIMAL\((\d+),\s*(\d+)\)", _decimal, text)
+    return _parse_datatype_string(text)
 
 
 def _path(*names: str) -> str:
     return "$" + "".join("['" + n.replace("'", "\\'") + "']" for n in names)
 
 
-def hits_from_json(df: DataFrame, col: str, schema: StructType) -> DataFrame:
+def hits_from_json(df: DataFrame, col: str, schema: StructType | None = None) -> DataFrame:
+    """Flat typed rows from JSON hits; without ``schema`` one is inferred
+    over all hits (source fields, then the metadata columns)."""
+    if schema is None:
+        schema = StructType(infer_source_schema(df, col).fields + META_FIELDS.fields)
     # parse once in its own projection; the fields read the variant
     df = df.select(F.parse_json(F.col(col)).alias("_hit_v"))
     v = F.col("_hit_v")

@@ -120,3 +120,16 @@ def test_conform_keeps_nested_metadata(spark):
     assert mapped.schema["obj"].dataType["title"].metadata["es_type"] == "text"
     got = where_query(mapped, {"term": {"obj.title": "brave"}}).select("_id").collect()
     assert [r._id for r in got] == ["1"]
+
+
+def test_inferred_schema_over_all_hits(spark):
+    from docindex.sources.json_hits import infer_source_schema
+    lines = ['{"_id":"1","_source":{"a":1,"t":"x","tags":"s","o":{"p":1.5},"n":[{"k":"a"}]}}',
+             '{"_id":"2","_source":{"a":2.5,"tags":["s","t"],"o":{"q":"z"},"big":12345678901}}']
+    df = spark.createDataFrame([(x,) for x in lines], "hit string")
+    sch = infer_source_schema(df, "hit")
+    types = {f.name: f.dataType.simpleString() for f in sch.fields}
+    assert types == {"a": "double", "big": "bigint", "n": "array<struct<k:string>>",
+                     "o": "struct<p:double,q:string>", "t": "string", "tags": "variant"}
+    rows = {r._id: r for r in hits_from_json(df, "hit").collect()}
+    assert rows["2"].a == 2.5 and rows["1"].o.p == 1.5 and rows["2"].big == 12345678901
