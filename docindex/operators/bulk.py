@@ -17,9 +17,8 @@ override per-row ``_index`` / ``_op_type``.
 * validation (``create`` on an existing document, ``update`` or ``delete``
   on a missing one) fails the job with the offending id, as the bulk helper
   fails on the first error.  Validation needs each action's predecessor; it
-  runs only over keys with more than one action, in buckets of consecutive
-  order values so that a hot key is split over many tasks (single-action
-  keys are checked from the aggregate alone).
+  runs in buckets of consecutive order values so that a hot key is split
+  over many tasks (the first action of a key is checked from the aggregate).
 
 Column semantics of ``update``: a column present in the action table is set,
 also to null; a column absent from it is kept.  Object (struct) columns merge
@@ -36,15 +35,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 from docindex.session import shared_dir
-from docindex.sources.schema import META_NAMES, meta_name
+from docindex.sources.schema import meta_name
 
 # The four bulk operations.
 OP_TYPES = ("index", "create", "update", "delete")
 
-_ACTION_META = ("_op_type", "_index", "_id", "_version", "_version_type", "_routing",
-                "_if_seq_no", "_if_primary_term", "_retry_on_conflict", "_pipeline",
-                "_require_alias")
-
 
 def _src_cols(df: DataFrame) -> list[str]:
     return [c for c in df.columns if not c.startswith("_")]
@@ -165,15 +160,16 @@ def _bad(prev: Column, op: Column) -> Column:
 def _bad_pairs(A: DataFrame, G: DataFrame, key: list[str], width: int) -> DataFrame:
     """Per key, the op of one action that may not follow its predecessor.
 
-    Only keys with several actions are looked at.  Consecutive pairs are
+    Consecutive pairs are
     checked in two levels so that a key with very many actions is spread
     over many tasks: inside buckets of ``width`` consecutive order values
     (a window over key and bucket), then across bucket edges (a window over
     one summary row per key and bucket).
     """
     op, o = F.col("_op"), F.col("_o")
-    multi = A.join(G.where(F.col("_n") > 1).select(*key), key, "left_semi") \
-        .withColumn("_b", F.expr(f"_o div {int(width)}"))
+    # a lone action has no predecessor, so all actions can go through the
+    # windows; no join with the multi-action keys is needed
+    multi = A.select(*key, "_op", "_o").withColumn("_b", F.expr(f"_o div {int(width)}"))
     w1 = Window.partitionBy(*key, "_b").orderBy("_o")
     inside = (multi.withColumn("_prev", F.lag("_op").over(w1))
               .where(_bad(F.col("_prev"), op))
@@ -345,4 +341,4 @@ def bulk_summary(actions: DataFrame) -> DataFrame:
     return actions.groupBy("_index", "_op_type").agg(F.count(F.lit(1)).alias("n_actions"))
 
 
-__all__ = ["OP_TYPES", "bulk_actions", "action_lines", "apply_bulk", "bulk_summary", "META_NAMES"]
+__all__ = ["OP_TYPES", "bulk_actions", "action_lines", "apply_bulk", "bulk_summary"]

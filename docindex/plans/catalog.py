@@ -672,10 +672,10 @@ def q_types_dates(spark, sf_dir):
 def q_types_multi(spark, sf_dir):
     """One value or a list: both read as a list (JSON hits on the wire)."""
     ev = table(spark, sf_dir, "events")
-    tags = F.when(F.col("event_type").isin("click", "view"), F.to_json(F.array("event_type")).substr(2, 1000)
-                  ).otherwise(F.to_json(F.array(F.col("event_type"), F.lit("x"))))
-    tags = F.when(F.col("event_type").isin("click", "view"),
-                  F.concat(F.lit('"'), F.col("event_type"), F.lit('"'))).otherwise(tags)
+    # clicks and views carry one tag as a plain value, the others a list
+    one = F.regexp_extract(F.to_json(F.array("event_type")), r"^\[(.*)\]$", 1)   # a JSON string
+    tags = F.when(F.col("event_type").isin("click", "view"), one) \
+        .otherwise(F.to_json(F.array(F.col("event_type"), F.lit("x"))))
     wire = ev.select(F.concat(
         F.lit('{"_index":"events","_id":"'), F.col("event_id").cast("string"),
         F.lit('","_source":{"user_id":'), F.col("user_id").cast("string"),
