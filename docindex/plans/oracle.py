@@ -71,7 +71,7 @@ FROM customer
 ORACLE["count_query"] = "SELECT count(*) AS n FROM events WHERE event_type = 'click'"
 
 ORACLE["sliced_scan"] = """
-SELECT 7 AS n_slices, count(*) AS total_rows, sum(event_id) AS id_sum,
+SELECT 7::BIGINT AS n_slices, count(*) AS total_rows, CAST(sum(event_id) AS BIGINT) AS id_sum,
        count(DISTINCT event_id) AS distinct_ids
 FROM events
 """
@@ -181,7 +181,7 @@ SELECT p_partkey FROM part WHERE p_retailprice < 1000 AND p_brand <> 'Brand#1'
 """
 
 ORACLE["example_query_sum"] = """
-SELECT sum(event_id) AS sum_value, count(*) AS n FROM events WHERE event_id < 100
+SELECT CAST(sum(event_id) AS BIGINT) AS sum_value, count(*) AS n FROM events WHERE event_id < 100
 """
 
 # --- relevance ---------------------------------------------------------------
@@ -280,7 +280,7 @@ SELECT 'index' AS _op_type, CAST(event_id AS VARCHAR) AS _id, round(value, 2) AS
 """
 
 ORACLE["range_rename_add"] = """
-SELECT sum(event_id) AS sum_value, count(*) AS n, count(DISTINCT event_id) AS ids FROM events
+SELECT CAST(sum(event_id) AS BIGINT) AS sum_value, count(*) AS n, count(DISTINCT event_id) AS ids FROM events
 """
 
 ORACLE["write_roundtrip"] = """
@@ -314,8 +314,8 @@ FROM events
 """
 
 ORACLE["types_vector"] = """
-SELECT CAST(vec_id AS VARCHAR) AS _id, len(embedding) AS dims,
-       len(list_filter(embedding, lambda x: x > 0)) AS n_positive, label
+SELECT CAST(vec_id AS VARCHAR) AS _id, CAST(len(embedding) AS INTEGER) AS dims,
+       CAST(len(list_filter(embedding, lambda x: x > 0)) AS INTEGER) AS n_positive, label
 FROM embeddings
 """
 
@@ -329,7 +329,7 @@ FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey
 """
 
-ORACLE["types_binary"] = "SELECT page_id, strlen(html) AS n_bytes FROM pages"
+ORACLE["types_binary"] = "SELECT page_id, CAST(strlen(html) AS INTEGER) AS n_bytes FROM pages"
 
 ORACLE["hits_json_roundtrip"] = """
 SELECT 'orders' AS _index, CAST(o_orderkey AS VARCHAR) AS _id, 1::BIGINT AS _version, o_orderkey,

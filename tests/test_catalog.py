@@ -48,3 +48,13 @@ def test_no_python_in_local_plans(spark, name):
     df = E.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(node in plan for node in PYTHON_NODES), name
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_column_types_match_oracle(spark, con, name):
+    from tools.types import DUCK, SPARK
+    df = E.queries()[name](spark, SF)
+    rel = con.sql(E.oracle_sql()[name])
+    s = {c: SPARK.get(t, t) for c, t in df.dtypes}
+    d = {c: DUCK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert s == d
