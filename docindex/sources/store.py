@@ -20,6 +20,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from docindex.sources.schema import META_NAMES
 
@@ -69,13 +70,11 @@ def read_index(spark: SparkSession, root: str, index: str | Iterable[str] | None
             raise FileNotFoundError(f"no committed version under {root}")
     elif version not in versions(spark, root):
         raise FileNotFoundError(f"version {version} is not committed under {root}")
-    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
-    try:
-        df = spark.read.parquet(f"{root}/v={version}")
-    finally:
-        spark.conf.set(key, before)
+    path = f"{root}/v={version}"
+    # index names are text: give the partition column its type explicitly
+    # (an index named "007" must not be read as the number 7)
+    data = [f for f in spark.read.parquet(path).schema.fields if f.name != "_index"]
+    df = spark.read.schema(StructType(data + [StructField("_index", StringType(), True)])).parquet(path)
     if index is not None:
         names = [index] if isinstance(index, str) else list(index)
         df = df.where(F.col("_index").isin(names))

@@ -51,3 +51,11 @@ def test_order_column_survives_field_lists(spark):
     rows = spark.createDataFrame([("1", 1, 10), ("1", 2, 20)], "_id string, _o long, value long")
     write_bulk(rows, root, index="t", source_fields=["value"], meta_fields=["id"], order_col="_o")
     assert [r.value for r in read_index(spark, root, "t").collect()] == [20]
+
+
+def test_numeric_looking_index_names_stay_text(spark):
+    root = _root(spark)
+    rows = spark.range(3).select(F.col("id").cast("string").alias("_id"), F.lit("007").alias("_index"))
+    write_index(rows, root)
+    df = read_index(spark, root, "007")
+    assert dict(df.dtypes)["_index"] == "string" and df.count() == 3
