@@ -80,6 +80,17 @@ def ev(q, doc):
         ok = all(ev(c, doc) for c in must) and not any(ev(c, doc) for c in lst("must_not"))
         need = p.get("minimum_should_match", 1 if should and not must else 0)
         return ok and sum(ev(c, doc) for c in should) >= need
+    if name == "dis_max":
+        return any(ev(c, doc) for c in p["queries"])
+    if name == "constant_score":
+        return ev(p["filter"], doc)
+    if name == "boosting":
+        return ev(p["positive"], doc)
+    if name == "multi_match":
+        toks = analyze(p["query"])
+        if p.get("type") == "cross_fields":
+            return bool(toks) and all(any(ev({"match": {f: {"query": t}}}, doc) for f in p["fields"]) for t in toks)
+        return any(ev({"match": {f: {"query": p["query"]}}}, doc) for f in p["fields"])
     if name == "nested":
         path = p["path"]
         elems = values(doc, path)
@@ -89,11 +100,20 @@ def ev(q, doc):
     (field, spec), = p.items()
     vals = values(doc, field)
     if name == "term":
+        if isinstance(spec, dict):
+            want = spec["value"].lower()
+            return any(v.lower() == want for v in vals)
         if field in TEXT_FIELDS:
             return any(spec in analyze(v) for v in vals)
         return any(v == spec for v in vals)
     if name == "terms":
+        if field in TEXT_FIELDS:
+            return any(t in spec for v in vals for t in analyze(v))
         return any(v in spec for v in vals)
+    if name == "regexp":
+        import re as _re
+        return any(_re.fullmatch(spec, t) for v in vals
+                   for t in (analyze(v) if field in TEXT_FIELDS else [v]))
     if name == "range":
         def ok(v):
             return all({"gt": v > b, "gte": v >= b, "lt": v < b, "lte": v <= b}[k] for k, b in spec.items())
@@ -105,6 +125,9 @@ def ev(q, doc):
             if not toks:
                 return False
             got = [set(analyze(v)) for v in vals]
+            if "minimum_should_match" in spec:
+                need = spec["minimum_should_match"]
+                return any(sum(t in g for t in set(toks)) >= max(need, 1) for g in got)
             return any((all if op == "and" else any)(t in g for t in toks) for g in got)
         return any(v == spec["query"] for v in vals)
     if name == "match_phrase":
@@ -115,8 +138,12 @@ def ev(q, doc):
                 return True
         return False
     if name == "prefix":
+        if field in TEXT_FIELDS:
+            return any(t.startswith(spec) for v in vals for t in analyze(v))
         return any(v.startswith(spec) for v in vals)
     if name == "wildcard":
+        if field in TEXT_FIELDS:
+            return any(fnmatch.fnmatchcase(t, spec) for v in vals for t in analyze(v))
         return any(fnmatch.fnmatchcase(v, spec) for v in vals)
     raise AssertionError(name)
 
@@ -136,7 +163,10 @@ def _strip(q, path):
 
 def rand_query(r: random.Random, depth=0):
     kinds = ["term_s", "term_t", "terms", "range_n", "range_x", "exists", "match", "match_and",
-             "phrase", "prefix", "wildcard", "tags", "obj", "nested"]
+             "phrase", "prefix", "wildcard", "tags", "obj", "nested", "term_ci", "terms_t",
+             "prefix_t", "wildcard_t", "regexp_s", "regexp_t", "match_msm", "multi", "cross"]
+    if depth < 2:
+        kinds += ["dis_max", "constant", "boosting"]
     if depth < 2:
         kinds += ["bool"] * 3
     k = r.choice(kinds)
@@ -166,6 +196,32 @@ def rand_query(r: random.Random, depth=0):
         return {"term": {"tags": r.choice(KEYS)}}
     if k == "obj":
         return {"term": {"obj.b": r.choice(KEYS)}}
+    if k == "term_ci":
+        return {"term": {"s": {"value": r.choice(["RED", "red", "Blue"]), "case_insensitive": True}}}
+    if k == "terms_t":
+        return {"terms": {"t": r.sample(["foo", "bar", "über", "Baz", "x1"], 2)}}
+    if k == "prefix_t":
+        return {"prefix": {"t": r.choice(["f", "ba", "üb", "x"])}}
+    if k == "wildcard_t":
+        return {"wildcard": {"t": r.choice(["b?r", "*o*", "x*", "ü*r"])}}
+    if k == "regexp_s":
+        return {"regexp": {"s": r.choice(["r.d", "[bg].*", "(red|blue)", "Re."])}}
+    if k == "regexp_t":
+        return {"regexp": {"t": r.choice(["ba.", "f.+", "[a-z]1"])}}
+    if k == "match_msm":
+        return {"match": {"t": {"query": " ".join(r.sample(WORDS, 3)), "minimum_should_match": r.randint(1, 3)}}}
+    if k == "multi":
+        return {"multi_match": {"query": " ".join(r.sample(WORDS, 2)), "fields": ["t", "s"]}}
+    if k == "cross":
+        return {"multi_match": {"query": " ".join(r.sample(WORDS + KEYS, 2)), "type": "cross_fields",
+                                "operator": "and", "fields": ["t", "s"]}}
+    if k == "dis_max":
+        return {"dis_max": {"queries": [rand_query(r, depth + 1), rand_query(r, depth + 1)]}}
+    if k == "constant":
+        return {"constant_score": {"filter": rand_query(r, depth + 1)}}
+    if k == "boosting":
+        return {"boosting": {"positive": rand_query(r, depth + 1), "negative": rand_query(r, depth + 1),
+                             "negative_boost": 0.5}}
     if k == "nested":
         return {"nested": {"path": "items", "query": {"bool": {"must": [
             {"term": {"items.k": r.choice(KEYS)}}, {"range": {"items.v": {"gte": r.randint(0, 9)}}}]}}}}
@@ -181,7 +237,7 @@ def test_compiler_matches_python_evaluator(spark):
     r = random.Random(7)
     docs = [rand_doc(r, i) for i in range(120)]
     df = spark.createDataFrame(docs, SCHEMA)
-    queries = [rand_query(r) for _ in range(250)]
+    queries = [rand_query(r) for _ in range(400)]
     cols = [F.coalesce(query_column(q, df.schema), F.lit(False)).alias(f"q{i}")
             for i, q in enumerate(queries)]
     rows = {row["_id"]: row for row in df.select("_id", *cols).collect()}
