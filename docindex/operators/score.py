@@ -82,3 +82,177 @@ def bm25(df: DataFrame, field: str, query: str, keep: Iterable[str] | None = Non
             any_tf = p if any_tf is None else (any_tf | p)
         out = out.where(any_tf)
     return out.select(*[F.col("`" + c + "`") for c in keep], "_score")
+
+
+# ---------------------------------------------------------------------------
+# Scores for whole queries
+# ---------------------------------------------------------------------------
+
+class _Stats:
+    """Corpus statistics the scores need, gathered in one aggregate."""
+
+    def __init__(self, df: DataFrame):
+        self.df = df
+        self.fields: dict[str, int] = {}          # text field -> slot
+        self.terms: dict[tuple[str, str], int] = {}  # (field, token) -> slot
+        self.values: dict[tuple[str, object], int] = {}  # (keyword field, value) -> slot
+        self.row = None
+
+    def field(self, name: str) -> int:
+        return self.fields.setdefault(name, len(self.fields))
+
+    def term(self, field: str, tok: str) -> int:
+        self.field(field)
+        return self.terms.setdefault((field, tok), len(self.terms))
+
+    def value(self, field: str, v) -> int:
+        return self.values.setdefault((field, v), len(self.values))
+
+    def collect(self) -> None:
+        toks = {f: tokens(F.col(f)) for f in self.fields}
+        aggs = [F.count(F.lit(1)).alias("n")]
+        for f, i in self.fields.items():
+            aggs.append(F.count(F.col(f)).alias(f"n{i}"))
+            aggs.append(F.avg(F.when(F.col(f).isNotNull(), F.size(toks[f]))).alias(f"avg{i}"))
+        for (f, t), i in self.terms.items():
+            aggs.append(F.count_if(F.array_contains(toks[f], F.lit(t))).alias(f"df{i}"))
+        for (f, v), i in self.values.items():
+            aggs.append(F.count_if(F.col(f) == F.lit(v)).alias(f"dv{i}"))
+        # one partial aggregate over the whole index; one small row back
+        self.row = self.df.agg(*aggs).first()
+
+    @staticmethod
+    def idf(n: int, dfreq: int) -> float:
+        return math.log(1 + (n - dfreq + 0.5) / (dfreq + 0.5))
+
+
+class _Scorer:
+    """Builds the score Column of a query once the statistics are known."""
+
+    def __init__(self, df: DataFrame, k1: float, b: float):
+        from docindex.functions.query import QueryCompiler
+        self.qc = QueryCompiler(df.schema)
+        self.stats = _Stats(df)
+        self.k1, self.b = k1, b
+
+    # pass 1: register what the statistics must contain; returns a builder
+    def plan(self, q: dict):
+        from docindex.functions.query import _is_text
+        (name, p), = q.items()
+        cond = self.qc.compile(q)
+
+        def guarded(build):
+            return lambda: F.when(F.coalesce(cond, F.lit(False)), build()).otherwise(F.lit(0.0))
+
+        if name == "bool":
+            def lst(k):
+                v = p.get(k) or []
+                return v if isinstance(v, list) else [v]
+            parts = [self.plan(c) for c in lst("must") + lst("should")]
+            return lambda: _sum([f() for f in parts])
+        if name in ("match", "match_phrase"):
+            (field, spec), = p.items()
+            text = spec["query"] if isinstance(spec, dict) else spec
+            f = self._field(field)
+            if f is not None and _is_text(f, f.dataType, full_text=True):
+                toks = sorted(set(analyze(text)))
+                slots = [self.stats.term(field, t) for t in toks]
+                return guarded(lambda: _sum([self._bm25(field, t, s) for t, s in zip(toks, slots)]))
+            return guarded(lambda: F.lit(1.0))
+        if name == "multi_match":
+            fields = self.qc.resolve_fields(p.get("fields") or [])
+            subs = [self.plan({"match": {f: {"query": p["query"]}}}) for f in fields]
+            kind = p.get("type", "best_fields")
+            tie = float(p.get("tie_breaker", 0.0))
+            if kind in ("most_fields", "cross_fields"):
+                return guarded(lambda: _sum([s() for s in subs]))
+            return guarded(lambda: _dis_max([s() for s in subs], tie))
+        if name == "dis_max":
+            subs = [self.plan(c) for c in p.get("queries", [])]
+            tie = float(p.get("tie_breaker", 0.0))
+            return guarded(lambda: _dis_max([s() for s in subs], tie))
+        if name == "boosting":
+            pos = self.plan(p["positive"])
+            neg = self.qc.compile(p["negative"])
+            nb = float(p.get("negative_boost", 1.0))
+            return guarded(lambda: pos() * F.when(F.coalesce(neg, F.lit(False)), F.lit(nb)).otherwise(1.0))
+        if name == "constant_score":
+            boost = float(p.get("boost", 1.0))
+            return guarded(lambda: F.lit(boost))
+        if name == "term":
+            (field, spec), = p.items()
+            value = spec.get("value") if isinstance(spec, dict) else spec
+            f = self._field(field)
+            if f is not None and _is_text(f, f.dataType, full_text=False):
+                slot = self.stats.term(field, str(value))
+                return guarded(lambda: self._bm25(field, str(value), slot))
+            if f is not None and not isinstance(spec, dict):
+                slot = self.stats.value(field, value)
+                return guarded(lambda: F.lit(self._keyword_idf(slot) / (1 + self.k1)))
+            return guarded(lambda: F.lit(1.0))
+        # range, exists, prefix, wildcard, regexp, ids, terms, nested, match_all:
+        # constant score
+        return guarded(lambda: F.lit(1.0))
+
+    def _field(self, path: str):
+        names = {f.name: f for f in self.qc.schema.fields}
+        return names.get(path)
+
+    def _keyword_idf(self, slot: int) -> float:
+        row = self.stats.row
+        return _Stats.idf(int(row["n"]), int(row[f"dv{slot}"]))
+
+    def _bm25(self, field: str, tok: str, slot: int) -> Column:
+        row = self.stats.row
+        fi = self.stats.fields[field]
+        n, avgdl = int(row[f"n{fi}"]), float(row[f"avg{fi}"] or 1.0)
+        idf = _Stats.idf(n, int(row[f"df{slot}"]))
+        toks = F.col(f"_tok{fi}")
+        tf = F.size(F.filter(toks, _equals(tok))).cast("double")
+        dl = F.size(toks).cast("double")
+        norm = F.lit(self.k1) * (F.lit(1 - self.b) + F.lit(self.b) * dl / F.lit(avgdl))
+        return F.coalesce(F.lit(idf) * tf / (tf + norm), F.lit(0.0))
+
+
+def _sum(cs: list[Column]) -> Column:
+    if not cs:
+        return F.lit(0.0)
+    out = cs[0]
+    for c in cs[1:]:
+        out = out + c
+    return out
+
+
+def _dis_max(cs: list[Column], tie: float) -> Column:
+    if not cs:
+        return F.lit(0.0)
+    best = F.greatest(*cs) if len(cs) > 1 else cs[0]
+    return best + F.lit(tie) * (_sum(cs) - best) if tie else best
+
+
+def search(df: DataFrame, query, track_scores: bool = False, k1: float = K1,
+           b: float = B) -> DataFrame:
+    """Documents matching ``query`` with a ``_score`` column.
+
+    Without ``track_scores`` the score is null (as a sliced scan returns
+    it).  With it: BM25 for full-text leaves over the whole of ``df``,
+    ``bool`` = sum of must and should, ``dis_max`` / best-fields
+    ``multi_match`` = best plus tie-breaker, most-fields = sum,
+    ``constant_score`` and multi-term leaves = boost, ``term`` on keyword =
+    idf / (1 + k1).  Corpus statistics are one aggregate; the matching
+    documents are then scored by a projection (no shuffle of documents).
+    """
+    from docindex.functions.query import query_column, to_query_dict
+    q = to_query_dict(query) or {"match_all": {}}
+    base = df.drop("_score") if "_score" in df.columns else df
+    hits = base.where(query_column(q, base.schema))
+    if not track_scores:
+        return hits.withColumn("_score", F.lit(None).cast("double"))
+    scorer = _Scorer(base, k1, b)
+    build = scorer.plan(q)
+    scorer.stats.collect()
+    cols = base.columns
+    tok_cols = [tokens(F.col(f)).alias(f"_tok{i}") for f, i in scorer.stats.fields.items()]
+    scored = hits.select(*[F.col("`" + c + "`") for c in cols], *tok_cols) \
+        .withColumn("_score", build())
+    return scored.select(*[F.col("`" + c + "`") for c in cols], "_score")

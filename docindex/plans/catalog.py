@@ -808,3 +808,25 @@ def q_hits_json_inferred(spark, sf_dir):
     return flat.select("_index", "_id", "_version", "o_orderkey", "o_custkey",
                        F.round("o_totalprice", 2).alias("o_totalprice"),
                        "o_orderstatus", "o_orderpriority")
+
+
+@register("score_bool")
+def q_score_bool(spark, sf_dir):
+    """Scores of a bool query: must + should (BM25; keyword term by idf),
+    filter clauses not scored."""
+    from docindex.operators.score import search
+    q = {"bool": {"must": [{"match": {"text": "the"}}],
+                  "should": [{"match": {"text": "und"}}, {"term": {"lang": "de"}}],
+                  "filter": [{"range": {"n_chars": {"gte": 1000}}}]}}
+    got = search(_docs_mapped(spark, sf_dir), q, track_scores=True)
+    return got.select("doc_id", F.round("_score", 4).alias("_score"))
+
+
+@register("score_dis_max")
+def q_score_dis_max(spark, sf_dir):
+    """Scores of a dis_max query: best clause plus tie-breaker times the rest."""
+    from docindex.operators.score import search
+    q = {"dis_max": {"queries": [{"match": {"text": "und"}}, {"match": {"text": "der die"}}],
+                     "tie_breaker": 0.3}}
+    got = search(_docs_mapped(spark, sf_dir), q, track_scores=True)
+    return got.select("doc_id", F.round("_score", 4).alias("_score"))

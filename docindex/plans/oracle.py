@@ -371,3 +371,38 @@ SELECT 'orders' AS _index, CAST(o_orderkey AS VARCHAR) AS _id, 1::BIGINT AS _ver
        o_custkey, round(o_totalprice, 2) AS o_totalprice, o_orderstatus, o_orderpriority
 FROM orders
 """
+
+
+def _bm25_sql(tf: str, dfc: str) -> str:
+    return (f"ln(1 + (n - {dfc} + 0.5) / ({dfc} + 0.5)) * {tf} / "
+            f"({tf} + 1.2 * (0.25 + 0.75 * dl / avgdl))")
+
+
+_TF = f"""
+WITH d AS (SELECT doc_id, lang, n_chars, {tok('text')} AS t FROM documents),
+f AS (SELECT doc_id, lang, n_chars, len(t) AS dl,
+             len(list_filter(t, lambda x: x = 'the')) AS tf_the,
+             len(list_filter(t, lambda x: x = 'und')) AS tf_und,
+             len(list_filter(t, lambda x: x = 'der')) AS tf_der,
+             len(list_filter(t, lambda x: x = 'die')) AS tf_die FROM d),
+s AS (SELECT count(*)::DOUBLE AS n, avg(dl)::DOUBLE AS avgdl,
+             count_if(tf_the > 0)::DOUBLE AS df_the, count_if(tf_und > 0)::DOUBLE AS df_und,
+             count_if(tf_der > 0)::DOUBLE AS df_der, count_if(tf_die > 0)::DOUBLE AS df_die,
+             count_if(lang = 'de')::DOUBLE AS df_de FROM f)
+"""
+
+ORACLE["score_bool"] = _TF + f"""
+SELECT doc_id, round({_bm25_sql('tf_the', 'df_the')}
+    + CASE WHEN tf_und > 0 THEN {_bm25_sql('tf_und', 'df_und')} ELSE 0 END
+    + CASE WHEN lang = 'de' THEN ln(1 + (n - df_de + 0.5) / (df_de + 0.5)) / 2.2 ELSE 0 END, 4) AS _score
+FROM f, s WHERE tf_the > 0 AND n_chars >= 1000
+"""
+
+ORACLE["score_dis_max"] = _TF + f"""
+, g AS (SELECT doc_id,
+        CASE WHEN tf_und > 0 THEN {_bm25_sql('tf_und', 'df_und')} ELSE 0 END AS s1,
+        CASE WHEN tf_der + tf_die > 0 THEN {_bm25_sql('tf_der', 'df_der')} + {_bm25_sql('tf_die', 'df_die')}
+             ELSE 0 END AS s2
+        FROM f, s WHERE tf_und > 0 OR tf_der > 0 OR tf_die > 0)
+SELECT doc_id, round(greatest(s1, s2) + 0.3 * (s1 + s2 - greatest(s1, s2)), 4) AS _score FROM g
+"""
