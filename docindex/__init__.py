@@ -19,7 +19,7 @@ from docindex.functions.query import Q, count_query, query_column, where_query
 from docindex.functions.values import conform, parse_date, parse_timestamp
 from docindex.operators.bulk import action_lines, apply_bulk, bulk_actions
 from docindex.operators.nested import where_nested
-from docindex.operators.score import bm25
+from docindex.operators.score import bm25, search
 from docindex.operators.transform import (
     map_document_batches, map_documents, unwrap_document, unwrap_documents,
 )
@@ -38,7 +38,7 @@ __all__ = [
     "analyze", "tokens",
     "Q", "count_query", "query_column", "where_query",
     "conform", "parse_date", "parse_timestamp",
-    "action_lines", "apply_bulk", "bulk_actions", "where_nested", "bm25",
+    "action_lines", "apply_bulk", "bulk_actions", "where_nested", "bm25", "search",
     "map_document_batches", "map_documents", "unwrap_document", "unwrap_documents",
     "DocIndexDataSource", "count_remote", "read_remote", "register", "size_remote", "write_remote",
     "as_hits", "flatten_hits", "nest_hits", "read_slice", "slice_column",

@@ -199,3 +199,9 @@ def test_write_requires_ids_unless_allowed(spark):
     path2 = _setup(1)
     _write(spark, df, path2, allow_auto_id="true")
     assert json.loads(_bulk_lines(path2)[0]) == {"index": {"_index": "out"}}
+
+
+def test_track_scores_is_requested(spark):
+    path = _setup(5)
+    read_remote(spark, "idx", transport=FAKE, **{"client.path": path}, track_scores="true").count()
+    assert all(b.get("track_scores") is True for b in _log(path, "search"))
