@@ -111,7 +111,8 @@ def spark_of(df: DataFrame) -> SparkSession:
 
 def write_bulk(df: DataFrame, root: str, index: str | None = None, op_type: str | None = None,
                source_fields: Iterable[str] | None = None,
-               meta_fields: Iterable[str] | None = None, order_col: str | None = None) -> int:
+               meta_fields: Iterable[str] | None = None, order_col: str | None = None,
+               version: int | None = None) -> int:
     """The local bulk sink: shape rows into actions, apply them to the latest
     version (empty when there is none) and commit the result as the next."""
     from docindex.operators.bulk import apply_bulk, bulk_actions
@@ -126,4 +127,4 @@ def write_bulk(df: DataFrame, root: str, index: str | None = None, op_type: str
     else:
         current = read_index(spark, root, version=last)
     new = apply_bulk(current, actions, order_col=order_col)
-    return write_index(new, root, version=(last or 0) + 1)
+    return write_index(new, root, version=version or (last or 0) + 1)

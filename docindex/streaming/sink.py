@@ -6,8 +6,9 @@ micro-batch becomes one bulk application to the folder store (one new
 version) or one append through the ``docindex`` data source.
 
 Replays: after a restart Spark may hand the same epoch again.  For the
-folder store the epoch is recorded next to the version it produced, and an
-epoch already committed is skipped, so a micro-batch is applied once.
+folder store each epoch first records the version it is about to write; on
+a replay the epoch is skipped if that version is committed and redone
+otherwise, so a micro-batch is applied exactly once.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
-from docindex.sources.store import _fs, latest_version, write_bulk
+from docindex.sources.store import _fs, latest_version, versions, write_bulk
 
 
 def _epoch_marker(root: str, epoch_id: int) -> str:
@@ -48,12 +49,20 @@ def bulk_foreach_batch(root: str | None = None, index: str | None = None, op_typ
         spark = batch.sparkSession
         fs, marker, jvm = _fs(spark, _epoch_marker(root, epoch_id))
         if fs.exists(marker):
-            return
-        version = write_bulk(batch, root, index=index, op_type=op_type, source_fields=src,
-                             meta_fields=meta, order_col=order_col)
+            stream = fs.open(marker)
+            planned = int(jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream)).readLine())
+            stream.close()
+            if planned in versions(spark, root):
+                return          # this epoch's version is committed: a replay
+        # name the version this epoch will write before writing it, so that a
+        # crash after the commit is recognised on replay
+        last = latest_version(spark, root)
+        planned = (last or 0) + 1
         out = fs.create(marker, True)
-        out.write(str(version).encode())
+        out.write(str(planned).encode())
         out.close()
+        write_bulk(batch, root, index=index, op_type=op_type, source_fields=src,
+                   meta_fields=meta, order_col=order_col, version=planned)
 
     return run
 

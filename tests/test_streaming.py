@@ -32,3 +32,19 @@ def test_replayed_epoch_is_skipped(spark):
     fn(batch, 0)
     fn(batch, 0)          # a replay of epoch 0 would conflict if applied again
     assert read_index(spark, root, "t").count() == 5
+
+
+def test_epoch_planned_but_not_committed_is_redone(spark):
+    from docindex.sources.store import _fs
+    root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}/store"
+    fn = bulk_foreach_batch(root=root, index="t", op_type="create")
+    batch = spark.range(3).select(F.col("id").cast("string").alias("_id"), F.col("id").alias("v"))
+    # a crash after the marker was written but before the version committed
+    fs, marker, _ = _fs(spark, f"{root}/_epochs/0")
+    out = fs.create(marker, True)
+    out.write(b"1")
+    out.close()
+    fn(batch, 0)
+    assert read_index(spark, root, "t").count() == 3
+    fn(batch, 0)
+    assert read_index(spark, root, "t").count() == 3
