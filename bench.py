@@ -33,6 +33,7 @@ HEADLINE = [
     "query_nested",
     "query_wildcard",
     "score_bm25",
+    "score_bool",
     "bulk_update",
     "bulk_mixed",
     "bulk_actions",
