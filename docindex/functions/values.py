@@ -20,6 +20,7 @@ from pyspark.sql.types import (
     StructType,
     TimestampNTZType,
     TimestampType,
+    VariantType,
 )
 
 # Date-only formats as Spark parse patterns ("week" marks
@@ -219,8 +220,42 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*cols)
 
 
-def variant_field(v: Column, path: str, dst: DataType, meta: dict | None) -> Column:
-    """Extract one field of a JSON document (variant) in the target type."""
+def _single_valued(v: Column, path: str, value: Column, first: Column, multi: str) -> Column:
+    """A single-valued field that meets a list: its first value (``first``)
+    or a job failure naming the field (``fail``)."""
+    is_list = F.startswith(F.schema_of_variant(F.try_variant_get(v, path, "variant")), F.lit("ARRAY"))
+    if multi == "first":
+        return F.when(is_list, first).otherwise(value)
+    if multi != "fail":
+        raise ValueError("multi must be 'fail' or 'first'")
+    many = is_list & (F.coalesce(F.size(F.try_variant_get(v, path, "array<variant>")), F.lit(0)) > 1)
+    return F.when(many, F.raise_error(F.lit(f"field {path} holds several values but its type is "
+                                            "single-valued"))).when(is_list, first).otherwise(value)
+
+
+def variant_field(v: Column, path: str, dst: DataType, meta: dict | None,
+                  multi: str = "fail") -> Column:
+    """Extract one field of a JSON document (variant) in the target type.
+
+    A single-valued field holding a one-element list takes that element; a
+    longer list fails the job (``multi="fail"``) or gives the first value
+    (``multi="first"``).
+    """
+    meta = meta or {}
+    if isinstance(dst, VariantType):
+        return F.try_variant_get(v, path, "variant")
+    if not isinstance(dst, ArrayType):
+        value = _variant_scalar(v, path, dst, meta)
+        first = _variant_scalar(v, path + "[0]", dst, meta)
+        return _single_valued(v, path, value, first, multi)
+    return _variant_value(v, path, dst, meta)
+
+
+def _variant_scalar(v: Column, path: str, dst: DataType, meta: dict) -> Column:
+    return _variant_value(v, path, dst, meta)
+
+
+def _variant_value(v: Column, path: str, dst: DataType, meta: dict | None) -> Column:
     meta = meta or {}
     if isinstance(dst, ArrayType):
         elem = dst.elementType

@@ -47,7 +47,8 @@ def _path(*names: str) -> str:
     return "$" + "".join("['" + n.replace("'", "\\'") + "']" for n in names)
 
 
-def hits_from_json(df: DataFrame, col: str, schema: StructType | None = None) -> DataFrame:
+def hits_from_json(df: DataFrame, col: str, schema: StructType | None = None,
+                   multi: str = "fail") -> DataFrame:
     """Flat typed rows from JSON hits; without ``schema`` one is inferred
     over all hits (source fields, then the metadata columns)."""
     if schema is None:
@@ -60,7 +61,7 @@ def hits_from_json(df: DataFrame, col: str, schema: StructType | None = None) ->
         if f.name in META_NAMES:
             c = F.try_variant_get(v, _path(f.name), f.dataType.simpleString())
         else:
-            c = variant_field(v, _path("_source", f.name), f.dataType, f.metadata)
+            c = variant_field(v, _path("_source", f.name), f.dataType, f.metadata, multi)
         if not f.nullable:
             c = require(c, f.name)
         cols.append(c.alias(f.name, metadata=f.metadata or {}))

@@ -205,3 +205,17 @@ def test_track_scores_is_requested(spark):
     path = _setup(5)
     read_remote(spark, "idx", transport=FAKE, **{"client.path": path}, track_scores="true").count()
     assert all(b.get("track_scores") is True for b in _log(path, "search"))
+
+
+def test_single_valued_field_meeting_a_list(spark):
+    path = tempfile.mkdtemp(prefix="fake-index-")
+    with open(os.path.join(path, "docs.json"), "w") as f:
+        json.dump([{"_id": "1", "_source": {"name": ["a", "b"]}}], f)
+    with open(os.path.join(path, "mapping.json"), "w") as f:
+        json.dump({"properties": {"name": {"type": "keyword"}}}, f)
+    df = read_remote(spark, "idx", transport=FAKE, **{"client.path": path}, meta_fields=["id"])
+    with pytest.raises(Exception, match="several values"):
+        df.collect()
+    first = read_remote(spark, "idx", transport=FAKE, **{"client.path": path}, meta_fields=["id"],
+                        multi="first")
+    assert first.first().name == "a"

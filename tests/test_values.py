@@ -133,3 +133,17 @@ def test_inferred_schema_over_all_hits(spark):
                      "o": "struct<p:double,q:string>", "t": "string", "tags": "variant"}
     rows = {r._id: r for r in hits_from_json(df, "hit").collect()}
     assert rows["2"].a == 2.5 and rows["1"].o.p == 1.5 and rows["2"].big == 12345678901
+
+
+def test_single_valued_field_meeting_a_list(spark):
+    lines = ['{"_id":"1","_source":{"n":5}}', '{"_id":"2","_source":{"n":[7]}}',
+             '{"_id":"3","_source":{"n":[8,9]}}']
+    df = spark.createDataFrame([(x,) for x in lines], "hit string")
+    schema = StructType.fromDDL("_id string, n bigint")
+    first = {r._id: r.n for r in hits_from_json(df, "hit", schema, multi="first").collect()}
+    assert first == {"1": 5, "2": 7, "3": 8}
+    two = spark.createDataFrame([(x,) for x in lines[:2]], "hit string")
+    ok = {r._id: r.n for r in hits_from_json(two, "hit", schema).collect()}
+    assert ok == {"1": 5, "2": 7}
+    with pytest.raises(PySparkException, match="several values"):
+        hits_from_json(df, "hit", schema).collect()
