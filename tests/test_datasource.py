@@ -219,3 +219,13 @@ def test_single_valued_field_meeting_a_list(spark):
     first = read_remote(spark, "idx", transport=FAKE, **{"client.path": path}, meta_fields=["id"],
                         multi="first")
     assert first.first().name == "a"
+
+
+def test_write_remote_helper(spark):
+    from docindex.sources.datasource import write_remote
+    path = _setup(1)
+    df = spark.range(3).select(F.col("id").cast("string").alias("_id"), F.col("id").alias("v")).coalesce(1)
+    write_remote(df, "out", op_type="create", transport=FAKE, **{"client.path": path})
+    lines = _bulk_lines(path)
+    assert json.loads(lines[0]) == {"create": {"_index": "out", "_id": "0"}}
+    assert len(lines) == 6
