@@ -27,7 +27,7 @@ from docindex.sources.datasource import (
     DocIndexDataSource, count_remote, read_remote, register, size_remote, write_remote,
 )
 from docindex.sources.hits import as_hits, flatten_hits, nest_hits, read_slice, slice_column
-from docindex.sources.json_hits import hits_from_json, hits_to_json
+from docindex.sources.json_hits import hits_from_json, hits_to_json, read_hits_json, write_hits_json
 from docindex.sources.mapping import mapping_to_struct
 from docindex.sources.model import Document, InnerDoc, Nested, Object, model_to_struct
 from docindex.sources.schema import META_FIELDS, complete_schema
@@ -42,7 +42,7 @@ __all__ = [
     "map_document_batches", "map_documents", "unwrap_document", "unwrap_documents",
     "DocIndexDataSource", "count_remote", "read_remote", "register", "size_remote", "write_remote",
     "as_hits", "flatten_hits", "nest_hits", "read_slice", "slice_column",
-    "hits_from_json", "hits_to_json", "mapping_to_struct",
+    "hits_from_json", "hits_to_json", "read_hits_json", "write_hits_json", "mapping_to_struct",
     "Document", "InnerDoc", "Nested", "Object", "model_to_struct",
     "META_FIELDS", "complete_schema", "size_estimate",
     "read_index", "versions", "write_bulk", "write_index",

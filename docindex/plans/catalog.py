@@ -25,7 +25,7 @@ from docindex.operators.transform import map_document_batches, map_documents
 from docindex.plans.tables import hits, index, table
 from docindex.session import scratch_path
 from docindex.sources.hits import as_hits, flatten_hits, nest_hits, slice_column
-from docindex.sources.json_hits import hits_from_json, hits_to_json
+from docindex.sources.json_hits import hits_from_json, hits_to_json, read_hits_json, write_hits_json
 from docindex.sources.mapping import mapping_to_struct
 from docindex.sources.model import Document, Double, Integer, Keyword, Long, Text, model_to_struct
 from docindex.sources.schema import as_struct, complete_schema
@@ -830,3 +830,17 @@ def q_score_dis_max(spark, sf_dir):
                      "tie_breaker": 0.3}}
     got = search(_docs_mapped(spark, sf_dir), q, track_scores=True)
     return got.select("doc_id", F.round("_score", 4).alias("_score"))
+
+
+@register("hits_jsonl_files")
+def q_hits_jsonl_files(spark, sf_dir):
+    """Hits written as JSON-lines files (gzip) and read back with a mapping."""
+    path = scratch_path(spark, "hits-jsonl")
+    write_hits_json(hits(spark, sf_dir, "orders"), path, compression="gzip")
+    schema = complete_schema(mapping_to_struct({
+        "o_orderkey": {"type": "long"}, "o_custkey": {"type": "long"},
+        "o_orderstatus": {"type": "keyword"}, "o_totalprice": {"type": "double"}}),
+        meta_fields=["index", "id"])
+    flat = read_hits_json(spark, path, schema)
+    return flat.select("_index", "_id", "o_orderkey", "o_custkey", "o_orderstatus",
+                       F.round("o_totalprice", 2).alias("o_totalprice"))

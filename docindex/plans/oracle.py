@@ -406,3 +406,9 @@ ORACLE["score_dis_max"] = _TF + f"""
         FROM f, s WHERE tf_und > 0 OR tf_der > 0 OR tf_die > 0)
 SELECT doc_id, round(greatest(s1, s2) + 0.3 * (s1 + s2 - greatest(s1, s2)), 4) AS _score FROM g
 """
+
+ORACLE["hits_jsonl_files"] = """
+SELECT 'orders' AS _index, CAST(o_orderkey AS VARCHAR) AS _id, o_orderkey, o_custkey, o_orderstatus,
+       round(o_totalprice, 2) AS o_totalprice
+FROM orders
+"""

@@ -71,3 +71,18 @@ def hits_from_json(df: DataFrame, col: str, schema: StructType | None = None,
 def hits_to_json(hits: DataFrame, col: str = "hit") -> DataFrame:
     """Nested hits (metadata + ``_source``) to one JSON text per hit."""
     return hits.select(F.to_json(F.struct(*[F.col(c) for c in hits.columns])).alias(col))
+
+
+def write_hits_json(hits: DataFrame, path: str, compression: str | None = None) -> None:
+    """Write nested hits as JSON lines (one hit per line), one file per task."""
+    w = hits_to_json(hits, "value").write.mode("errorifexists")
+    if compression:
+        w = w.option("compression", compression)
+    w.text(path)
+
+
+def read_hits_json(spark, path: str, schema: StructType | None = None,
+                   multi: str = "fail") -> DataFrame:
+    """Read JSON-lines hits (files or folders, any text compression Spark
+    reads) as flat typed rows; without ``schema`` one is inferred."""
+    return hits_from_json(spark.read.text(path), "value", schema, multi)
