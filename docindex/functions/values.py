@@ -220,15 +220,25 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*cols)
 
 
-def _single_valued(v: Column, path: str, value: Column, first: Column, multi: str) -> Column:
-    """A single-valued field that meets a list: its first value (``first``)
-    or a job failure naming the field (``fail``)."""
-    is_list = F.startswith(F.schema_of_variant(F.try_variant_get(v, path, "variant")), F.lit("ARRAY"))
+def single_valued(v: Column, path: str, value: Column, dst: DataType, meta: dict | None,
+                  multi: str = "fail") -> Column:
+    """``value`` (already converted, best passed as a column) unless the raw
+    value at ``path`` is a list: then its one element, or for a longer list
+    a job failure (``multi="fail"``) or its first value (``multi="first"``).
+
+    A list read as a scalar gives null (as text, its JSON), so the raw value
+    is only looked at in those cases.
+    """
+    if multi not in ("first", "fail"):
+        raise ValueError("multi must be 'fail' or 'first'")
+    suspect = value.isNull()
+    if isinstance(dst, StringType):
+        suspect = suspect | value.startswith("[")
+    is_list = suspect & F.try_variant_get(v, path + "[0]", "variant").isNotNull()
+    first = _variant_value(v, path + "[0]", dst, meta or {})
     if multi == "first":
         return F.when(is_list, first).otherwise(value)
-    if multi != "fail":
-        raise ValueError("multi must be 'fail' or 'first'")
-    many = is_list & (F.coalesce(F.size(F.try_variant_get(v, path, "array<variant>")), F.lit(0)) > 1)
+    many = is_list & F.try_variant_get(v, path + "[1]", "variant").isNotNull()
     return F.when(many, F.raise_error(F.lit(f"field {path} holds several values but its type is "
                                             "single-valued"))).when(is_list, first).otherwise(value)
 
@@ -239,24 +249,20 @@ def variant_field(v: Column, path: str, dst: DataType, meta: dict | None,
 
     A single-valued field holding a one-element list takes that element; a
     longer list fails the job (``multi="fail"``) or gives the first value
-    (``multi="first"``).
+    (``multi="first"``).  (``hits_from_json`` applies the same rule in two
+    projections so that each value is converted once.)
     """
     meta = meta or {}
-    if isinstance(dst, VariantType):
-        return F.try_variant_get(v, path, "variant")
-    if not isinstance(dst, ArrayType):
-        value = _variant_scalar(v, path, dst, meta)
-        first = _variant_scalar(v, path + "[0]", dst, meta)
-        return _single_valued(v, path, value, first, multi)
-    return _variant_value(v, path, dst, meta)
-
-
-def _variant_scalar(v: Column, path: str, dst: DataType, meta: dict) -> Column:
-    return _variant_value(v, path, dst, meta)
+    if isinstance(dst, (VariantType, ArrayType)):
+        return _variant_value(v, path, dst, meta)
+    return single_valued(v, path, _variant_value(v, path, dst, meta), dst, meta, multi)
 
 
 def _variant_value(v: Column, path: str, dst: DataType, meta: dict | None) -> Column:
+    """The value at ``path`` converted to ``dst`` (lists for array types)."""
     meta = meta or {}
+    if isinstance(dst, VariantType):
+        return F.try_variant_get(v, path, "variant")
     if isinstance(dst, ArrayType):
         elem = dst.elementType
         if isinstance(elem, (DateType, TimestampType, TimestampNTZType)):

@@ -13,9 +13,9 @@ import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import ArrayType, StructType, VariantType, _parse_datatype_string
 
-from docindex.functions.values import require, variant_field
+from docindex.functions.values import _variant_value, require, single_valued
 from docindex.sources.schema import META_FIELDS, META_NAMES
 
 
@@ -56,12 +56,22 @@ def hits_from_json(df: DataFrame, col: str, schema: StructType | None = None,
     # parse once in its own projection; the fields read the variant
     df = df.select(F.parse_json(F.col(col)).alias("_hit_v"))
     v = F.col("_hit_v")
-    cols = []
-    for f in schema.fields:
+    raw, guards = [], []
+    for i, f in enumerate(schema.fields):
         if f.name in META_NAMES:
-            c = F.try_variant_get(v, _path(f.name), f.dataType.simpleString())
+            raw.append(F.try_variant_get(v, _path(f.name), f.dataType.simpleString()).alias(f"_r{i}"))
+            guards.append(F.col(f"_r{i}"))
+            continue
+        path = _path("_source", f.name)
+        raw.append(_variant_value(v, path, f.dataType, f.metadata).alias(f"_r{i}"))
+        if isinstance(f.dataType, (ArrayType, VariantType)):
+            guards.append(F.col(f"_r{i}"))
         else:
-            c = variant_field(v, _path("_source", f.name), f.dataType, f.metadata, multi)
+            # converted once (previous projection), list check only if suspect
+            guards.append(single_valued(v, path, F.col(f"_r{i}"), f.dataType, f.metadata, multi))
+    df = df.select(v, *raw)
+    cols = []
+    for f, c in zip(schema.fields, guards):
         if not f.nullable:
             c = require(c, f.name)
         cols.append(c.alias(f.name, metadata=f.metadata or {}))
