@@ -109,17 +109,21 @@ class _Stats:
         return self.values.setdefault((field, v), len(self.values))
 
     def collect(self) -> None:
-        toks = {f: tokens(F.col(f)) for f in self.fields}
+        # tokens once per document, in their own projection
+        kw = sorted({f for f, _ in self.values})
+        narrow = self.df.select(*[tokens(F.col(f)).alias(f"_t{i}") for f, i in self.fields.items()],
+                                *[F.col("`" + f + "`").alias(f"_k_{f}") for f in kw])
+        toks = {f: F.col(f"_t{i}") for f, i in self.fields.items()}
         aggs = [F.count(F.lit(1)).alias("n")]
         for f, i in self.fields.items():
-            aggs.append(F.count(F.col(f)).alias(f"n{i}"))
-            aggs.append(F.avg(F.when(F.col(f).isNotNull(), F.size(toks[f]))).alias(f"avg{i}"))
+            aggs.append(F.count(toks[f]).alias(f"n{i}"))
+            aggs.append(F.avg(F.when(toks[f].isNotNull(), F.size(toks[f]))).alias(f"avg{i}"))
         for (f, t), i in self.terms.items():
             aggs.append(F.count_if(F.array_contains(toks[f], F.lit(t))).alias(f"df{i}"))
         for (f, v), i in self.values.items():
-            aggs.append(F.count_if(F.col(f) == F.lit(v)).alias(f"dv{i}"))
+            aggs.append(F.count_if(F.col(f"_k_{f}") == F.lit(v)).alias(f"dv{i}"))
         # one partial aggregate over the whole index; one small row back
-        self.row = self.df.agg(*aggs).first()
+        self.row = narrow.agg(*aggs).first()
 
     @staticmethod
     def idf(n: int, dfreq: int) -> float:
