@@ -200,3 +200,16 @@ def test_narrowed_updates_match_replay(spark, seed):
     for k, e in state.items():
         g = got[k]
         assert (g["a"], g["b"], g["c"], g["_version"]) == (e["a"], e["b"], e["c"], e["_version"]), (k, g, e)
+
+
+def test_small_batch_does_not_shuffle_the_index(spark):
+    """AQE broadcasts the folded actions; the index streams past unshuffled."""
+    from docindex.plans.tables import index
+    cur = index(spark, "/root/testdata/sf0.001", "documents")
+    acts = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").select(
+        F.col("doc_id").cast("string").alias("_id"), "quality")
+    out = apply_bulk(cur, bulk_actions(acts, op_type="update"))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+    assert "Exchange hashpartitioning" not in plan
