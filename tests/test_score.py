@@ -35,3 +35,13 @@ def test_more_occurrences_score_higher(spark):
     got = {r._id: r._score for r in search(_docs(spark), {"match": {"t": "red"}}, track_scores=True)
            .select("_id", F.col("_score")).collect()}
     assert got["2"] > got["1"] > 0
+
+
+def test_scoring_does_not_shuffle_documents(spark):
+    from docindex.plans.catalog import _docs_mapped
+    out = search(_docs_mapped(spark, "/root/testdata/sf0.001"),
+                 {"bool": {"must": [{"match": {"text": "the"}}], "should": [{"term": {"lang": "de"}}]}},
+                 track_scores=True)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
