@@ -59,3 +59,11 @@ def test_numeric_looking_index_names_stay_text(spark):
     write_index(rows, root)
     df = read_index(spark, root, "007")
     assert dict(df.dtypes)["_index"] == "string" and df.count() == 3
+
+
+def test_size_estimate_matches_files_on_disk(spark):
+    import os
+    from docindex.sources.stats import size_estimate
+    path = "/root/testdata/sf0.001/events.parquet"
+    row = size_estimate(spark.read.parquet(path)).first()
+    assert (row.files, row.bytes) == (1, os.path.getsize(path))
