@@ -23,8 +23,27 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe import decode, encode
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    out = decode(encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    return out.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+    out = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", F.size("hit").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hit") > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op5_decontaminate": op5_decontaminate,
 }
 ORACLE: dict[str, str] = {}
