@@ -23,6 +23,15 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import round_trip
+    out = round_trip(_table(spark, sf_dir, "pages"))
+    # the digest of what was read; a revisit has that of the record it repeats
+    digest = F.when(F.col("record_type") == "response", F.sha1("payload")).otherwise(F.col("payload_digest"))
+    size = F.when(F.col("record_type") == "response", F.length("payload").cast("long")).otherwise(F.col("payload_bytes"))
+    return out.select("page_id", size.alias("payload_bytes"), digest.alias("payload_digest"), "record_type", "refers_to", "url")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -43,7 +52,29 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_warc": op3_warc,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontaminate": op5_decontaminate,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_warc": """
+WITH p AS (SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+k AS (SELECT d, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY d)
+SELECT p.page_id, p.n::BIGINT AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN p.n >= 1000 AND p.page_id < k.keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.n >= 1000 AND p.page_id < k.keeper THEN k.keeper END AS refers_to, p.url
+FROM p LEFT JOIN k ON p.d = k.d""",
+    "op5_decontaminate": r"""
+WITH b AS (SELECT item_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark WHERE text IS NOT NULL),
+bw AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS win
+       FROM (SELECT item_id, w, least(len(w), 10) AS m, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT m FROM bw),
+d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM d, lens WHERE len(w) >= m),
+h AS (SELECT p.doc_id, p.i, p.m, bw.item_id FROM p JOIN bw ON bw.m = p.m AND bw.win = array_to_string(p.w[p.i:p.i + p.m - 1], ' ')),
+hw AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS pos FROM h) GROUP BY doc_id),
+hi AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(hw.n_hit, 0)::BIGINT AS n_hit, coalesce(hi.n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(hi.items, '')) AS items_sha256, coalesce(hw.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)""",
+}
