@@ -271,8 +271,8 @@ def _rows(kind: int, **cols) -> pa.RecordBatch:
 
 
 def _lists(sim: Similarity, buckets: int, short: int):
-    """Of one bucket: counted pairs of short lists (kind 1) and the members
-    of long lists (kind 2)."""
+    """Of one bucket: counted pairs of short lists (kind 1), the members of
+    long lists (kind 2), and each document's number of shared entries (kind 3)."""
 
     def run(table: pa.Table) -> pa.Table:
         heads, tokens, levels = [], [], []
@@ -307,7 +307,10 @@ def _lists(sim: Similarity, buckets: int, short: int):
         size = np.diff(np.append(cut, len(tok)))
         length = np.repeat(size, size)
         big = np.ones(len(tok), bool) if through else length > short
-        parts = [_rows(2, token=tok[big].view(np.int64), a=doc[big], n=n[big], l=l[big], level=lev[big])]
+        # how many entries of each document others share, too
+        who, count = np.unique(idx[big | (length > 1)], return_counts=True)
+        parts = [_rows(3, a=head["doc"][who], cnt=count, n=head["n"][who], l=head["l"][who])]
+        parts += [_rows(2, token=tok[big].view(np.int64), a=doc[big], n=n[big], l=l[big], level=lev[big])]
         keep = ~big & (length > 1)
         tok, lev, doc, n, l = tok[keep], lev[keep], doc[keep], n[keep], l[keep]
         pairs = []
@@ -391,14 +394,20 @@ def similar_documents(docs: DataFrame, sim: Similarity = Similarity(), most_leve
     lists = stored(packed.groupBy("bucket").applyInArrow(_lists(sim, buckets, short_list), LISTS), "lists", by=["kind"])
 
     counted = lists.where("kind = 1").groupBy("a", "b").agg(F.sum("cnt").alias("cnt"), F.min("need").alias("need"))
-    long = lists.where("kind = 2").select("token", "a", "n", "l", "level")
+    # a prefix entry that no other document has is lost for every overlap:
+    # of n shingles at most n - (prefix - shared entries) = o - l + shared count
+    least = F.expr(f"-floor(-{sim.num} * n / {sim.den})").cast("long")
+    room = lists.where("kind = 3").groupBy("a", "n", "l").agg(F.sum("cnt").alias("s")).where("s >= l").select("a", "n", "l", (least - F.col("l") + F.col("s")).alias("room"))
+    room = stored(room, "room")
+    long = stored(lists.where("kind = 2").select("token", "a", "n", "l", "level").join(room, ["a", "n", "l"]), "long")
     # a few leading members of each long list, by size band, meet all its members
     band = F.floor(F.log("n") / math.log(sim.den / sim.num)).alias("band")
-    member = long.select("token", "a", "n", band)
-    lead = member.groupBy("token", "band").agg(*(F.min(F.struct(F.xxhash64(F.lit(i), "a"), F.col("a").alias("b"), F.col("n").alias("m"))).alias(f"h{i}") for i in range(leaders)))
-    lead = stored(lead.select("token", "band", F.explode(F.array_distinct(F.array(*(F.struct(F.col(f"h{i}.b").alias("b"), F.col(f"h{i}.m").alias("m")) for i in range(leaders))))).alias("h"))
-                  .select("token", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"), "h.b", "h.m"), "leads")
-    fits = (sim.den * F.least("n", "m") >= sim.num * F.greatest("n", "m")) & (F.col("a") != F.col("b"))
+    member = long.select("token", "a", "n", "room", band)
+    lead = member.groupBy("token", "band").agg(*(F.min(F.struct(F.xxhash64(F.lit(i), "a"), F.col("a").alias("b"), F.col("n").alias("m"), F.col("room").alias("room_b"))).alias(f"h{i}") for i in range(leaders)))
+    lead = stored(lead.select("token", "band", F.explode(F.array_distinct(F.array(*(F.struct(F.col(f"h{i}.b").alias("b"), F.col(f"h{i}.m").alias("m"), F.col(f"h{i}.room_b").alias("room_b")) for i in range(leaders))))).alias("h"))
+                  .select("token", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"), "h.b", "h.m", "h.room_b"), "leads")
+    total = F.expr(f"-floor(-{sim.num} * (n + m) / {sim.num + sim.den})").cast("long")
+    fits = (sim.den * F.least("n", "m") >= sim.num * F.greatest("n", "m")) & (F.col("a") != F.col("b")) & (F.least("room", "room_b") >= total)
     star = member.join(lead, ["token", "band"]).where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = stored(counted.where("cnt >= need").select("a", "b").unionByName(star).distinct(), "pairs")
 
@@ -409,20 +418,19 @@ def similar_documents(docs: DataFrame, sim: Similarity = Similarity(), most_leve
 
     # long lists that still span components: pairs across these, exactly
     home = (long.alias("x").join(root, F.col("a") == F.col("node"), "left")
-            .select("token", "a", "n", "l", "level", F.coalesce("root", "a").alias("comp")))
+            .select("token", "a", "n", "l", "level", "room", F.coalesce("root", "a").alias("comp")))
     home = stored(home, "members")
     open_ = home.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     open_members = stored(home.join(open_, "token"), "open")
     main = (open_members.groupBy("token", "comp").count().groupBy("token").agg(F.max_by("comp", F.struct("count", "comp")).alias("main")))
     minor = open_members.join(main, "token").where("comp <> main").drop("main")
-    other = open_members.join(main, "token").select("token", F.col("a").alias("b"), F.col("n").alias("m"), F.col("l").alias("lb"), F.col("level").alias("level_b"),
+    other = open_members.join(main, "token").select("token", F.col("a").alias("b"), F.col("n").alias("m"), F.col("l").alias("lb"), F.col("level").alias("level_b"), F.col("room").alias("room_b"),
                                                      F.col("comp").alias("comp_b"), (F.col("comp") != F.col("main")).alias("minor_b"))
     less = F.least("l", "lb")
     across = (minor.join(stored(other, "other"), "token")
               .where((F.col("comp") != F.col("comp_b")) & fits & (~F.col("minor_b") | (F.col("a") < F.col("b"))) & (F.greatest("level", "level_b") <= less))
               .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(1).alias("cnt"),
-                      F.greatest(F.lit(1), F.expr(f"-floor(-{sim.num} * (n + m) / {sim.num + sim.den})").cast("long")
-                                 - F.greatest(F.expr(f"-floor(-{sim.num} * n / {sim.den})"), F.expr(f"-floor(-{sim.num} * m / {sim.den})")).cast("long") + less).alias("need")))
+                      F.greatest(F.lit(1), total - F.greatest(F.expr(f"-floor(-{sim.num} * n / {sim.den})"), F.expr(f"-floor(-{sim.num} * m / {sim.den})")).cast("long") + less).alias("need")))
     across = across.groupBy("a", "b").agg(F.sum("cnt").alias("cnt"), F.min("need").cast("long").alias("need"))
     late = (across.unionByName(counted.join(across.select("a", "b"), ["a", "b"], "left_semi"))
             .groupBy("a", "b").agg(F.sum("cnt").alias("cnt"), F.min("need").alias("need")).where("cnt >= need")
