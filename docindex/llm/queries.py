@@ -49,12 +49,21 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hit") > 0).alias("contaminated"))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import shard
+    text = F.coalesce("text", F.lit(""))
+    rows = _table(spark, sf_dir, "documents").select("doc_id", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32"))
+    return shard(rows, 16, order=["doc_id", "text_crc32", "size"]).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_warc": op3_warc,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontaminate": op5_decontaminate,
+    "op7_sharding": op7_sharding,
 }
 ORACLE: dict[str, str] = {
     "op3_warc": """

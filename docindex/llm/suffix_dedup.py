@@ -299,7 +299,7 @@ def _contexts(shape: Shape, buckets: int, gather: int):
             ends = np.cumsum(size)
             index = np.arange(int(ends[-1])) + np.repeat(first[o] - (ends - size), size)
             rows.append({"bucket": int(part[a]), "block": block, "heads": head[o].tobytes(), "docs": doc[o].astype(np.int64).tobytes(), "rows": rank[row[o]].astype(np.uint32).tobytes(),
-                         "starts": at[o].astype(np.uint32).tobytes(), "counts": length[o].astype(np.uint8).tobytes(), "bytes": buf[index].tobytes()})
+                         "starts": at[o].astype(np.uint32).tobytes(), "counts": length[o].astype(np.uint8).tobytes(), "bytes": pa.compress(buf[index].tobytes(), "zstd", asbytes=True)})
         return pa.Table.from_pylist(rows, schema=_CONTEXT)
     return run
 
@@ -313,7 +313,7 @@ def _compare(shape: Shape):
                                   for n, t in (("docs", np.int64), ("rows", np.uint32), ("starts", np.uint32), ("counts", np.uint8)))
         count = count.astype(np.int64)
         block = np.repeat(table.column("block").to_numpy(), [len(x) for x in table.column("counts").to_pylist()])
-        buf = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
+        buf = np.frombuffer(b"".join(pa.CompressedInputStream(pa.BufferReader(x), "zstd").read() for x in table.column("bytes").to_pylist()), np.uint8)
         size = count + shape.span - 1
         ends = np.cumsum(size)
         begin = ends - size
@@ -347,42 +347,62 @@ def _compare(shape: Shape):
 
 
 def _cut_out(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Of one block: whole texts without their spans."""
+    """Of one block: whole texts without their spans, a run at a time."""
     buf, offs = as_bytes(left.column("text"))
-    size = np.diff(offs)
-    edge = np.zeros(len(buf) + 1, np.int32)
+    n = len(offs) - 1
+    owner = start = end = np.zeros(0, np.int64)
     if right.num_rows:
         rank, distinct = _ranks(left.column("key"))
-        spans = np.frombuffer(b"".join(right.column("spans").to_pylist()), _SPAN)
+        told = np.frombuffer(b"".join(right.column("spans").to_pylist()), _SPAN)
         by = np.argsort(rank, kind="stable")
-        lo, hi = np.searchsorted(rank[by], np.arange(len(distinct))), np.searchsorted(rank[by], np.arange(len(distinct)), side="right")
+        lo = np.searchsorted(rank[by], np.arange(len(distinct)))
+        size = np.searchsorted(rank[by], np.arange(len(distinct)), side="right") - lo
         # rows that repeat a document have its spans, too
-        for copy in range(int((hi - lo).max())):
-            has = (lo + copy < hi)[spans["row"]]
-            row = by[(lo + copy)[spans["row"][has]]]
-            np.add.at(edge, offs[row] + spans["start"][has], 1)
-            np.add.at(edge, offs[row] + spans["end"][has], -1)
-    gone = np.cumsum(edge[:-1]) > 0
-    kept = buf[~gone]
-    total = np.append(0, np.cumsum(gone))
-    removed = total[offs[1:]] - total[offs[:-1]]
-    ends = np.append(0, np.cumsum(size - removed))
-    first, last = gone.copy(), gone.copy()
-    first[1:] &= ~gone[:-1]
-    last[:-1] &= ~gone[1:]
-    border = offs[1:-1][(offs[1:-1] < len(buf)) & (offs[1:-1] > 0)]
-    first[border] = gone[border]
-    last[border - 1] = gone[border - 1]
-    s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
-    at = np.searchsorted(s, offs)
-    base = np.repeat(offs[:-1], np.diff(at))
-    spans = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.StructArray.from_arrays([pa.array(s - base), pa.array(e - base)], names=["start", "end"]))
-    texts = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(kept)])
-    return pa.Table.from_arrays([left.column("row"), pa.chunked_array([pa.array(size)]), pa.chunked_array([pa.array(removed)]), pa.chunked_array([spans]), pa.chunked_array([texts])],
+        times = size[told["row"]]
+        which = np.repeat(np.arange(len(told)), times)
+        copy = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+        owner = by[lo[told["row"][which]] + copy]
+        order = np.argsort(owner, kind="stable")
+        owner, start, end = owner[order], told["start"][which[order]].astype(np.int64), told["end"][which[order]].astype(np.int64)
+    removed, counts, starts, ends, texts = [], [], [], [], []
+    for i, j in runs(offs):
+        part, o = buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i]
+        a, b = np.searchsorted(owner, [i, j])
+        if a == b:
+            removed.append(np.zeros(j - i, np.int64))
+            counts.append(np.zeros(j - i, np.int64))
+            texts.append(part)
+            continue
+        edge = np.zeros(len(part) + 1, np.int32)
+        np.add.at(edge, o[owner[a:b] - i] + start[a:b], 1)
+        np.add.at(edge, o[owner[a:b] - i] + end[a:b], -1)
+        gone = np.cumsum(edge[:-1], dtype=np.int32) > 0
+        total = np.append(0, np.cumsum(gone))
+        removed.append(total[o[1:]] - total[o[:-1]])
+        first, last = gone.copy(), gone.copy()
+        first[1:] &= ~gone[:-1]
+        last[:-1] &= ~gone[1:]
+        border = o[1:-1][(o[1:-1] < len(part)) & (o[1:-1] > 0)]
+        first[border], last[border - 1] = gone[border], gone[border - 1]
+        s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
+        count = np.diff(np.searchsorted(s, o))
+        base = np.repeat(o[:-1], count)
+        counts.append(count)
+        starts.append(s - base)
+        ends.append(e - base)
+        texts.append(part[~gone])
+    whole = lambda x, t: np.concatenate([np.zeros(0, t), *x]).astype(t)
+    removed, counts = whole(removed, np.int64), whole(counts, np.int64)
+    size = np.diff(offs)
+    spans = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)),
+                                     pa.StructArray.from_arrays([pa.array(whole(starts, np.int64)), pa.array(whole(ends, np.int64))], names=["start", "end"]))
+    upto = np.append(0, np.cumsum(size - removed)).astype(np.int32)
+    kept = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(upto), pa.py_buffer(whole(texts, np.uint8))])
+    return pa.Table.from_arrays([left.column("row"), *(pa.chunked_array([x]) for x in (pa.array(size), pa.array(removed), spans, kept))],
                                 names=["row", "n_bytes", "n_removed", "spans", "kept"])
 
 
-def remove_repeats(docs: DataFrame, shape: Shape = Shape(), batches: int = 4, block_bytes: int = 8 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, shape: Shape = Shape(), batches: int = 4, block_bytes: int = 4 << 20) -> DataFrame:
     """``row`` (a struct of all columns of ``docs`` but text), n_bytes,
     n_removed, spans (list of removed start and end, in bytes, maximal) and
     kept (the remaining bytes) for every row of ``docs`` (doc_id, text, ...).
