@@ -57,15 +57,28 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+def op6_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hamming import sign_code, top_k
+    points = _table(spark, sf_dir, "embeddings").select("vec_id", sign_code(F.col("embedding")).alias("code"))
+    return top_k(points, points.where("vec_id % 50 = 0"), k=10).select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_warc": op3_warc,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontaminate": op5_decontaminate,
+    "op6_hamming_top_k": op6_hamming_top_k,
     "op7_sharding": op7_sharding,
 }
 ORACLE: dict[str, str] = {
+    "op6_hamming_top_k": """
+WITH c AS (SELECT DISTINCT vec_id, array_to_string(list_transform(range(1, 65), lambda i: CASE WHEN embedding[i] > 0 AND NOT isnan(embedding[i]) THEN '1' ELSE '0' END), '')::BIT AS code
+           FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+d AS (SELECT q.vec_id AS query_id, c.vec_id, bit_count(xor(q.code, c.code))::INT AS distance FROM c AS q, c WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INT AS rank, vec_id, distance FROM d)
+SELECT query_id, rank, vec_id, distance FROM r WHERE rank <= 10""",
     "op3_warc": """
 WITH p AS (SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages),
 k AS (SELECT d, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY d)
