@@ -63,6 +63,15 @@ def op6_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(points, points.where("vec_id % 50 = 0"), k=10).select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import predict, train
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")), F.lit(3)) == 1
+    model = train(docs.where(~F.coalesce(held_out, F.lit(False))))
+    out = predict(docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text"), model)
+    return out.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -71,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_hamming_top_k": op6_hamming_top_k,
     "op7_sharding": op7_sharding,
+    "op8_language_id": op8_language_id,
 }
 ORACLE: dict[str, str] = {
     "op6_hamming_top_k": """
