@@ -72,6 +72,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "row.held_out", "lang_pred", "score")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import classify, train
+    docs = _table(spark, sf_dir, "documents")
+    out = classify(docs, train(docs, _table(spark, sf_dir, "labels")))
+    return out.select("row.doc_id", "score", "text_score", "meta_score", "keep")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -81,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_hamming_top_k": op6_hamming_top_k,
     "op7_sharding": op7_sharding,
     "op8_language_id": op8_language_id,
+    "op9_quality": op9_quality,
 }
 ORACLE: dict[str, str] = {
     "op6_hamming_top_k": """
