@@ -79,6 +79,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "score", "text_score", "meta_score", "keep")
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html import extract, train
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = extract(pages, train(pages))
+    return out.select("row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -89,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sharding": op7_sharding,
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
+    "op10_html_text": op10_html_text,
 }
 ORACLE: dict[str, str] = {
     "op6_hamming_top_k": """
