@@ -17,9 +17,10 @@ Stages
    rows; they give pairs with a few leading members only;
 4. pairs with enough shared entries are verified on the whole texts and give
    links, the links give components;
-5. long lists that still span several components give the pairs between
-   their minority members and the members of other components, which are
-   verified too: no link between two components is missed.
+5. the lists that still span several components are taken together by their
+   largest component; their minority members meet all members, in blocks of
+   bounded size, by size, shared entries and bitmaps of the whole sets.  Pairs
+   of different components that pass are verified too: no link is missed.
 
 Texts with equal sets form one class from the start and meet as one member.
 """
@@ -34,7 +35,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Names, as_bytes, bounded_batches, components, mix, partitions, runs, stored
@@ -258,6 +259,61 @@ def _postings(sim: Similarity, sketch, buckets: int, most: int, hot: float):
     return run
 
 
+#: Bits of a set's bitmap.
+BITMAP = 4096
+
+
+def _bitmaps(width: int):
+    """The bitmap of each text's set.  With d bits that differ, sets of n and
+    m shingles differ in d or more, so they share (n + m - d) / 2 at most."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for _, sets in _sets(batch, width):
+                for u in sets:
+                    bits = np.zeros(BITMAP, np.uint8)
+                    bits[(u >> np.uint64(20)).astype(np.int64) % BITMAP] = 1
+                    out.append(np.packbits(bits).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], names=["a", "bits"])
+    return run
+
+
+def _pairs_of(sim: Similarity):
+    """Of one block: pairs of different components that sizes, shared entries
+    and bitmaps allow."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        a, n, room, comp = (left.column(c).to_numpy() for c in ("a", "n", "room", "comp"))
+        b, m, room_b, comp_b = (right.column(c).to_numpy() for c in ("a", "n", "room", "comp"))
+        found = [np.zeros((2, 0), np.int64)]
+        if len(a) and len(b):
+            x, y = (np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, BITMAP // 64) for t in (left, right))
+            minor = right.column("minor").to_numpy()
+            for i in range(len(a)):
+                total = sim.shared(n[i], m)
+                ok = np.flatnonzero((comp_b != comp[i]) & (sim.den * np.minimum(n[i], m) >= sim.num * np.maximum(n[i], m)) & (np.minimum(room[i], room_b) >= total) & (~minor | (a[i] < b)))
+                far = np.bitwise_count(x[i] ^ y[ok]).sum(axis=1, dtype=np.int64)
+                ok = ok[n[i] + m[ok] - far >= 2 * total[ok]]
+                found.append(np.stack([np.minimum(a[i], b[ok]), np.maximum(a[i], b[ok])]))
+        pairs = np.concatenate(found, axis=1)
+        return pa.table({"a": pairs[0].astype(np.int64), "b": pairs[1].astype(np.int64)})
+    return run
+
+
+def _across(met: DataFrame, sim: Similarity, few: int = 2000, many: int = 20_000) -> DataFrame:
+    """Candidate pairs between the minority members of the lists around one
+    component and all members of these lists, in blocks of ``few`` by ``many``
+    documents, so that no task holds a whole group."""
+    met = met.withColumn("minor", F.col("comp") != F.col("main"))
+    size = met.groupBy("main").agg(F.ceil(F.sum(F.col("minor").cast("int")) / few).cast("int").alias("rows"), F.ceil(F.count("*") / many).cast("int").alias("cols"))
+    met = met.join(stored(size, "blocks"), "main")
+    place = lambda k: F.pmod(F.xxhash64("a"), F.col(k)).cast("int")
+    each = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    left = met.where("minor").withColumn("i", place("rows")).withColumn("j", each("cols"))
+    met = met.select(*(F.col(c).alias(c) for c in met.columns))
+    right = met.withColumn("j", place("cols")).withColumn("i", each("rows"))
+    return left.groupBy("main", "i", "j").cogroup(right.groupBy("main", "i", "j")).applyInArrow(_pairs_of(sim), "a long, b long").distinct()
+
+
 LISTS = "kind int, a long, b long, cnt int, need int, token long, n int, l int, level int"
 _LISTS = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("cnt", pa.int32()), ("need", pa.int32()),
                     ("token", pa.int64()), ("n", pa.int32()), ("l", pa.int32()), ("level", pa.int32())])
@@ -367,7 +423,7 @@ def _links(pairs: DataFrame, texts: DataFrame, sim: Similarity) -> DataFrame:
     return both.mapInArrow(_verify(sim), "a long, b long")
 
 
-def similar_documents(docs: DataFrame, sim: Similarity = Similarity(), most_level: int = 8, short_list: int = 48, hot_list: float = 50_000, leaders: int = 3) -> DataFrame:
+def similar_documents(docs: DataFrame, sim: Similarity = Similarity(), most_level: int = 8, short_list: int = 48, hot_list: float = 50_000, leaders: int = 4) -> DataFrame:
     """One row for each row of ``docs`` (columns doc_id, text): doc_id,
     n_shingles, class_id (smallest doc_id with the same shingle set) and
     component_id (smallest doc_id reachable by links, itself included).
@@ -403,9 +459,9 @@ def similar_documents(docs: DataFrame, sim: Similarity = Similarity(), most_leve
     # a few leading members of each long list, by size band, meet all its members
     band = F.floor(F.log("n") / math.log(sim.den / sim.num)).alias("band")
     member = long.select("token", "a", "n", "room", band)
-    lead = member.groupBy("token", "band").agg(*(F.min(F.struct(F.xxhash64(F.lit(i), "a"), F.col("a").alias("b"), F.col("n").alias("m"), F.col("room").alias("room_b"))).alias(f"h{i}") for i in range(leaders)))
-    lead = stored(lead.select("token", "band", F.explode(F.array_distinct(F.array(*(F.struct(F.col(f"h{i}.b").alias("b"), F.col(f"h{i}.m").alias("m"), F.col(f"h{i}.room_b").alias("room_b")) for i in range(leaders))))).alias("h"))
-                  .select("token", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"), "h.b", "h.m", "h.room_b"), "leads")
+    # the members with the most room have the fewest shingles of their own: they stand in the middle
+    lead = member.groupBy("token", "band", F.pmod(F.xxhash64("a"), F.lit(leaders)).alias("part")).agg(F.max(F.struct("room", F.xxhash64(F.lit(1), "a"), F.col("a").alias("b"), F.col("n").alias("m"))).alias("h"))
+    lead = stored(lead.select("token", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"), "h.b", "h.m", F.col("h.room").alias("room_b")), "leads")
     total = F.expr(f"-floor(-{sim.num} * (n + m) / {sim.num + sim.den})").cast("long")
     fits = (sim.den * F.least("n", "m") >= sim.num * F.greatest("n", "m")) & (F.col("a") != F.col("b")) & (F.least("room", "room_b") >= total)
     star = member.join(lead, ["token", "band"]).where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -417,24 +473,15 @@ def similar_documents(docs: DataFrame, sim: Similarity = Similarity(), most_leve
     root = components(spark, links)
 
     # long lists that still span components: pairs across these, exactly
-    home = (long.alias("x").join(root, F.col("a") == F.col("node"), "left")
-            .select("token", "a", "n", "l", "level", "room", F.coalesce("root", "a").alias("comp")))
+    home = (long.join(root, F.col("a") == F.col("node"), "left").select("token", "a", "n", "room", F.coalesce("root", "a").alias("comp")))
     home = stored(home, "members")
     open_ = home.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-    open_members = stored(home.join(open_, "token"), "open")
-    main = (open_members.groupBy("token", "comp").count().groupBy("token").agg(F.max_by("comp", F.struct("count", "comp")).alias("main")))
-    minor = open_members.join(main, "token").where("comp <> main").drop("main")
-    other = open_members.join(main, "token").select("token", F.col("a").alias("b"), F.col("n").alias("m"), F.col("l").alias("lb"), F.col("level").alias("level_b"), F.col("room").alias("room_b"),
-                                                     F.col("comp").alias("comp_b"), (F.col("comp") != F.col("main")).alias("minor_b"))
-    less = F.least("l", "lb")
-    across = (minor.join(stored(other, "other"), "token")
-              .where((F.col("comp") != F.col("comp_b")) & fits & (~F.col("minor_b") | (F.col("a") < F.col("b"))) & (F.greatest("level", "level_b") <= less))
-              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(1).alias("cnt"),
-                      F.greatest(F.lit(1), total - F.greatest(F.expr(f"-floor(-{sim.num} * n / {sim.den})"), F.expr(f"-floor(-{sim.num} * m / {sim.den})")).cast("long") + less).alias("need")))
-    across = across.groupBy("a", "b").agg(F.sum("cnt").alias("cnt"), F.min("need").cast("long").alias("need"))
-    late = (across.unionByName(counted.join(across.select("a", "b"), ["a", "b"], "left_semi"))
-            .groupBy("a", "b").agg(F.sum("cnt").alias("cnt"), F.min("need").alias("need")).where("cnt >= need")
-            .join(pairs, ["a", "b"], "left_anti"))
+    part = stored(home.join(open_, "token").groupBy("token", "comp").agg(F.count("*").alias("c")), "part")
+    main = part.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
+    met = home.join(main, "token").select("main", "a", "n", "room", "comp").distinct()
+    bits = texts.join(home.join(open_, "token", "left_semi").select(F.col("a").alias("doc_id")).distinct(), "doc_id").select("doc_id", "text").mapInArrow(_bitmaps(sim.width), "a long, bits binary")
+    met = stored(met.join(bits, "a"), "met")
+    late = stored(_across(met, sim).join(pairs, ["a", "b"], "left_anti"), "late")
     late_links = stored(_links(late, texts, sim), "links")
 
     cls = stored(rows.where("n > 0 and doc_id is not null").groupBy("d0", "d1", "n").agg(F.min("doc_id").alias("class_id")), "classes")
