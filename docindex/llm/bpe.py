@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -180,7 +181,7 @@ def starts_of(state, cls, begin, last):
 class Vocabulary:
     """Ranks of byte strings, and a bounded cache of merged pieces."""
 
-    def __init__(self, path: str, cache: int = 1 << 20):
+    def __init__(self, path: str, cache: int = 400_000):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.room, self.cache = cache, {}
@@ -192,29 +193,35 @@ class Vocabulary:
         self.first = np.append(0, np.cumsum(self.length))[:-1]
         self.bytes = np.frombuffer(b"".join(token), np.uint8)
 
-    def merge(self, piece: bytes) -> list[int]:
-        """Ids of one piece: the neighbours with the least rank join first."""
-        ids = self.cache.get(piece)
-        if ids is not None:
-            return ids
+    def merge(self, piece: bytes) -> bytes:
+        """Ids of one piece, as 32-bit numbers: the neighbours with the least
+        rank join first."""
         ranks = self.ranks
         if piece in ranks:
             ids = [ranks[piece]]
         elif len(piece) > 512:
             ids = self._merge_long(piece)
         else:
-            parts = [piece[i:i + 1] for i in range(len(piece))]
-            while len(parts) > 1:
-                best = min((ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-                if best[0] == 1 << 60:
+            none = 1 << 60
+            get, cuts = ranks.get, list(range(len(piece) + 1))
+            pair = [get(piece[i:i + 2], none) for i in range(len(piece) - 1)]
+            while pair:
+                least = min(pair)
+                if least == none:
                     break
-                parts[best[1]:best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
-            ids = [ranks[p] for p in parts]
+                i = pair.index(least)
+                del cuts[i + 1], pair[i]
+                if i < len(pair):
+                    pair[i] = get(piece[cuts[i]:cuts[i + 2]], none)
+                if i:
+                    pair[i - 1] = get(piece[cuts[i - 1]:cuts[i + 1]], none)
+            ids = [ranks[piece[x:y]] for x, y in zip(cuts, cuts[1:])]
+        out = array("i", ids).tobytes()
         if len(self.cache) >= self.room:
             self.cache.clear()
         if len(piece) <= 64:
-            self.cache[piece] = ids
-        return ids
+            self.cache[piece] = out
+        return out
 
     def _merge_long(self, piece: bytes) -> list[int]:
         """The same with a heap and linked neighbours, for very long pieces."""
@@ -264,10 +271,10 @@ def encode_run(buf: np.ndarray, offs: np.ndarray, voc: Vocabulary) -> tuple[np.n
     which, names = pd.factorize(Names(buf).of(start, end))
     first = np.empty(len(names), np.int64)
     first[which[::-1]] = np.arange(len(which))[::-1]
-    raw = buf.tobytes()
-    merged = [voc.merge(raw[s:e]) for s, e in zip(start[first].tolist(), end[first].tolist())]
-    size = np.array([len(m) for m in merged], np.int64)
-    flat = np.array([i for m in merged for i in m], np.int32)
+    raw, known, merge = buf.tobytes(), voc.cache.get, voc.merge
+    merged = [known(p) or merge(p) for p in (raw[s:e] for s, e in zip(start[first].tolist(), end[first].tolist()))]
+    size = np.fromiter(map(len, merged), np.int64, len(merged)) // 4
+    flat = np.frombuffer(b"".join(merged), np.int32)
     at = np.append(0, np.cumsum(size))[:-1]
     count = size[which]
     ends = np.cumsum(count)

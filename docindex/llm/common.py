@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from docindex.session import scratch_path
 
 #: Largest Arrow batch, in bytes, that the JVM hands to a Python worker.
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 8 << 20
 #: Texts are worked on in runs of about so many bytes (at least one text).
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
