@@ -35,12 +35,13 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def _key(words: Column, at: Column, width: int) -> Column:
-    return F.xxhash64(F.lit(width), *(F.get(words, at + j) for j in range(width)))
+def _window(words: Column, at: Column, width: Column) -> Column:
+    """``width`` words from position ``at`` (position -1 has width 0)."""
+    return F.slice(words, F.greatest(at + 1, F.lit(1)), width)
 
 
-def _joined(words: Column, at: Column, width: int) -> Column:
-    return F.concat_ws(" ", F.slice(words, at + 1, width))
+def _key(window: Column, width: Column) -> Column:
+    return F.xxhash64(width, window)
 
 
 def windows_of(benchmark: DataFrame, width: int) -> DataFrame:
@@ -66,17 +67,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
     wins = stored(windows_of(benchmark, width), "windows")
     # figures of the benchmark: at most ``width`` rows
     sizes = {r.m: r.n for r in wins.groupBy("m").agg(F.count("*").alias("n")).collect()}
-    parts = F.split(F.lower("w"), " ")
-    keys = None
-    for m in sizes:
-        k = wins.where(F.col("m") == m).select(_key(parts, F.lit(0), m).alias("key"), F.lit(m).alias("m"), "w", "items")
-        keys = k if keys is None else keys.unionByName(k)
+    keys = wins.select(_key(F.split(F.lower("w"), " "), F.col("m")).alias("key"), "m", "w", "items")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = docs.select(F.col("doc_id"), text.alias("text"), words_of(F.lower(text)).alias("words")).withColumn("n", F.size("words"))
     # position -1 stands for the document itself and always passes
     none = F.array().cast("array<string>")
     document = base.select("doc_id", F.xxhash64("text", F.length("text")).alias("text_key"), F.lit(-1).alias("i"), F.lit(0).alias("m"), "n", none.alias("items"))
-    if keys is None:
+    if not sizes:
         found = document
     else:
         small = sum(sizes.values()) <= MOST_BROADCAST
@@ -90,19 +87,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
             for m in sorted(sizes):
                 spots = F.concat(spots, F.when(F.col("n") >= m, F.transform(F.sequence(F.lit(0), F.col("n") - m), lambda i, m=m: F.struct(i.alias("i"), F.lit(m).alias("m")))).otherwise(F.slice(spots, 1, 0)))
             scan = base.select("doc_id", "text", "words", "n", F.explode(spots).alias("s")).select("doc_id", "text", "words", "n", "s.i", "s.m")
-        key = F.when(F.col("i") < 0, F.lit(0).cast("long"))
-        for m in sizes:
-            key = key.when(F.col("m") == m, _key(F.col("words"), F.col("i"), m))
         mark = mark.withColumnRenamed("m", "bm")
-        scan = scan.withColumn("key", key)
+        scan = scan.withColumn("key", F.when(F.col("i") < 0, F.lit(0).cast("long")).otherwise(_key(_window(F.col("words"), F.col("i"), F.col("m")), F.col("m"))))
+        said = lower_ascii(F.concat_ws(" ", _window(words_of(F.col("text")), F.col("i"), F.col("m"))))
         text_key = F.xxhash64("text", F.length("text")).alias("text_key")
         if small:
             hits = scan.join(F.broadcast(mark), "key")
-            hits = hits.where((F.col("m") == F.col("bm")) & ((F.col("i") < 0) | (lower_ascii(F.concat_ws(" ", F.slice(words_of(F.col("text")), F.col("i") + 1, F.when(F.col("i") < 0, 0).otherwise(F.col("m"))))) == F.col("w"))))
+            hits = hits.where((F.col("m") == F.col("bm")) & ((F.col("i") < 0) | (said == F.col("w"))))
             found = hits.select("doc_id", text_key, "i", "m", "n", "items")
         else:
             # narrow rows: the window travels instead of the document
-            narrow = scan.where("i >= 0").select("doc_id", text_key, "i", "m", "n", "key", lower_ascii(F.concat_ws(" ", F.slice(words_of(F.col("text")), F.col("i") + 1, F.col("m")))).alias("v"))
+            narrow = scan.where("i >= 0").select("doc_id", text_key, "i", "m", "n", "key", said.alias("v"))
             found = (narrow.join(mark, "key").where("m = bm and v = w").select("doc_id", "text_key", "i", "m", "n", "items").unionByName(document))
     out = found.groupBy("doc_id", "text_key").agg(
         F.max("n").cast("long").alias("n_words"), F.sum((F.col("i") < 0).cast("int")).alias("copies"),
