@@ -282,15 +282,15 @@ def _pairs_of(sim: Similarity):
     """Of one block: pairs of different components that sizes, shared entries
     and bitmaps allow."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        a, n, room, comp = (left.column(c).to_numpy() for c in ("a", "n", "room", "comp"))
-        b, m, room_b, comp_b = (right.column(c).to_numpy() for c in ("a", "n", "room", "comp"))
+        a, n, s, rest, comp = (left.column(c).to_numpy().astype(np.int64) for c in ("a", "n", "s", "rest", "comp"))
+        b, m, s_b, rest_b, comp_b = (right.column(c).to_numpy().astype(np.int64) for c in ("a", "n", "s", "rest", "comp"))
         found = [np.zeros((2, 0), np.int64)]
         if len(a) and len(b):
             x, y = (np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, BITMAP // 64) for t in (left, right))
             minor = right.column("minor").to_numpy()
             for i in range(len(a)):
                 total = sim.shared(n[i], m)
-                ok = np.flatnonzero((comp_b != comp[i]) & (sim.den * np.minimum(n[i], m) >= sim.num * np.maximum(n[i], m)) & (np.minimum(room[i], room_b) >= total) & (~minor | (a[i] < b)))
+                ok = np.flatnonzero((comp_b != comp[i]) & (sim.den * np.minimum(n[i], m) >= sim.num * np.maximum(n[i], m)) & (np.minimum(s[i], s_b) + np.maximum(rest[i], rest_b) >= total) & (~minor | (a[i] < b)))
                 far = np.bitwise_count(x[i] ^ y[ok]).sum(axis=1, dtype=np.int64)
                 ok = ok[n[i] + m[ok] - far >= 2 * total[ok]]
                 found.append(np.stack([np.minimum(a[i], b[ok]), np.maximum(a[i], b[ok])]))
@@ -450,20 +450,19 @@ def similar_documents(docs: DataFrame, sim: Similarity = Similarity(), most_leve
     lists = stored(packed.groupBy("bucket").applyInArrow(_lists(sim, buckets, short_list), LISTS), "lists", by=["kind"])
 
     counted = lists.where("kind = 1").groupBy("a", "b").agg(F.sum("cnt").alias("cnt"), F.min("need").alias("need"))
-    # a prefix entry that no other document has is lost for every overlap:
-    # of n shingles at most n - (prefix - shared entries) = o - l + shared count
+    # of two sets, all common shingles but max(o - l) are in both prefixes, and
+    # there each has at most its number of shared entries
     least = F.expr(f"-floor(-{sim.num} * n / {sim.den})").cast("long")
-    room = lists.where("kind = 3").groupBy("a", "n", "l").agg(F.sum("cnt").alias("s")).where("s >= l").select("a", "n", "l", (least - F.col("l") + F.col("s")).alias("room"))
-    room = stored(room, "room")
-    long = stored(lists.where("kind = 2").select("token", "a", "n", "l", "level").join(room, ["a", "n", "l"]), "long")
+    room = lists.where("kind = 3").groupBy("a", "n", "l").agg(F.sum("cnt").alias("s")).select("a", "n", "l", "s", (least - F.col("l")).alias("rest"))
+    long = stored(lists.where("kind = 2").select("token", "a", "n", "l").join(stored(room, "room"), ["a", "n", "l"]), "long")
     # a few leading members of each long list, by size band, meet all its members
     band = F.floor(F.log("n") / math.log(sim.den / sim.num)).alias("band")
-    member = long.select("token", "a", "n", "room", band)
-    # the members with the most room have the fewest shingles of their own: they stand in the middle
-    lead = member.groupBy("token", "band", F.pmod(F.xxhash64("a"), F.lit(leaders)).alias("part")).agg(F.max(F.struct("room", F.xxhash64(F.lit(1), "a"), F.col("a").alias("b"), F.col("n").alias("m"))).alias("h"))
-    lead = stored(lead.select("token", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"), "h.b", "h.m", F.col("h.room").alias("room_b")), "leads")
+    member = long.select("token", "a", "n", "s", "rest", band)
+    # the members with the most shared entries have the fewest shingles of their own: they stand in the middle
+    lead = member.groupBy("token", "band", F.pmod(F.xxhash64("a"), F.lit(leaders)).alias("part")).agg(F.max(F.struct("s", F.xxhash64(F.lit(1), "a"), F.col("a").alias("b"), F.col("n").alias("m"), "rest")).alias("h"))
+    lead = stored(lead.select("token", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"), "h.b", "h.m", F.col("h.s").alias("s_b"), F.col("h.rest").alias("rest_b")), "leads")
     total = F.expr(f"-floor(-{sim.num} * (n + m) / {sim.num + sim.den})").cast("long")
-    fits = (sim.den * F.least("n", "m") >= sim.num * F.greatest("n", "m")) & (F.col("a") != F.col("b")) & (F.least("room", "room_b") >= total)
+    fits = (sim.den * F.least("n", "m") >= sim.num * F.greatest("n", "m")) & (F.col("a") != F.col("b")) & (F.least("s", "s_b") + F.greatest("rest", "rest_b") >= total)
     star = member.join(lead, ["token", "band"]).where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = stored(counted.where("cnt >= need").select("a", "b").unionByName(star).distinct(), "pairs")
 
@@ -473,12 +472,12 @@ def similar_documents(docs: DataFrame, sim: Similarity = Similarity(), most_leve
     root = components(spark, links)
 
     # long lists that still span components: pairs across these, exactly
-    home = (long.join(root, F.col("a") == F.col("node"), "left").select("token", "a", "n", "room", F.coalesce("root", "a").alias("comp")))
+    home = (long.join(root, F.col("a") == F.col("node"), "left").select("token", "a", "n", "s", "rest", F.coalesce("root", "a").alias("comp")))
     home = stored(home, "members")
     open_ = home.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     part = stored(home.join(open_, "token").groupBy("token", "comp").agg(F.count("*").alias("c")), "part")
     main = part.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
-    met = home.join(main, "token").select("main", "a", "n", "room", "comp").distinct()
+    met = home.join(main, "token").select("main", "a", "n", "s", "rest", "comp").distinct()
     bits = texts.join(home.join(open_, "token", "left_semi").select(F.col("a").alias("doc_id")).distinct(), "doc_id").select("doc_id", "text").mapInArrow(_bitmaps(sim.width), "a long, bits binary")
     met = stored(met.join(bits, "a"), "met")
     late = stored(_across(met, sim).join(pairs, ["a", "b"], "left_anti"), "late")
