@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 #: Rows that one window group ranks, about.
-GROUP_ROWS = 50_000
+GROUP_ROWS = 4_000
 
 
 def interleave(rows: DataFrame, source: str, order: list[str], seed: int) -> DataFrame:
