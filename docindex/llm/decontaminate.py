@@ -44,6 +44,10 @@ def _key(window: Column, width: Column) -> Column:
     return F.xxhash64(width, window)
 
 
+def _spots(positions: Column, width: int) -> Column:
+    return F.transform(positions, lambda i: F.struct(i.alias("i"), F.lit(width).alias("m")))
+
+
 def windows_of(benchmark: DataFrame, width: int) -> DataFrame:
     """Distinct windows: w (words, lower-case, joined by blanks), m (number
     of words), items (ids as strings, nulls left out)."""
@@ -69,7 +73,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
     sizes = {r.m: r.n for r in wins.groupBy("m").agg(F.count("*").alias("n")).collect()}
     keys = wins.select(_key(F.split(F.lower("w"), " "), F.col("m")).alias("key"), "m", "w", "items")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    base = docs.select(F.col("doc_id"), text.alias("text"), words_of(F.lower(text)).alias("words")).withColumn("n", F.size("words"))
+    base = docs.select(F.col("doc_id"), text.alias("text"), words_of(F.lower(text)).alias("words"), words_of(text).alias("own")).withColumn("n", F.size("words"))
     # position -1 stands for the document itself and always passes
     none = F.array().cast("array<string>")
     document = base.select("doc_id", F.xxhash64("text", F.length("text")).alias("text_key"), F.lit(-1).alias("i"), F.lit(0).alias("m"), "n", none.alias("items"))
@@ -82,14 +86,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
         spots = F.array(F.struct(F.lit(-1).alias("i"), F.lit(0).alias("m")))
         if len(sizes) == 1:
             spot = F.explode(F.concat(F.array(F.lit(-1)), F.when(F.col("n") >= min(sizes), F.sequence(F.lit(0), F.col("n") - min(sizes))).otherwise(F.array().cast("array<int>")))).alias("i")
-            scan = base.select("doc_id", "text", "words", "n", spot).withColumn("m", F.when(F.col("i") < 0, 0).otherwise(min(sizes)))
+            scan = base.select("doc_id", "text", "words", "own", "n", spot).withColumn("m", F.when(F.col("i") < 0, 0).otherwise(min(sizes)))
         else:
             for m in sorted(sizes):
-                spots = F.concat(spots, F.when(F.col("n") >= m, F.transform(F.sequence(F.lit(0), F.col("n") - m), lambda i, m=m: F.struct(i.alias("i"), F.lit(m).alias("m")))).otherwise(F.slice(spots, 1, 0)))
-            scan = base.select("doc_id", "text", "words", "n", F.explode(spots).alias("s")).select("doc_id", "text", "words", "n", "s.i", "s.m")
+                spots = F.concat(spots, F.when(F.col("n") >= m, _spots(F.sequence(F.lit(0), F.col("n") - m), m)).otherwise(F.slice(spots, 1, 0)))
+            scan = base.select("doc_id", "text", "words", "own", "n", F.explode(spots).alias("s")).select("doc_id", "text", "words", "own", "n", "s.i", "s.m")
         mark = mark.withColumnRenamed("m", "bm")
         scan = scan.withColumn("key", F.when(F.col("i") < 0, F.lit(0).cast("long")).otherwise(_key(_window(F.col("words"), F.col("i"), F.col("m")), F.col("m"))))
-        said = lower_ascii(F.concat_ws(" ", _window(words_of(F.col("text")), F.col("i"), F.col("m"))))
+        said = lower_ascii(F.concat_ws(" ", _window(F.col("own"), F.col("i"), F.col("m"))))
         text_key = F.xxhash64("text", F.length("text")).alias("text_key")
         if small:
             hits = scan.join(F.broadcast(mark), "key")
