@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Names, as_bytes, bounded_batches, components, mix, partitions, runs, stored
+from .common import Names, as_bytes, bounded_batches, components, lean, lean_group, mix, partitions, runs, stored
 
 #: The sketch has 2**SKETCH_BITS counters, at any input size.
 SKETCH_BITS = 21
@@ -420,7 +420,7 @@ def _verify(sim: Similarity):
 def _links(pairs: DataFrame, texts: DataFrame, sim: Similarity) -> DataFrame:
     ta, tb = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     both = pairs.select("a", "b").join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
-    return both.mapInArrow(_verify(sim), "a long, b long")
+    return both.mapInArrow(lean(_verify(sim)), "a long, b long")
 
 
 def similar_documents(docs: DataFrame, sim: Similarity = Similarity(), most_level: int = 8, short_list: int = 48, hot_list: float = 50_000, leaders: int = 4) -> DataFrame:
@@ -439,15 +439,15 @@ def similar_documents(docs: DataFrame, sim: Similarity = Similarity(), most_leve
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    meta = stored(docs.mapInArrow(_meta(sim.width), META), "sets")
+    meta = stored(docs.mapInArrow(lean(_meta(sim.width)), META), "sets")
     rows = meta.where("chunk is null").select("doc_id", "n", "d0", "d1")
     counts = sketch_of(meta)
     entries = int(counts.sum()) * (1 - sim.num / sim.den)
     # a bucket gathers about 16 MB of entries
     buckets = max(48, math.ceil(entries * 16 / (16 << 20)))
     sketch = spark.sparkContext.broadcast(counts)
-    packed = docs.mapInArrow(_postings(sim, sketch, buckets, most_level, hot_list), POSTING)
-    lists = stored(packed.groupBy("bucket").applyInArrow(_lists(sim, buckets, short_list), LISTS), "lists", by=["kind"])
+    packed = docs.mapInArrow(lean(_postings(sim, sketch, buckets, most_level, hot_list)), POSTING)
+    lists = stored(packed.groupBy("bucket").applyInArrow(lean_group(_lists(sim, buckets, short_list)), LISTS), "lists", by=["kind"])
 
     counted = lists.where("kind = 1").groupBy("a", "b").agg(F.sum("cnt").alias("cnt"), F.min("need").alias("need"))
     # of two sets, all common shingles but max(o - l) are in both prefixes, and
@@ -467,7 +467,8 @@ def similar_documents(docs: DataFrame, sim: Similarity = Similarity(), most_leve
     pairs = stored(counted.where("cnt >= need").select("a", "b").unionByName(star).distinct(), "pairs")
 
     wanted = pairs.select("a").union(pairs.select("b")).union(long.select("a")).distinct()
-    texts = stored(docs.join(wanted.withColumnRenamed("a", "doc_id"), "doc_id", "left_semi"), "texts")
+    # sorted and merged at every size, so that small inputs tell what large ones cost
+    texts = stored(docs.join(wanted.withColumnRenamed("a", "doc_id").hint("merge"), "doc_id", "left_semi"), "texts")
     links = stored(_links(pairs, texts, sim), "links")
     root = components(spark, links)
 
@@ -478,7 +479,7 @@ def similar_documents(docs: DataFrame, sim: Similarity = Similarity(), most_leve
     part = stored(home.join(open_, "token").groupBy("token", "comp").agg(F.count("*").alias("c")), "part")
     main = part.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
     met = home.join(main, "token").select("main", "a", "n", "s", "rest", "comp").distinct()
-    bits = texts.join(home.join(open_, "token", "left_semi").select(F.col("a").alias("doc_id")).distinct(), "doc_id").select("doc_id", "text").mapInArrow(_bitmaps(sim.width), "a long, bits binary")
+    bits = texts.join(home.join(open_, "token", "left_semi").select(F.col("a").alias("doc_id")).distinct(), "doc_id").select("doc_id", "text").mapInArrow(lean(_bitmaps(sim.width)), "a long, bits binary")
     met = stored(met.join(bits, "a"), "met")
     late = stored(_across(met, sim).join(pairs, ["a", "b"], "left_anti"), "late")
     late_links = stored(_links(late, texts, sim), "links")
@@ -503,4 +504,4 @@ def one_of_each(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
     """``docs`` with one document of each component, that with the smallest
     doc_id.  Rows without shingles or id stay; repeated rows of a kept id too."""
     found = similar_documents(docs, sim).where("component_id is not null and component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(stored(found, "dropped"), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(stored(found, "dropped").hint("merge"), "doc_id", "left_anti").select(*docs.columns)
