@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Names, as_bytes, bounded_batches, runs
+from .common import Names, as_bytes, bounded_batches, lean, runs
 
 # Classes of code points.  In SPACE_CLASSES the last character before a
 # non-space is set apart, as the pattern's "\s+(?!\S)" leaves it.
@@ -181,7 +181,7 @@ def starts_of(state, cls, begin, last):
 class Vocabulary:
     """Ranks of byte strings, and a bounded cache of merged pieces."""
 
-    def __init__(self, path: str, cache: int = 400_000):
+    def __init__(self, path: str, cache: int = 200_000):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.room, self.cache = cache, {}
@@ -298,6 +298,7 @@ def _encode(path: str, columns: list[str]):
                 ends = np.cumsum(voc.length[ids]) - np.repeat(o[:-1], np.diff(upto))
                 lists = [pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(x.astype(np.int32))) for x in (ids, ends)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in columns), *lists], names=[*columns, *_TOKENS])
+        voc.cache.clear()  # the worker may turn to other work
     return run
 
 
@@ -311,7 +312,7 @@ def _decode(path: str, columns: list[str]):
             at = at - at[0]
             i = 0
             while i < len(at) - 1:
-                j = max(i + 1, int(np.searchsorted(at, at[i] + (1 << 19), side="right")) - 1)
+                j = max(i + 1, int(np.searchsorted(at, at[i] + (1 << 18), side="right")) - 1)
                 part = ids[at[i]:at[j]]
                 size = voc.length[part]
                 stop = np.cumsum(size)
@@ -343,11 +344,11 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
     df = docs.select(F.struct(*rest).alias("row"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     kind = df.schema["row"].dataType.simpleString()
-    return df.mapInArrow(_encode(path, ["row"]), f"row {kind}, ids array<int>, offsets array<int>")
+    return df.mapInArrow(lean(_encode(path, ["row"])), f"row {kind}, ids array<int>, offsets array<int>")
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
     """``tokens`` (as from ``encode``) with ``decoded``, the bytes of the ids;
     fails if the retained offsets do not fit them."""
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema)
-    return tokens.mapInArrow(_decode(path, tokens.columns), f"{kind}, decoded binary")
+    return tokens.mapInArrow(lean(_decode(path, tokens.columns)), f"{kind}, decoded binary")

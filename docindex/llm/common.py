@@ -3,6 +3,7 @@ byte views of string columns, and connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from docindex.session import scratch_path
 
 #: Largest Arrow batch, in bytes, that the JVM hands to a Python worker.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Texts are worked on in runs of about so many bytes (at least one text).
 RUN_BYTES = 1 << 20
 
@@ -28,6 +29,41 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def trim() -> None:
+    """Give freed memory of this Python worker back; workers outlive tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to do
+        pass
+
+
+def lean(batches_fn):
+    """A function of batches that leaves no memory behind in its worker."""
+    def run(batches):
+        try:
+            yield from batches_fn(batches)
+        finally:
+            trim()
+    return run
+
+
+def lean_group(group_fn):
+    """The same for a function of whole groups."""
+    def one(table):
+        try:
+            return group_fn(table)
+        finally:
+            trim()
+
+    def two(left, right):
+        try:
+            return group_fn(left, right)
+        finally:
+            trim()
+    return two if group_fn.__code__.co_argcount == 2 else one
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

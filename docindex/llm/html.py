@@ -25,7 +25,7 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, lean
 
 #: Pages of the given table that may join the labelled layouts, at most.
 SAMPLE = 400
@@ -401,4 +401,4 @@ def extract(pages: DataFrame, model: Model) -> DataFrame:
     rest = [F.col(f"`{c}`") for c in pages.columns if c != "html"]
     df = pages.select(F.struct(*rest).alias("row"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     kind = df.schema["row"].dataType.simpleString()
-    return df.mapInArrow(_extract(spark.sparkContext.broadcast(model), ["row"]), f"row {kind}, text string")
+    return df.mapInArrow(lean(_extract(spark.sparkContext.broadcast(model), ["row"])), f"row {kind}, text string")

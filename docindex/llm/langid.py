@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bounded_batches, mix, runs
+from .common import as_bytes, bounded_batches, lean, mix, runs
 
 #: N-grams of so many bytes.
 WIDTHS = (3, 4)
@@ -161,5 +161,5 @@ def predict(docs: DataFrame, model: Filters | None) -> DataFrame:
     kind = df.schema["row"].dataType.simpleString()
     if model is None:
         return df.select("row", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    out = df.mapInArrow(_predict(spark.sparkContext.broadcast(model), ["row", "known"]), f"row {kind}, known boolean, lang_pred string, score double")
+    out = df.mapInArrow(lean(_predict(spark.sparkContext.broadcast(model), ["row", "known"])), f"row {kind}, known boolean, lang_pred string, score double")
     return out.select("row", F.when(F.col("known"), F.col("lang_pred")).otherwise("und").alias("lang_pred"), F.when(F.col("known"), F.col("score")).otherwise(0.0).alias("score"))

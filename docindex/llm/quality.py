@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Names, as_bytes, bounded_batches, runs
+from .common import Names, as_bytes, bounded_batches, lean, runs
 
 #: Bounds on the fitted samples, in documents.
 LABELLED = 4000
@@ -191,7 +191,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """A model from ``docs`` (doc_id, text and any of source, lang, n_chars)
     and ``labels`` (doc_id, quality, toxic); None unless both classes occur."""
     bounded_batches(docs.sparkSession)
-    got = samples(docs, labels).mapInArrow(_gather, "good double, meta array<string>, cols binary, vals binary").toPandas()
+    got = samples(docs, labels).mapInArrow(lean(_gather), "good double, meta array<string>, cols binary, vals binary").toPandas()
     got = got.sort_values(["cols", "vals"]).reset_index(drop=True)  # the order of tasks doesn't matter
     y = got.good.to_numpy(float)
     known = np.flatnonzero(~np.isnan(y))
@@ -284,6 +284,6 @@ def classify(docs: DataFrame, model: Model | None) -> DataFrame:
         none = F.lit(None).cast("double")
         return df.select("row", none.alias("text_score"), none.alias("meta_score"), F.when(~F.col("some"), 0.0).alias("score"), F.col("some").alias("keep"))
     kind = df.schema["row"].dataType.simpleString()
-    out = df.mapInArrow(_score(spark.sparkContext.broadcast(model), ["row", "some"]), f"row {kind}, some boolean, text_score double, meta_score double, score double")
+    out = df.mapInArrow(lean(_score(spark.sparkContext.broadcast(model), ["row", "some"])), f"row {kind}, some boolean, text_score double, meta_score double, score double")
     return out.select("row", "text_score", "meta_score", F.when(F.col("some"), F.col("score")).otherwise(0.0).alias("score"),
                       (F.col("some") & (F.col("score") >= model.threshold)).alias("keep"))

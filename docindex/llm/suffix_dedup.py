@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from docindex.session import scratch_path
 
-from .common import Names, as_bytes, bounded_batches, mix, partitions, runs, stored, unique
+from .common import Names, as_bytes, bounded_batches, lean, lean_group, mix, partitions, runs, stored, unique
 
 
 @dataclass(frozen=True)
@@ -441,10 +441,10 @@ def remove_repeats(docs: DataFrame, shape: Shape = Shape(), batches: int = 4, bl
     levels = Levels(spark, max(partitions(spark), 64))
     hits = None
     for b in range(len(marks) + 1):
-        found = levels.add(blocks.where(F.col("batch") == b).select("block", "doc_id", "text").mapInArrow(_heads(shape, buckets), "bucket int, block int, heads binary"))
+        found = levels.add(blocks.where(F.col("batch") == b).select("block", "doc_id", "text").mapInArrow(lean(_heads(shape, buckets)), "bucket int, block int, heads binary"))
         hits = found if hits is None else hits.unionByName(found)
     gather = max(64, math.ceil(entries * 80 / (16 << 20)))
-    contexts = (blocks.select("block", "key", "doc_id", "text").groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(_contexts(shape, buckets, gather), CONTEXT))
-    spans = stored(contexts.groupBy("bucket").applyInArrow(_compare(shape), SPANS), "spans")
+    contexts = (blocks.select("block", "key", "doc_id", "text").groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(lean_group(_contexts(shape, buckets, gather)), CONTEXT))
+    spans = stored(contexts.groupBy("bucket").applyInArrow(lean_group(_compare(shape)), SPANS), "spans")
     out = "row %s, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary" % blocks.schema["row"].dataType.simpleString()
-    return (blocks.select("block", "key", "text", "row").groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(_cut_out, out))
+    return (blocks.select("block", "key", "text", "row").groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(lean_group(_cut_out), out))
