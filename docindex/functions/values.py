@@ -26,7 +26,7 @@ from pyspark.sql.types import (
 # Date-only formats as Spark parse patterns ("week" marks
 # the ISO week-date forms, computed by date arithmetic because Spark
 # refuses week-based patterns).
-_DATE_PATTERNS = {
+DATE_PATTERNS = {
     "date": "y-M-d",
     "strict_date": "yyyy-MM-dd",
     "year_month_day": "y-M-d",
@@ -52,7 +52,7 @@ _DATE_PATTERNS = {
 }
 
 # Regexes of the ISO week-date text forms.
-_WEEK_REGEX = {
+WEEK_REGEX = {
     "basic": r"^(\d{4})W(\d{2})(\d)$",
     "day": r"^(\d{4})-W(\d{1,2})-(\d)$",
     "week": r"^(\d{4})-W(\d{1,2})$",
@@ -67,7 +67,7 @@ def iso_week_date(year: Column, week: Column, day: Column) -> Column:
 
 
 def _week_parse(c: Column, form: str) -> Column:
-    rx = _WEEK_REGEX[form]
+    rx = WEEK_REGEX[form]
     s = F.trim(c)
     y = F.regexp_extract(s, rx, 1)
     ok = y != F.lit("")
@@ -86,7 +86,7 @@ def parse_date(c: Column, fmt: str | None = None) -> Column:
     fmts = (fmt or "strict_date").split("||")
     tries = []
     for f in fmts:
-        pattern = _DATE_PATTERNS.get(f)
+        pattern = DATE_PATTERNS.get(f)
         if pattern is None:
             raise ValueError(f"unknown date-only format {f!r}")
         if pattern.startswith("week:"):
@@ -220,42 +220,32 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*cols)
 
 
-def single_valued(v: Column, path: str, value: Column, dst: DataType, meta: dict | None,
-                  multi: str = "fail") -> Column:
+def single_valued(v: Column, path: str, value: Column, dst: DataType, meta: dict | None) -> Column:
     """``value`` (already converted, best passed as a column) unless the raw
-    value at ``path`` is a list: then its one element, or for a longer list
-    a job failure (``multi="fail"``) or its first value (``multi="first"``).
+    value at ``path`` is a list: then its one element; a longer list, and a
+    value that doesn't convert, fail the job.
 
     A list read as a scalar gives null (as text, its JSON), so the raw value
     is only looked at in those cases.
     """
-    if multi not in ("first", "fail"):
-        raise ValueError("multi must be 'fail' or 'first'")
     suspect = value.isNull()
     if isinstance(dst, StringType):
         suspect = suspect | value.startswith("[")
     is_list = suspect & F.try_variant_get(v, path + "[0]", "variant").isNotNull()
     first = _variant_value(v, path + "[0]", dst, meta or {})
-    if multi == "first":
-        return F.when(is_list, first).otherwise(value)
     many = is_list & F.try_variant_get(v, path + "[1]", "variant").isNotNull()
-    return F.when(many, F.raise_error(F.lit(f"field {path} holds several values but its type is "
-                                            "single-valued"))).when(is_list, first).otherwise(value)
-
-
-def variant_field(v: Column, path: str, dst: DataType, meta: dict | None,
-                  multi: str = "fail") -> Column:
-    """Extract one field of a JSON document (variant) in the target type.
-
-    A single-valued field holding a one-element list takes that element; a
-    longer list fails the job (``multi="fail"``) or gives the first value
-    (``multi="first"``).  (``hits_from_json`` applies the same rule in two
-    projections so that each value is converted once.)
-    """
-    meta = meta or {}
-    if isinstance(dst, (VariantType, ArrayType)):
-        return _variant_value(v, path, dst, meta)
-    return single_valued(v, path, _variant_value(v, path, dst, meta), dst, meta, multi)
+    raw = F.try_variant_get(v, path, "variant")
+    is_empty = F.try_variant_get(v, path, "array<variant>").isNotNull()
+    lost = suspect & raw.isNotNull() & ~F.is_variant_null(raw) & ~is_list & ~is_empty & value.isNull()
+    return (F.when(many, F.raise_error(F.lit(f"field {path} holds several values but its type is single-valued")))
+            .when(is_list, F.when(first.isNull() & ~F.is_variant_null(F.try_variant_get(v, path + "[0]", "variant")), _unreadable(v, path, dst)).otherwise(first))
+            .when(lost, _unreadable(v, path, dst)).otherwise(value))
+
+
+def _unreadable(v: Column, path: str, dst: DataType) -> Column:
+    """A job failure that names the field, the document and the value."""
+    return F.raise_error(F.concat(F.lit(f"field {path} of document "), F.coalesce(F.try_variant_get(v, "$._id", "string"), F.lit("?")),
+                                  F.lit(f" is not a {dst.simpleString()}: "), F.coalesce(F.try_variant_get(v, path, "string"), F.lit("an object"))))
 
 
 def _variant_value(v: Column, path: str, dst: DataType, meta: dict | None) -> Column:

@@ -28,13 +28,14 @@ array<string> column narrows an update row to the named columns.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-from docindex.session import shared_dir
+from docindex.session import scratch_path, shared_dir
 from docindex.sources.schema import meta_name
 
 # The four bulk operations.
@@ -104,10 +105,10 @@ def action_lines(actions: DataFrame) -> DataFrame:
     return actions.select("_op_type", "_index", "_id", header.alias("header"), body.alias("body"))
 
 
-def _auto_id(actions: DataFrame, order: Column) -> Column:
-    src = F.struct(*[F.col("`" + c + "`") for c in _src_cols(actions)])
-    digest = F.sha2(F.concat_ws(":", order.cast("string"), F.to_json(src)), 256)
-    return F.substring(digest, 1, 20)
+def _auto_id(run: str, row: Column) -> Column:
+    """An id of its own for every action: the bulk run and the stored input
+    position, so equal actions stay two documents."""
+    return F.concat(F.lit(run + "-"), F.lpad(F.hex(row), 16, "0"))
 
 
 def _union_struct(ct: StructType, at: StructType) -> StructType:
@@ -197,23 +198,32 @@ def apply_bulk(current: DataFrame, actions: DataFrame, order_col: str | None = N
     """
     if "_op_type" not in actions.columns:
         actions = bulk_actions(actions)
-    order = F.col(order_col) if order_col else F.monotonically_increasing_id()
     keyed = "_index" in actions.columns and "_index" in current.columns
     key = ["_index", "_id"] if keyed else ["_id"]
 
+    run = uuid.uuid4().hex
     a_src = _src_cols(actions)
     c_src = _src_cols(current)
     narrowed = "_fields" in actions.columns
+    # the input position, numbered once: the fold, its checks and automatic
+    # ids all read the same stored rows
+    actions = actions.withColumn("_row", F.monotonically_increasing_id())
+    if materialize:
+        path = scratch_path(actions.sparkSession, "actions")
+        actions.write.parquet(path)
+        actions = actions.sparkSession.read.schema(actions.schema).parquet(path)
+    order = F.col("`" + order_col + "`") if order_col else F.col("_row")
     A = actions.select(
         *[F.col(k) for k in key if k != "_id"],
         F.col("_op_type").alias("_op"),
         order.cast("long").alias("_o"),
+        F.col("_row"),
         F.col("_id"),
         *([F.col("_fields")] if narrowed else []),
         *[F.col("`" + c + "`") for c in a_src],
     )
     A = A.withColumn("_id", F.when(F.col("_id").isNull() & F.col("_op").isin("index", "create"),
-                                   _auto_id(A, F.col("_o"))).otherwise(F.col("_id")))
+                                   _auto_id(run, F.col("_row"))).otherwise(F.col("_id"))).drop("_row")
     A = A.withColumn("_id", F.when(F.col("_id").isNull(), F.raise_error(
         F.concat(F.lit("action without _id: "), F.col("_op")))).otherwise(F.col("_id")))
 
@@ -336,9 +346,4 @@ def apply_bulk(current: DataFrame, actions: DataFrame, order_col: str | None = N
     )
 
 
-def bulk_summary(actions: DataFrame) -> DataFrame:
-    """Per ``_index`` and op: number of actions (what a bulk run would send)."""
-    return actions.groupBy("_index", "_op_type").agg(F.count(F.lit(1)).alias("n_actions"))
-
-
-__all__ = ["OP_TYPES", "bulk_actions", "action_lines", "apply_bulk", "bulk_summary"]
+__all__ = ["OP_TYPES", "bulk_actions", "action_lines", "apply_bulk"]

@@ -47,7 +47,7 @@ def term_frequencies(df: DataFrame, field: str, terms: list[str],
 
 def bm25(df: DataFrame, field: str, query: str, keep: Iterable[str] | None = None,
          k1: float = K1, b: float = B, only_matching: bool = True,
-         checkpoint: bool = True) -> DataFrame:
+         checkpoint: bool = False) -> DataFrame:
     """``keep`` columns plus ``_score`` for the documents of ``df``.
 
     ``query`` is analyzed like the field.  With ``only_matching`` (the match
@@ -61,7 +61,8 @@ def bm25(df: DataFrame, field: str, query: str, keep: Iterable[str] | None = Non
     if checkpoint:
         shared_dir(df.sparkSession)
         tf = tf.checkpoint(eager=True)
-    stats = tf.agg(F.count(F.lit(1)).alias("n"), F.avg("_dl").alias("avgdl"),
+    # documents without the field count neither in n nor in the mean length
+    stats = tf.agg(F.count("_dl").alias("n"), F.avg("_dl").alias("avgdl"),
                    *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"df{i}")
                      for i in range(len(terms))]).first()
     n, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
@@ -153,7 +154,7 @@ class _Scorer:
                 v = p.get(k) or []
                 return v if isinstance(v, list) else [v]
             parts = [self.plan(c) for c in lst("must") + lst("should")]
-            return lambda: _sum([f() for f in parts])
+            return guarded(lambda: _sum([f() for f in parts]))
         if name in ("match", "match_phrase"):
             (field, spec), = p.items()
             text = spec["query"] if isinstance(spec, dict) else spec

@@ -9,6 +9,7 @@ to stage intermediate tables.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -44,13 +45,17 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and is visible to every
-    executor.  Only when it is unset (local tests) is a fresh folder made,
-    and it is then registered so that later calls agree.
+    executor.  Only when it is unset and the master is local is a fresh folder
+    made, and it is then registered so that later calls agree; on a cluster
+    an unset folder is an error, for a machine-local one would lose data.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
         path = tempfile.mkdtemp(prefix="docindex-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)

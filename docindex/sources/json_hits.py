@@ -47,8 +47,7 @@ def _path(*names: str) -> str:
     return "$" + "".join("['" + n.replace("'", "\\'") + "']" for n in names)
 
 
-def hits_from_json(df: DataFrame, col: str, schema: StructType | None = None,
-                   multi: str = "fail") -> DataFrame:
+def hits_from_json(df: DataFrame, col: str, schema: StructType | None = None) -> DataFrame:
     """Flat typed rows from JSON hits; without ``schema`` one is inferred
     over all hits (source fields, then the metadata columns)."""
     if schema is None:
@@ -68,7 +67,7 @@ def hits_from_json(df: DataFrame, col: str, schema: StructType | None = None,
             guards.append(F.col(f"_r{i}"))
         else:
             # converted once (previous projection), list check only if suspect
-            guards.append(single_valued(v, path, F.col(f"_r{i}"), f.dataType, f.metadata, multi))
+            guards.append(single_valued(v, path, F.col(f"_r{i}"), f.dataType, f.metadata))
     df = df.select(v, *raw)
     cols = []
     for f, c in zip(schema.fields, guards):
@@ -79,8 +78,9 @@ def hits_from_json(df: DataFrame, col: str, schema: StructType | None = None,
 
 
 def hits_to_json(hits: DataFrame, col: str = "hit") -> DataFrame:
-    """Nested hits (metadata + ``_source``) to one JSON text per hit."""
-    return hits.select(F.to_json(F.struct(*[F.col(c) for c in hits.columns])).alias(col))
+    """Nested hits (metadata + ``_source``) to one JSON text per hit; null
+    fields are written as null."""
+    return hits.select(F.to_json(F.struct(*[F.col(c) for c in hits.columns]), {"ignoreNullFields": "false"}).alias(col))
 
 
 def write_hits_json(hits: DataFrame, path: str, compression: str | None = None) -> None:
@@ -91,8 +91,7 @@ def write_hits_json(hits: DataFrame, path: str, compression: str | None = None)
     w.text(path)
 
 
-def read_hits_json(spark, path: str, schema: StructType | None = None,
-                   multi: str = "fail") -> DataFrame:
+def read_hits_json(spark, path: str, schema: StructType | None = None) -> DataFrame:
     """Read JSON-lines hits (files or folders, any text compression Spark
     reads) as flat typed rows; without ``schema`` one is inferred."""
-    return hits_from_json(spark.read.text(path), "value", schema, multi)
+    return hits_from_json(spark.read.text(path), "value", schema)

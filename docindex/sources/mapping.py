@@ -93,6 +93,8 @@ def property_type(prop: Mapping, path: str = "") -> tuple[DataType, dict]:
     if kind is None:
         raise ValueError(f"property {path!r} has neither type nor properties")
     meta = {"es_type": kind}
+    if "ignore_above" in prop:
+        meta["ignore_above"] = int(prop["ignore_above"])
     if kind == "alias":
         raise NotImplementedError(f"alias fields are not supported ({path})")
     if kind in _SCALARS:
@@ -146,9 +148,14 @@ def mapping_to_struct(mapping: Mapping, index: str | None = None) -> StructType:
         m = m[index]
     elif index is not None and "mappings" not in m and "properties" not in m:
         raise ValueError(f"no mapping found for index {index!r}")
-    if "mappings" in m:
+    whole = "mappings" in m and isinstance(m["mappings"], Mapping) and "type" not in m
+    if whole:
         m = m["mappings"]
-    if "properties" in m and isinstance(m["properties"], Mapping) and (
-            len(m) == 1 or "dynamic" in m or "_source" in m or "_meta" in m):
-        m = m["properties"]
+    inner = m.get("properties")
+    # mapping-level keys (dynamic, date_detection, ...) may stand beside it; a
+    # field that is named so has texts among its settings
+    if isinstance(inner, Mapping) and all(isinstance(p, Mapping) for p in inner.values()):
+        return properties_to_struct(inner)
+    if whole or not m:
+        raise ValueError("the mapping has no properties: " + (f"index {index!r}" if index else "pass a schema"))
     return properties_to_struct(m)

@@ -1,8 +1,8 @@
 """A folder of Parquet snapshots as an index store.
 
-Layout: ``<root>/v=<n>/_index=<name>/part-*.parquet``.  Every write makes a
-new version folder; a version counts once Spark has committed it (its
-``_SUCCESS`` marker exists).  A read pins one version, so it sees one
+Layout: ``<root>/v=<n>/_index=<name>/part-*.parquet``.  Every write goes to
+an attempt folder of its own and is published as a version by one rename, so
+a failed write leaves no version and hinders no later one.  A read pins one version, so it sees one
 consistent snapshot however long it runs and whatever is written meanwhile
 (the point-in-time read of a search index).  Several indices share a
 version and are told apart by the ``_index`` partition column, so reading
@@ -16,6 +16,7 @@ also cuts the lineage of whatever produced it.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from docindex.sources.schema import META_NAMES
 
 _V = re.compile(r"^v=(\d+)$")
+#: Tasks that write one index, at most.
+_SPREAD = 64
 
 
 def _fs(spark: SparkSession, path: str):
@@ -101,7 +104,15 @@ def write_index(df: DataFrame, root: str, index: str | None = None,
     if version is None:
         last = latest_version(spark_of(df), root)
         version = 1 if last is None else last + 1
-    df.write.mode("errorifexists").partitionBy("_index").parquet(f"{root}/v={version}")
+    attempt = f"{root}/.attempt-{uuid.uuid4().hex}"
+    if index is None and "_id" in df.columns:
+        # rows of an index go to few tasks, so files don't multiply
+        df = df.repartition("_index", F.pmod(F.xxhash64("_id"), F.lit(_SPREAD)))
+    df.write.mode("errorifexists").partitionBy("_index").parquet(attempt)
+    fs, src, jvm = _fs(spark_of(df), attempt)
+    target = jvm.org.apache.hadoop.fs.Path(f"{root}/v={version}")
+    if fs.exists(target) or not fs.rename(src, target):
+        raise FileExistsError(f"version {version} exists under {root}: another writer was first")
     return version
 
 

@@ -213,3 +213,12 @@ def test_small_batch_does_not_shuffle_the_index(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_equal_actions_without_id_stay_apart(spark):
+    rows = [("x", 1), ("x", 1), ("y", 2)]
+    actions = spark.createDataFrame(rows, "name string, o long")
+    empty = spark.createDataFrame([], "_id string, name string")
+    out = apply_bulk(empty, bulk_actions(actions, op_type="index", source_fields=["name"], order_col="o"), order_col="o")
+    assert sorted(r.name for r in out.collect()) == ["x", "x", "y"]
+    assert out.select("_id").distinct().count() == 3

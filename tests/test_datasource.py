@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import datetime as dt
 import json
 import os
 import tempfile
@@ -216,9 +217,55 @@ def test_single_valued_field_meeting_a_list(spark):
     df = read_remote(spark, "idx", transport=FAKE, **{"client.path": path}, meta_fields=["id"])
     with pytest.raises(Exception, match="several values"):
         df.collect()
-    first = read_remote(spark, "idx", transport=FAKE, **{"client.path": path}, meta_fields=["id"],
-                        multi="first")
-    assert first.first().name == "a"
+
+
+def test_dates_follow_their_format():
+    from docindex.sources.datasource import convert_value
+    from pyspark.sql.types import DateType, IntegerType
+    day = dt.date(2024, 1, 30)
+    forms = {"basic_date": "20240130", "strict_date": "2024-01-30", "date": "2024-1-30", "basic_ordinal_date": "2024030", "ordinal_date": "2024-30",
+             "strict_ordinal_date": "2024-030", "basic_week_date": "2024W052", "strict_week_date": "2024-W05-2"}
+    for name, text in forms.items():
+        assert convert_value(text, DateType(), "d", {"format": name}) == day, name
+    assert convert_value("2024", DateType(), "d", {"format": "year"}) == dt.date(2024, 1, 1)
+    assert convert_value("2024-03", DateType(), "d", {"format": "year_month"}) == dt.date(2024, 3, 1)
+    assert convert_value("2024-W05", DateType(), "d", {"format": "weekyear_week"}) == dt.date(2024, 1, 29)
+    with pytest.raises(ValueError):
+        convert_value("30/01/2024", DateType(), "d", {"format": "basic_date"})
+    with pytest.raises(ValueError):
+        convert_value("abc", IntegerType(), "n")
+
+
+def test_single_rejected_actions_are_sent_again():
+    from docindex.sources.datasource import DocIndexWriter
+
+    class Busy:
+        calls = []
+
+        def bulk(self, lines):
+            self.calls.append(list(lines))
+            if len(self.calls) == 1:
+                return {"errors": True, "items": [{"index": {"_id": "1", "status": 201}}, {"index": {"_id": "2", "status": 429}}]}
+            return {"errors": False, "items": []}
+    busy = Busy()
+    DocIndexWriter({"max_retries": "2", "initial_backoff": "0"}, None)._send(busy, [["h1", "b1"], ["h2", "b2"]])
+    assert busy.calls == [["h1", "b1", "h2", "b2"], ["h2", "b2"]]
+    Busy.calls = []
+    with pytest.raises(RuntimeError, match="429"):
+        DocIndexWriter({"max_retries": "0"}, None)._send(Busy(), [["h1", "b1"], ["h2", "b2"]])
+
+
+def test_only_exact_fields_are_pushed():
+    from docindex.sources.datasource import filter_to_clause
+    from docindex.sources.mapping import mapping_to_struct
+    from pyspark.sql.datasource import EqualTo, Not
+    s = mapping_to_struct({"mappings": {"date_detection": False, "properties": {
+        "k": {"type": "keyword"}, "i": {"type": "keyword", "ignore_above": 20}, "h": {"type": "half_float"}, "d": {"type": "date", "format": "basic_date"}, "n": {"type": "long"}}}})
+    assert filter_to_clause(EqualTo(("k",), "a"), s) and filter_to_clause(EqualTo(("n",), 1), s)
+    for flt in (EqualTo(("i",), "a"), EqualTo(("h",), 1.0), EqualTo(("d",), dt.date(2024, 1, 1)), Not(EqualTo(("k",), "a"))):
+        assert filter_to_clause(flt, s) is None
+    with pytest.raises(ValueError):
+        mapping_to_struct({"idx": {"mappings": {}}}, index="idx")
 
 
 def test_write_remote_helper(spark):

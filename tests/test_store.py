@@ -1,3 +1,4 @@
+import pytest
 """Folder store: versions, snapshot reads, several indices, bulk writes."""
 
 import uuid
@@ -67,3 +68,19 @@ def test_size_estimate_matches_files_on_disk(spark):
     path = "/root/testdata/sf0.001/events.parquet"
     row = size_estimate(spark.read.parquet(path)).first()
     assert (row.files, row.bytes) == (1, os.path.getsize(path))
+
+
+def test_failed_write_leaves_no_version_and_hinders_none(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from docindex.sources.store import read_index, versions, write_index
+    root = str(tmp_path / "index")
+    good = spark.range(3).select(F.col("id").cast("string").alias("_id"), F.col("id").alias("v"))
+    assert write_index(good, root, index="a") == 1
+    bad = good.withColumn("v", F.when(F.col("v") == 2, F.raise_error(F.lit("broken")).cast("long")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="broken"):
+        write_index(bad, root, index="a")
+    assert versions(spark, root) == [1]
+    assert write_index(good, root, index="a") == 2
+    assert read_index(spark, root, "a").count() == 3
+    with pytest.raises(FileExistsError):
+        write_index(good, root, index="a", version=2)

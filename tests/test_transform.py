@@ -49,3 +49,13 @@ def test_map_documents_on_spark(spark):
 
     out = map_document_batches(df, _Doc, batch, "_id string, field string, up string")
     assert sorted(r.up for r in out.collect()) == ["A", "BB"]
+
+
+def test_large_integers_and_nulls_survive(spark):
+    class Big(Document):
+        name = Text(required=False)
+    df = spark.createDataFrame([("1", 9007199254740993), ("2", None)], "_id string, n long")
+    seen = map_documents(df, Big, lambda row, doc: {**row, "n": None if row["n"] is None else row["n"] + 1}, "_id string, n long")
+    assert {r._id: r.n for r in seen.collect()} == {"1": 9007199254740994, "2": None}
+    same = map_document_batches(df, Big, lambda frame, docs: frame, "_id string, n long")
+    assert {r._id: r.n for r in same.collect()} == {"1": 9007199254740993, "2": None}

@@ -140,10 +140,15 @@ def test_single_valued_field_meeting_a_list(spark):
              '{"_id":"3","_source":{"n":[8,9]}}']
     df = spark.createDataFrame([(x,) for x in lines], "hit string")
     schema = StructType.fromDDL("_id string, n bigint")
-    first = {r._id: r.n for r in hits_from_json(df, "hit", schema, multi="first").collect()}
-    assert first == {"1": 5, "2": 7, "3": 8}
     two = spark.createDataFrame([(x,) for x in lines[:2]], "hit string")
     ok = {r._id: r.n for r in hits_from_json(two, "hit", schema).collect()}
     assert ok == {"1": 5, "2": 7}
     with pytest.raises(PySparkException, match="several values"):
         hits_from_json(df, "hit", schema).collect()
+
+
+def test_unreadable_value_names_field_and_document(spark):
+    df = spark.createDataFrame([('{"_id":"9","_source":{"n":"abc","m":null}}',)], "hit string")
+    with pytest.raises(PySparkException, match="n.*document 9.*abc"):
+        hits_from_json(df, "hit", StructType.fromDDL("_id string, n bigint")).collect()
+    assert hits_from_json(df, "hit", StructType.fromDDL("_id string, m bigint")).first().m is None
