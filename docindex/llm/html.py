@@ -2,8 +2,8 @@
 
 The DOM is a tree of binary variables: an element is content or it isn't.
 Potentials between parent and child say how labels pass down, by the child's
-tag; evidence at each element comes from its tag, the words of its class, id
-and role, its text, and how much of its subtree is link text.  Sum-product
+tag; evidence at each element comes from its tag, the words of its class, id and
+role, its text, and how much of its subtree is link text.  Sum-product
 messages go up from the leaves and down from the root and give each element's
 marginal; text whose element is more likely content than not is kept.
 
@@ -30,6 +30,9 @@ from .common import bounded_batches, lean
 #: Pages of the given table that may join the labelled layouts, at most.
 SAMPLE = 400
 FEATURE_BITS = 14
+#: Weights of the evidence of tag, own text and links: an element's neighbours
+#: and its tag's place in the tree say much of the same again.
+TEMPER = (0.5, 0.5, 0.5)
 
 # Element names of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -198,15 +201,16 @@ class Forest:
             np.add.at(link, parent[la], whole[la])
         share = np.round(np.minimum(link / np.maximum(whole, 1), 1) * 5).astype(int)
         ob, wb = _bucket(own), _bucket(whole)
-        rows, cols = [], []
+        rows, cols, vals = [], [], []
         i = 0
         for p in self.pages:
             for t, words in zip(p.tags, p.words):
                 f = [feature("tag", t), feature("own", int(ob[i])), feature("link", (int(share[i]), int(wb[i]) > 3)), *(feature("word", w) for w in set(words))]
                 rows += [i] * len(f)
                 cols += f
+                vals += [*TEMPER, *[1.0] * (len(f) - 3)]
                 i += 1
-        self.rows, self.cols = np.array(rows, int), np.array(cols, int)
+        self.vals, self.rows, self.cols = np.array(vals, float), np.array(rows, int), np.array(cols, int)
         self.kind = np.array([feature("pair", t) for t in self.tags], int)
 
 
@@ -242,7 +246,7 @@ def fit(pages: list[tuple[Page, np.ndarray]]) -> Model:
 def marginals(forest: Forest, model: Model) -> np.ndarray:
     """Each element's probability of being content."""
     log = np.log
-    odds = np.bincount(forest.rows, model.evidence[forest.cols], minlength=forest.n)
+    odds = np.bincount(forest.rows, model.evidence[forest.cols] * forest.vals, minlength=forest.n)
     odds = np.clip(odds, -25, 25)
     stay, begin = model.stay[forest.kind], model.begin[forest.kind]
     up = np.zeros(forest.n)

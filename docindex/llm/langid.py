@@ -42,6 +42,7 @@ def grams(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     text = _BLANK[buf]
     keep = text != 32
     keep[1:] |= text[:-1] != 32
+    keep[offs[:-1][offs[:-1] < len(keep)]] = True  # each text starts afresh
     upto = np.append(0, np.cumsum(keep))
     text, offs = text[keep].astype(np.uint64), upto[offs]
     row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
