@@ -355,6 +355,12 @@ class QueryCompiler:
         field = params["field"]
 
         def leaf(c, dtype, f):
+            if isinstance(dtype, StructType):
+                # an object exists if any value inside it does
+                inner = F.lit(False)
+                for g in dtype.fields:
+                    inner = inner | leaf(c.getField(g.name), g.dataType, g)
+                return c.isNotNull() & inner
             return c.isNotNull()
 
         return self.field_pred(field, leaf)

@@ -7,12 +7,11 @@ score(d) = sum over query terms t of
 (the form used by current Lucene versions; k1 = 1.2, b = 0.75 by default;
 document lengths are exact token counts, not Lucene's one-byte norms).
 
-Plan: one pass tokenizes each document once and keeps only a narrow row
-(ids, length, one term frequency per query term); that row set is
-checkpointed to the shared folder, so the text is read and tokenized once.
-The corpus statistics (N, average length, document frequencies) are one
-global aggregate over it (partial aggregation, a single small row back);
-the scores are a projection.  No shuffle of document rows at all.
+Plan: the corpus statistics (N and average length over documents that have
+the field, document frequencies) are one global aggregate over narrow rows
+(partial aggregation, a single small row back); the scores are a projection
+over the matching documents.  No shuffle of document rows at all, and nothing
+is stored between the two passes unless ``checkpoint`` asks for it.
 """
 
 from __future__ import annotations
@@ -140,8 +139,18 @@ class _Scorer:
         self.stats = _Stats(df)
         self.k1, self.b = k1, b
 
-    # pass 1: register what the statistics must contain; returns a builder
     def plan(self, q: dict):
+        """A builder of the query's score column; its boost multiplies."""
+        build = self._plan(q)
+        (name, p), = q.items()
+        boost = 1.0
+        if isinstance(p, dict) and name != "constant_score":
+            spec = next(iter(p.values())) if len(p) == 1 and "boost" not in p else p
+            boost = float(spec.get("boost", 1.0)) if isinstance(spec, dict) else 1.0
+        return build if boost == 1.0 else lambda: build() * F.lit(boost)
+
+    # pass 1: register what the statistics must contain; returns a builder
+    def _plan(self, q: dict):
         from docindex.functions.query import _is_text
         (name, p), = q.items()
         cond = self.qc.compile(q)
@@ -165,8 +174,10 @@ class _Scorer:
                 return guarded(lambda: _sum([self._bm25(field, t, s) for t, s in zip(toks, slots)]))
             return guarded(lambda: F.lit(1.0))
         if name == "multi_match":
-            fields = self.qc.resolve_fields(p.get("fields") or [])
-            subs = [self.plan({"match": {f: {"query": p["query"]}}}) for f in fields]
+            weighted = [(f, float((x.split("^", 1) + ["1"])[1])) for x in p.get("fields") or ["*"] for f in self.qc.resolve_fields([x])]
+            if not p.get("fields"):  # all text fields
+                weighted = [(f, w) for f, w in weighted if self._field(f) is not None and _is_text(self._field(f), self._field(f).dataType, full_text=True)]
+            subs = [self.plan({"match": {f: {"query": p["query"], "boost": w}}}) for f, w in weighted]
             kind = p.get("type", "best_fields")
             tie = float(p.get("tie_breaker", 0.0))
             if kind in ("most_fields", "cross_fields"):

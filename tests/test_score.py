@@ -45,3 +45,15 @@ def test_scoring_does_not_shuffle_documents(spark):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_boosts_inner_bool_and_default_fields(spark):
+    from docindex.operators.score import search
+    rows = [("1", "alpha"), ("2", "alpha beta"), ("3", "gamma"), ("4", None)]
+    df = spark.createDataFrame(rows, "_id string, text string")
+    score = lambda q: {r._id: r._score for r in search(df, q, track_scores=True).collect()}
+    plain = score({"match": {"text": {"query": "alpha"}}})
+    assert {i: round(s / plain[i], 6) for i, s in score({"match": {"text": {"query": "alpha", "boost": 10}}}).items()} == {"1": 10, "2": 10}
+    assert {i: round(s / plain[i], 6) for i, s in score({"multi_match": {"query": "alpha", "fields": ["text^5"]}}).items()} == {"1": 5, "2": 5}
+    both = score({"bool": {"should": [{"bool": {"must": [{"match": {"text": "alpha"}}, {"match": {"text": "beta"}}]}}, {"match_all": {}}]}})
+    assert both["1"] == 1.0 and both["2"] > 1.0 and both["3"] == 1.0
