@@ -844,3 +844,76 @@ def q_hits_jsonl_files(spark, sf_dir):
     flat = read_hits_json(spark, path, schema)
     return flat.select("_index", "_id", "o_orderkey", "o_custkey", "o_orderstatus",
                        F.round("o_totalprice", 2).alias("o_totalprice"))
+
+
+# ---------------------------------------------------------------------------
+# Null values, automatic ids, every date format, arrays of objects
+# ---------------------------------------------------------------------------
+
+def _labelled(spark, sf_dir):
+    """Documents with their labels; null where there are none."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
+
+
+@register("bulk_auto_id")
+def q_bulk_auto_id(spark, sf_dir):
+    """Actions without ids, many of them equal: a document for each."""
+    acts = table(spark, sf_dir, "events").select("event_type", F.col("user_id").alias("o"))
+    empty = spark.createDataFrame([], "_id string, event_type string")
+    out = apply_bulk(empty, bulk_actions(acts, op_type="index", source_fields=["event_type"], order_col="o"), order_col="o")
+    return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("_id").alias("ids"))
+
+
+#: Date-only formats by what their text tells: the day, the month's or year's
+#: first, the week's or week-year's first.
+DATE_FORMS = {
+    "day": {"date": "yyyy-M-d", "strict_date": "yyyy-MM-dd", "year_month_day": "yyyy-M-d", "strict_year_month_day": "yyyy-MM-dd", "yyyy-MM-dd": "yyyy-MM-dd", "basic_date": "yyyyMMdd",
+            "basic_ordinal_date": "yyyyDDD", "ordinal_date": "yyyy-D", "strict_ordinal_date": "yyyy-DDD"},
+    "month": {"year_month": "yyyy-M", "strict_year_month": "yyyy-MM"},
+    "year": {"year": "yyyy", "strict_year": "yyyy"},
+    "week_day": {"basic_week_date": "%04dW%02d%d", "week_date": "%04d-W%02d-%d", "strict_week_date": "%04d-W%02d-%d", "weekyear_week_day": "%04d-W%02d-%d", "strict_weekyear_week_day": "%04d-W%02d-%d"},
+    "week": {"weekyear_week": "%04d-W%02d", "strict_weekyear_week": "%04d-W%02d"},
+    "weekyear": {"weekyear": "%04d", "strict_weekyear": "%04d"},
+}
+
+
+@register("types_dates_all")
+def q_types_dates_all(spark, sf_dir):
+    """Every date-only format, written and read back."""
+    d = F.to_date("ts")
+    dow = (F.dayofweek(d) + 5) % 7 + 1
+    parts = [F.year(F.date_add(d, (4 - dow).cast("int"))), F.weekofyear(d), dow]
+    cols = []
+    for kind, forms in DATE_FORMS.items():
+        for name, shape in forms.items():
+            text = F.format_string(shape, *parts[:shape.count("%")]) if "%" in shape else F.date_format(d, shape)
+            cols.append(parse_date(text, name).cast("string").alias(name.replace("-", "_").lower()))
+    return table(spark, sf_dir, "events").select("event_id", *cols)
+
+
+def _far_ids(row: dict, doc) -> dict:
+    return {"doc_id": row["doc_id"], "far": row["doc_id"] + 9007199254740993, "quality": row["quality"], "toxic": row["toxic"]}
+
+
+@register("map_documents_nullable")
+def q_map_documents_nullable(spark, sf_dir):
+    """Nullable and very large integers pass through user code unchanged."""
+    return map_documents(_labelled(spark, sf_dir), DocModel, _far_ids, "doc_id long, far long, quality int, toxic int")
+
+
+@register("hits_json_nulls")
+def q_hits_json_nulls(spark, sf_dir):
+    """Null fields are written as null, not left out."""
+    text = hits_to_json(as_hits(_labelled(spark, sf_dir), "documents", "doc_id"), "hit")
+    return text.agg(F.count(F.lit(1)).alias("hits"), F.sum(F.col("hit").contains('"quality":null').cast("long")).alias("null_quality"), F.sum(F.col("hit").contains('"toxic":null').cast("long")).alias("null_toxic"))
+
+
+@register("query_nested_array")
+def q_nested_array(spark, sf_dir):
+    """The nested query over an array of objects: both conditions in one object."""
+    ev = table(spark, sf_dir, "events").select("event_id", F.array(
+        F.struct(F.col("event_type").alias("name"), F.col("value").alias("num")),
+        F.struct(F.lit("user").alias("name"), F.col("user_id").cast("double").alias("num"))).alias("parts"))
+    q = {"nested": {"path": "parts", "query": {"bool": {"must": [{"term": {"parts.name": "click"}}, {"range": {"parts.num": {"gte": 50}}}]}}}}
+    return where_query(ev, q).select("event_id")

@@ -412,3 +412,31 @@ SELECT 'orders' AS _index, CAST(o_orderkey AS VARCHAR) AS _id, o_orderkey, o_cus
        round(o_totalprice, 2) AS o_totalprice
 FROM orders
 """
+
+# --- nulls, automatic ids, every date format, arrays of objects -------------------
+ORACLE["bulk_auto_id"] = "SELECT event_type, count(*) AS n, count(*) AS ids FROM events GROUP BY event_type"
+
+_DATE_KINDS = {
+    "day": "ts::DATE", "week_day": "ts::DATE", "month": "date_trunc('month', ts)", "year": "date_trunc('year', ts)",
+    "week": "date_trunc('week', ts)", "weekyear": "date_trunc('week', make_date(isoyear(ts)::BIGINT, 1, 4))",
+}
+
+
+def _dates_all() -> str:
+    from docindex.plans.catalog import DATE_FORMS
+    cols = [f"strftime({_DATE_KINDS[kind]}, '%Y-%m-%d') AS {name.replace('-', '_').lower()}" for kind, forms in DATE_FORMS.items() for name in forms]
+    return f"SELECT event_id, {', '.join(cols)} FROM events"
+
+
+ORACLE["types_dates_all"] = _dates_all()
+
+ORACLE["map_documents_nullable"] = """
+SELECT d.doc_id, d.doc_id + 9007199254740993 AS far, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)
+"""
+
+ORACLE["hits_json_nulls"] = """
+SELECT count(*) AS hits, sum((l.quality IS NULL)::INT)::BIGINT AS null_quality, sum((l.toxic IS NULL)::INT)::BIGINT AS null_toxic
+FROM documents d LEFT JOIN labels l USING (doc_id)
+"""
+
+ORACLE["query_nested_array"] = "SELECT event_id FROM events WHERE (event_type = 'click' AND value >= 50) OR ('user' = 'click' AND user_id >= 50)"

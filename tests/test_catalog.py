@@ -45,7 +45,7 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow
                 "FlatMapGroupsInPandas")
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"map_documents", "map_document_batches"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"map_documents", "map_document_batches", "map_documents_nullable"}))
 def test_no_python_in_local_plans(spark, name):
     """Everything except user document transforms stays in the JVM."""
     df = E.queries()[name](spark, SF)
