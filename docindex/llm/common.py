@@ -185,9 +185,5 @@ def components(spark: SparkSession, edges: DataFrame, label: str = "components")
     return stored(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()), label)
 
 
-def doc_hash(*cols) -> "F.Column":
-    return F.xxhash64(*cols)
-
-
 def unique(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex}"
