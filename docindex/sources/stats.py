@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 def size_estimate(df: DataFrame) -> DataFrame:
     """Files and stored bytes behind a file-based DataFrame.
 
-    Uses the hidden ``_metadata`` column of file sources, so only metadata
-    is read; the distinct step is a partial aggregate per task.
+    Reads the listing only (names and lengths, a row a file), no rows.
     """
-    files = df.select(F.col("_metadata.file_path").alias("path"),
-                      F.col("_metadata.file_size").alias("size")).distinct()
-    return files.agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
+    files = df.inputFiles()
+    if not files:
+        return df.sparkSession.range(1).select(F.lit(0).cast("long").alias("files"), F.lit(None).cast("long").alias("bytes"))
+    listing = df.sparkSession.read.format("binaryFile").load(files).select("path", "length")
+    return listing.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
