@@ -10,7 +10,8 @@ Equal codes are one index entry that keeps its k smallest ids: no more of them
 can be in a result, and a code that a third of all rows share is one entry.
 Queries with equal codes are searched once.  When probes would outnumber the
 distinct codes, the queries still open are compared with all of them in
-blocks, which is exact as well.
+blocks, which is exact as well.  A block hands on only each query's nearest
+candidates, never all of them.
 """
 
 from __future__ import annotations
@@ -18,12 +19,16 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
 
 BITS = 64
+#: Codes of one block of a segment, about.
+BLOCK_CODES = 500_000
 
 
 def sign_code(vector: Column, bits: int = BITS) -> Column:
@@ -45,6 +50,36 @@ def _masks(width: int, radius: int) -> list[int]:
     return [sum(1 << b for b in c) for c in combinations(range(width), radius)]
 
 
+def _probe(masks: list[int], k: int):
+    """Of one block of a segment: each query's candidates, that is the codes
+    whose value differs from the query's by one of ``masks``; of these the k
+    nearest, and all as near as the last of them."""
+    flips = np.array(masks, np.int64)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = [np.zeros((4, 0), np.int64)]
+        if left.num_rows and right.num_rows:
+            v, code, c = (right.column(n).to_numpy().astype(np.int64) for n in ("v", "code", "c"))
+            order = np.argsort(v, kind="stable")
+            v, code, c = v[order], code[order], c[order]
+            value, first = np.unique(v, return_index=True)
+            size = np.diff(np.append(first, len(v)))
+            for q, x in zip(left.column("q").to_pylist(), left.column("v").to_pylist()):
+                probe = flips ^ x
+                at = np.minimum(np.searchsorted(value, probe), len(value) - 1)
+                at = at[value[at] == probe]
+                n = size[at]
+                rows = np.arange(int(n.sum())) + np.repeat(first[at] - (np.cumsum(n) - n), n)
+                d = np.bitwise_count((code[rows] ^ q).view(np.uint64)).astype(np.int64)
+                if len(rows) > k:
+                    near = d <= np.partition(d, k - 1)[k - 1]
+                    rows, d = rows[near], d[near]
+                out.append(np.stack([np.full(len(rows), q, np.int64), code[rows], c[rows], d]))
+        q, code, c, d = np.concatenate(out, axis=1)
+        return pa.table({"q": q, "code": code, "c": c, "d": d.astype(np.int32)})
+    return run
+
+
 def top_k(points: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", segments: int | None = None) -> DataFrame:
     """For each row of ``queries`` (id, code) its ``k`` nearest rows of
     ``points`` (id, code): query_id, rank (from 1), id and distance; nearer
@@ -67,7 +102,10 @@ def top_k(points: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
         # segments of about log2(n) bits: a value has about one entry
         segments = min((m for m in (2, 4, 8, 16) if BITS // m <= 16), key=lambda m: abs(BITS / m - math.log2(max(n, 2))))
     width = BITS // segments
-    index = stored(codes.select("code", "c", F.posexplode(F.array(*_segments(F.col("code"), segments))).alias("s", "v")), "index")
+    # a segment's values lie in blocks of bounded size
+    blocks = max(8, math.ceil(n / BLOCK_CODES))
+    index = codes.select("code", "c", F.posexplode(F.array(*_segments(F.col("code"), segments))).alias("s", "v"))
+    index = stored(index.withColumn("b", F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int")), "index")
     open_ = stored(q.select("q").distinct(), "queries")
     best, radius = None, 0
     done = []
@@ -78,16 +116,13 @@ def top_k(points: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
         masks = math.comb(width, radius)
         if radius > width or masks * segments >= max(n, 1):
             # as many probes as codes: compare with all, in blocks of codes
-            blocks = max(1, math.ceil(n / 20_000))
-            spread = open_.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-            found = spread.join(codes.withColumn("block", F.pmod(F.xxhash64("code"), F.lit(blocks)).cast("int")), "block").select("q", "code", "c")
-            found = found.withColumn("d", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))))
+            spread = open_.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("v", F.lit(0).cast("long"))
+            every = codes.withColumn("b", F.pmod(F.xxhash64("code"), F.lit(blocks)).cast("int")).withColumn("v", F.lit(0).cast("long"))
+            found = spread.groupBy("b").cogroup(every.groupBy("b")).applyInArrow(_probe([0], k), "q long, code long, c long, d int")
             done.append(_nearest(found, k))
             break
-        probes = (open_.select("q", F.posexplode(F.array(*_segments(F.col("q"), segments))).alias("s", "v"))
-                  .select("q", "s", F.explode(F.array(*(F.lit(m) for m in _masks(width, radius)))).alias("m"), "v")
-                  .select("q", "s", F.col("v").bitwiseXOR(F.col("m").cast("long")).alias("v")))
-        found = probes.join(index, ["s", "v"]).select("q", "code", "c").withColumn("d", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))))
+        asked = open_.select("q", F.posexplode(F.array(*_segments(F.col("q"), segments))).alias("s", "v")).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        found = asked.groupBy("s", "b").cogroup(index.groupBy("s", "b")).applyInArrow(_probe(_masks(width, radius), k), "q long, code long, c long, d int")
         if best is not None:
             found = found.unionByName(best.join(open_, "q"))
         best = stored(_nearest(found, k), "nearest")
