@@ -9,6 +9,10 @@ then fitted anew.  At the end each side's scores are calibrated on labelled
 documents it was not fitted on, and a weighting fitted there combines them.
 Every document is then scored by the whole text.
 
+Toxicity is a cut of its own: words that labelled toxic documents have more
+often than others carry evidence, and a document counts by its strongest word,
+however long it is.
+
 Fitting works on bounded samples (LABELLED and POOL documents, chosen by a
 hash of the id); scoring covers all documents.
 """
@@ -43,15 +47,16 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def text_features(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashed words as (row, feature, value), and a dense block (rows x
-    BYTES + SHAPE) of character shares and repetition, for a run of texts."""
+def text_features(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed words as (row, feature, value), a dense block (rows x
+    BYTES + SHAPE) of character shares and repetition, and the words' 64-bit
+    names, for a run of texts."""
     rows = len(offs) - 1
     size = np.diff(offs)
     row = np.repeat(np.arange(rows), size)
     dense = np.zeros((rows, BYTES + SHAPE))
     if not len(buf):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), dense
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), dense, np.zeros(0, np.uint64)
     dense[:, :BYTES] = np.bincount(row * 256 + buf, minlength=rows * 256).reshape(rows, 256) / np.maximum(size, 1)[:, None]
     text = _LOWER[buf]
     word = _WORD[text]
@@ -75,7 +80,7 @@ def text_features(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nda
     same = (name[1:] == name[:-1]) & (at[1:] == at[:-1])
     dense[:, BYTES + 4] = np.bincount(at[1:][same], minlength=rows) / np.maximum(words, 1)
     dense[:, BYTES + 5] = words > 0
-    return at, slot, value, dense
+    return at, slot, value, dense, name
 
 
 def meta_columns(docs: DataFrame) -> list:
@@ -136,6 +141,58 @@ def calibrate(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]) / scale, float(b)
 
 
+def cut_of(p: np.ndarray, good: np.ndarray) -> float:
+    """The cut that loses least, a good document counted four times; among
+    equals the lowest, which keeps most."""
+    cuts = np.append(0.5, np.unique(p))
+    loss = [((p < c) & good).sum() / max(good.sum(), 1) * 4 + ((p >= c) & ~good).sum() / max((~good).sum(), 1) for c in cuts]
+    best = cuts[np.flatnonzero(np.isclose(loss, min(loss)))]
+    below = p[p < best.min()]
+    return float(best.min() if not len(below) else (best.min() + below.max()) / 2)
+
+
+@dataclass(frozen=True)
+class Toxicity:
+    """Words (64-bit names, ascending) that speak for toxicity, the log odds
+    each carries at least, the scale of a document's strongest, and the cut."""
+
+    names: np.ndarray
+    weight: np.ndarray
+    scale: tuple[float, float]
+    cut: float
+
+    def strongest(self, row: np.ndarray, name: np.ndarray, rows: int) -> np.ndarray:
+        """The weight of each row's strongest word, 0 without any."""
+        out = np.zeros(rows)
+        if len(self.names):
+            at = np.minimum(np.searchsorted(self.names, name), len(self.names) - 1)
+            hit = self.names[at] == name
+            np.maximum.at(out, row[hit], self.weight[at[hit]])
+        return out
+
+    def score(self, strongest: np.ndarray) -> np.ndarray:
+        return _sigmoid(self.scale[0] * strongest + self.scale[1])
+
+
+def fit_toxicity(words: list[np.ndarray], toxic: np.ndarray, fitted: np.ndarray, held: np.ndarray) -> Toxicity | None:
+    """Evidence from the distinct words of the ``fitted`` documents, scale and
+    cut from the ``held`` ones; None unless both have toxic and other ones."""
+    if min(len(set(toxic[fitted])), len(set(toxic[held]))) < 2:
+        return None
+    sides = [np.concatenate([np.zeros(0, np.uint64), *(words[i] for i in fitted if toxic[i] == v)]) for v in (False, True)]
+    names, with_it = np.unique(sides[1], return_counts=True)
+    others, count = np.unique(sides[0], return_counts=True)
+    at = np.minimum(np.searchsorted(others, names), max(len(others) - 1, 0))
+    without = np.where(others[at] == names, count[at], 0) if len(others) else np.zeros(len(names))
+    n = [(toxic[fitted] == v).sum() + 1 for v in (False, True)]
+    # two standard errors below the estimate: chance words count for little
+    weight = np.log((with_it + 0.5) / n[1]) - np.log((without + 0.5) / n[0]) - 2 * np.sqrt(1 / (with_it + 0.5) + 1 / (without + 0.5))
+    told = Toxicity(names[weight > 0], weight[weight > 0], (0.0, 0.0), 0.0)
+    strongest = told.strongest(np.repeat(np.arange(len(held)), [len(words[i]) for i in held]), np.concatenate([words[i] for i in held]), len(held))
+    # the strongest word itself is cut, so it doesn't matter how the scale came out
+    return Toxicity(told.names, told.weight, calibrate(strongest, toxic[held].astype(float)), -cut_of(-strongest, ~toxic[held]))
+
+
 @dataclass(frozen=True)
 class Model:
     text: tuple[np.ndarray, float]
@@ -144,23 +201,25 @@ class Model:
     meta_scale: tuple[float, float]
     blend: tuple[float, float, float]
     threshold: float
+    toxicity: Toxicity | None
 
 
 def _gather(batches):
     """Features of sampled documents, one row each."""
     for batch in batches:
         buf, offs = as_bytes(batch.column("text"))
-        cols, vals = [], []
+        cols, vals, words = [], [], []
         for i, j in runs(offs):
-            row, slot, value, dense = text_features(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+            row, slot, value, dense, name = text_features(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
             for k in range(j - i):
                 a, b = np.searchsorted(row, [k, k + 1])
                 u, c = np.unique(slot[a:b], return_counts=True)
                 filled = np.flatnonzero(dense[k])
                 cols.append(np.concatenate([u, (1 << WORD_BITS) + filled]).astype(np.int32))
                 vals.append(np.concatenate([c * (value[a] if b > a else 0.0), dense[k][filled]]).astype(np.float32))
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("good", "meta")), pa.array([c.tobytes() for c in cols], pa.binary()), pa.array([v.tobytes() for v in vals], pa.binary())],
-                                         names=["good", "meta", "cols", "vals"])
+                words.append(np.unique(name[a:b]) if batch.column("good")[i + k].is_valid else name[:0])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("good", "toxic", "meta")), *(pa.array([x.tobytes() for x in xs], pa.binary()) for xs in (cols, vals, words))],
+                                         names=["good", "toxic", "meta", "cols", "vals", "words"])
 
 
 def _meta_slots(meta: pd.Series) -> list[np.ndarray]:
@@ -168,33 +227,36 @@ def _meta_slots(meta: pd.Series) -> list[np.ndarray]:
 
 
 def samples(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(good, meta, text): up to about LABELLED labelled documents, and POOL
-    others with a null label.  Good: quality 1 and not toxic; of repeated
-    labels the worst counts."""
+    """(good, toxic, meta, text): up to about LABELLED labelled documents, and
+    POOL others with null labels.  Good: quality 1; of repeated labels the
+    worst counts."""
     spark = docs.sparkSession
     bound = lambda n, most: F.lit(min(1.0, most / max(n, 1)) * (1 << 20))
     told = (labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
-            .agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t")).select("doc_id", ((F.col("q") == 1) & (F.col("t") == 0)).cast("double").alias("good")))
+            .agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t")).select("doc_id", (F.col("q") == 1).cast("double").alias("good"), (F.col("t") != 0).alias("toxic")))
     dice = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 20))
     some = told.where(dice("label") < bound(told.count(), LABELLED))
     some = some.orderBy(F.xxhash64(F.lit("label"), "doc_id")).limit(2 * LABELLED)
     ids = docs.select("doc_id").where("doc_id is not null")
     pool = ids.where(dice("pool") < bound(ids.count(), POOL)).distinct().join(told.select("doc_id"), "doc_id", "left_anti")
-    pool = pool.orderBy(F.xxhash64(F.lit("pool"), "doc_id")).limit(2 * POOL).withColumn("good", F.lit(None).cast("double"))
+    pool = pool.orderBy(F.xxhash64(F.lit("pool"), "doc_id")).limit(2 * POOL).withColumn("good", F.lit(None).cast("double")).withColumn("toxic", F.lit(None).cast("boolean"))
     # at most 2 * (LABELLED + POOL) short rows: small at any input size
     chosen = F.broadcast(some.unionByName(pool).withColumnRenamed("doc_id", "__id"))
     return (docs.where("text is not null").join(chosen, F.col("doc_id") == F.col("__id"))
-            .select("good", F.array(*meta_columns(docs)).alias("meta"), F.col("text").cast("string").alias("text")))
+            .select("good", "toxic", F.array(*meta_columns(docs)).alias("meta"), F.col("text").cast("string").alias("text")))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """A model from ``docs`` (doc_id, text and any of source, lang, n_chars)
     and ``labels`` (doc_id, quality, toxic); None unless both classes occur."""
     bounded_batches(docs.sparkSession)
-    got = samples(docs, labels).mapInArrow(lean(_gather), "good double, meta array<string>, cols binary, vals binary").toPandas()
-    got = got.sort_values(["cols", "vals"]).reset_index(drop=True)  # the order of tasks doesn't matter
+    got = samples(docs, labels).mapInArrow(lean(_gather), "good double, toxic boolean, meta array<string>, cols binary, vals binary, words binary").toPandas()
+    got = got.sort_values(["cols", "vals", "good", "toxic"]).reset_index(drop=True)  # the order of tasks doesn't matter
     y = got.good.to_numpy(float)
     known = np.flatnonzero(~np.isnan(y))
+    toxic = got.toxic.isin([True]).to_numpy(bool)
+    if len(set(y[known])) < 2:  # labels that differ in toxicity only
+        y = np.where(toxic & (y > 0.5), 0.0, y)
     if len(known) < 4 or len(set(y[known])) < 2:
         return None
     cols, vals = [np.frombuffer(c, np.int32) for c in got.cols], [np.frombuffer(v, np.float32) for v in got.vals]
@@ -237,13 +299,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     w, b = fit(both, y[held], steps=200, l2=1e-4)
     blend = (w[0] / 4, w[1] / 4, float(b))
     p = _sigmoid(blend[0] * odds[0] + blend[1] * odds[1] + blend[2])
-    # the cut that loses least, a good document counted four times; among equals the lowest keeps most
-    cuts = np.append(0.5, np.unique(p))
-    loss = [(((p < c) & (y[held] > 0.5)).sum() / max((y[held] > 0.5).sum(), 1)) * 4 + (((p >= c) & (y[held] < 0.5)).sum() / max((y[held] < 0.5).sum(), 1)) for c in cuts]
-    best = cuts[np.flatnonzero(np.isclose(loss, min(loss)))]
-    below = p[p < best.min()]
-    threshold = float(best.min() if not len(below) else (best.min() + below.max()) / 2)
-    return Model(models[0], models[1], scales[0], scales[1], blend, threshold)
+    threshold = cut_of(p, y[held] > 0.5)
+    toxicity = fit_toxicity([np.frombuffer(w, np.uint64) for w in got.words], toxic, fitted, held)
+    return Model(models[0], models[1], scales[0], scales[1], blend, threshold, toxicity)
 
 
 def _score(shared, columns):
@@ -252,11 +310,12 @@ def _score(shared, columns):
         w, b = m.text
         for batch in batches:
             buf, offs = as_bytes(batch.column("text"))
-            text = [np.zeros(0)]
+            text, strongest = [np.zeros(0)], [np.zeros(0)]
             for i, j in runs(offs):
-                row, slot, value, dense = text_features(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+                row, slot, value, dense, name = text_features(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
                 text.append(np.bincount(row, w[slot] * value, minlength=j - i) + dense @ w[1 << WORD_BITS:] + b)
-            text = np.concatenate(text)
+                strongest.append(m.toxicity.strongest(row, name, j - i) if m.toxicity else np.zeros(j - i))
+            text, strongest = np.concatenate(text), np.concatenate(strongest)
             lists = batch.column("meta")
             words = lists.flatten().dictionary_encode()
             slot = np.concatenate([np.zeros(0, np.int64), *_meta_slots(pd.Series([words.dictionary.to_pylist()]))])[words.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
@@ -264,16 +323,20 @@ def _score(shared, columns):
             meta = m.meta[0][slot].reshape(len(text), per).sum(axis=1) + m.meta[1] if len(text) else np.zeros(0)
             odds = [a * s + c for (a, c), s in zip((m.text_scale, m.meta_scale), (text, meta))]
             p = _sigmoid(m.blend[0] * odds[0] + m.blend[1] * odds[1] + m.blend[2])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(_sigmoid(odds[0])), pa.array(_sigmoid(odds[1])), pa.array(p)],
-                                             names=[*columns, "text_score", "meta_score", "score"])
+            toxic = m.toxicity.score(strongest) if m.toxicity else np.zeros(len(p))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(_sigmoid(odds[0])), pa.array(_sigmoid(odds[1])), pa.array(p * (1 - toxic)),
+                                              pa.array(toxic), pa.array((p >= m.threshold) & (strongest <= m.toxicity.cut if m.toxicity else True))],
+                                             names=[*columns, "text_score", "meta_score", "score", "toxic_score", "keep"])
     return run
 
 
 def classify(docs: DataFrame, model: Model | None) -> DataFrame:
     """``row`` (a struct of all columns of ``docs``), text_score, meta_score,
-    score (0 to 1) and keep, for every row.
+    score (0 to 1), toxic_score and keep, for every row.
 
-    A null or empty text scores 0 and is not kept.  Without a model (no labels
+    score is the probability of quality times that of not being toxic; keep
+    asks for enough quality and for no word beyond the cut of toxicity.
+    Without toxic labels toxic_score is 0.  A null or empty text scores 0 and is not kept.  Without a model (no labels
     of both kinds) every document with text is kept with score null.
     """
     spark = docs.sparkSession
@@ -282,8 +345,8 @@ def classify(docs: DataFrame, model: Model | None) -> DataFrame:
     df = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.array(*meta_columns(docs)).alias("meta"), text.alias("text"), (F.length(text) > 0).alias("some"))
     if model is None:
         none = F.lit(None).cast("double")
-        return df.select("row", none.alias("text_score"), none.alias("meta_score"), F.when(~F.col("some"), 0.0).alias("score"), F.col("some").alias("keep"))
+        return df.select("row", none.alias("text_score"), none.alias("meta_score"), F.when(~F.col("some"), 0.0).alias("score"), none.alias("toxic_score"), F.col("some").alias("keep"))
     kind = df.schema["row"].dataType.simpleString()
-    out = df.mapInArrow(lean(_score(spark.sparkContext.broadcast(model), ["row", "some"])), f"row {kind}, some boolean, text_score double, meta_score double, score double")
-    return out.select("row", "text_score", "meta_score", F.when(F.col("some"), F.col("score")).otherwise(0.0).alias("score"),
-                      (F.col("some") & (F.col("score") >= model.threshold)).alias("keep"))
+    out = df.mapInArrow(lean(_score(spark.sparkContext.broadcast(model), ["row", "some"])), f"row {kind}, some boolean, text_score double, meta_score double, score double, toxic_score double, keep boolean")
+    return out.select("row", "text_score", "meta_score", F.when(F.col("some"), F.col("score")).otherwise(0.0).alias("score"), "toxic_score",
+                      (F.col("some") & F.col("keep")).alias("keep"))

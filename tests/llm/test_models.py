@@ -49,6 +49,28 @@ def test_quality_held_out(spark):
     assert np.mean(good) > 0.98 and np.mean(bad) < 0.1
 
 
+def test_quality_held_out_toxic(spark):
+    """Toxic documents of good quality, which the quality cut can't see."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
+    out = quality.classify(docs, quality.train(docs, labels.where(~held))).select("row.doc_id", "keep").join(labels.where(held), "doc_id").collect()
+    kept = {k: float(np.mean([r.keep for r in out if (r.quality, r.toxic) == k])) for k in ((1, 0), (1, 1), (0, 0), (0, 1))}
+    print("kept of (quality, toxic):", kept)
+    assert kept[1, 1] < 0.15 and kept[1, 0] > 0.98, kept
+
+
+def test_one_toxic_word_of_a_long_text(spark):
+    rng = np.random.default_rng(3)
+    def text(i, n, toxic):
+        words = [f"w{k}" for k in rng.integers(0, 300, n)] if i % 5 else ["###"] * n
+        return " ".join(words[:n // 2] + ["badword"] * toxic + words[n // 2:])
+    docs = spark.createDataFrame([(i, text(i, 40 if i < 400 else 4000, i % 4 == 0)) for i in range(440)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 > 0), int(i % 4 == 0)) for i in range(400)], "doc_id long, quality int, toxic int")
+    out = {r.doc_id: r.keep for r in quality.classify(docs, quality.train(docs, labels)).select("row.doc_id", "keep").collect()}
+    assert all(not out[i] for i in range(440) if i % 4 == 0) and all(out[i] for i in range(440) if i % 4 and i % 5)
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, None, "s", 5, "a"), (2, "", None, None, "b"), (3, "w " * 40_000, "s", 1, None), (3, "good text", "s", 1, "c"), (None, "x", "s", 1, "d")],
                                  "doc_id long, text string, source string, n_chars long, score string")
