@@ -3,9 +3,13 @@
 Two classifiers see a document from different sides: one its text (hashed
 words, shares of characters, repetition), the other its metadata (source,
 language, length, and how length and language fit together).  Both start from
-the labelled sample.  In each round each scores a pool of unlabelled documents
-and hands those it is surest about, with its verdict, to the other; both are
-then fitted anew.  At the end each side's scores are calibrated on labelled
+a sample of the labelled documents.  In each round a Spark job scores every
+other document with both sides; each side hands those it is sure about, by a
+threshold on its probability for their source and language, with its verdict
+to the other.  Each side is then fitted anew: the handed documents come as sums
+of their gradients over the whole corpus, the labelled sample gives the
+curvature (a surrogate of the whole loss, as in distributed learning with one
+exchange a round).  At the end each side's scores are calibrated on labelled
 documents it was not fitted on, and a weighting fitted there combines them.
 Every document is then scored by the whole text.
 
@@ -13,8 +17,8 @@ Toxicity is a cut of its own: words that labelled toxic documents have more
 often than others carry evidence, and a document counts by its strongest word,
 however long it is.
 
-Fitting works on bounded samples (LABELLED and POOL documents, chosen by a
-hash of the id); scoring covers all documents.
+Only labelled documents are sampled (LABELLED, by a hash of the id); labelled
+documents outside the sample take part as unlabelled ones.
 """
 
 from __future__ import annotations
@@ -27,16 +31,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Names, as_bytes, bounded_batches, lean, runs
+from .common import Names, as_bytes, bounded_batches, lean, lean_group, runs, stored
 
-#: Bounds on the fitted samples, in documents.
+#: Bound on the sample of labelled documents.
 LABELLED = 4000
-POOL = 4000
 ROUNDS = 3
-#: Pseudo-labels that one side hands over in a round, of each class.
-HAND_OVER = 150
+#: A side hands over the documents whose verdict it gives this probability.
+SURE = 0.95
+#: Weight of all handed documents together, against the labelled sample's 1 - this.
+HANDED = 0.5
+#: Pull towards the fit at which a round's sums were taken.
+PULL = 1e-3
 WORD_BITS = 15
 META_BITS = 12
+#: The sums of a round travel in so many parts.
+PARTS = 64
 BYTES = 256
 SHAPE = 6
 #: Text features: hashed words, bytes, and figures of the whole text.
@@ -118,18 +127,27 @@ class Sparse:
         return Sparse(np.repeat(np.arange(len(rows)), n), self.col[i], self.val[i], len(rows), self.cols)
 
 
-def fit(x: Sparse, y: np.ndarray, start=None, steps: int = 120, l2: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Logistic regression with balanced classes, by adaptive gradient steps."""
+def balance(y: np.ndarray) -> np.ndarray:
+    return np.where(y > 0.5, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)) / len(y)
+
+
+def fit(x: Sparse, y: np.ndarray, start=None, steps: int = 120, l2: float = 1e-3, shift=None) -> tuple[np.ndarray, float]:
+    """Logistic regression with balanced classes, by adaptive gradient steps.
+
+    ``shift`` (weights, offset, pull) is added to the gradient: what other
+    documents add to it at ``start``, with a pull towards ``start``."""
     w, b = (start[0].copy(), start[1]) if start is not None else (np.zeros(x.cols), 0.0)
-    weight = np.where(y > 0.5, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)) / len(y)
+    weight = balance(y)
     g2, gb2 = np.full(x.cols, 1e-8), 1e-8
     for _ in range(steps):
         r = (_sigmoid(x.dot(w) + b) - y) * weight
-        g = x.tdot(r) + l2 * w / 10
+        g, gb = x.tdot(r) + l2 * w / 10, r.sum()
+        if shift is not None:
+            g, gb = g + shift[0] + shift[2] * (w - start[0]), gb + shift[1]
         g2 += g * g
-        gb2 += r.sum() ** 2
+        gb2 += gb ** 2
         w -= 0.5 * g / np.sqrt(g2)
-        b -= 0.5 * r.sum() / np.sqrt(gb2)
+        b -= 0.5 * gb / np.sqrt(gb2)
     return w, b
 
 
@@ -141,6 +159,37 @@ def calibrate(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]) / scale, float(b)
 
 
+@dataclass(frozen=True)
+class Side:
+    """One side in a round: its fit, its scale, and by source and language
+    how the labelled documents shift its log odds (others: not at all)."""
+
+    fit: tuple[np.ndarray, float]
+    scale: tuple[float, float]
+    shifts: dict[str, float]
+    trusted: bool
+
+    def verdict(self, score: np.ndarray, group: list[str]) -> np.ndarray:
+        """1 surely good, 0 surely bad, -1 neither; a side that doesn't beat
+        the commoner class is never sure."""
+        p = _sigmoid(self.scale[0] * score + self.scale[1] + np.array([self.shifts.get(g, 0.0) for g in group]))
+        return np.where(p >= SURE, 1, np.where(p <= 1 - SURE, 0, -1)) if self.trusted else np.full(len(score), -1)
+
+
+def side_of(fitted: tuple[np.ndarray, float], score: np.ndarray, y: np.ndarray, group: np.ndarray) -> Side:
+    """Scale, shifts and trust from labelled documents outside the fit."""
+    scale = calibrate(score, y)
+    # balanced classes count alike in the scale; a verdict needs their real odds
+    real = np.log(max(y.mean(), 1e-9) / max(1 - y.mean(), 1e-9))
+    scale = (scale[0], scale[1] + real)
+    p = _sigmoid(scale[0] * score + scale[1])
+    frame = pd.DataFrame({"group": group, "off": y - p, "room": p * (1 - p)}).groupby("group").sum()
+    # one step towards the group's own odds, held back where it has few labels
+    shifts = (frame.off / (frame.room + 1)).to_dict()
+    right = ((_sigmoid(score) > 0.5) == (y > 0.5)).mean()
+    return Side(fitted, scale, shifts, bool(right > max(y.mean(), 1 - y.mean())))
+
+
 def cut_of(p: np.ndarray, good: np.ndarray) -> float:
     """The cut that loses least, a good document counted four times; among
     equals the lowest, which keeps most."""
@@ -217,7 +266,7 @@ def _gather(batches):
                 filled = np.flatnonzero(dense[k])
                 cols.append(np.concatenate([u, (1 << WORD_BITS) + filled]).astype(np.int32))
                 vals.append(np.concatenate([c * (value[a] if b > a else 0.0), dense[k][filled]]).astype(np.float32))
-                words.append(np.unique(name[a:b]) if batch.column("good")[i + k].is_valid else name[:0])
+                words.append(np.unique(name[a:b]))
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("good", "toxic", "meta")), *(pa.array([x.tobytes() for x in xs], pa.binary()) for xs in (cols, vals, words))],
                                          names=["good", "toxic", "meta", "cols", "vals", "words"])
 
@@ -226,34 +275,108 @@ def _meta_slots(meta: pd.Series) -> list[np.ndarray]:
     return [(pd.util.hash_array(np.array(list(m), object)) >> np.uint64(64 - META_BITS)).astype(np.int64) for m in meta]
 
 
-def samples(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(good, toxic, meta, text): up to about LABELLED labelled documents, and
-    POOL others with null labels.  Good: quality 1; of repeated labels the
-    worst counts."""
-    spark = docs.sparkSession
-    bound = lambda n, most: F.lit(min(1.0, most / max(n, 1)) * (1 << 20))
+def _meta_matrix(lists: pa.Array, rows: int) -> np.ndarray:
+    """Slots of the metadata, rows x strings a document."""
+    words = lists.flatten().dictionary_encode()
+    if not len(words):
+        return np.zeros((rows, 0), np.int64)
+    return _meta_slots(pd.Series([words.dictionary.to_pylist()]))[0][words.indices.to_numpy()].reshape(rows, -1)
+
+
+def sample_ids(labels: DataFrame) -> DataFrame:
+    """(__id, good, toxic) of about LABELLED labelled documents.  Good: quality
+    1; of repeated labels the worst counts."""
     told = (labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
             .agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t")).select("doc_id", (F.col("q") == 1).cast("double").alias("good"), (F.col("t") != 0).alias("toxic")))
-    dice = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 20))
-    some = told.where(dice("label") < bound(told.count(), LABELLED))
-    some = some.orderBy(F.xxhash64(F.lit("label"), "doc_id")).limit(2 * LABELLED)
-    ids = docs.select("doc_id").where("doc_id is not null")
-    pool = ids.where(dice("pool") < bound(ids.count(), POOL)).distinct().join(told.select("doc_id"), "doc_id", "left_anti")
-    pool = pool.orderBy(F.xxhash64(F.lit("pool"), "doc_id")).limit(2 * POOL).withColumn("good", F.lit(None).cast("double")).withColumn("toxic", F.lit(None).cast("boolean"))
-    # at most 2 * (LABELLED + POOL) short rows: small at any input size
-    chosen = F.broadcast(some.unionByName(pool).withColumnRenamed("doc_id", "__id"))
-    return (docs.where("text is not null").join(chosen, F.col("doc_id") == F.col("__id"))
-            .select("good", "toxic", F.array(*meta_columns(docs)).alias("meta"), F.col("text").cast("string").alias("text")))
+    share = F.lit(min(1.0, LABELLED / max(told.count(), 1)) * (1 << 20))
+    some = told.where(F.pmod(F.xxhash64(F.lit("label"), "doc_id"), F.lit(1 << 20)) < share)
+    return some.orderBy(F.xxhash64(F.lit("label"), "doc_id")).limit(2 * LABELLED).withColumnRenamed("doc_id", "__id")
+
+
+def _width(view: int) -> int:
+    """Sums of one side: both classes, each the features, the offset and the
+    number of documents."""
+    return 2 * ((TEXT_SIZE, 1 << META_BITS)[view] + 2)
+
+
+def _hand_over(shared):
+    """Sums over the documents of a task that one side is sure about: of each
+    class, the gradient of the other side's loss, its offset's, and their
+    number; text side first, in PARTS rows."""
+    def run(batches):
+        sides: tuple[Side, Side] = shared.value
+        sums = [np.zeros((2, _width(v) // 2)) for v in (0, 1)]
+        for batch in batches:
+            buf, offs = as_bytes(batch.column("text"))
+            meta = _meta_matrix(batch.column("meta"), batch.num_rows)
+            group = batch.column("meta").flatten().to_pylist()[meta.shape[1] - 1::meta.shape[1]] if batch.num_rows else []
+            (w, b), (wm, bm) = sides[0].fit, sides[1].fit
+            for i, j in runs(offs):
+                row, slot, value, dense, _ = text_features(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+                score = (np.bincount(row, w[slot] * value, minlength=j - i) + dense @ w[1 << WORD_BITS:] + b, wm[meta[i:j]].sum(axis=1) + bm)
+                told = [side.verdict(x, group[i:j]) for side, x in zip(sides, score)]
+                for v in (0, 1):
+                    for label in (0, 1):
+                        # the other side's verdict, unless this side is as sure of the opposite
+                        mine = (told[1 - v] == label) & (told[v] != 1 - label)
+                        if not mine.any():
+                            continue
+                        r = np.where(mine, _sigmoid(score[v]) - label, 0.0)
+                        out = sums[v][label]
+                        if v == 0:
+                            out[:1 << WORD_BITS] += np.bincount(slot, r[row] * value, minlength=1 << WORD_BITS)
+                            out[1 << WORD_BITS:TEXT_SIZE] += r @ dense
+                        else:
+                            out[:1 << META_BITS] += np.bincount(meta[i:j].ravel(), np.repeat(r, meta.shape[1]), minlength=1 << META_BITS)
+                        out[-2] += r.sum()
+                        out[-1] += mine.sum()
+        if any(x[:, -1].any() for x in sums):
+            parts = np.array_split(np.concatenate([x.ravel() for x in sums]), PARTS)
+            yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names=["part", "sums"])
+    return run
+
+
+def _add(table: pa.Table) -> pa.Table:
+    # ascending, so the order of tasks doesn't matter
+    rows = np.sort(np.stack([np.frombuffer(x, float) for x in table.column("sums").to_pylist()]), axis=0)
+    return pa.table({"part": table.column("part")[:1], "sums": pa.array([rows.sum(axis=0).tobytes()], pa.binary())})
+
+
+def hand_over(rest: DataFrame, sides: tuple[Side, Side]) -> list[np.ndarray]:
+    """For each side (2 x features, offset, number): sums over all of ``rest``
+    (meta, text), see _hand_over."""
+    shared = rest.sparkSession.sparkContext.broadcast(sides)
+    parts = rest.mapInArrow(lean(_hand_over(shared)), "part int, sums binary").groupBy("part").applyInArrow(lean_group(_add), "part int, sums binary")
+    got = {r.part: np.frombuffer(r.sums, float) for r in parts.collect()}  # PARTS rows of a fixed size
+    whole = np.concatenate([got[k] for k in range(PARTS)]) if got else np.zeros(_width(0) + _width(1))
+    return [x.reshape(2, -1) for x in np.split(whole, [_width(0)])]
+
+
+def refit(x: Sparse, y: np.ndarray, model: tuple[np.ndarray, float], sums: np.ndarray) -> tuple[np.ndarray, float]:
+    """A side fitted anew to the labelled sample and the handed documents;
+    each class of the latter has equal weight, as in the sample."""
+    number = sums[:, -1]
+    if not number.all():  # one class alone says nothing about the difference
+        return fit(x, y, model, steps=60)
+    handed = (sums[:, :-1] / number[:, None]).sum(axis=0) / 2
+    r = (_sigmoid(x.dot(model[0]) + model[1]) - y) * balance(y)
+    return fit(x, y, model, steps=60, shift=(HANDED * (handed[:-1] - x.tdot(r)), HANDED * (handed[-1] - r.sum()), PULL))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """A model from ``docs`` (doc_id, text and any of source, lang, n_chars)
     and ``labels`` (doc_id, quality, toxic); None unless both classes occur."""
     bounded_batches(docs.sparkSession)
-    got = samples(docs, labels).mapInArrow(lean(_gather), "good double, toxic boolean, meta array<string>, cols binary, vals binary, words binary").toPandas()
+    # at most 2 * LABELLED short rows: small at any input size
+    chosen = F.broadcast(stored(sample_ids(labels), "labelled"))
+    same = F.col("doc_id") == F.col("__id")
+    whole = docs.where("text is not null").withColumn("text", F.col("text").cast("string"))
+    drawn = whole.join(chosen, same).select("good", "toxic", F.array(*meta_columns(docs)).alias("meta"), "text")
+    rest = whole.join(chosen, same, "left_anti").where("text <> ''").select(F.array(*meta_columns(docs)).alias("meta"), "text")
+    got = drawn.mapInArrow(lean(_gather), "good double, toxic boolean, meta array<string>, cols binary, vals binary, words binary").toPandas()
     got = got.sort_values(["cols", "vals", "good", "toxic"]).reset_index(drop=True)  # the order of tasks doesn't matter
     y = got.good.to_numpy(float)
-    known = np.flatnonzero(~np.isnan(y))
+    known = np.arange(len(y))
     toxic = got.toxic.isin([True]).to_numpy(bool)
     if len(set(y[known])) < 2:  # labels that differ in toxicity only
         y = np.where(toxic & (y > 0.5), 0.0, y)
@@ -270,28 +393,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     held, fitted = order[:max(2, len(order) // 4)], order[max(2, len(order) // 4):]
     if len(set(y[held])) < 2 or len(set(y[fitted])) < 2:
         held = fitted = known
-    share = y[fitted].mean()
-    given = [{int(i): y[i] for i in fitted} for _ in views]
-    pool = np.flatnonzero(np.isnan(y))
-    models = [None, None]
-    for turn in range(ROUNDS + 1):
-        for v, x in enumerate(views):
-            rows = np.array(sorted(given[v]))
-            models[v] = fit(x.take(rows), np.array([given[v][i] for i in rows.tolist()]), models[v], steps=150 if turn == 0 else 60)
-        if turn == ROUNDS or not len(pool):
-            break
-        sure = []
-        for v, x in enumerate(views):
-            p = _sigmoid(x.take(held).dot(models[v][0]) + models[v][1])
-            # a side hands over only verdicts that held up on labelled documents
-            score = x.take(pool).dot(models[v][0]) + models[v][1]
-            good, bad = pool[np.argsort(-score)[:int(HAND_OVER * share * 2)]], pool[np.argsort(score)[:int(HAND_OVER * (1 - share) * 2)]]
-            right = ((p > 0.5) == (y[held] > 0.5)).mean()
-            always = max(y[held].mean(), 1 - y[held].mean())
-            sure.append([(int(i), 1.0) for i in good] + [(int(i), 0.0) for i in bad] if right > always else [])
-        for v in (0, 1):
-            for i, label in sure[1 - v]:
-                given[v].setdefault(i, label)
+    group = np.array([m[-1] for m in got.meta], object)
+    models = [fit(x.take(fitted), y[fitted], steps=150) for x in views]
+    for _ in range(ROUNDS):
+        sides = tuple(side_of(m, x.take(held).dot(m[0]) + m[1], y[held], group[held]) for m, x in zip(models, views))
+        # no side trusted: nothing would be handed over
+        handed = hand_over(rest, sides) if any(s.trusted for s in sides) else [np.zeros((2, x.cols + 2)) for x in views]
+        for v, (x, sums) in enumerate(zip(views, handed)):
+            models[v] = refit(x.take(fitted), y[fitted], models[v], sums)
     scores = [x.take(held).dot(m[0]) + m[1] for x, m in zip(views, models)]
     scales = [calibrate(s, y[held]) for s in scores]
     odds = [a * s + b for (a, b), s in zip(scales, scores)]
@@ -316,11 +425,7 @@ def _score(shared, columns):
                 text.append(np.bincount(row, w[slot] * value, minlength=j - i) + dense @ w[1 << WORD_BITS:] + b)
                 strongest.append(m.toxicity.strongest(row, name, j - i) if m.toxicity else np.zeros(j - i))
             text, strongest = np.concatenate(text), np.concatenate(strongest)
-            lists = batch.column("meta")
-            words = lists.flatten().dictionary_encode()
-            slot = np.concatenate([np.zeros(0, np.int64), *_meta_slots(pd.Series([words.dictionary.to_pylist()]))])[words.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
-            per = len(slot) // max(len(text), 1)
-            meta = m.meta[0][slot].reshape(len(text), per).sum(axis=1) + m.meta[1] if len(text) else np.zeros(0)
+            meta = m.meta[0][_meta_matrix(batch.column("meta"), len(text))].sum(axis=1) + m.meta[1]
             odds = [a * s + c for (a, c), s in zip((m.text_scale, m.meta_scale), (text, meta))]
             p = _sigmoid(m.blend[0] * odds[0] + m.blend[1] * odds[1] + m.blend[2])
             toxic = m.toxicity.score(strongest) if m.toxicity else np.zeros(len(p))

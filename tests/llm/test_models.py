@@ -71,6 +71,44 @@ def test_one_toxic_word_of_a_long_text(spark):
     assert all(not out[i] for i in range(440) if i % 4 == 0) and all(out[i] for i in range(440) if i % 4 and i % 5)
 
 
+def test_every_unlabelled_document_is_handed_over(spark, monkeypatch):
+    """Sums of a round against brute force; a hot source hides no rare one."""
+    rounds, rng = [], np.random.default_rng(8)
+    whole = quality.hand_over
+
+    def spy(rest, sides):
+        rounds.append((sides, whole(rest, sides)))
+        return rounds[-1][1]
+    monkeypatch.setattr(quality, "hand_over", spy)
+    n, told = 6000, 400
+    rows = [(i, " ".join(f"{'fine' if i % 2 else 'junk'}{k}" for k in rng.integers(0, 30, 12)), ("rare" if i >= n - 3 else "hot") + str(i % 2), "xx" if i == n - 1 else "en") for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(told)], "doc_id long, quality int, toxic int")
+    model = quality.train(docs, labels)
+    assert len(rounds) == quality.ROUNDS and all(x[:, -1].sum() > 4500 for _, handed in rounds for x in handed)
+    sides, handed = rounds[-1]
+    rest = [r for r in docs.select("text", F.array(*quality.meta_columns(docs)).alias("meta"), "doc_id").collect() if r.doc_id >= told]
+    buf = np.frombuffer("".join(r.text for r in rest).encode(), np.uint8)
+    row, slot, value, dense, _ = quality.text_features(buf, np.append(0, np.cumsum([len(r.text) for r in rest])))
+    x = np.zeros((len(rest), quality.TEXT_SIZE))
+    np.add.at(x, (row, slot), value)
+    x[:, 1 << quality.WORD_BITS:] = dense
+    z = np.zeros((len(rest), 1 << quality.META_BITS))
+    for i, r in enumerate(rest):
+        np.add.at(z[i], quality._meta_slots([r.meta])[0], 1)
+    score = [a @ s.fit[0] + s.fit[1] for a, s in zip((x, z), sides)]
+    told_by = [s.verdict(a, [r.meta[-1] for r in rest]) for s, a in zip(sides, score)]
+    assert all(told_by[1][i] == r.doc_id % 2 for i, r in enumerate(rest) if r.meta[0].startswith("source:hot"))
+    assert all(told_by[0][i] == r.doc_id % 2 for i, r in enumerate(rest) if r.meta[0].startswith("source:rare"))
+    for v, a in enumerate((x, z)):
+        for label in (0, 1):
+            mine = (told_by[1 - v] == label) & (told_by[v] != 1 - label)
+            r = (1 / (1 + np.exp(-score[v])) - label) * mine
+            assert np.allclose(handed[v][label], [*(r @ a), r.sum(), mine.sum()])
+    out = quality.classify(docs, model).select("row.doc_id", "keep").collect()
+    assert all(r.keep == bool(r.doc_id % 2) for r in out)
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, None, "s", 5, "a"), (2, "", None, None, "b"), (3, "w " * 40_000, "s", 1, None), (3, "good text", "s", 1, "c"), (None, "x", "s", 1, "d")],
                                  "doc_id long, text string, source string, n_chars long, score string")
