@@ -36,17 +36,23 @@ TEMPER = (0.5, 0.5, 0.5)
 
 # Element names of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = set("script style noscript template head title svg math iframe object canvas audio video select option textarea button datalist".split())
+UNSEEN = set("script style noscript template head title svg iframe object canvas audio video select option textarea button datalist".split())
 RAW = set("script style textarea title noscript iframe template".split())
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split())
+# A formula is text of the element around it; its parts are no elements of their own.
+FORMULA = set("math semantics annotation annotation-xml maction menclose merror mfenced mfrac mi mlabeledtr mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt"
+              " mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
 # An opening tag ends an open one of these, up to the nearest barrier.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"},
         "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
 BARRIER = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}}
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)|<[/a-zA-Z][^>]*$", re.S)
-_ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+# An attribute: its name, and a value that is quoted only if a quote comes straight
+# after "="; any other quote, and one that nothing closes, is an ordinary character.
+_ATTRIBUTE = r"[^\s/>][^\s/>=]*(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*))?"
+_TAG = re.compile(rf"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|{_ATTRIBUTE})*+)(?:>|(\Z))|<[!?][^>]*(?:>|$)|<[/a-zA-Z][^>]*$", re.S)
+_ATTR = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
 _SPLIT = re.compile(r"[^a-z]+")
 MARK = "data-content"
 
@@ -63,7 +69,10 @@ class Page:
 
 
 def parse(source: str) -> Page:
-    """Elements and texts of a page; broken markup closes as browsers do."""
+    """Elements and texts of a page; broken markup closes as browsers do, but
+    for a quoted value without end, which would swallow the rest of the page:
+    there the tag ends at the next ``>``.  A tag cut off by the end of the page
+    is dropped."""
     page, stack, pos, n = Page(), [0], 0, len(source)
     tags, pieces = page.tags, page.pieces
 
@@ -86,9 +95,11 @@ def parse(source: str) -> Page:
         text(pos, m.start())
         pos = m.end()
         name = m.group(2)
-        if not name:
+        if not name or m.group(4) is not None:
             continue
         name = name.lower()
+        if name in FORMULA:
+            continue
         if m.group(1):
             for k in range(len(stack) - 1, 0, -1):
                 if tags[stack[k]] == name:
@@ -267,11 +278,15 @@ def marginals(forest: Forest, model: Model) -> np.ndarray:
 
 
 def text_of(page: Page, keep: np.ndarray) -> str:
-    """Kept text: one line a block, white space inside it as one space."""
+    """Kept text: one line a block, white space inside it as one space.
+
+    Hidden text (hidden, aria-hidden, display:none) is evidence for the model
+    and no more: that of the article is its text, as formulas are, in each
+    form that the page holds."""
     unseen = np.zeros(len(page.tags), bool)
     for i, t in enumerate(page.tags):
         q = page.parents[i]
-        unseen[i] = t in UNSEEN or "#hidden" in page.words[i] or (q >= 0 and unseen[q])
+        unseen[i] = t in UNSEEN or (q >= 0 and unseen[q])
     blocks, now = [], []
     for e, t in [*page.pieces, (-1, "")]:
         if e >= 0:

@@ -3,6 +3,7 @@
 import html as stdlib_html
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from docindex.llm import html, langid, quality
@@ -174,3 +175,18 @@ def test_page_texts(spark):
     assert out[(None, 1)] == ("long words " * 30_000).strip()
     assert html.extract(df.limit(0), html.train()).collect() == []
     assert stdlib_html.unescape("&am") == "&am"
+
+
+@pytest.mark.parametrize("source, want", [
+    ("<p title=Bob's>One</p><p>it's two</p>", "One\nit's two"), ('<p><a href="x"">link</a> "text"</p>', 'link "text"'), ("<p title='a>b' x = \"c>d\">t</p>", "t"), ('<p a=b="x>y">t</p>', 'y">t'),
+    ('<p ="a>b">t</p>', 'b">t'), ("<p a='x'b='y>z'>t</p>", "t"), ("<p a=>t</p>", "t"), ('<p "a" \'>t</p><p>it\'s</p>', "t\nit's"), ('<p a="x>one</p><p>two</p>', "one\ntwo"), ('one<p a="x>y" b', "one"), ("one<p a='", "one")])
+def test_quotes_in_tags(source, want):
+    page = html.parse(source)
+    assert html.text_of(page, np.ones(len(page.tags), bool)) == want
+
+
+def test_formulas_and_hidden_text_of_the_article(spark):
+    body = ("<h1>Head line</h1><p>Some words first. So <math><mi>a</mi><mo>=</mo><msup><mi>b</mi><mn>2</mn></msup></math> holds.</p><p>Then <span class='katex'><span aria-hidden=\"true\">c&lt;d</span></span> too.</p>"
+            "<p hidden>Solution one.</p><p style='display: none'>Solution two.</p><script>no()</script><svg><text>no</text></svg><p>Last words.</p>")
+    df = spark.createDataFrame([(1, f"<html><body><nav><a href='/'>Menu</a></nav><article>{body}</article><footer>foot</footer></body></html>")], "page_id long, html string")
+    assert html.extract(df, html.train()).first().text == "Head line\nSome words first. So a=b2 holds.\nThen c<d too.\nSolution one.\nSolution two.\nLast words."
