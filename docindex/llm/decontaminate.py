@@ -4,11 +4,12 @@ Benchmark items are cut into windows of ``width`` consecutive words (a shorter
 item is one window).  Hashes of all distinct windows form a set that is sent
 to every task once its size is known to be small; each task hashes every
 window of its documents inside generated code and looks it up.  Found windows
-are verified word by word on the original text.  Documents, or the words
+are verified word by word.  Documents, or the words
 inside found windows, can then be removed.
 
-The scan lower-cases whole texts at once (fast, but also beyond A-Z); equal
-windows stay equal under that, and the verification lower-cases A-Z only.
+Only A-Z are lower-cased, letter by letter, on both sides: lower() looks at a
+letter's neighbours (a Greek sigma at the end of a word), so the same word could
+come out otherwise inside a text than in a window.
 """
 
 from __future__ import annotations
@@ -71,9 +72,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
     wins = stored(windows_of(benchmark, width), "windows")
     # figures of the benchmark: at most ``width`` rows
     sizes = {r.m: r.n for r in wins.groupBy("m").agg(F.count("*").alias("n")).collect()}
-    keys = wins.select(_key(F.split(F.lower("w"), " "), F.col("m")).alias("key"), "m", "w", "items")
+    keys = wins.select(_key(F.split("w", " "), F.col("m")).alias("key"), "m", "w", "items")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    base = docs.select(F.col("doc_id"), text.alias("text"), words_of(F.lower(text)).alias("words"), words_of(text).alias("own")).withColumn("n", F.size("words"))
+    base = docs.select(F.col("doc_id"), text.alias("text"), words_of(lower_ascii(text)).alias("words")).withColumn("n", F.size("words"))
     # position -1 stands for the document itself and always passes
     none = F.array().cast("array<string>")
     document = base.select("doc_id", F.xxhash64("text", F.length("text")).alias("text_key"), F.lit(-1).alias("i"), F.lit(0).alias("m"), "n", none.alias("items"))
@@ -86,14 +87,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
         spots = F.array(F.struct(F.lit(-1).alias("i"), F.lit(0).alias("m")))
         if len(sizes) == 1:
             spot = F.explode(F.concat(F.array(F.lit(-1)), F.when(F.col("n") >= min(sizes), F.sequence(F.lit(0), F.col("n") - min(sizes))).otherwise(F.array().cast("array<int>")))).alias("i")
-            scan = base.select("doc_id", "text", "words", "own", "n", spot).withColumn("m", F.when(F.col("i") < 0, 0).otherwise(min(sizes)))
+            scan = base.select("doc_id", "text", "words", "n", spot).withColumn("m", F.when(F.col("i") < 0, 0).otherwise(min(sizes)))
         else:
             for m in sorted(sizes):
                 spots = F.concat(spots, F.when(F.col("n") >= m, _spots(F.sequence(F.lit(0), F.col("n") - m), m)).otherwise(F.slice(spots, 1, 0)))
-            scan = base.select("doc_id", "text", "words", "own", "n", F.explode(spots).alias("s")).select("doc_id", "text", "words", "own", "n", "s.i", "s.m")
+            scan = base.select("doc_id", "text", "words", "n", F.explode(spots).alias("s")).select("doc_id", "text", "words", "n", "s.i", "s.m")
         mark = mark.withColumnRenamed("m", "bm")
         scan = scan.withColumn("key", F.when(F.col("i") < 0, F.lit(0).cast("long")).otherwise(_key(_window(F.col("words"), F.col("i"), F.col("m")), F.col("m"))))
-        said = lower_ascii(F.concat_ws(" ", _window(F.col("own"), F.col("i"), F.col("m"))))
+        said = F.concat_ws(" ", _window(F.col("words"), F.col("i"), F.col("m")))
         text_key = F.xxhash64("text", F.length("text")).alias("text_key")
         if small:
             hits = scan.join(F.broadcast(mark), "key")

@@ -46,6 +46,19 @@ def test_equals_brute_force(spark, monkeypatch, most, bench):
     assert sorted((r.doc_id or 0, r.n_words, list(r.hit), list(r.items)) for r in got) == brute(DOCS, bench)
 
 
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_letters_beyond_a_to_z_equal_brute_force(spark, monkeypatch, most):
+    """A capital sigma before . ' or : and a letter, and other letters whose
+    lower case hangs on their neighbours or on their number."""
+    monkeypatch.setattr(d, "MOST_BROADCAST", most)
+    greek = "ΟΔΟΣ.ΑΒ ΛΟΓΟΣ'Χ ΝΟΜΟΣ:Υ ένα δύο τρία τέσσερα πέντε έξι"
+    bench = [(1, greek), (2, "ΟΔΟΣ.ΑΒ short"), (3, "İstanbul I IĞDIR Ǆ ẞ one two three four five six seven")]
+    docs = [(1, greek), (2, "before " + greek + " after"), (3, greek.lower()), (4, "x ΟΔΟΣ ΑΒ, SHORT y"), (5, "οδος αβ short"), (6, "İSTANBUL " + bench[2][1].upper()), (7, "- " + bench[2][1].replace("one", "ONE"))]
+    got = d.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    want = brute(docs, bench)
+    assert sorted((r.doc_id, r.n_words, list(r.hit), list(r.items)) for r in got) == want and {i for i, _, hit, _ in want if hit} >= {1, 2, 4, 7}
+
+
 def test_plan_has_no_python(spark):
     docs, bench = spark.createDataFrame(DOCS, "doc_id long, text string"), spark.createDataFrame(BENCH, "item_id long, text string")
     plan = d.contamination(docs, bench)._jdf.queryExecution().executedPlan().toString()
