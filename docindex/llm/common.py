@@ -187,3 +187,34 @@ def components(spark: SparkSession, edges: DataFrame, label: str = "components")
 
 def unique(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex}"
+
+
+#: ASCII white space: the only bytes that end a word.
+WHITE = np.zeros(256, bool)
+WHITE[[32, 9, 10, 11, 12, 13]] = True
+
+
+def word_slices(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, first) of the words of a run of texts: byte ranges in
+    ``buf``, and how many words lie before each text (and before the end)."""
+    n = len(buf)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
+    word = ~WHITE[buf]
+    begin, stop = word.copy(), word.copy()
+    begin[1:] &= ~word[:-1]
+    stop[:-1] &= ~word[1:]
+    head, tail = offs[:-1][offs[:-1] < n], offs[1:][offs[1:] > 0] - 1
+    begin[head] = word[head]
+    stop[tail] = word[tail]
+    start = np.flatnonzero(begin)
+    return start, np.flatnonzero(stop) + 1, np.searchsorted(start, offs)
+
+
+def word_codes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number for each word, equal for equal bytes and only for those;
+    ``start`` and ``end`` as from ``word_slices``."""
+    size = np.append(0, np.cumsum(end - start))
+    data = np.ascontiguousarray(buf[~WHITE[buf]])
+    words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(size), pa.py_buffer(data)])
+    return words.dictionary_encode().indices.to_numpy()

@@ -86,6 +86,17 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic import collapse_runs, planted
+    out = collapse_runs(planted(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    # longest first, then the smallest start and period
+    out = out.withColumn("best", F.expr("array_max(transform(runs, r -> struct(r.length as length, -r.start as s, -r.period as p)))"))
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return out.select("row.doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.length").alias("length"),
+                      (-F.col("best.p")).alias("period"), F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
+                      F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -97,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
     "op10_html_text": op10_html_text,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 ORACLE: dict[str, str] = {
     "op6_hamming_top_k": """
