@@ -218,3 +218,19 @@ def word_codes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     data = np.ascontiguousarray(buf[~WHITE[buf]])
     words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(size), pa.py_buffer(data)])
     return words.dictionary_encode().indices.to_numpy()
+
+
+def joined_words(buf: np.ndarray, offs: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray, keep: np.ndarray) -> pa.Array:
+    """The kept words of each text, joined by one blank."""
+    k = np.flatnonzero(keep)
+    upto = np.searchsorted(k, first)  # kept words before each text
+    follows = np.ones(len(k), bool)  # by another kept word of its text
+    follows[upto[1:][upto[1:] > upto[:-1]] - 1] = False
+    s, e = start[k], end[k] + follows  # the white space after a word becomes the blank
+    step = np.zeros(len(buf) + 2, np.int8)
+    step[s] += 1
+    step[e] -= 1
+    # ranges touch where one white space parts two words: their steps cancel
+    data = np.where(WHITE[buf], np.uint8(32), buf)[np.cumsum(step[:len(buf)], dtype=np.int8) > 0]
+    size = np.append(0, np.cumsum(e - s))[upto]
+    return pa.Array.from_buffers(pa.large_string(), len(offs) - 1, [None, pa.py_buffer(size.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])

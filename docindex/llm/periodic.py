@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, as_bytes, bounded_batches, lean, runs, word_codes, word_slices
+from .common import as_bytes, bounded_batches, joined_words, lean, runs, word_codes, word_slices
 
 #: A run has this many words and this many periods at least.
 LEAST_WORDS, LEAST_PERIODS = 6, 4
@@ -97,22 +97,6 @@ def repeated(n: int, start: np.ndarray, length: np.ndarray, period: np.ndarray)
     return np.cumsum(step[:-1]) > 0
 
 
-def _joined(buf, offs, start, end, first, keep) -> pa.Array:
-    """The kept words of each text, joined by one blank."""
-    k = np.flatnonzero(keep)
-    upto = np.searchsorted(k, first)  # kept words before each text
-    follows = np.ones(len(k), bool)  # by another kept word of its text
-    follows[upto[1:][upto[1:] > upto[:-1]] - 1] = False
-    s, e = start[k], end[k] + follows  # the white space after a word becomes the blank
-    step = np.zeros(len(buf) + 2, np.int8)
-    step[s] += 1
-    step[e] -= 1
-    # ranges touch where one white space parts two words: their steps cancel
-    data = np.where(WHITE[buf], np.uint8(32), buf)[np.cumsum(step[:len(buf)], dtype=np.int8) > 0]
-    size = np.append(0, np.cumsum(e - s))[upto]
-    return pa.Array.from_buffers(pa.large_string(), len(offs) - 1, [None, pa.py_buffer(size.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
-
-
 _RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
 
 
@@ -130,7 +114,7 @@ def _collapse(batches):
             own = start - np.repeat(first[:-1], np.diff(upto))  # counted within its text
             rows = pa.StructArray.from_arrays([pa.array(x) for x in (own, length, period)], fields=list(_RUN))
             yield pa.RecordBatch.from_arrays(
-                [row.slice(i, j - i), pa.array(n), pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), rows), _joined(b, o, s, e, first, keep).cast(pa.string())],
+                [row.slice(i, j - i), pa.array(n), pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), rows), joined_words(b, o, s, e, first, keep).cast(pa.string())],
                 names=["row", "n_words", "runs", "collapsed"])
 
 

@@ -97,6 +97,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+    out = near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("row.doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id", "n_shingles")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -109,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_html_text": op10_html_text,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_simhash": op13_simhash,
 }
 ORACLE: dict[str, str] = {
     "op6_hamming_top_k": """
