@@ -97,6 +97,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .alignment import align_tokens
+    out = align_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
     out = near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -115,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_html_text": op10_html_text,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_alignment": op12_token_alignment,
     "op13_simhash": op13_simhash,
 }
 ORACLE: dict[str, str] = {
