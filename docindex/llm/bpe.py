@@ -20,12 +20,11 @@ from array import array
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Names, as_bytes, bounded_batches, lean, runs
+from .common import as_bytes, bounded_batches, lean, runs
 
 # Classes of code points.  In SPACE_CLASSES the last character before a
 # non-space is set apart, as the pattern's "\s+(?!\S)" leaves it.
@@ -265,14 +264,12 @@ def vocabulary(path: str) -> Vocabulary:
 def encode_run(buf: np.ndarray, offs: np.ndarray, voc: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """(ids, number of ids up to each text's end) of a run of texts."""
     start = piece_starts(buf, offs)
-    end = np.append(start[1:], len(buf))
     if not len(start):
         return np.zeros(0, np.int32), np.zeros(len(offs), np.int64)
-    which, names = pd.factorize(Names(buf).of(start, end))
-    first = np.empty(len(names), np.int64)
-    first[which[::-1]] = np.arange(len(which))[::-1]
-    raw, known, merge = buf.tobytes(), voc.cache.get, voc.merge
-    merged = [known(p) or merge(p) for p in (raw[s:e] for s, e in zip(start[first].tolist(), end[first].tolist()))]
+    cuts = np.append(start, len(buf))
+    pieces = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(buf))]).dictionary_encode()
+    which, known, merge = pieces.indices.to_numpy(), voc.cache.get, voc.merge
+    merged = [known(p) or merge(p) for p in pieces.dictionary.to_pylist()]
     size = np.fromiter(map(len, merged), np.int64, len(merged)) // 4
     flat = np.frombuffer(b"".join(merged), np.int32)
     at = np.append(0, np.cumsum(size))[:-1]

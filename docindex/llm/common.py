@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,7 +127,12 @@ BASE = 0x9E3779B97F4A7C15
 class Names:
     """64-bit names of byte slices, from prefix sums of a polynomial modulo
     2**64: equal slices have equal names, and the name of any slice costs one
-    subtraction and one multiplication."""
+    subtraction and one multiplication.
+
+    For slices of bounded width, and where a name only chooses a feature or a
+    bucket.  Slices of about a thousand bytes and more can be built to share a
+    name (Thue-Morse words do), so names of words that decide come from
+    ``word_names``."""
 
     _up = np.ones(1, np.uint64)
     _down = np.ones(1, np.uint64)
@@ -220,6 +226,17 @@ def word_codes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return words.dictionary_encode().indices.to_numpy()
 
 
+def word_names(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each word, from its bytes alone: each distinct word is
+    hashed once, by a hash without the structure of a polynomial."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    size = np.append(0, np.cumsum(end - start))
+    words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(size), pa.py_buffer(np.ascontiguousarray(buf[~WHITE[buf]]))]).dictionary_encode()
+    names = np.fromiter(map(xxhash.xxh3_64_intdigest, words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
+    return names[words.indices.to_numpy()]
+
+
 def joined_words(buf: np.ndarray, offs: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray, keep: np.ndarray) -> pa.Array:
     """The kept words of each text, joined by one blank."""
     k = np.flatnonzero(keep)

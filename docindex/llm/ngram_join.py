@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Names, as_bytes, bounded_batches, components, lean, lean_group, mix, partitions, runs, stored
+from .common import as_bytes, bounded_batches, components, lean, lean_group, mix, partitions, runs, stored, word_names
 
 #: The sketch has 2**SKETCH_BITS counters, at any input size.
 SKETCH_BITS = 21
@@ -86,7 +86,7 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, width: int) -> list[np.ndarr
     start[offs[:-1][offs[:-1] < n]] = True
     end[offs[1:][offs[1:] > 0] - 1] = True
     s, e = np.flatnonzero(start & word), np.flatnonzero(end & word) + 1
-    w = Names(text).of(s, e)
+    w = word_names(text, s, e)
     first = np.searchsorted(s, offs)
     m = len(w) - width + 1
     if m > 0:

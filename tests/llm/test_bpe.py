@@ -38,6 +38,18 @@ def test_code_points(reference):
     assert encode(texts) == [reference.encode_ordinary(t) for t in texts]
 
 
+def thue_morse(n):
+    """A word of n letters and its complement: polynomials modulo 2**64 can't
+    tell them apart from about 1024 letters on."""
+    bits = [i.bit_count() & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_of_one_polynomial(reference):
+    texts = [x for n in (1024, 2048, 4096) for x in thue_morse(n)]
+    assert encode(texts) == [reference.encode_ordinary(t) for t in texts]
+
+
 def test_scan_equals_steps():
     rng = np.random.default_rng(1)
     single, _, _ = bpe.monoid()

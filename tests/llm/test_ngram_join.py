@@ -48,7 +48,9 @@ def corpus(seed, n=60, words=12, length=40):
     return rows
 
 
-EDGES = [(1000, None), (1001, ""), (1002, " \t\n"), (1003, "one two"), (1004, "One  TWO"), (1005, "É É É É É É"), (1006, "é é é é é é"),
+# words that a polynomial modulo 2**64 can't tell apart
+MORSE = ["".join(pair[i.bit_count() & 1] for i in range(2048)) for pair in ("ab", "ba")]
+EDGES = [(1010, MORSE[0]), (1011, MORSE[1]), (1012, f"{MORSE[0]} x y z w"), (1013, f"{MORSE[1]} x y z w"), (1000, None), (1001, ""), (1002, " \t\n"), (1003, "one two"), (1004, "One  TWO"), (1005, "É É É É É É"), (1006, "é é é é é é"),
          (1007, "a b c d e"), (1007, "a b c d e"), (1008, "A B C D E"), (None, "a b c d e"), (None, None), (1009, "x" * 100_000 + " " + "y z " * 50_000)]
 
 
