@@ -1,16 +1,18 @@
 """Language identification with language-bitmask n-gram filters.
 
-Training counts byte n-grams of labelled texts.  A language contains an n-gram
-that is not rare in it, absolutely and against the language where the n-gram
-is most frequent.  One Bloom filter holds all languages: slot i of the table
-is a bit mask with a bit per language (a bit slice of each language's own
-filter), so the AND of the few slots of an n-gram gives at once all languages
-that contain it.  A text's per-language counts of contained n-grams, less the
+Training counts byte n-grams of labelled texts.  A language contains every
+n-gram of its texts but those that are rare in it against the language where
+the n-gram is most frequent.  One Bloom filter holds all languages: slot i of
+the table is a bit mask with a bit per language (a bit slice of each
+language's own filter), so the AND of the few slots of an n-gram gives at once
+all languages that contain it.  The table has as many slots as the largest
+language needs for the wanted rate of false positives.  A text's per-language counts of contained n-grams, less the
 false positives that each slice's fill lets expect, decide.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,10 +26,10 @@ from .common import as_bytes, bounded_batches, lean, mix, runs
 WIDTHS = (3, 4)
 #: Texts that train one language, about (a bound on the sample).
 TEXTS_PER_LANGUAGE = 3000
-#: N-grams of one language, at most (a bound on the model).
-GRAMS_PER_LANGUAGE = 20_000
-SLOT_BITS = 20
 PROBES = 2
+#: Wanted rate of false positives of the largest language; the table has
+#: 2**LEAST_BITS slots at least.
+FALSE, LEAST_BITS = 0.02, 12
 #: A language keeps an n-gram at this part of its highest frequency, or more.
 PART = 0.25
 
@@ -77,18 +79,28 @@ def _count(batches):
 @dataclass(frozen=True)
 class Filters:
     languages: list[str]
-    slots: np.ndarray  # (2**SLOT_BITS, words) of 64-bit masks
+    slots: np.ndarray  # (2**bits, words) of 64-bit masks
     false: np.ndarray  # chance of a false positive, by language
 
     def masks(self, code: np.ndarray) -> np.ndarray:
-        h = mix(code)
         out = None
-        for i in range(PROBES):
-            m = self.slots[((h >> np.uint64(i * SLOT_BITS)) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)]
-            out = m if out is None else out & m
+        for at in probes(code, len(self.slots)):
+            out = self.slots[at] if out is None else out & self.slots[at]
         return out
 
 
+def probes(code: np.ndarray, size: int) -> list[np.ndarray]:
+    """The slots of n-grams in a table of ``size`` (a power of two, up to 2**32)."""
+    h = mix(code)
+    return [((h >> np.uint64(32 * i)) & np.uint64(size - 1)).astype(np.int64) for i in range(PROBES)]
+
+
+def slots_for(grams: int) -> int:
+    """Slots that keep the false positives of a filter of ``grams`` at FALSE."""
+    fill = FALSE ** (1 / PROBES)
+    return 1 << max(LEAST_BITS, math.ceil(math.log2(max(1, -PROBES * grams / math.log(1 - fill)))))
+
+
 def _edged(text):
     """Lower-case, with a blank at either end: short words have n-grams, too."""
     return F.concat(F.lit(" "), F.lower(text), F.lit(" "))
@@ -109,23 +121,22 @@ def train(texts: DataFrame) -> Filters | None:
     counts = texts.where(pick).select("lang", _edged(F.col("text")).alias("text")).mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     total = Window.partitionBy("lang")
     shares = counts.withColumn("f", F.col("n") / F.sum("n").over(total))
-    keep = (shares.withColumn("top", F.max("f").over(Window.partitionBy("gram"))).where((F.col("n") >= 3) & (F.col("f") >= PART * F.col("top")))
-            .withColumn("r", F.row_number().over(total.orderBy(F.col("n").desc(), "gram"))).where(F.col("r") <= GRAMS_PER_LANGUAGE).select("lang", "gram").toPandas())
     languages = sorted(sizes, key=lambda k: (-sizes[k], k))  # the most common first: it wins ties
-    slots = np.zeros((1 << SLOT_BITS, -(-len(languages) // 64)), np.uint64)
-    empty = Filters(languages, slots, np.zeros(len(languages)))
-    for k, name in enumerate(languages):
-        h = mix(keep.gram[keep.lang == name].to_numpy().astype(np.uint64))
-        for i in range(PROBES):
-            at = ((h >> np.uint64(i * SLOT_BITS)) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
-            np.bitwise_or.at(slots[:, k // 64], at, np.uint64(1) << np.uint64(k % 64))
+    number = F.create_map(*(F.lit(x) for k, name in enumerate(languages) for x in (name, k)))[F.col("lang")]
+    # two numbers an n-gram, of the sampled texts only
+    keep = (shares.withColumn("top", F.max("f").over(Window.partitionBy("gram"))).where(F.col("f") >= PART * F.col("top"))
+            .select(number.cast("int").alias("k"), "gram").toPandas())
+    of, gram = keep.k.to_numpy(), keep.gram.to_numpy().astype(np.uint64)
+    slots = np.zeros((slots_for(int(np.bincount(of).max(initial=0))), -(-len(languages) // 64)), np.uint64)
+    for at in probes(gram, len(slots)):
+        np.bitwise_or.at(slots, (at, of // 64), np.uint64(1) << (of % 64).astype(np.uint64))
     fill = [((slots[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)).mean() for k in range(len(languages))]
-    return Filters(languages, slots, np.array(fill) ** PROBES if fill else empty.false)
+    return Filters(languages, slots, np.array(fill) ** PROBES)
 
 
 def _predict(model, columns: list[str]):
     def run(batches):
-        m: Filters = model.value
+        m = Filters(*model.value)
         names = np.array(m.languages, object)
         for batch in batches:
             buf, offs = as_bytes(batch.column("text"))
@@ -162,5 +173,5 @@ def predict(docs: DataFrame, model: Filters | None) -> DataFrame:
     kind = df.schema["row"].dataType.simpleString()
     if model is None:
         return df.select("row", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    out = df.mapInArrow(lean(_predict(spark.sparkContext.broadcast(model), ["row", "known"])), f"row {kind}, known boolean, lang_pred string, score double")
+    out = df.mapInArrow(lean(_predict(spark.sparkContext.broadcast((model.languages, model.slots, model.false)), ["row", "known"])), f"row {kind}, known boolean, lang_pred string, score double")
     return out.select("row", F.when(F.col("known"), F.col("lang_pred")).otherwise("und").alias("lang_pred"), F.when(F.col("known"), F.col("score")).otherwise(0.0).alias("score"))
