@@ -37,7 +37,10 @@ TEMPER = (0.5, 0.5, 0.5)
 # Element names of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = set("script style noscript template head title svg iframe object canvas audio video select option textarea button datalist".split())
-RAW = set("script style textarea title noscript iframe template".split())
+# Without svg (a drawing's labels), noscript (said to readers without scripts only: a
+# notice) and object, audio, video, canvas, iframe (said where the thing itself can't
+# be shown): none of these is text that a reader of the article sees.
+RAW = set("script style textarea title noscript iframe".split())
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split())
 # A formula is text of the element around it; its parts are no elements of their own.
 FORMULA = set("math semantics annotation annotation-xml maction menclose merror mfenced mfrac mi mlabeledtr mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt"
@@ -54,6 +57,8 @@ _ATTRIBUTE = r"[^\s/>][^\s/>=]*(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*))?"
 _TAG = re.compile(rf"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|{_ATTRIBUTE})*+)(?:>|(\Z))|<[!?][^>]*(?:>|$)|<[/a-zA-Z][^>]*$", re.S)
 _ATTR = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
 _SPLIT = re.compile(r"[^a-z]+")
+# What follows the name in a closing tag is ignored.
+_END_OF = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 MARK = "data-content"
 
 
@@ -143,7 +148,7 @@ def parse(source: str) -> Page:
         if name in VOID:
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(source, pos)
+            end = _END_OF[name].search(source, pos)
             pos = end.end() if end else n
             continue
         if m.group(3).rstrip().endswith("/") and name in ("svg", "path"):

@@ -33,6 +33,33 @@ def test_language_edges(spark):
     assert {r.lang_pred for r in langid.predict(ask, None).collect()} == {"und"}
 
 
+def test_every_training_language_is_found_again(spark):
+    """Two texts of a language beside fifty of another one."""
+    english = "the quick fox and the lazy dog went over a hill with seven stones and then came back again number "
+    welsh = ["mae hen wlad fy nhadau yn annwyl i mi gwlad beirdd a chantorion enwogion o fri", "ei gwrol ryfelwyr gwladgarwyr tra mad dros ryddid collasant eu gwaed"]
+    rows = [(i, english + str(i) + " " + "abcdefghij"[i % 10] * 3, "en") for i in range(50)] + [(100 + i, t, "cy") for i, t in enumerate(welsh)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = langid.predict(docs.select("doc_id", "text", F.col("lang").alias("told")), langid.train(docs)).collect()
+    assert all(r.row.told == r.lang_pred and r.score > 0 for r in out)
+
+
+def test_table_grows_with_the_grams():
+    assert langid.slots_for(0) == 4096 and langid.slots_for(1_000_000) >= 8_000_000
+    rng = np.random.default_rng(1)
+    code = rng.integers(0, 2**62, 200_000, dtype=np.uint64)
+    slots = np.zeros((langid.slots_for(len(code)), 1), np.uint64)
+    for at in langid.probes(code, len(slots)):
+        slots[at, 0] |= np.uint64(1)
+    m = langid.Filters(["x"], slots, np.zeros(1))
+    assert m.masks(code).all() and m.masks(rng.integers(0, 2**62, 200_000, dtype=np.uint64)).mean() <= langid.FALSE
+
+
+def test_closing_tags_and_templates():
+    page = "<article><script>a</script foo><p>One</p><script>b</script/><p>Two</p><template><template>x</template>v</template><p>Three</p><style>c</style\n><p>Four</p></article>"
+    p = html.parse(page)
+    assert html.text_of(p, np.ones(len(p.tags), bool)) == "One\nTwo\nThree\nFour"
+
+
 def test_grams_of_texts_do_not_mix():
     rows = langid.grams(np.frombuffer(b" ab  cd", np.uint8), np.array([0, 7]))
     assert len(rows[0]) == 4 + 3  # " ab cd" has 4 threes and 3 fours
