@@ -402,6 +402,26 @@ def _cut_out(left: pa.Table, right: pa.Table) -> pa.Table:
                                 names=["row", "n_bytes", "n_removed", "spans", "kept"])
 
 
+def _whole(batches):
+    for batch in batches:
+        out = []
+        for kept, spans in zip(batch.column("kept").to_pylist(), batch.column("spans").to_pylist()):
+            text, at, gone = [], 0, 0
+            for s in spans:  # kept bytes before each removed span
+                text.append(kept[at:s["start"] - gone])
+                at, gone = s["start"] - gone, gone + s["end"] - s["start"]
+            out.append("".join(x.decode("utf-8", "ignore") for x in [*text, kept[at:]]))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "kept_text"])
+
+
+def with_kept_text(removed: DataFrame) -> DataFrame:
+    """``removed`` (as from ``remove_repeats``) with kept_text: what is left, in
+    whole characters.  A character of which a removed span took a part goes
+    with it; between spans nothing changes, U+FFFD of the text included."""
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in removed.schema)
+    return removed.mapInArrow(lean(_whole), f"{kind}, kept_text string")
+
+
 def remove_repeats(docs: DataFrame, shape: Shape = Shape(), batches: int = 4, block_bytes: int = 4 << 20) -> DataFrame:
     """``row`` (a struct of all columns of ``docs`` but text), n_bytes,
     n_removed, spans (list of removed start and end, in bytes, maximal) and

@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
-from docindex.llm.suffix_dedup import Shape, remove_repeats, sliding_least
+from docindex.llm.suffix_dedup import Shape, remove_repeats, sliding_least, with_kept_text
 
 
 def brute(rows, span):
@@ -64,6 +65,27 @@ def test_other_spans_and_small_blocks(spark):
     assert got(remove_repeats(df, Shape(span=20, head=9), batches=5, block_bytes=500)) == brute(rows, 20)
 
 
+def test_whole_characters(spark):
+    """A half character at a span's edge goes, U+FFFD of the text stays, and
+    bytes on both sides of a span make no new character."""
+    same = "é" * 30
+    rows = [(1, "x" * 3 + same), (2, "a\ufffd€" + same + "é\ufffdend"), (3, "plain \ufffd"), (4, None), (5, "\u20ac" + "y" * 60), (6, "y" * 60 + "\u20ac"), (7, "\u20ad" + "y" * 60 + "\u20ac")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = with_kept_text(remove_repeats(df)).collect()
+    for r in out:
+        raw = (dict(rows)[r.row.doc_id] or "").encode()
+        keep = np.ones(len(raw), bool)
+        for s in r.spans:
+            a, b = s.start, s.end
+            while a > 0 and raw[a] & 0xC0 == 0x80:
+                a -= 1
+            while b < len(raw) and raw[b] & 0xC0 == 0x80:
+                b += 1
+            keep[a:b] = False
+        assert r.kept_text == bytes(np.frombuffer(raw, np.uint8)[keep]).decode(), r
+    assert {r.row.doc_id: r.kept_text for r in out}[2].startswith("a\ufffd€")
+
+
 def test_empty_table_and_clashing_columns(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     df = spark.createDataFrame([(1, "z" * 60, "k", 3), (2, "z" * 60, None, 4)], "doc_id long, text string, kept string, block int")
@@ -74,6 +96,5 @@ def test_empty_table_and_clashing_columns(spark):
 
 @pytest.mark.parametrize("width", [1, 2, 3, 7, 27, 31])
 def test_sliding_least(width):
-    import numpy as np
     x = np.random.default_rng(width).integers(0, 50, 80).astype(np.uint64)
     assert sliding_least(x, width).tolist() == [int(x[i:i + width].min()) for i in range(len(x) - width + 1)]
