@@ -15,7 +15,7 @@ from docindex.llm.common import stored
 from docindex.llm.decontaminate import decontaminate
 from docindex.llm.ngram_join import one_of_each
 from docindex.llm.quality import classify, train
-from docindex.llm.suffix_dedup import remove_repeats
+from docindex.llm.suffix_dedup import remove_repeats, with_kept_text
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,11 +35,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Half characters at the edge of a removed span go with it; documents of
     which nothing is left go; n_chars follows the text where it changed.
     """
-    out = remove_repeats(docs).where("n_bytes = 0 or n_removed < n_bytes")
-    cut = F.col("n_removed") > 0
-    left = F.expr("make_valid_utf8(cast(kept as string))")
-    text = F.when(cut, F.replace(left, F.lit("�"), F.lit(""))).otherwise(left)
-    out = out.select("row", cut.alias("cut"), text.alias("text"))
+    out = with_kept_text(remove_repeats(docs).where("n_bytes = 0 or n_removed < n_bytes"))
+    out = out.select("row", (F.col("n_removed") > 0).alias("cut"), F.col("kept_text").alias("text"))
     kept = {"text": F.col("text"), "n_chars": F.when(F.col("cut"), F.char_length("text").cast("long")).otherwise(F.col("row.n_chars")).alias("n_chars")}
     return out.select(*(kept[c] if c in kept else F.col(f"row.`{c}`") for c in docs.columns))
 
