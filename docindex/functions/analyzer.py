@@ -1,112 +1,172 @@
-"""The one text analyzer: lower case, split on anything that is not a
-Unicode letter or digit, drop empty tokens.
-
-Two equivalent forms are offered.  ``tokens`` builds the token array as a
-Catalyst expression; ``token_regex`` tests for tokens without building the
-array, which is cheaper on long texts because no array is allocated.  A token
-``t`` occurs in the analyzed text exactly when ``t`` occurs in the lower-cased
-text with no letter or digit directly before or after it.
+"""Text analysis: lower case, split on anything that is not a token character,
+drop empty tokens.  Three analyzers differ in their token characters.
+
+The same rule exists in two forms: ``analyze`` for query texts on the driver,
+and column expressions for documents.  Letters are lowered one by one on both
+sides (a capital sigma at the end of a word would otherwise depend on its
+neighbours).
+
+Documents can be tested in two ways.  A single test reads the text itself: a
+substring test, then a regular expression that begins with the token's letters
+and only then looks at what stands beside them.  Several tests, frequencies and
+lengths read the *marked* text, one pass of a regular expression that leaves
+every token between single blanks (``"  red  fox  "``): a token or a phrase is
+then a plain substring, its frequency a difference of lengths.
 """
 
 from __future__ import annotations
 
-import regex
+import unicodedata
+from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The separator class of the analyzer.
-SEPARATOR = r"[^\p{L}\p{N}]+"
-TOKEN_CHAR = r"[\p{L}\p{N}]"
 
-_SPLIT = regex.compile(SEPARATOR)
-_TOKEN_ONLY = regex.compile(r"^[\p{L}\p{N}]+$")
+@dataclass(frozen=True)
+class Analyzer:
+    """Token characters as a regular-expression class and as categories of
+    code points (None: anything but ASCII white space)."""
 
+    name: str
+    inside: str
+    outside: str
+    categories: str | None = None
+    lower: bool = True
 
-def analyze(text: str) -> list[str]:
+    def is_char(self, ch: str) -> bool:
+        if self.categories is None:
+            return ch not in " \t\n\x0b\f\r"
+        return unicodedata.category(ch)[0] in self.categories
+
+
+# Token characters of the built-in analyzers.
+STANDARD = Analyzer("standard", r"[\p{L}\p{N}]", r"[^\p{L}\p{N}]", "LN")
+SIMPLE = Analyzer("simple", r"[\p{L}]", r"[^\p{L}]", "L")
+WHITESPACE = Analyzer("whitespace", r"[^ \t\n\x0B\f\r]", r"[ \t\n\x0B\f\r]", None, False)
+ANALYZERS = {a.name: a for a in (STANDARD, SIMPLE, WHITESPACE)}
+
+SEPARATOR = STANDARD.outside + "+"
+
+
+def lower_text(text: str) -> str:
+    """Lower case, letter by letter."""
+    return text.replace("Σ", "σ").lower()
+
+
+def lower(c: Column) -> Column:
+    """The same for a column."""
+    return F.lower(F.replace(c, F.lit("Σ"), F.lit("σ")))
+
+
+def _low(c: Column, an: Analyzer) -> Column:
+    return lower(c) if an.lower else c
+
+
+@lru_cache(4096)
+def _analyze(text: str, an: Analyzer) -> tuple[str, ...]:
+    text = lower_text(text) if an.lower else text
+    return tuple("".join(ch if an.is_char(ch) else " " for ch in text).split(" "))
+
+
+def analyze(text: str, an: Analyzer = STANDARD) -> list[str]:
     """Analyze a query string on the driver (query literals only)."""
     if text is None:
         return []
-    return [t for t in _SPLIT.split(str(text).lower()) if t]
+    return [t for t in _analyze(str(text), an) if t]
 
 
-def is_token(value: str) -> bool:
+def is_token(value: str, an: Analyzer = STANDARD) -> bool:
     """True if ``value`` could be produced by the analyzer."""
-    return bool(_TOKEN_ONLY.match(value)) and value == value.lower()
+    return bool(value) and analyze(value, an) == [value]
 
 
-def tokens(c: Column) -> Column:
+def tokens(c: Column, an: Analyzer = STANDARD) -> Column:
     """array<string> of the analyzed tokens of a string column."""
-    return F.filter(F.split(F.lower(c), SEPARATOR), lambda t: t != F.lit(""))
+    return F.filter(F.split(_low(c, an), an.outside + "+"), lambda t: t != F.lit(""))
 
 
-def _bounded(body: str) -> str:
-    return f"(?<!{TOKEN_CHAR})(?:{body})(?!{TOKEN_CHAR})"
+# --- tests on the text itself -------------------------------------------------
 
+def _quoted(tok: str) -> str:
+    return "".join("\\" + ch if ch in r"\.[]{}()*+-?^$|&#~/" else ch for ch in tok)
 
-def _any_substring(low: Column, toks: list[str]) -> Column:
-    out = None
-    for t in toks:
-        p = low.contains(t)
-        out = p if out is None else (out | p)
-    return out
 
+def _bounded(toks: list[str], an: Analyzer) -> str:
+    """A pattern for any of ``toks``: its letters first, then its edges, so
+    that most positions of a text fail at the first letter."""
+    parts = [f"{_quoted(t)}(?<!{an.inside}{_quoted(t)})" for t in toks]
+    return f"(?:{'|'.join(parts)})(?!{an.inside})"
 
-def has_any_token(c: Column, toks: list[str]) -> Column:
-    """True if any of ``toks`` (already analyzed) is a token of ``c``.
 
-    A plain substring test runs first: it is necessary for a token match
-    and much cheaper than the bounded regex, which then only runs on the
-    texts that contain a candidate.
-    """
+def has_any_token(c: Column, toks: list[str], an: Analyzer = STANDARD) -> Column:
+    """True if any of ``toks`` (already analyzed) is a token of ``c``."""
     if not toks:
         return F.lit(False)
     toks = sorted(set(toks))
-    low = F.lower(c)
-    return _any_substring(low, toks) & low.rlike(_bounded("|".join(toks)))
-
-
-def has_token(c: Column, tok: str) -> Column:
-    return has_any_token(c, [tok])
-
+    low = _low(c, an)
+    found = low.contains(toks[0])
+    for t in toks[1:]:
+        found = found | low.contains(t)
+    return found & low.rlike(_bounded(toks, an))
 
-def has_all_tokens(c: Column, toks: list[str]) -> Column:
-    if not toks:
-        return F.lit(False)
-    out = None
-    for t in sorted(set(toks)):
-        p = has_token(c, t)
-        out = p if out is None else (out & p)
-    return out
 
+def has_token(c: Column, tok: str, an: Analyzer = STANDARD) -> Column:
+    return has_any_token(c, [tok], an)
 
-def count_tokens_present(c: Column, toks: list[str]) -> Column:
-    """Number of distinct query tokens present in ``c`` (int)."""
-    terms = [F.when(has_token(c, t), 1).otherwise(0) for t in sorted(set(toks))]
-    if not terms:
-        return F.lit(0)
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
 
-
-def has_phrase(c: Column, toks: list[str]) -> Column:
+def has_phrase(c: Column, toks: list[str], an: Analyzer = STANDARD, last_is_prefix: bool = False) -> Column:
     """True if ``toks`` occur as adjacent tokens, in order."""
     if not toks:
         return F.lit(False)
-    low = F.lower(c)
+    low = _low(c, an)
     pre = None
     for t in sorted(set(toks)):
         p = low.contains(t)
         pre = p if pre is None else (pre & p)
-    body = "[^\\p{L}\\p{N}]+".join(toks)
-    return pre & low.rlike(_bounded(body))
+    first = f"{_quoted(toks[0])}(?<!{an.inside}{_quoted(toks[0])})"
+    body = (an.outside + "+").join([first, *map(_quoted, toks[1:])])
+    return pre & low.rlike(body + ("" if last_is_prefix else f"(?!{an.inside})"))
 
 
-def has_token_prefix(c: Column, prefix: str) -> Column:
+def has_token_prefix(c: Column, prefix: str, an: Analyzer = STANDARD) -> Column:
     """True if some token of ``c`` starts with ``prefix``."""
     if not prefix:
         return c.isNotNull()
-    low = F.lower(c)
-    return low.contains(prefix) & low.rlike(f"(?<!{TOKEN_CHAR}){prefix}")
+    low = _low(c, an)
+    return low.contains(prefix) & low.rlike(f"{_quoted(prefix)}(?<!{an.inside}{_quoted(prefix)})")
+
+
+# --- tests on the marked text ---------------------------------------------------
+
+def marked(c: Column, an: Analyzer = STANDARD) -> Column:
+    """The tokens of ``c``, each between single blanks; a null stays null."""
+    return F.regexp_replace(F.concat(F.lit(" "), _low(c, an), F.lit(" ")), an.outside + "+", "  ")
+
+
+def _phrase(toks: list[str]) -> str:
+    return " " + "  ".join(toks) + " "
+
+
+def marked_has(m: Column, toks: list[str], last_is_prefix: bool = False) -> Column:
+    """Whether ``toks`` stand next to each other in a marked text."""
+    p = _phrase(toks)
+    return m.contains(p[:-1] if last_is_prefix else p)
+
+
+def _occurrences(m: Column, part: str) -> Column:
+    return ((F.octet_length(m) - F.octet_length(F.replace(m, F.lit(part), F.lit("")))) / F.lit(len(part.encode()))).cast("int")
+
+
+def marked_count(m: Column, toks: list[str]) -> Column:
+    """How often ``toks`` stand next to each other, overlaps included."""
+    if any(toks[i:] == toks[:-i] for i in range(1, len(toks))):
+        # a phrase that can overlap itself: count where it begins
+        return F.size(F.regexp_extract_all(m, F.lit(f"(?={_quoted(_phrase(toks))})"), F.lit(0)))
+    return _occurrences(m, _phrase(toks))
+
+
+def marked_length(m: Column) -> Column:
+    """Number of tokens of a marked text."""
+    return _occurrences(m, "  ") - F.lit(1)

@@ -14,7 +14,12 @@ Rules:
 * Multi-valued fields.  A leaf on an array is true if any element matches.
 * Text vs keyword comes from the field metadata key ``es_type``.  A string
   field without metadata counts as text for full-text queries (``match``,
-  ``match_phrase``) and as keyword for term-level queries.
+  ``match_phrase``) and as keyword for term-level queries; its sub-field
+  ``keyword`` is the keyword in either case.
+* Sub-fields, normalizers, null values, aliases and copied fields of the
+  mapping are resolved by ``docindex.functions.fields``.
+* A text that a query asks several things of is read once: ``where_query``
+  marks its tokens in one pass and tests the marked text.
 """
 
 from __future__ import annotations
@@ -42,8 +47,10 @@ from pyspark.sql.types import (
 )
 
 from docindex.functions import analyzer as A
+from docindex.functions.fields import View, aliases, check_searchable, searchable, sub_field
+from docindex.functions.patterns import Pattern, regexp_pattern, wildcard_pattern
 
-Leaf = Callable[[Column, DataType, StructField], Column]
+Leaf = Callable[[View], Column]
 
 
 def to_query_dict(query: Any) -> dict | None:
@@ -60,23 +67,6 @@ def to_query_dict(query: Any) -> dict | None:
     raise TypeError(f"query must be a mapping or have to_dict(), got {type(query).__name__}")
 
 
-def _es_type(field: StructField | None) -> str | None:
-    if field is None:
-        return None
-    return (field.metadata or {}).get("es_type")
-
-
-def _is_text(field: StructField, dtype: DataType, full_text: bool) -> bool:
-    if not isinstance(dtype, StringType):
-        return False
-    t = _es_type(field)
-    if t in ("text", "search_as_you_type", "match_only_text"):
-        return True
-    if t is not None:
-        return False
-    return full_text
-
-
 def _single(params: Mapping, name: str) -> tuple[str, Any]:
     if not isinstance(params, Mapping) or len(params) != 1:
         raise ValueError(f"[{name}] query expects exactly one field, got {params!r}")
@@ -101,70 +91,18 @@ def _literal(value: Any, dtype: DataType) -> Column:
     return F.lit(value)
 
 
-def wildcard_to_regex(pattern: str) -> str:
-    """``*`` any string, ``?`` one character, ``\\`` escapes; anchored."""
-    out = []
-    i = 0
-    while i < len(pattern):
-        ch = pattern[i]
-        if ch == "\\" and i + 1 < len(pattern):
-            out.append(re.escape(pattern[i + 1]))
-            i += 2
-            continue
-        if ch == "*":
-            out.append(".*")
-        elif ch == "?":
-            out.append(".")
-        else:
-            out.append(re.escape(ch))
-        i += 1
-    return "(?s)\\A" + "".join(out) + "\\z"
-
-
-def regexp_to_java(pattern: str) -> str:
-    """Search-engine regular expression to an anchored Java regex.
-
-    The whole value must match.  ``@`` (any string) is supported; ``&``,
-    ``~`` and ``<n-m>`` intervals are refused.  ``^``/``$`` are literals in
-    the source syntax.
-    """
-    out = []
-    in_class = False
-    i = 0
-    while i < len(pattern):
-        ch = pattern[i]
-        if ch == "\\" and i + 1 < len(pattern):
-            out.append(pattern[i:i + 2])
-            i += 2
-            continue
-        if in_class:
-            if ch == "]":
-                in_class = False
-            out.append(ch)
-        elif ch == "[":
-            in_class = True
-            out.append(ch)
-        elif ch == "@":
-            out.append(".*")
-        elif ch in "^$":
-            out.append("\\" + ch)
-        elif ch in "&~<>":
-            raise ValueError(f"regexp operator {ch!r} is not supported")
-        elif ch == "#":
-            out.append("(?!)")
-        else:
-            out.append(ch)
-        i += 1
-    return "(?s)\\A(?:" + "".join(out) + ")\\z"
-
-
 class QueryCompiler:
     """Compiles one query dict against one schema."""
 
-    def __init__(self, schema: StructType):
+    def __init__(self, schema: StructType, marks: Mapping[tuple[str, str], Column] | None = None):
         self.schema = schema
-        # stack of (path prefix, element column, element struct type) for nested
-        self._scopes: list[tuple[str, Column, StructType]] = []
+        self.marks = dict(marks or {})
+        #: text passes that the compiled queries asked for, by path and analyzer
+        self.touched: dict[tuple[str, str], int] = {}
+        self.aliases = aliases(schema)
+        # stack of (path prefix, element column, element struct type[, texts]) for nested
+        self._scopes: list[tuple] = []
+        self._in_array = 0
 
     # -- field resolution -------------------------------------------------
     def _lookup(self, stype: StructType, parts: list[str]) -> tuple[StructField, int] | None:
@@ -177,42 +115,82 @@ class QueryCompiler:
 
     def field_pred(self, path: str, leaf: Leaf) -> Column:
         """Apply ``leaf`` to the field at ``path``; arrays mean any element."""
-        for prefix, base, stype in reversed(self._scopes):
+        path = self.aliases.get(path, path)
+        for prefix, base, stype, *texts in reversed(self._scopes):
             if path.startswith(prefix + "."):
                 rel = path[len(prefix) + 1:].split(".")
-                got = self._walk(rel, base, stype, leaf)
+                got = self._walk(rel, base, stype, leaf, path, texts[0] if texts else None)
                 if got is not None:
                     return got
-        got = self._walk(path.split("."), None, self.schema, leaf)
+        got = self._walk(path.split("."), None, self.schema, leaf, path, None if self._scopes else (self.marks, self.touched))
         return F.lit(False) if got is None else got
 
-    def _walk(self, parts, base, stype, leaf):
+    # ``texts``: the marked texts at hand and the passes asked for, or None
+    def _walk(self, parts, base, stype, leaf, path, texts):
         hit = self._lookup(stype, parts)
         if hit is None:
             return None
         field, used = hit
-        if base is None:
-            c = F.col("`" + field.name + "`")
-        else:
-            c = base.getField(field.name)
-        return self._apply(c, field.dataType, field, parts[used:], leaf)
-
-    def _apply(self, c, dtype, field, rest, leaf):
+        c = F.col("`" + field.name + "`") if base is None else base.getField(field.name)
+        copied = (field.metadata or {}).get("copied_from")
+        if copied and used == len(parts) and not self._scopes:
+            return self._copied(c, field, copied, leaf, path)
+        return self._apply(c, field.dataType, field, parts[used:], leaf, path, texts)
+
+    def _apply(self, c, dtype, field, rest, leaf, path, texts):
+        check_searchable(path, field.metadata or {})
         if isinstance(dtype, ArrayType):
-            return F.exists(c, lambda x: self._apply(x, dtype.elementType, field, rest, leaf))
+            # one marked text per document: elements are tested on their own
+            self._in_array += 1
+            try:
+                return F.exists(c, lambda x: self._apply(x, dtype.elementType, field, rest, leaf, path, None))
+            finally:
+                self._in_array -= 1
         if not rest:
-            return leaf(c, dtype, field)
+            return leaf(self._view(path, c, dtype, field.metadata, texts))
         if isinstance(dtype, StructType):
-            got = self._walk(rest, c, dtype, leaf)
+            got = self._walk(rest, c, dtype, leaf, path, texts)
             return F.lit(False) if got is None else got
         if isinstance(dtype, MapType):
-            return self._apply(c.getItem(".".join(rest)), dtype.valueType, field, [], leaf)
-        return F.lit(False)
+            return self._apply(c.getItem(".".join(rest)), dtype.valueType, field, [], leaf, path, None)
+        meta = sub_field(field, rest)
+        if meta is None:
+            return F.lit(False)
+        check_searchable(path, meta)
+        return leaf(self._view(path, c, dtype, meta, texts))
+
+    def _view(self, path, c, dtype, meta, texts) -> View:
+        return View(path, c, dtype, meta or {}, *(texts or ({}, None)))
+
+    def _copied(self, c, field, sources, leaf, path):
+        """A field that other fields are copied into: their texts together, or
+        any of their values."""
+        view = self._view(path, c, field.dataType, field.metadata, (self.marks, self.touched))
+        if view.is_text(full_text=True):
+            return leaf(View(path, F.concat_ws("\n", c, *[self._source(s) for s in sources]), view.dtype, view.meta, view.marks, view.touched))
+        return _or_all([leaf(View(path, x.cast(field.dataType), field.dataType, field.metadata or {})) for x in (c, *map(self._source, sources))])
+
+    def _source(self, path: str) -> Column:
+        got = []
+        self._walk(path.split("."), None, self.schema, lambda v: got.append(v.column) or F.lit(True), path, None)
+        return got[0] if got else F.lit(None).cast("string")
+
+    def view(self, path: str) -> View | None:
+        """The field at ``path`` in the innermost scope; None if unmapped or
+        below an array."""
+        got: list[View | None] = []
+        depth = self._in_array
+        try:
+            self.field_pred(path, lambda v: got.append(v if self._in_array == depth else None) or F.lit(True))
+        except ValueError:
+            return None
+        return got[0] if got else None
 
     def resolve_fields(self, patterns: list[str]) -> list[str]:
-        """Expand ``fields`` lists: strip ``^boost``, expand wildcards."""
+        """Expand ``fields`` lists: strip ``^boost``, expand wildcards (also to
+        sub-fields, but not to fields that can't be searched)."""
         names = []
-        flat = _flat_names(self.schema)
+        flat = _flat_names(self.schema, subs=True)
         for p in patterns:
             p = p.split("^", 1)[0]
             if any(ch in p for ch in "*?"):
@@ -286,10 +264,10 @@ class QueryCompiler:
         path = params["path"]
         inner = params["query"]
 
-        def leaf(c, dtype, field):
-            if not isinstance(dtype, StructType):
+        def leaf(v):
+            if not isinstance(v.dtype, StructType):
                 raise ValueError(f"nested path {path!r} is not an object")
-            return self._scoped(path, c, dtype, inner)
+            return self._scoped(path, v.column, v.dtype, inner)
 
         hit = self._lookup(self.schema, path.split("."))
         if hit is None and not self._scopes:
@@ -314,13 +292,13 @@ class QueryCompiler:
         else:
             value, ci = spec, False
 
-        def leaf(c, dtype, f):
-            if _is_text(f, dtype, full_text=False):
-                v = str(value).lower() if ci else str(value)
-                return A.has_any_token(c, [v]) if A.is_token(v) else F.lit(False)
-            if ci and isinstance(dtype, StringType):
-                return F.lower(c) == F.lit(str(value).lower())
-            return c == _literal(value, dtype)
+        def leaf(v):
+            if v.is_text(full_text=False):
+                t = A.lower_text(str(value)) if ci else str(value)
+                return v.has_any([t]) if A.is_token(t, v.analyzer) else F.lit(False)
+            if ci and isinstance(v.dtype, StringType):
+                return A.lower(v.values) == F.lit(A.lower_text(v.normal(str(value))))
+            return v.values == _literal(v.normal(value), v.dtype)
 
         return self.field_pred(field, leaf)
 
@@ -333,15 +311,14 @@ class QueryCompiler:
             raise ValueError("terms lookup is not supported")
         values = list(values)
 
-        def leaf(c, dtype, f):
-            if _is_text(f, dtype, full_text=False):
-                toks = [str(v) for v in values if A.is_token(str(v))]
-                return A.has_any_token(c, toks)
+        def leaf(v):
+            if v.is_text(full_text=False):
+                return v.has_any([str(x) for x in values if A.is_token(str(x), v.analyzer)])
             if not values:
                 return F.lit(False)
-            if isinstance(dtype, (TimestampType, TimestampNTZType, DateType, BooleanType)):
-                return c.isin(*[_literal(v, dtype) for v in values])
-            return c.isin(values)
+            if isinstance(v.dtype, (TimestampType, TimestampNTZType, DateType, BooleanType)):
+                return v.values.isin(*[_literal(x, v.dtype) for x in values])
+            return v.values.isin([v.normal(x) for x in values])
 
         return self.field_pred(field, leaf)
 
@@ -352,18 +329,19 @@ class QueryCompiler:
         return F.col("_id").isin(values) if values else F.lit(False)
 
     def _q_exists(self, params):
-        field = params["field"]
-
-        def leaf(c, dtype, f):
+        def any_value(c, dtype):
             if isinstance(dtype, StructType):
                 # an object exists if any value inside it does
                 inner = F.lit(False)
                 for g in dtype.fields:
-                    inner = inner | leaf(c.getField(g.name), g.dataType, g)
+                    inner = inner | any_value(c.getField(g.name), g.dataType)
                 return c.isNotNull() & inner
             return c.isNotNull()
 
-        return self.field_pred(field, leaf)
+        def leaf(v):
+            return any_value(v.column, v.dtype) if isinstance(v.dtype, StructType) else v.values.isNotNull()
+
+        return self.field_pred(params["field"], leaf)
 
     def _q_prefix(self, params):
         field, spec = _single(params, "prefix")
@@ -372,18 +350,26 @@ class QueryCompiler:
         else:
             value, ci = str(spec), False
 
-        def leaf(c, dtype, f):
-            if _is_text(f, dtype, full_text=False):
-                v = value.lower() if ci else value
-                if v and not A.is_token(v):
+        def leaf(v):
+            if v.is_text(full_text=False):
+                t = A.lower_text(value) if ci else value
+                if t and not A.is_token(t, v.analyzer):
                     return F.lit(False)
-                return A.has_token_prefix(c, v)
+                return v.has_prefix(t)
             if ci:
-                return F.lower(c).startswith(value.lower())
-            return c.startswith(value)
+                return A.lower(v.values).startswith(A.lower_text(v.normal(value)))
+            return v.values.startswith(v.normal(value))
 
         return self.field_pred(field, leaf)
 
+    def _pattern_leaf(self, value: str, ci: bool, parse: Callable[[str], Pattern]) -> Leaf:
+        def leaf(v):
+            if v.is_text(full_text=False):
+                rx = parse(value).regex(ci)
+                return F.exists(A.tokens(v.column, v.analyzer), lambda t: t.rlike(rx))
+            return parse(v.normal(value)).matches(v.values.cast("string"), ci)
+        return leaf
+
     def _q_wildcard(self, params):
         field, spec = _single(params, "wildcard")
         if isinstance(spec, Mapping):
@@ -391,10 +377,7 @@ class QueryCompiler:
             ci = bool(spec.get("case_insensitive", False))
         else:
             value, ci = spec, False
-        rx = wildcard_to_regex(str(value))
-        if ci:
-            rx = "(?i)" + rx
-        return self.field_pred(field, lambda c, dt, f: _rx_leaf(c, dt, f, rx))
+        return self.field_pred(field, self._pattern_leaf(str(value), ci, wildcard_pattern))
 
     def _q_regexp(self, params):
         field, spec = _single(params, "regexp")
@@ -403,10 +386,16 @@ class QueryCompiler:
             ci = bool(spec.get("case_insensitive", False))
         else:
             value, ci = spec, False
-        rx = regexp_to_java(str(value))
-        if ci:
-            rx = "(?i)" + rx
-        return self.field_pred(field, lambda c, dt, f: _rx_leaf(c, dt, f, rx))
+        # normalizers don't apply to regular expressions
+        parse = regexp_pattern(str(value))
+
+        def leaf(v):
+            if v.is_text(full_text=False):
+                rx = parse.regex(ci)
+                return F.exists(A.tokens(v.column, v.analyzer), lambda t: t.rlike(rx))
+            return parse.matches(v.values.cast("string"), ci)
+
+        return self.field_pred(field, leaf)
 
     def _q_range(self, params):
         field, spec = _single(params, "range")
@@ -426,11 +415,15 @@ class QueryCompiler:
         for op, v in (("gt", gt), ("gte", gte), ("lt", lt), ("lte", lte)):
             if v is not None:
                 bounds.append((op, v))
-
-        def leaf(c, dtype, f):
-            out = None
-            for op, v in bounds:
-                lit = _literal(v, dtype)
+        fmt = spec.get("format")
+
+        def leaf(v):
+            c, out = v.values, None
+            for op, x in bounds:
+                if fmt and isinstance(x, str) and isinstance(v.dtype, (TimestampType, TimestampNTZType, DateType)):
+                    lit = _date_in(x, fmt, v.dtype)
+                else:
+                    lit = _literal(v.normal(x), v.dtype)
                 p = {"gt": c > lit, "gte": c >= lit, "lt": c < lit, "lte": c <= lit}[op]
                 out = p if out is None else (out & p)
             return c.isNotNull() if out is None else out
@@ -439,21 +432,21 @@ class QueryCompiler:
 
     # -- full text --------------------------------------------------------
     def _match_leaf(self, query_text, operator="or", msm=None, zero_terms="none"):
-        def leaf(c, dtype, f):
-            if _is_text(f, dtype, full_text=True):
-                toks = A.analyze(query_text)
+        def leaf(v):
+            if v.is_text(full_text=True):
+                toks = A.analyze(query_text, v.analyzer)
                 if not toks:
                     return F.lit(zero_terms == "all")
                 uniq = sorted(set(toks))
                 if msm is not None:
                     need = _min_should(msm, len(uniq))
                     if need <= 1:
-                        return A.has_any_token(c, uniq)
-                    return A.count_tokens_present(c, uniq) >= F.lit(need)
+                        return v.has_any(uniq)
+                    return v.present(uniq) >= F.lit(need)
                 if str(operator).lower() == "and":
-                    return A.has_all_tokens(c, uniq)
-                return A.has_any_token(c, uniq)
-            return c == _literal(query_text, dtype)
+                    return v.has_all(uniq)
+                return v.has_any(uniq)
+            return v.values == _literal(v.normal(query_text), v.dtype)
         return leaf
 
     def _q_match(self, params):
@@ -466,14 +459,13 @@ class QueryCompiler:
             leaf = self._match_leaf(spec)
         return self.field_pred(field, leaf)
 
-    def _phrase_leaf(self, query_text):
-        def leaf(c, dtype, f):
-            if _is_text(f, dtype, full_text=True):
-                toks = A.analyze(query_text)
-                if not toks:
-                    return F.lit(False)
-                return A.has_phrase(c, toks)
-            return c == _literal(query_text, dtype)
+    def _phrase_leaf(self, query_text, last_is_prefix=False):
+        def leaf(v):
+            if v.is_text(full_text=True):
+                return v.has_phrase(A.analyze(query_text, v.analyzer), last_is_prefix)
+            if last_is_prefix:
+                return v.values.startswith(v.normal(str(query_text)))
+            return v.values == _literal(v.normal(query_text), v.dtype)
         return leaf
 
     def _q_match_phrase(self, params):
@@ -486,6 +478,12 @@ class QueryCompiler:
             text = spec
         return self.field_pred(field, self._phrase_leaf(text))
 
+    def _q_match_phrase_prefix(self, params):
+        """A phrase whose last token may go on; a server stops after a number
+        of such tokens (``max_expansions``), here all count."""
+        field, spec = _single(params, "match_phrase_prefix")
+        return self.field_pred(field, self._phrase_leaf(spec["query"] if isinstance(spec, Mapping) else spec, True))
+
     def _q_multi_match(self, params):
         text = params["query"]
         fields = self.resolve_fields(params.get("fields") or _flat_names(self.schema))
@@ -494,8 +492,8 @@ class QueryCompiler:
         msm = params.get("minimum_should_match")
         if kind in ("best_fields", "most_fields"):
             parts = [self.field_pred(f, self._match_leaf(text, operator, msm)) for f in fields]
-        elif kind == "phrase":
-            parts = [self.field_pred(f, self._phrase_leaf(text)) for f in fields]
+        elif kind in ("phrase", "phrase_prefix"):
+            parts = [self.field_pred(f, self._phrase_leaf(text, kind == "phrase_prefix")) for f in fields]
         elif kind == "cross_fields":
             toks = sorted(set(A.analyze(text)))
             per_tok = [_or_all([self.field_pred(f, self._match_leaf(t)) for f in fields])
@@ -510,13 +508,17 @@ class QueryCompiler:
         return _or_all(parts) if parts else F.lit(False)
 
 
-def _rx_leaf(c, dtype, f, rx):
-    if _is_text(f, dtype, full_text=False):
-        return F.exists(A.tokens(c), lambda t: t.rlike(rx))
-    return c.cast("string").rlike(rx)
+def _date_in(text: str, fmt: str, dtype: DataType) -> Column:
+    """A bound of a range query, written in the query's own date format."""
+    from docindex.functions.values import DATE_PATTERNS, parse_date
+    if all(f in DATE_PATTERNS for f in fmt.split("||")):
+        return parse_date(F.lit(text), fmt).cast(dtype)
+    if fmt in ("epoch_millis", "epoch_second"):
+        return F.timestamp_millis(F.lit(int(text) * (1 if fmt == "epoch_millis" else 1000))).cast(dtype)
+    return F.coalesce(*[F.try_to_timestamp(F.lit(text), F.lit(f)) for f in fmt.split("||")]).cast(dtype)
 
 
-def _flat_names(schema: StructType, prefix: str = "") -> list[str]:
+def _flat_names(schema: StructType, prefix: str = "", subs: bool = False) -> list[str]:
     out = []
     for f in schema.fields:
         name = prefix + f.name
@@ -524,9 +526,11 @@ def _flat_names(schema: StructType, prefix: str = "") -> list[str]:
         while isinstance(dt, ArrayType):
             dt = dt.elementType
         if isinstance(dt, StructType):
-            out.extend(_flat_names(dt, name + "."))
-        elif isinstance(dt, StringType) and not f.name.startswith("_"):
+            out.extend(_flat_names(dt, name + ".", subs))
+        elif isinstance(dt, StringType) and not f.name.startswith("_") and searchable(f.metadata or {}):
             out.append(name)
+            if subs:
+                out.extend(f"{name}.{s}" for s, meta in (f.metadata or {}).get("fields", {}).items() if searchable(meta))
     return out
 
 
@@ -562,12 +566,47 @@ def query_column(query: Any, schema: StructType) -> Column:
     return QueryCompiler(schema).compile(query)
 
 
+#: Column names of marked texts while a query runs.
+_MARK = "__marked"
+
+
+def marked_texts(df, wanted: Mapping[tuple[str, str], Column]):
+    """``df`` with a marked text per (path, analyzer) of ``wanted`` (its text
+    columns), and the columns by the same keys.
+
+    The texts come out of a generator of one row each: a projection would be
+    merged into every test on it, and each test would mark the text again.
+    """
+    if not wanted:
+        return df, {}
+    made = [A.marked(c, A.ANALYZERS[name]).alias(f"{_MARK}{i}") for i, ((_, name), c) in enumerate(wanted.items())]
+    marks = {key: F.col(f"{_MARK}{i}") for i, key in enumerate(wanted)}
+    return df.select("*", F.inline(F.array(F.struct(*made)))), marks
+
+
+def text_columns(schema: StructType, keys) -> dict[tuple[str, str], Column]:
+    """The text column behind each (path, analyzer)."""
+    qc, out = QueryCompiler(schema), {}
+    for path, name in keys:
+        v = qc.view(path)
+        if v is not None:
+            out[path, name] = v.column
+    return out
+
+
 def where_query(df, query: Any):
     """``df`` restricted to the documents matching ``query``."""
     q = to_query_dict(query)
     if not q:
         return df
-    return df.where(query_column(q, df.schema))
+    plan = QueryCompiler(df.schema)
+    cond = plan.compile(q)
+    often = [key for key, passes in plan.touched.items() if passes > 1]
+    if not often:
+        return df.where(cond)
+    marked, marks = marked_texts(df, text_columns(df.schema, often))
+    cond = QueryCompiler(df.schema, marks).compile(q)
+    return marked.where(cond).select(*[F.col("`" + c + "`") for c in df.columns])
 
 
 def count_query(df, query: Any) -> int:

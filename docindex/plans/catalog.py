@@ -917,3 +917,6 @@ def q_nested_array(spark, sf_dir):
         F.struct(F.lit("user").alias("name"), F.col("user_id").cast("double").alias("num"))).alias("parts"))
     q = {"nested": {"path": "parts", "query": {"bool": {"must": [{"term": {"parts.name": "click"}}, {"range": {"parts.num": {"gte": 50}}}]}}}}
     return where_query(ev, q).select("event_id")
+
+
+from docindex.plans import catalog_search  # noqa: E402,F401  registers its queries

@@ -440,3 +440,6 @@ FROM documents d LEFT JOIN labels l USING (doc_id)
 """
 
 ORACLE["query_nested_array"] = "SELECT event_id FROM events WHERE (event_type = 'click' AND value >= 50) OR ('user' = 'click' AND user_id >= 50)"
+
+
+from docindex.plans import oracle_search  # noqa: E402,F401  adds its queries

@@ -166,10 +166,19 @@ def _field_type(field: Field, path: str) -> DataType:
     return ArrayType(t, True) if field.multi else t
 
 
+def _field_meta(field: Field, path: str) -> dict:
+    """All that the field's mapping says, as for a mapping read from an index."""
+    if isinstance(field, Object):
+        return {"es_type": field.kind}
+    meta = dict(property_type(field.mapping(), path)[1])
+    if field.multi:
+        meta.pop("dims", None)
+    return meta
+
+
 def _doc_struct(cls: type, prefix: str = "") -> StructType:
     return StructType([
-        StructField(name, _field_type(f, prefix + name), not f.required,
-                    {"es_type": f.kind})
+        StructField(name, _field_type(f, prefix + name), not f.required, _field_meta(f, prefix + name))
         for name, f in cls._fields()
     ])
 

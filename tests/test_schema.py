@@ -16,103 +16,94 @@ from pyspark.sql.types import (
 
 from docindex.sources.mapping import mapping_to_struct
 from docindex.sources.model import (
-    Document, InnerDoc, Nested, Object, Text, index_name, model_to_struct,
+    Date, DenseVector, Document, InnerDoc, Keyword, Long, Nested, Object, Text, index_name, model_to_struct,
 )
 from docindex.sources.schema import META_FIELDS, as_struct, complete_schema
 
 
-def _sorted_type(t):
-    if isinstance(t, StructType):
-        return StructType([StructField(f.name, _sorted_type(f.dataType), f.nullable)
-                           for f in sorted(t.fields, key=lambda f: f.name)])
-    if isinstance(t, ArrayType):
-        return ArrayType(_sorted_type(t.elementType), t.containsNull)
-    return t
+class _Contact(InnerDoc):
+    phone = Keyword(required=True)
+    notes = Text(multi=True)
 
 
-def assert_schema_equal(a, b):
-    """Field order is ignored, recursively; metadata is ignored."""
-    assert _sorted_type(a) == _sorted_type(b)
+class _Supplier(Document):
+    s_suppkey = Long(required=True)
+    s_name = Text(fields={"raw": {"type": "keyword"}})
+    regions = Keyword(multi=True)
+    main_contact = Object(_Contact)
+    contacts = Nested(_Contact, required=True)
+    opened = Date(format="basic_date")
+    shape = DenseVector(dims=3)
 
+    class Index:
+        name = "supplier"
 
-def _inner():
-    return StructType([StructField("field1", StringType(), False),
-                       StructField("field2", ArrayType(StringType()), True)])
 
+CONTACT = "struct<phone:string,notes:array<string>>"
+SUPPLIER = {"s_suppkey": ("bigint", False), "s_name": ("string", True), "regions": ("array<string>", True), "main_contact": (CONTACT, True),
+            "contacts": (f"array<{CONTACT}>", False), "opened": ("date", True), "shape": ("array<float>", True)}
 
-class _Inner(InnerDoc):
-    field1 = Text(required=True)
-    field2 = Text(required=False, multi=True)
 
+def bare(t):
+    """A type as JSON, without the mapping's notes."""
+    if isinstance(t, dict):
+        return {k: bare(v) for k, v in t.items() if k != "metadata"}
+    return [bare(v) for v in t] if isinstance(t, list) else t
 
-class _Doc(Document):
-    field1 = Text(required=True)
-    field2 = Text(required=False, multi=True)
-    object1 = Object(_Inner, required=True)
-    nested1 = Nested(_Inner, required=True)
 
-    class Index:
-        name = "test_doc"
+def kinds(schema):
+    return {f.name: (f.dataType.simpleString(), f.nullable) for f in schema.fields}
 
 
-def test_given_schema_is_verbatim():
-    given = StructType([StructField("field1", StringType(), False),
-                        StructField("field2", StringType(), True)])
-    assert as_struct(given) == given
-    assert as_struct("field1 STRING NOT NULL, field2 STRING") == given
+def test_schema_as_ddl_is_verbatim(spark):
+    assert kinds(as_struct("p_partkey BIGINT NOT NULL, p_name STRING")) == {"p_partkey": ("bigint", False), "p_name": ("string", True)}
+    whole = as_struct("p_size INT")
+    assert as_struct(whole) is whole
 
 
-def test_declared_model_schema():
-    expected = StructType([
-        StructField("field1", StringType(), False),
-        StructField("field2", ArrayType(StringType()), True),
-        StructField("object1", _inner(), False),
-        StructField("nested1", ArrayType(_inner()), False),
-        *META_FIELDS.fields,
-    ])
-    assert_schema_equal(model_to_struct(_Doc), expected)
-    assert index_name(_Doc) == "test_doc"
+def test_declared_model():
+    schema = model_to_struct(_Supplier)
+    assert kinds(schema) == SUPPLIER | kinds(META_FIELDS)
+    inner = schema["contacts"].dataType.elementType
+    assert not inner["phone"].nullable and inner["notes"].nullable
+    assert index_name(_Supplier) == "supplier"
 
 
-def test_declared_model_with_source_fields():
-    expected = StructType([
-        StructField("field1", StringType(), False),
-        StructField("object1", _inner(), False),
-        StructField("nested1", ArrayType(_inner()), False),
-        *META_FIELDS.fields,
-    ])
-    got = model_to_struct(_Doc, source_fields=["field1", "object1", "nested1"])
-    assert_schema_equal(got, expected)
+@pytest.mark.parametrize("chosen", [["shape"], ["contacts", "s_suppkey"], ["s_name", "no_such_field"]])
+def test_declared_model_narrowed(chosen):
+    schema = model_to_struct(_Supplier, source_fields=chosen, meta_fields=[])
+    assert kinds(schema) == {k: v for k, v in SUPPLIER.items() if k in chosen}
 
 
-@dataclasses.dataclass
-class _Typed:
-    field1: str
-    field2: Optional[list[str]]
+def test_declared_model_keeps_every_parameter():
+    schema = model_to_struct(_Supplier)
+    assert schema["opened"].metadata["format"] == "basic_date" and schema["shape"].metadata["dims"] == 3
+    assert schema["s_name"].metadata["fields"] == {"raw": {"es_type": "keyword"}}
 
 
-def test_typed_model_schema():
-    expected = StructType([StructField("field1", StringType(), False),
-                           StructField("field2", ArrayType(StringType()), True),
-                           *META_FIELDS.fields])
-    assert_schema_equal(model_to_struct(_Typed), expected)
+@dataclasses.dataclass
+class _Customer:
+    c_custkey: int
+    c_name: str
+    c_acctbal: Optional[float]
+    c_orders: list[int]
+    c_notes: Optional[list[str]]
 
 
-def test_typed_model_with_source_fields():
-    expected = StructType([StructField("field1", StringType(), False), *META_FIELDS.fields])
-    assert_schema_equal(model_to_struct(_Typed, source_fields=["field1"]), expected)
+def test_annotated_model():
+    want = {"c_custkey": ("bigint", False), "c_name": ("string", False), "c_acctbal": ("double", True), "c_orders": ("array<bigint>", False), "c_notes": ("array<string>", True)}
+    assert kinds(model_to_struct(_Customer)) == want | kinds(META_FIELDS)
+    assert kinds(model_to_struct(_Customer, source_fields=["c_name"], meta_fields=["id"])) == {"c_name": ("string", False), "_id": ("string", True)}
 
 
 def test_pydantic_model_if_available():
     pydantic = pytest.importorskip("pydantic")
 
-    class M(pydantic.BaseModel):
-        field1: str
-        field2: Optional[list[str]]
+    class Order(pydantic.BaseModel):
+        o_orderkey: int
+        o_comment: Optional[str]
 
-    expected = StructType([StructField("field1", StringType(), False),
-                           StructField("field2", ArrayType(StringType()), True)])
-    assert_schema_equal(model_to_struct(M, complete=False), expected)
+    assert kinds(model_to_struct(Order, complete=False)) == {"o_orderkey": ("bigint", False), "o_comment": ("string", True)}
 
 
 def test_completion_order_and_unknown_names():
@@ -156,7 +147,7 @@ MAPPING_CASES = [
 @pytest.mark.parametrize("prop,expected", MAPPING_CASES)
 def test_mapping_types(prop, expected):
     got = mapping_to_struct({"f": prop})
-    assert _sorted_type(got["f"].dataType) == _sorted_type(expected)
+    assert bare(got["f"].dataType.jsonValue()) == bare(expected.jsonValue())
     assert got["f"].nullable
 
 
@@ -182,6 +173,23 @@ def test_mapping_errors(prop, exc):
             mapping_to_struct({"f": prop})
 
 
+def test_search_settings_of_a_mapping():
+    mapping = {"settings": {"index": {"analysis": {"normalizer": {"plain": {"type": "custom", "filter": ["lowercase", "asciifolding"]}}}}}, "mappings": {"properties": {
+        "name": {"type": "text", "analyzer": "simple", "copy_to": ["all"], "fields": {"raw": {"type": "keyword", "ignore_above": 9}, "low": {"type": "keyword", "normalizer": "plain"}}},
+        "code": {"type": "keyword", "null_value": "none", "index": False, "doc_values": False}, "all": {"type": "text"}, "title": {"type": "alias", "path": "name"},
+        "o": {"properties": {"x": {"type": "keyword", "normalizer": "lowercase", "copy_to": "all"}, "y": {"type": "alias", "path": "o.x"}}}}}}
+    got = mapping_to_struct(mapping)
+    assert got.fieldNames() == ["name", "code", "all", "o"] and got["o"].dataType.fieldNames() == ["x"]
+    assert got["name"].metadata == {"es_type": "text", "analyzer": "simple", "aliases": ["title"],
+                                    "fields": {"raw": {"es_type": "keyword", "ignore_above": 9}, "low": {"es_type": "keyword", "normalizer": ["lowercase", "asciifolding"]}}}
+    assert got["code"].metadata == {"es_type": "keyword", "null_value": "none", "index": False, "doc_values": False}
+    assert got["all"].metadata["copied_from"] == ["name", "o.x"] and got["o"].dataType["x"].metadata["aliases"] == ["o.y"]
+    with pytest.raises(NotImplementedError):
+        mapping_to_struct({"a": {"type": "keyword", "normalizer": "unheard_of"}})
+    with pytest.warns(UserWarning):
+        mapping_to_struct({"a": {"type": "text", "analyzer": "english"}})
+
+
 def test_mapping_response_forms():
     props = {"a": {"type": "keyword"}}
     for m in (props, {"properties": props}, {"mappings": {"properties": props}},
