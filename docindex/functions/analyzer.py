@@ -6,12 +6,12 @@ and column expressions for documents.  Letters are lowered one by one on both
 sides (a capital sigma at the end of a word would otherwise depend on its
 neighbours).
 
-Documents can be tested in two ways.  A single test reads the text itself: a
+Documents can be tested in two ways.  Filters read the lowered text: a
 substring test, then a regular expression that begins with the token's letters
-and only then looks at what stands beside them.  Several tests, frequencies and
-lengths read the *marked* text, one pass of a regular expression that leaves
-every token between single blanks (``"  red  fox  "``): a token or a phrase is
-then a plain substring, its frequency a difference of lengths.
+and only then looks at what stands beside them.  Frequencies and lengths read
+the *marked* text: the tokens, found in one pass of a regular
+expression, and for phrases the same in one line with blanks around each token,
+where a phrase is a plain substring and its frequency a difference of lengths.
 """
 
 from __future__ import annotations
@@ -84,7 +84,7 @@ def is_token(value: str, an: Analyzer = STANDARD) -> bool:
 
 def tokens(c: Column, an: Analyzer = STANDARD) -> Column:
     """array<string> of the analyzed tokens of a string column."""
-    return F.filter(F.split(_low(c, an), an.outside + "+"), lambda t: t != F.lit(""))
+    return F.regexp_extract_all(_low(c, an), F.lit(an.inside + "+"), F.lit(0))
 
 
 # --- tests on the text itself -------------------------------------------------
@@ -100,73 +100,97 @@ def _bounded(toks: list[str], an: Analyzer) -> str:
     return f"(?:{'|'.join(parts)})(?!{an.inside})"
 
 
-def has_any_token(c: Column, toks: list[str], an: Analyzer = STANDARD) -> Column:
-    """True if any of ``toks`` (already analyzed) is a token of ``c``."""
-    if not toks:
-        return F.lit(False)
-    toks = sorted(set(toks))
-    low = _low(c, an)
-    found = low.contains(toks[0])
-    for t in toks[1:]:
-        found = found | low.contains(t)
-    return found & low.rlike(_bounded(toks, an))
-
-
-def has_token(c: Column, tok: str, an: Analyzer = STANDARD) -> Column:
-    return has_any_token(c, [tok], an)
-
-
-def has_phrase(c: Column, toks: list[str], an: Analyzer = STANDARD, last_is_prefix: bool = False) -> Column:
-    """True if ``toks`` occur as adjacent tokens, in order."""
-    if not toks:
-        return F.lit(False)
-    low = _low(c, an)
-    pre = None
-    for t in sorted(set(toks)):
-        p = low.contains(t)
-        pre = p if pre is None else (pre & p)
-    first = f"{_quoted(toks[0])}(?<!{an.inside}{_quoted(toks[0])})"
-    body = (an.outside + "+").join([first, *map(_quoted, toks[1:])])
-    return pre & low.rlike(body + ("" if last_is_prefix else f"(?!{an.inside})"))
+@dataclass(frozen=True)
+class Lowered:
+    """A text as the analyzer splits it, tested without being split."""
+
+    low: Column
+    analyzer: Analyzer = STANDARD
+
+    def has_any(self, toks: list[str]) -> Column:
+        """True if any of ``toks`` (already analyzed) is a token."""
+        if not toks:
+            return F.lit(False)
+        toks = sorted(set(toks))
+        found = self.low.contains(toks[0])
+        for t in toks[1:]:
+            found = found | self.low.contains(t)
+        return found & self.low.rlike(_bounded(toks, self.analyzer))
+
+    def has_phrase(self, toks: list[str], last_is_prefix: bool = False) -> Column:
+        """True if ``toks`` occur as adjacent tokens, in order."""
+        if not toks:
+            return F.lit(False)
+        an, pre = self.analyzer, None
+        for t in sorted(set(toks)):
+            p = self.low.contains(t)
+            pre = p if pre is None else (pre & p)
+        first = f"{_quoted(toks[0])}(?<!{an.inside}{_quoted(toks[0])})"
+        body = (an.outside + "+").join([first, *map(_quoted, toks[1:])])
+        return pre & self.low.rlike(body + ("" if last_is_prefix else f"(?!{an.inside})"))
+
+
+def lowered(c: Column, an: Analyzer = STANDARD) -> Lowered:
+    return Lowered(_low(c, an), an)
 
 
-def has_token_prefix(c: Column, prefix: str, an: Analyzer = STANDARD) -> Column:
-    """True if some token of ``c`` starts with ``prefix``."""
-    if not prefix:
-        return c.isNotNull()
-    low = _low(c, an)
-    return low.contains(prefix) & low.rlike(f"{_quoted(prefix)}(?<!{an.inside}{_quoted(prefix)})")
+def has_any_token(c: Column, toks: list[str], an: Analyzer = STANDARD) -> Column:
+    return lowered(c, an).has_any(toks)
 
 
-# --- tests on the marked text ---------------------------------------------------
+# --- tests on the tokens -----------------------------------------------------------
 
-def marked(c: Column, an: Analyzer = STANDARD) -> Column:
-    """The tokens of ``c``, each between single blanks; a null stays null."""
-    return F.regexp_replace(F.concat(F.lit(" "), _low(c, an), F.lit(" ")), an.outside + "+", "  ")
+@dataclass(frozen=True)
+class Marked:
+    """The analyzed text of a field: its tokens, and (for phrases) the same with
+    every token between single blanks, ``"  red  fox  "``."""
+
+    tokens: Column
+    line: Column | None = None
+
+    def _line(self) -> Column:
+        return joined(self.tokens) if self.line is None else self.line
+
+    def has(self, tok: str) -> Column:
+        return F.array_contains(self.tokens, F.lit(tok))
+
+    def has_any(self, toks: list[str]) -> Column:
+        toks = sorted(set(toks))
+        out = self.has(toks[0]) if toks else F.lit(False)
+        for t in toks[1:]:
+            out = out | self.has(t)
+        return out
+
+    def has_phrase(self, toks: list[str], last_is_prefix: bool = False) -> Column:
+        """Whether ``toks`` stand next to each other."""
+        if len(toks) == 1 and not last_is_prefix:
+            return self.has(toks[0])
+        p = _phrase(toks)
+        return self._line().contains(p[:-1] if last_is_prefix else p)
+
+    def count(self, toks: list[str]) -> Column:
+        """How often ``toks`` stand next to each other, overlaps included."""
+        if len(toks) == 1:
+            return F.size(self.tokens) - F.size(F.array_remove(self.tokens, toks[0]))
+        line, part = self._line(), _phrase(toks)
+        if any(toks[i:] == toks[:-i] for i in range(1, len(toks))):
+            # a phrase that can overlap itself: count where it begins
+            return F.size(F.regexp_extract_all(line, F.lit(f"(?={_quoted(part)})"), F.lit(0)))
+        return ((F.octet_length(line) - F.octet_length(F.replace(line, F.lit(part), F.lit("")))) / F.lit(len(part.encode()))).cast("int")
+
+    def length(self) -> Column:
+        """Number of tokens; null without a text."""
+        return F.when(self.tokens.isNotNull(), F.size(self.tokens))
 
 
 def _phrase(toks: list[str]) -> str:
     return " " + "  ".join(toks) + " "
 
 
-def marked_has(m: Column, toks: list[str], last_is_prefix: bool = False) -> Column:
-    """Whether ``toks`` stand next to each other in a marked text."""
-    p = _phrase(toks)
-    return m.contains(p[:-1] if last_is_prefix else p)
-
-
-def _occurrences(m: Column, part: str) -> Column:
-    return ((F.octet_length(m) - F.octet_length(F.replace(m, F.lit(part), F.lit("")))) / F.lit(len(part.encode()))).cast("int")
-
-
-def marked_count(m: Column, toks: list[str]) -> Column:
-    """How often ``toks`` stand next to each other, overlaps included."""
-    if any(toks[i:] == toks[:-i] for i in range(1, len(toks))):
-        # a phrase that can overlap itself: count where it begins
-        return F.size(F.regexp_extract_all(m, F.lit(f"(?={_quoted(_phrase(toks))})"), F.lit(0)))
-    return _occurrences(m, _phrase(toks))
+def joined(toks: Column) -> Column:
+    """Tokens as one text, each between single blanks."""
+    return F.concat(F.lit(" "), F.array_join(toks, "  "), F.lit(" "))
 
 
-def marked_length(m: Column) -> Column:
-    """Number of tokens of a marked text."""
-    return _occurrences(m, "  ") - F.lit(1)
+def marked(c: Column, an: Analyzer = STANDARD) -> Marked:
+    return Marked(tokens(c, an))

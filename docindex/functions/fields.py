@@ -80,8 +80,8 @@ class View:
     column: Column
     dtype: DataType
     meta: dict = field(default_factory=dict)
-    marks: dict = field(default_factory=dict)   # (path, analyzer) -> marked column
-    touched: dict | None = None                 # the same keys -> text passes asked for
+    marks: dict = field(default_factory=dict)   # (path, analyzer) -> marked text
+    touched: dict | None = None                 # the same keys -> (text passes asked for, phrases among them)
 
     @property
     def es_type(self) -> str | None:
@@ -121,30 +121,22 @@ class View:
                 v = FILTERS[name][0](v)
         return v
 
-    # -- text: over the marked text where there is one, else over the text itself
+    # -- text: over what the query has ready, else over the text itself
 
-    def _mark(self, passes: int) -> Column | None:
+    def _mark(self, passes: int, line: bool = False) -> A.Marked | A.Lowered | None:
         key = (self.path, self.analyzer.name)
         if self.touched is not None:
-            self.touched[key] = self.touched.get(key, 0) + passes
+            had = self.touched.get(key, (0, False))
+            self.touched[key] = (had[0] + passes, had[1] or line)
         return self.marks.get(key)
 
-    def marked(self) -> Column:
+    def marked(self, line: bool = False) -> A.Marked:
         """The marked text, made here if the query has none ready."""
-        m = self._mark(2)
-        return A.marked(self.column, self.analyzer) if m is None else m
+        m = self._mark(2, line)
+        return m if isinstance(m, A.Marked) else A.marked(self.column, self.analyzer)
 
     def has_any(self, toks: Iterable[str]) -> Column:
-        toks = sorted(set(toks))
-        if not toks:
-            return F.lit(False)
-        m = self._mark(1)
-        if m is None:
-            return A.has_any_token(self.column, toks, self.analyzer)
-        out = A.marked_has(m, toks[:1])
-        for t in toks[1:]:
-            out = out | A.marked_has(m, [t])
-        return out
+        return (self._mark(1) or A.lowered(self.column, self.analyzer)).has_any(list(toks))
 
     def has_all(self, toks: Iterable[str]) -> Column:
         out = None
@@ -163,14 +155,10 @@ class View:
     def has_phrase(self, toks: list[str], last_is_prefix: bool = False) -> Column:
         if not toks:
             return F.lit(False)
-        m = self._mark(1)
-        return A.has_phrase(self.column, toks, self.analyzer, last_is_prefix) if m is None else A.marked_has(m, toks, last_is_prefix)
+        return (self._mark(1, True) or A.lowered(self.column, self.analyzer)).has_phrase(toks, last_is_prefix)
 
     def has_prefix(self, prefix: str) -> Column:
-        m = self._mark(1)
-        if m is None or not prefix:
-            return A.has_token_prefix(self.column, prefix, self.analyzer)
-        return A.marked_has(m, [prefix], last_is_prefix=True)
+        return self.has_phrase([prefix], last_is_prefix=True) if prefix else self.column.isNotNull()
 
 
 def searchable(meta: dict) -> bool:

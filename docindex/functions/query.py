@@ -18,8 +18,7 @@ Rules:
   ``keyword`` is the keyword in either case.
 * Sub-fields, normalizers, null values, aliases and copied fields of the
   mapping are resolved by ``docindex.functions.fields``.
-* A text that a query asks several things of is read once: ``where_query``
-  marks its tokens in one pass and tests the marked text.
+* A text that a query asks several things of is lowered once by ``where_query``.
 """
 
 from __future__ import annotations
@@ -94,11 +93,12 @@ def _literal(value: Any, dtype: DataType) -> Column:
 class QueryCompiler:
     """Compiles one query dict against one schema."""
 
-    def __init__(self, schema: StructType, marks: Mapping[tuple[str, str], Column] | None = None):
+    def __init__(self, schema: StructType, marks: Mapping[tuple[str, str], A.Marked | A.Lowered] | None = None):
         self.schema = schema
         self.marks = dict(marks or {})
-        #: text passes that the compiled queries asked for, by path and analyzer
-        self.touched: dict[tuple[str, str], int] = {}
+        #: text passes that the compiled queries asked for, by path and analyzer,
+        #: and whether phrases were among them
+        self.touched: dict[tuple[str, str], tuple[int, bool]] = {}
         self.aliases = aliases(schema)
         # stack of (path prefix, element column, element struct type[, texts]) for nested
         self._scopes: list[tuple] = []
@@ -570,28 +570,28 @@ def query_column(query: Any, schema: StructType) -> Column:
 _MARK = "__marked"
 
 
-def marked_texts(df, wanted: Mapping[tuple[str, str], Column]):
-    """``df`` with a marked text per (path, analyzer) of ``wanted`` (its text
-    columns), and the columns by the same keys.
+def marked_texts(df, touched: Mapping[tuple[str, str], tuple[int, bool]], split: bool):
+    """``df`` with prepared texts for the keys of ``touched`` that ask for more
+    than one pass, and these by key: marked texts, or (without ``split``) lowered
+    ones, which is all that filters need.
 
-    The texts come out of a generator of one row each: a projection would be
-    merged into every test on it, and each test would mark the text again.
+    They come out of a generator of one row each: a projection would be merged
+    into every test on it, and each test would prepare the text again.
     """
-    if not wanted:
-        return df, {}
-    made = [A.marked(c, A.ANALYZERS[name]).alias(f"{_MARK}{i}") for i, ((_, name), c) in enumerate(wanted.items())]
-    marks = {key: F.col(f"{_MARK}{i}") for i, key in enumerate(wanted)}
-    return df.select("*", F.inline(F.array(F.struct(*made)))), marks
-
-
-def text_columns(schema: StructType, keys) -> dict[tuple[str, str], Column]:
-    """The text column behind each (path, analyzer)."""
-    qc, out = QueryCompiler(schema), {}
-    for path, name in keys:
-        v = qc.view(path)
-        if v is not None:
-            out[path, name] = v.column
-    return out
+    qc, made, lines, ready = QueryCompiler(df.schema), [], [], {}
+    for i, (key, (passes, line)) in enumerate(touched.items()):
+        v = qc.view(key[0])
+        if passes < 2 or v is None:
+            continue
+        an, c = A.ANALYZERS[key[1]], F.col(f"{_MARK}{i}")
+        made.append((A.tokens(v.column, an) if split else A.lowered(v.column, an).low).alias(f"{_MARK}{i}"))
+        if split and line:
+            lines.append(A.joined(c).alias(f"{_MARK}{i}l"))
+        ready[key] = A.Marked(c, F.col(f"{_MARK}{i}l") if line else None) if split else A.Lowered(c, an)
+    for cols in (made, lines):
+        if cols:
+            df = df.select("*", F.inline(F.array(F.struct(*cols))))
+    return df, ready
 
 
 def where_query(df, query: Any):
@@ -601,12 +601,11 @@ def where_query(df, query: Any):
         return df
     plan = QueryCompiler(df.schema)
     cond = plan.compile(q)
-    often = [key for key, passes in plan.touched.items() if passes > 1]
-    if not often:
+    prepared, texts = marked_texts(df, plan.touched, split=False)
+    if not texts:
         return df.where(cond)
-    marked, marks = marked_texts(df, text_columns(df.schema, often))
-    cond = QueryCompiler(df.schema, marks).compile(q)
-    return marked.where(cond).select(*[F.col("`" + c + "`") for c in df.columns])
+    cond = QueryCompiler(df.schema, texts).compile(q)
+    return prepared.where(cond).select(*[F.col("`" + c + "`") for c in df.columns])
 
 
 def count_query(df, query: Any) -> int:

@@ -36,7 +36,7 @@ from pyspark.sql.types import ArrayType, StringType, StructType
 
 from docindex.functions import analyzer as A
 from docindex.functions.fields import View
-from docindex.functions.query import QueryCompiler, marked_texts, query_column, text_columns, to_query_dict
+from docindex.functions.query import QueryCompiler, marked_texts, query_column, to_query_dict, where_query
 from docindex.session import shared_dir
 
 # The default BM25 parameters.
@@ -104,7 +104,7 @@ class _Scorer:
         path, _ = self.nested[-1]
         touched, marks = self.nested_touched.setdefault(path, {}), {}
         if path in self.prepared:
-            marks = {key: x.getField(f"m{i}") for i, key in enumerate(self.prepared[path][1])}
+            marks = {key: A.Marked(x.getField(f"m{i}")) for i, key in enumerate(self.prepared[path][1])}
             x = x.getField("e")
         self.qc._scopes.append((path, x, self._element(path), (marks, touched)))
         try:
@@ -137,21 +137,21 @@ class _Scorer:
 
     def _counts(self, path: str) -> tuple[float, float]:
         """Documents that have the text, and their mean length."""
-        n = self.stats.of(self._key("n", path), lambda: self._over(lambda: self._on(path, lambda v: v.marked().isNotNull())))
-        length = self.stats.of(self._key("dl", path), lambda: self._total(lambda: self._on(path, lambda v: A.marked_length(v.marked()))))
+        n = self.stats.of(self._key("n", path), lambda: self._over(lambda: self._on(path, lambda v: v.marked().tokens.isNotNull())))
+        length = self.stats.of(self._key("dl", path), lambda: self._total(lambda: self._on(path, lambda v: v.marked().length())))
         return n, (length / n if n else 0.0) or 1.0
 
     def _frequency(self, path: str, tok: str) -> float:
-        return self.stats.of(self._key("df", path, tok), lambda: self._over(lambda: self._on(path, lambda v: A.marked_has(v.marked(), [tok]))))
+        return self.stats.of(self._key("df", path, tok), lambda: self._over(lambda: self._on(path, lambda v: v.marked().has(tok))))
 
     def _text_score(self, path: str, weight: float, toks: list[str]) -> Column:
         """``weight`` (an idf) times the length-normed frequency of ``toks``."""
         _, avgdl = self._counts(path)
 
         def use(v: View) -> Column:
-            m = v.marked()
-            tf = A.marked_count(m, toks).cast("double")
-            norm = F.lit(self.k1) * (F.lit(1 - self.b) + F.lit(self.b) * A.marked_length(m) / F.lit(avgdl))
+            m = v.marked(line=len(toks) > 1)
+            tf = m.count(toks).cast("double")
+            norm = F.lit(self.k1) * (F.lit(1 - self.b) + F.lit(self.b) * m.length() / F.lit(avgdl))
             return F.coalesce(F.lit(weight) * tf / (tf + norm), F.lit(0.0))
         return self._on(path, use)
 
@@ -288,7 +288,7 @@ def _marked_element(schema: StructType, path: str, keys: list[tuple[str, str]])
     def element(x: Column) -> Column:
         qc = QueryCompiler(schema)
         qc._scopes.append((path, x, schema[path].dataType.elementType))
-        return F.struct(x.alias("e"), *[A.marked(qc.view(sub).column, A.ANALYZERS[name]).alias(f"m{j}") for j, (sub, name) in enumerate(keys)])
+        return F.struct(x.alias("e"), *[A.tokens(qc.view(sub).column, A.ANALYZERS[name]).alias(f"m{j}") for j, (sub, name) in enumerate(keys)])
     return element
 
 
@@ -297,7 +297,7 @@ def _nested_texts(df: DataFrame, schema: StructType, touched: dict[str, dict]) -
     path of ``touched``; made in a generator, as ``marked_texts`` are."""
     made, out = [], {}
     for i, (path, passes) in enumerate(touched.items()):
-        keys = [key for key, n in passes.items() if n > 1]
+        keys = [key for key, (n, _) in passes.items() if n > 1]
         field = schema[path]
 
         if keys:
@@ -359,18 +359,22 @@ def search(df: DataFrame, query, track_scores: bool = False, k1: float = K1,
     cols = [_quoted(c) for c in base.columns]
     scorer = _Scorer(base.schema, k1, b)
     scorer.score(q, root=True)
-    scorer.qc.compile(q)
-    marked, marks = marked_texts(base, text_columns(base.schema, [k for k, n in scorer.qc.touched.items() if n > 1]))
-    marked, prepared = _nested_texts(marked, base.schema, scorer.nested_touched)
+    need, nested = dict(scorer.qc.touched), scorer.nested_touched
+
+    def marked(rows: DataFrame) -> DataFrame:
+        rows, scorer.qc.marks = marked_texts(rows, need, split=True)
+        rows, scorer.prepared = _nested_texts(rows, base.schema, nested)
+        return rows
+    # again with the marked texts: the figures of all documents first, then the
+    # scores; texts that don't match are not marked again
+    scorer = _Scorer(base.schema, k1, b)
+    everything = marked(base)
     if checkpoint:
         shared_dir(df.sparkSession)
-        marked = marked.checkpoint(eager=True)
-    # again with the marked texts: the figures first, then the scores
-    scorer = _Scorer(base.schema, k1, b)
-    scorer.qc.marks, scorer.prepared = marks, prepared
+        everything = everything.checkpoint(eager=True)
     scorer.score(q, root=True)
-    scorer.stats.read(marked)
-    hits = marked.where(scorer.qc.compile(q))
+    scorer.stats.read(everything)
+    hits = everything.where(scorer.qc.compile(q)) if checkpoint else marked(where_query(base, q))
     return hits.select(*cols, scorer.score(q, root=True).cast("double").alias("_score"))
 
 
