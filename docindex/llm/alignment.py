@@ -5,21 +5,22 @@ Both tokenise the whole text (with a blank before it, as B adds one).  Where a
 token of A and a token of B end at the same byte, a group ends.  A shared end
 before tokens that begin with a blank is an anchor: anchors cut a text into
 windows of token ids, mostly of one word.  A window's alignment depends on its
-ids only, so it is computed once and kept by its ids.
+ids only, so windows are numbered by their ids, and each one is aligned once.
 
 Links are pairs of an A and a B token that share bytes.  How often each pair of
 ids is linked is counted over all documents.  Documents travel in blocks, of
 about BLOCK_BYTES of text or one longer text: a block keeps each of its windows
-once, and each document as the row of its windows.  What the corpus is asked
-for, and answers, is then one row for each block and pair of ids.
+once, and its documents as rows of window numbers, both compressed.  What the
+corpus is asked for, and answers, is one row for each block and pair of ids.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from dataclasses import dataclass
 from functools import lru_cache
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,6 @@ from pyspark.sql import functions as F
 from .common import as_bytes, bounded_batches, lean, lean_group, runs, stored
 
 BLOCK_BYTES = 4 << 20
-#: Windows up to so many tokens are kept by their ids, and how many at most.
-KEPT_TOKENS, KEPT = 64, 200_000
 BLANK = 0x20
 #: Fixed value: the pattern of byte-level pre-tokenisation.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -58,69 +57,109 @@ class Pieces:
         return self.bytes[np.arange(int(size.sum())) + np.repeat(self.first[ids] - (stop - size), size)]
 
 
-@lru_cache(2)
-def byte_level(path: str):
-    """(encoding, pieces) of a byte-level BPE's JSON file."""
-    import tiktoken
+def _ranks(path: str) -> dict[bytes, int]:
     with open(path, encoding="utf-8") as f:
         vocab = json.load(f)["model"]["vocab"]
     letter = byte_alphabet()
-    ranks = {bytes(letter[c] for c in t): i for t, i in vocab.items()}
+    return {bytes(letter[c] for c in t): i for t, i in vocab.items()}
+
+
+@lru_cache(2)
+def byte_level(path: str):
+    """The encoding of a byte-level BPE's JSON file."""
+    import tiktoken
+    return tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=_ranks(path), special_tokens={})
+
+
+@lru_cache(2)
+def piece_model(path: str):
+    import sentencepiece
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+@lru_cache(2)
+def byte_level_pieces(path: str) -> Pieces:
+    ranks = _ranks(path)
     token = [b""] * (max(ranks.values()) + 1)
     for t, i in ranks.items():
         token[i] = t
-    return tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), Pieces(token)
+    return Pieces(token)
 
 
 @lru_cache(2)
-def piece_model(path: str):
-    """(processor, pieces) of a SentencePiece model."""
-    import sentencepiece
-    sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    token = [bytes([int(sp.id_to_piece(i)[3:-1], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace("▁", " ").encode() for i in range(sp.get_piece_size())]
-    return sp, Pieces(token)
-
-
-def align(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> tuple[str, list[tuple[int, int]]]:
-    """Groups (as text) and links of a window of ids and their byte lengths."""
-    end_a, end_b = list(accumulate(size_a)), list(accumulate(size_b))
-    links, groups = [], []
-    i = j = i0 = j0 = 0
-    while i < len(a):
-        links.append((a[i], b[j]))
-        if end_a[i] == end_b[j]:
-            i, j = i + 1, j + 1
-            groups.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
-            i0, j0 = i, j
-        elif end_a[i] < end_b[j]:
-            i += 1
-        else:
-            j += 1
-    return ";".join(groups), links
+def model_pieces(path: str) -> Pieces:
+    sp = piece_model(path)
+    return Pieces([bytes([int(sp.id_to_piece(i)[3:-1], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace("▁", " ").encode() for i in range(sp.get_piece_size())])
+
+
+@dataclass
+class Windows:
+    """Token windows in a row: ids, how many of them each window has, and the
+    byte at which each token ends."""
+
+    a: np.ndarray
+    b: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    end_a: np.ndarray
+    end_b: np.ndarray
+
+    def __post_init__(self):
+        self.ends = np.append(0, self.end_a)[np.cumsum(self.n_a)]
+        mark = np.zeros(int(self.ends[-1]) + 1 if len(self.ends) else 1, np.uint8)
+        mark[self.end_a] = 1
+        mark[self.end_b] |= 2
+        # between two ends, of either side, one A and one B token lie
+        self.stops = np.flatnonzero(mark)
+        kind = mark[self.stops]
+        self.shared = self.stops[kind == 3]
+        at_a, at_b = kind & 1, kind >> 1
+        self.link_a, self.link_b = np.cumsum(at_a, dtype=np.int64) - at_a, np.cumsum(at_b, dtype=np.int64) - at_b
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """Linked pairs (a << 32 | b), and how many each window has."""
+        pairs = self.a[self.link_a].astype(np.int64) << 32 | self.b[self.link_b]
+        return pairs, np.diff(np.searchsorted(self.stops, self.ends, side="right"), prepend=0)
+
+    def groups(self) -> np.ndarray:
+        return np.diff(np.searchsorted(self.shared, self.ends, side="right"), prepend=0)
+
+    def texts(self) -> pa.Array:
+        """``a1,a2|b1;a3|b2,b3`` of each window."""
+        group_a, group_b = (np.searchsorted(self.shared, e, side="left") for e in (self.end_a, self.end_b))
+        g = len(self.shared)
+        upto_a, upto_b = (np.append(0, np.cumsum(np.bincount(x, minlength=g))) for x in (group_a, group_b))
+        # in a group A's tokens come first
+        n, last = len(self.a) + len(self.b), np.zeros(g, bool)
+        last[np.searchsorted(self.shared, self.ends)] = True
+        ids, sep = np.empty(n, np.int64), np.empty(n, np.uint8)
+        at = np.arange(len(self.a)) + upto_b[group_a]
+        ids[at] = self.a
+        sep[at] = np.where(np.append(group_a[1:], -1) == group_a, ord(","), ord("|"))
+        at = np.arange(len(self.b)) + upto_a[group_b + 1]
+        ids[at] = self.b
+        ends_group = np.append(group_b[1:], -1) != group_b
+        sep[at] = np.where(ends_group, np.where(last[group_b], 0, ord(";")), ord(","))
+        # decimal digits of each id, then its separator
+        digits = 1 + sum((ids >= 10**k).astype(np.int64) for k in range(1, 10))
+        width = digits + (sep > 0)
+        stop = np.cumsum(width)
+        out = np.empty(int(stop[-1]) if n else 0, np.uint8)
+        first = stop - width
+        left = ids.copy()
+        for k in range(int(digits.max(initial=0))):
+            some = digits > k
+            out[first[some] + digits[some] - 1 - k] = 48 + left[some] % 10
+            left //= 10
+        out[(stop - 1)[sep > 0]] = sep[sep > 0]
+        tokens = np.cumsum(self.n_a + self.n_b)
+        return pa.Array.from_buffers(pa.large_string(), len(self.n_a), [None, pa.py_buffer(np.append(0, np.append(0, stop)[tokens])), pa.py_buffer(out)])
 
 
 class Aligner:
-    """Aligns blocks of texts, with a bounded memory of windows."""
-
     def __init__(self, path_a: str, path_b: str):
-        (self.enc, self.a), (self.sp, self.b) = byte_level(path_a), piece_model(path_b)
-        self.kept: dict[bytes, tuple[str, np.ndarray]] = {}
-
-    def window(self, ids: bytes) -> tuple[str, np.ndarray]:
-        """Groups and links (a << 32 | b) of a window: its number of A ids,
-        its A ids and its B ids, as 32-bit numbers."""
-        known = self.kept.get(ids)
-        if known is not None:
-            return known
-        x = np.frombuffer(ids, np.int32)
-        a, b = x[1:1 + x[0]], x[1 + x[0]:]
-        text, links = align(a.tolist(), b.tolist(), self.a.length[a].tolist(), self.b.length[b].tolist())
-        out = text, np.fromiter((p << 32 | q for p, q in links), np.int64, len(links))
-        if len(x) <= KEPT_TOKENS:
-            if len(self.kept) >= KEPT:
-                self.kept.clear()
-            self.kept[ids] = out
-        return out
+        self.enc, self.sp = byte_level(path_a), piece_model(path_b)
+        self.a, self.b = byte_level_pieces(path_a), model_pieces(path_b)
 
     def tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of A and of B; of both none where their bytes are not the text's."""
@@ -132,21 +171,21 @@ class Aligner:
                 a[k], b[k] = [], []
         return a, b
 
+    def windows(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> Windows:
+        return Windows(a, b, n_a, n_b, np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b]))
+
     def block(self, texts: list[str]) -> dict:
-        """Windows of a block of texts (see ``_read`` for the parts)."""
+        """A block of texts: per text the numbers of tokens, groups, links and
+        windows; for all of them the pairs of linked ids with their counts, and
+        what ``unpack`` makes windows of again."""
         la, lb = self.tokens(texts)
         na, nb = (np.array([len(x) for x in y], np.int64) for y in (la, lb))
-        a, b = (np.fromiter((i for x in y for i in x), np.int32, int(n.sum())) for y, n in ((la, na), (lb, nb)))
+        a, b = (np.fromiter(chain.from_iterable(y), np.int32, int(n.sum())) for y, n in ((la, na), (lb, nb)))
+        whole = self.windows(a, b, na, nb)
         data = self.a.joined(a)  # the bytes of all texts that have tokens
-        end_a, end_b = np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b])
-        n = len(data)
-        mark = np.zeros(n + 1, np.uint8)
-        mark[end_a] |= 1
-        mark[end_b] |= 2
-        shared = mark == 3
         # texts begin with a blank, so each text's last byte is an anchor, too
-        anchor = np.flatnonzero(shared & (np.append(data, BLANK) == BLANK)) if n else np.zeros(0, np.int64)
-        ia, ib = (np.append(0, np.searchsorted(e, anchor, side="right")) for e in (end_a, end_b))
+        anchor = whole.shared[np.append(data, BLANK)[whole.shared] == BLANK]
+        ia, ib = (np.append(0, np.searchsorted(e, anchor, side="right")) for e in (whole.end_a, whole.end_b))
         ca, cb = np.diff(ia), np.diff(ib)
         # windows as rows of numbers: count of A ids, A ids, B ids
         size = 1 + ca + cb
@@ -156,31 +195,45 @@ class Aligner:
         flat[np.arange(len(a)) + np.repeat(at + 1 - ia[:-1], ca)] = a
         flat[np.arange(len(b)) + np.repeat(at + 1 + ca - ib[:-1], cb)] = b
         rows = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(np.append(at, len(flat)) * 4), pa.py_buffer(flat)]).dictionary_encode()
-        code = rows.indices.to_numpy()
-        own = [self.window(w) for w in rows.dictionary.to_pylist()]
-        links = np.array([len(x) for _, x in own], np.int64)
-        every = np.concatenate([x for _, x in own]) if own else np.zeros(0, np.int64)
+        path = rows.indices.to_numpy().astype(np.int32)
+        own = rows.dictionary
+        kept, bounds = (np.frombuffer(x, t) if x is not None else np.zeros(0, t) for x, t in zip(own.buffers()[2:0:-1], (np.int32, np.int64)))
+        bounds = bounds[:len(own) + 1] // 4
+        kept = kept[:int(bounds[-1])] if len(bounds) else kept
+        aligned = self.unpacked(kept, np.diff(bounds))
+        every, links = aligned.links()
         pair, which = np.unique(every, return_inverse=True)
-        used = np.bincount(code, minlength=len(own))
-        count = np.bincount(which, weights=np.repeat(used, links), minlength=len(pair)).astype(np.int64)
-        # documents: their numbers of windows, groups and links
-        stop_a = np.cumsum(na)
-        windows = np.searchsorted(ia[1:], stop_a, side="right")
-        ends = np.append(0, end_a)[stop_a]
-        groups = np.append(0, np.cumsum(shared))[ends + 1] if n else np.zeros(len(texts), np.int64)
-        sums = np.append(0, np.cumsum(links[code]))[windows]
-        return {"n_a": na, "n_b": nb, "n_groups": np.diff(groups, prepend=0), "n_links": np.diff(sums, prepend=0), "path": code, "path_end": windows,
-                "text": [t for t, _ in own], "link": which, "link_end": np.cumsum(links), "pair": pair, "count": count}
+        count = np.bincount(which, weights=np.repeat(np.bincount(path, minlength=len(links)), links), minlength=len(pair)).astype(np.int64)
+        windows = np.searchsorted(anchor, whole.ends, side="right")
+        sums = np.append(0, np.cumsum(links[path]))[windows]
+        return {"n_a": na, "n_b": nb, "n_groups": whole.groups(), "n_links": np.diff(sums, prepend=0), "n_windows": np.diff(windows, prepend=0),
+                "packed": [_packed(x) for x in (path, np.diff(bounds).astype(np.int32), kept)], "pair": pair, "count": count}
+
+    def unpacked(self, flat: np.ndarray, size: np.ndarray) -> Windows:
+        """Windows of rows of numbers (see ``block``)."""
+        at = np.cumsum(size) - size
+        n_a = flat[at].astype(np.int64)
+        n_b = size - 1 - n_a
+        a = flat[np.arange(int(n_a.sum())) + np.repeat(at + 1 - (np.cumsum(n_a) - n_a), n_a)]
+        b = flat[np.arange(int(n_b.sum())) + np.repeat(at + 1 + n_a - (np.cumsum(n_b) - n_b), n_b)]
+        return self.windows(a, b, n_a, n_b)
+
 
+def _packed(x: np.ndarray) -> bytes:
+    return len(x).to_bytes(8, "little") + pa.compress(x.tobytes(), "zstd", asbytes=True)
 
-_OWN = ("block string, n_a long, n_b long, n_groups long, n_links long, path array<int>, "
-        "texts array<string>, link array<int>, link_end array<int>, pair array<long>, pair_count array<long>")
+
+def _numbers(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:8], "little")
+    return np.frombuffer(pa.decompress(raw[8:], n * 4, "zstd", asbytes=True), np.int32)
+
+
+_OWN = "block string, place int, n_a long, n_b long, n_groups long, n_links long, n_windows long, packed array<binary>, pair array<long>, pair_count array<long>"
 
 
 def _read(path_a: str, path_b: str):
-    """Documents with the row of their windows; the first of each block also
-    has the block's windows (groups, links by number of their pair) and pairs
-    of ids with their counts."""
+    """Documents with their numbers of windows; the first of each block also
+    has the block's windows and pairs of ids with their counts."""
     def run(batches):
         aligner = Aligner(path_a, path_b)
         for batch in batches:
@@ -189,40 +242,35 @@ def _read(path_a: str, path_b: str):
                 x = aligner.block(batch.column("text").slice(i, j - i).to_pylist())
                 k = j - i
 
-                def lists(ends, values, kind):
-                    return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(values, kind))
-
                 def once(values, kind):
-                    return lists(np.full(k, len(values)), values, kind)
+                    return pa.ListArray.from_arrays(pa.array(np.append(0, np.full(k, len(values))).astype(np.int32)), pa.array(values, kind))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("row").slice(i, k), pa.array([uuid.uuid4().hex] * k),
-                    *(pa.array(x[c], pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")), lists(x["path_end"], x["path"], pa.int32()),
-                    once(x["text"], pa.string()), once(x["link"], pa.int32()), once(x["link_end"], pa.int32()), once(x["pair"], pa.int64()), once(x["count"], pa.int64())],
+                    batch.column("row").slice(i, k), pa.array([uuid.uuid4().hex] * k), pa.array(np.arange(k, dtype=np.int32)),
+                    *(pa.array(x[c], pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links", "n_windows")),
+                    once(x["packed"], pa.binary()), once(x["pair"], pa.int64()), once(x["count"], pa.int64())],
                     names=["row", *(c.split()[0] for c in _OWN.split(", "))])
-        aligner.kept.clear()  # the worker may turn to other work
     return run
 
 
-def _flat(table: pa.Table, name: str) -> np.ndarray:
-    return table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-
-
-def _answer(docs: pa.Table, pairs: pa.Table) -> pa.Table:
-    """Documents of a block, given the corpus's counts of the block's pairs."""
-    own, order = _flat(docs, "pair"), np.argsort(pairs.column("pair").to_numpy())
-    if not np.array_equal(own, pairs.column("pair").to_numpy()[order]):
-        raise ValueError("a block and its pairs disagree")
-    n, best = (pairs.column(c).to_numpy()[order].astype(np.int64) for c in ("n", "best"))
-    link, ends = _flat(docs, "link"), _flat(docs, "link_end")
-    sums = [np.append(0, np.cumsum(v[link]))[np.append(0, ends)] for v in (best, n)]
-    path, text = docs.column("path").combine_chunks(), docs.column("texts").combine_chunks().flatten().to_pylist()
-    codes = path.flatten().to_numpy()
-    stop = np.append(0, np.cumsum(path.value_lengths().to_numpy()))
-    found = [np.diff(np.append(0, np.cumsum(np.diff(v)[codes]))[stop]) for v in sums]
-    codes = codes.tolist()
-    groups = [";".join([text[w] for w in codes[s:e]]) for s, e in zip(stop[:-1].tolist(), stop[1:].tolist())]
-    out = {c: docs.column(c) for c in ("row", "n_a", "n_b", "n_groups", "n_links")}
-    return pa.table(out | {"n_best": pa.array(found[0], pa.int64()), "count_sum": pa.array(found[1], pa.int64()), "groups": pa.array(groups, pa.string())})
+def _answer(path_a: str, path_b: str):
+    def run(docs: pa.Table, pairs: pa.Table) -> pa.Table:
+        """Documents of a block, given the corpus's counts of the block's pairs."""
+        docs = docs.sort_by("place")
+        own, order = docs.column("pair")[0].values.to_numpy(), np.argsort(pairs.column("pair").to_numpy())
+        if not np.array_equal(own, pairs.column("pair").to_numpy()[order]):
+            raise ValueError("a block and its pairs disagree")
+        n, best = (pairs.column(c).to_numpy()[order].astype(np.int64) for c in ("n", "best"))
+        path, size, flat = (_numbers(x) for x in docs.column("packed")[0].as_py())
+        windows = Aligner(path_a, path_b).unpacked(flat, size.astype(np.int64))
+        pair, links = windows.links()
+        which, ends = np.searchsorted(own, pair), np.append(0, np.cumsum(links))
+        stop = np.append(0, np.cumsum(docs.column("n_windows").to_numpy()))
+        found = [np.diff(np.append(0, np.cumsum(np.diff(np.append(0, np.cumsum(v[which]))[ends])[path]))[stop]) for v in (best, n)]
+        text, path = windows.texts().to_pylist(), path.tolist()
+        groups = [";".join([text[w] for w in path[s:e]]) for s, e in zip(stop[:-1].tolist(), stop[1:].tolist())]
+        out = {c: docs.column(c) for c in ("row", "n_a", "n_b", "n_groups", "n_links")}
+        return pa.table(out | {"n_best": pa.array(found[0], pa.int64()), "count_sum": pa.array(found[1], pa.int64()), "groups": pa.array(groups, pa.string())})
+    return run
 
 
 def align_tokens(docs: DataFrame, path_a: str, path_b: str, text: str = "text") -> DataFrame:
@@ -252,4 +300,4 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, text: str = "text")
     scored = counts.withColumn("b", b_id).join(F.broadcast(highest), "b").select("pair", "n", (F.col("n") == F.col("most")).cast("int").alias("best"))
     told = asked.select(F.col("block").alias("of"), "pair").join(scored, "pair")
     return read.groupBy("block").cogroup(told.groupBy("of")).applyInArrow(
-        lean_group(_answer), f"row {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
+        lean_group(_answer(path_a, path_b)), f"row {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")

@@ -79,18 +79,19 @@ def test_query(spark, tmp_path, libraries):
 def test_ids_are_the_librarys(libraries):
     t, sp = libraries
     some = [f" a{chr(c)}b1{chr(c)} {chr(c)}{chr(c)}" for c in [*range(1, 0x3100), *range(0x3100, 0x110000, 397)] if not 0xD800 <= c < 0xE000]
-    enc, pieces = alignment.byte_level(A)
+    enc, pieces = alignment.byte_level(A), alignment.byte_level_pieces(A)
     assert [enc.encode_ordinary(x) for x in some] == [e.ids for e in t.encode_batch(some, add_special_tokens=False)]
     assert all(pieces.joined(np.array(enc.encode_ordinary(x))).tobytes() == x.encode() for x in some)
 
 
-def test_windows_are_memoised(libraries):
+def test_windows_are_aligned_once(libraries):
     x = alignment.Aligner(A, B)
-    one = x.block(["the end of the end", None or "", "of the"])
-    assert len(one["text"]) == 3 and one["path_end"].tolist() == [5, 5, 7]
-    known = len(x.kept)
-    x.block(["the end of the end of the"])
-    assert len(x.kept) == known
+    one = x.block(["the end of the end", "", "of the"])
+    path, size, flat = (alignment._numbers(p) for p in one["packed"])
+    assert path.tolist() == [0, 1, 2, 0, 1, 2, 0] and one["n_windows"].tolist() == [5, 0, 2] and len(size) == 3
+    texts = x.unpacked(flat, size.astype(np.int64)).texts().to_pylist()
+    assert all(t.count("|") == 1 and t.replace("|", "").isdigit() for t in texts) and len(set(texts)) == 3
+    assert one["count"].sum() == one["n_links"].sum() == 7
 
 
 def test_frames(spark, libraries):
