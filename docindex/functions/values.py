@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     DataType,
     DateType,
     MapType,
@@ -156,16 +157,27 @@ def _ddl(dt: DataType) -> str:
     return dt.simpleString()
 
 
-def convert(c: Column, src: DataType, dst: DataType, meta: dict | None, name: str) -> Column:
-    """Convert column ``c`` of type ``src`` to ``dst`` (per mapping metadata)."""
+def readable(c: Column, out: Column, dst: DataType, name: str, doc: Column | None) -> Column:
+    """``out``, or a job failure that names the field, the document and the
+    value where a value ``c`` came out as null."""
+    lost = F.concat(F.lit(f"field {name} of document "), F.coalesce(doc.cast("string") if doc is not None else F.lit(None), F.lit("?")),
+                    F.lit(f" is not a {dst.simpleString()}: "), c.cast("string"))
+    return F.when(c.isNotNull() & out.isNull(), F.raise_error(lost)).otherwise(out)
+
+
+def convert(c: Column, src: DataType, dst: DataType, meta: dict | None, name: str, doc: Column | None = None) -> Column:
+    """Convert column ``c`` of type ``src`` to ``dst`` (per mapping metadata).  A
+    value that can't be read fails the job, with the field ``name``, the id
+    ``doc`` of its document and the value."""
     meta = meta or {}
     if src == dst and not meta.get("dims"):
         return c
     if isinstance(dst, ArrayType):
         if isinstance(src, ArrayType):
-            out = F.transform(c, lambda x: convert(x, src.elementType, dst.elementType, {}, name))
+            inner = {k: v for k, v in meta.items() if k != "dims"}
+            out = F.transform(c, lambda x: convert(x, src.elementType, dst.elementType, inner, name, doc))
         else:
-            one = convert(c, src, dst.elementType, meta, name)
+            one = convert(c, src, dst.elementType, meta, name, doc)
             out = F.when(c.isNotNull(), F.array(one))
         if meta.get("dims"):
             out = check_dims(out, int(meta["dims"]), name)
@@ -176,19 +188,23 @@ def convert(c: Column, src: DataType, dst: DataType, meta: dict | None, name: st
         for f in dst.fields:
             if f.name in have:
                 sub = convert(c.getField(f.name), have[f.name].dataType, f.dataType,
-                              f.metadata, f"{name}.{f.name}")
+                              f.metadata, f"{name}.{f.name}", doc)
             else:
                 sub = F.lit(None).cast(f.dataType)
             if not f.nullable:
                 sub = require(sub, f"{name}.{f.name}")
             parts.append(sub.alias(f.name))
         return F.when(c.isNotNull(), F.struct(*parts))
+    if isinstance(dst, VariantType):
+        return F.to_variant_object(c) if isinstance(src, (StructType, ArrayType, MapType)) else c.cast("variant")
     if isinstance(dst, DateType) and isinstance(src, StringType):
-        return parse_date(c, meta.get("format"))
+        return readable(c, parse_date(c, meta.get("format")), dst, name, doc)
     if isinstance(dst, (TimestampType, TimestampNTZType)) and isinstance(src, (StringType, NumericType)):
-        return parse_timestamp(c, ntz=isinstance(dst, TimestampNTZType))
+        return readable(c, parse_timestamp(c, ntz=isinstance(dst, TimestampNTZType)), dst, name, doc)
     if isinstance(dst, MapType) and isinstance(src, StringType):
-        return F.from_json(c, dst)
+        return readable(c, F.from_json(c, dst), dst, name, doc)
+    if isinstance(src, (StringType, NumericType)) and isinstance(dst, (NumericType, BooleanType)):
+        return readable(c, c.try_cast(dst), dst, name, doc)
     return c.cast(dst)
 
 
@@ -202,13 +218,15 @@ def _has_struct(t: DataType) -> bool:
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """``df`` projected onto ``schema``: converted, missing fields null,
-    required fields checked.  Extra columns are dropped."""
+    required fields checked, unreadable values refused.  Extra columns are
+    dropped."""
     have = {f.name: f for f in df.schema.fields}
+    doc = F.col("_id") if "_id" in have else None
     cols = []
     for f in schema.fields:
         if f.name in have:
             c = convert(F.col("`" + f.name + "`"), have[f.name].dataType, f.dataType,
-                        f.metadata, f.name)
+                        f.metadata, f.name, doc)
         else:
             c = F.lit(None).cast(f.dataType)
         if _has_struct(f.dataType):

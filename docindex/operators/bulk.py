@@ -158,31 +158,27 @@ def _bad(prev: Column, op: Column) -> Column:
             | (prev.isin("index", "create", "update") & (op == "create")))
 
 
-def _bad_pairs(A: DataFrame, G: DataFrame, key: list[str], width: int) -> DataFrame:
-    """Per key, the op of one action that may not follow its predecessor.
-
-    Consecutive pairs are
-    checked in two levels so that a key with very many actions is spread
-    over many tasks: inside buckets of ``width`` consecutive order values
-    (a window over key and bucket), then across bucket edges (a window over
-    one summary row per key and bucket).
+def _bad_pairs(A: DataFrame, key: list[str], width: int) -> DataFrame:
+    """Per key, the op of the first action that may not follow its predecessor.
+
+    Neighbours are compared in three levels, so that a key with very many
+    actions is spread over many tasks: inside runs of rows with one order value
+    (``width`` row numbers at most), then between these runs inside ranges of
+    order values, then between the ranges.  Each level hands one row a group
+    (its first and last op) to the next.
     """
-    op, o = F.col("_op"), F.col("_o")
-    # a lone action has no predecessor, so all actions can go through the
-    # windows; no join with the multi-action keys is needed
-    multi = A.select(*key, "_op", "_o").withColumn("_b", F.expr(f"_o div {int(width)}"))
-    w1 = Window.partitionBy(*key, "_b").orderBy("_o")
-    inside = (multi.withColumn("_prev", F.lag("_op").over(w1))
-              .where(_bad(F.col("_prev"), op))
-              .select(*key, op.alias("_pair_op"), o.alias("_pair_o")))
-    summary = multi.groupBy(*key, "_b").agg(F.min_by(op, o).alias("_fop"), F.min(o).alias("_fo"),
-                                             F.max_by(op, o).alias("_lop"))
-    w2 = Window.partitionBy(*key).orderBy("_b")
-    edges = (summary.withColumn("_prev", F.lag("_lop").over(w2))
-             .where(_bad(F.col("_prev"), F.col("_fop")))
-             .select(*key, F.col("_fop").alias("_pair_op"), F.col("_fo").alias("_pair_o")))
-    return (inside.unionByName(edges).groupBy(*key)
-            .agg(F.min_by("_pair_op", "_pair_o").alias("_pair_op")))
+    rows = A.select(*key, F.col("_op").alias("_first"), F.col("_op").alias("_last"), F.struct("_v", "_r").alias("_at"),
+                    "_v", "_r", F.expr(f"_v div {int(width)}").alias("_vb"), F.expr(f"_r div {int(width)}").alias("_rb"))
+    found = None
+    for group, order in ((["_vb", "_v", "_rb"], ["_r"]), (["_vb"], ["_v", "_rb"]), ([], ["_vb"])):
+        w = Window.partitionBy(*key, *group).orderBy(*order)
+        bad = (rows.withColumn("_prev", F.lag("_last").over(w)).where(_bad(F.col("_prev"), F.col("_first")))
+               .select(*key, F.col("_first").alias("_pair_op"), "_at"))
+        found = bad if found is None else found.unionByName(bad)
+        if group:
+            at = F.struct(*order)
+            rows = rows.groupBy(*key, *group).agg(F.min_by("_first", at).alias("_first"), F.max_by("_last", at).alias("_last"), F.min("_at").alias("_at"))
+    return found.groupBy(*key).agg(F.min_by("_pair_op", "_at").alias("_pair_op"))
 
 
 def apply_bulk(current: DataFrame, actions: DataFrame, order_col: str | None = None,
@@ -192,9 +188,12 @@ def apply_bulk(current: DataFrame, actions: DataFrame, order_col: str | None = N
 
     ``current`` is a flat index (``_id`` plus document columns, optionally
     ``_index``, ``_version``, ``_seq_no``, ``_primary_term``).  ``order_col``
-    orders actions on the same document (non-negative integers); without it
-    the input order (task, then row) is used.  The result has the union of
-    the document columns of both tables.
+    orders actions on the same document (non-negative integers); without it,
+    and among equal values, the input order (task, then row) is used.  Actions
+    come from many tasks: where two actions of a document may tie, give
+    ``order_col`` values that tell them apart, or the result follows the rows'
+    places in the input.  The result has the union of the document columns of
+    both tables.
     """
     if "_op_type" not in actions.columns:
         actions = bulk_actions(actions)
@@ -216,42 +215,41 @@ def apply_bulk(current: DataFrame, actions: DataFrame, order_col: str | None = N
     A = actions.select(
         *[F.col(k) for k in key if k != "_id"],
         F.col("_op_type").alias("_op"),
-        order.cast("long").alias("_o"),
-        F.col("_row"),
+        order.cast("long").alias("_v"),
+        F.col("_row").alias("_r"),
         F.col("_id"),
         *([F.col("_fields")] if narrowed else []),
         *[F.col("`" + c + "`") for c in a_src],
     )
     A = A.withColumn("_id", F.when(F.col("_id").isNull() & F.col("_op").isin("index", "create"),
-                                   _auto_id(run, F.col("_row"))).otherwise(F.col("_id"))).drop("_row")
+                                   _auto_id(run, F.col("_r"))).otherwise(F.col("_id")))
     A = A.withColumn("_id", F.when(F.col("_id").isNull(), F.raise_error(
         F.concat(F.lit("action without _id: "), F.col("_op")))).otherwise(F.col("_id")))
 
-    op, o = F.col("_op"), F.col("_o")
-    reset_o = F.when(op != "update", o)
-    upd_o = F.when(op == "update", o)
-
-    def upd_order(c: str) -> Column:
-        if narrowed:
-            return F.when((op == "update") & (F.col("_fields").isNull()
-                                              | F.array_contains(F.col("_fields"), c)), o)
-        return upd_o
-
+    # a total order: the order value, then the stored row
+    op, o = F.col("_op"), F.struct("_v", "_r")
+    row = F.struct(F.lit(True).alias("_some"), *[F.col("`" + c + "`") for c in a_src])
+    reset_o, upd_o = F.when(op != "update", o), F.when(op == "update", o)
+    # the last reset and the last update as whole rows, one aggregate each
     aggs = [
         F.max(reset_o).alias("_reset_o"),
-        F.max_by(op, reset_o).alias("_reset_op"),
+        F.max_by(F.struct(op.alias("_op"), row.alias("_row")), reset_o).alias("_reset"),
         F.min_by(op, o).alias("_first_op"),
         F.count(F.lit(1)).alias("_n"),
-        F.max(o).alias("_last_o"),
+        F.max("_v").alias("_last_o"),
     ]
-    for c in a_src:
-        aggs.append(F.max_by(F.col("`" + c + "`"), reset_o).alias("_r_" + c))
-        aggs.append(F.max_by(F.col("`" + c + "`"), upd_order(c)).alias("_u_" + c))
-        aggs.append(F.max(upd_order(c)).alias("_uo_" + c))
+    if narrowed:
+        # updates that name fields: the last one is found field by field
+        for c in a_src:
+            own = F.when((op == "update") & (F.col("_fields").isNull() | F.array_contains(F.col("_fields"), c)), o)
+            aggs += [F.max_by(F.struct(F.col("`" + c + "`").alias("_x")), own).alias("_u_" + c), F.max(own).alias("_uo_" + c)]
+    else:
+        aggs += [F.max_by(row, upd_o).alias("_update"), F.max(upd_o).alias("_update_o")]
     G = A.groupBy(*key).agg(*aggs)
+    G = G.withColumn("_reset_op", F.col("_reset._op"))
 
     if validate:
-        G = G.join(_bad_pairs(A, G, key, bucket_width), key, "left")
+        G = G.join(_bad_pairs(A, key, bucket_width), key, "left")
     else:
         G = G.withColumn("_pair_op", F.lit(None).cast("string"))
 
@@ -309,13 +307,13 @@ def apply_bulk(current: DataFrame, actions: DataFrame, order_col: str | None = N
         if both:
             base = _shape(base, ctype, utype)
         if c in a_src:
-            reset_val = F.col("_r_" + c)
-            upd_val = F.col("_u_" + c)
+            reset_val = F.col(f"_reset._row.`{c}`")
+            upd_val = F.col(f"_u_{c}._x") if narrowed else F.col(f"_update.`{c}`")
+            upd_at = F.col("_uo_" + c) if narrowed else F.col("_update_o")
             if both:
                 reset_val, upd_val = _shape(reset_val, atype, utype), upd_val
             from_reset = F.when(F.col("_reset_op").isin("index", "create"), reset_val)
-            updated = F.col("_uo_" + c).isNotNull() & (
-                ~has_reset | (F.col("_uo_" + c) > F.col("_reset_o")))
+            updated = upd_at.isNotNull() & (~has_reset | (upd_at > F.col("_reset_o")))
             if both:
                 # objects merge field by field into what the update finds
                 found = F.when(has_reset, from_reset).otherwise(base)

@@ -74,9 +74,9 @@ def q_flatten_hits(spark, sf_dir):
 def q_nest_hits(spark, sf_dir):
     """Flat rows back into ``{metadata, _source}``."""
     nested = nest_hits(index(spark, sf_dir, "events"))
-    return nested.select("_index", "_id", F.col("_source.event_id").alias("event_id"),
-                         F.col("_source.event_type").alias("event_type"),
-                         F.col("_source.user_id").alias("user_id"))
+    s = F.col("_source")
+    return nested.select("_index", "_type", "_id", "_version", "_primary_term", s.event_id.alias("event_id"), ntz_micros(s.ts).alias("ts_us"), s.user_id.alias("user_id"),
+                         s.event_type.alias("event_type"), F.round(s.value, 2).alias("value"), s.props.alias("props"))
 
 
 @register("meta_columns")
@@ -447,9 +447,8 @@ def _doc_state(df: DataFrame) -> DataFrame:
     for c in ("lang", "source", "n_chars", "quality", "toxic"):
         if c in df.columns:
             cols.append(c)
-    out = df.select(*cols, (F.col("text").isNotNull().alias("has_text")
-                            if "text" in df.columns else F.lit(False).alias("has_text")))
-    return out
+    text = F.col("text") if "text" in df.columns else F.lit(None).cast("string")
+    return df.select(*cols, text.isNotNull().alias("has_text"), F.sha2(text, 256).alias("text_sha256"))
 
 
 @register("bulk_actions")
@@ -806,7 +805,7 @@ def q_hits_json_inferred(spark, sf_dir):
     wire = hits_to_json(hits(spark, sf_dir, "orders"))
     flat = hits_from_json(wire, "hit")
     return flat.select("_index", "_id", "_version", "o_orderkey", "o_custkey",
-                       F.round("o_totalprice", 2).alias("o_totalprice"),
+                       F.round("o_totalprice", 2).alias("o_totalprice"), F.substring("o_orderdate", 1, 10).alias("o_orderdate"),
                        "o_orderstatus", "o_orderpriority")
 
 

@@ -12,7 +12,9 @@ from docindex.functions.values import conform
 from docindex.operators.score import search, search_nested
 from docindex.plans.catalog import _docs, _docs_labeled, _docs_mapped, register
 from docindex.plans.tables import index, table
+from docindex.sources.json_hits import hits_from_json
 from docindex.sources.mapping import mapping_to_struct
+from docindex.sources.model import Date, Document, Long, ScaledFloat
 from docindex.sources.schema import complete_schema
 
 # A mapping with sub-fields, normalizers, an alias and copied fields.
@@ -147,3 +149,88 @@ def q_score_missing_field(spark, sf_dir):
     docs = _docs_mapped(spark, sf_dir)
     docs = docs.withColumn("text", F.when(F.col("n_chars") >= 1000, F.col("text")))
     return _scores(search(docs, {"match": {"text": "the und"}}, track_scores=True))
+
+
+# ---------------------------------------------------------------------------
+# Paging, chunks, several indices, declared formats
+# ---------------------------------------------------------------------------
+
+@register("paged_scan")
+def q_paged_scan(spark, sf_dir):
+    """All page boundaries of a deep scan, sorted by a field with many ties."""
+    from docindex.sources.paging import pages
+    ev = index(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    got = pages(ev, [("event_type", "desc"), "user_id"], 250, id_col="event_id")
+    key = ("event_type", "user_id", "event_id")
+    return got.select("page", "rows", *[F.col(f"{end}.{c}").alias(f"{end}_{c}") for end in ("first", "last") for c in key])
+
+
+@register("bulk_chunks")
+def q_bulk_chunks(spark, sf_dir):
+    """Bulk lines in requests of at most 100 actions and 20,000 bytes; a stream
+    is what a task of 500 documents sends."""
+    from docindex.operators.bulk import action_lines, bulk_actions
+    from docindex.operators.chunks import chunks
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_id"), "lang", "source", "n_chars", "text")
+    lines = action_lines(bulk_actions(docs, index="copy", op_type="index"))
+    sized = lines.select(F.expr("cast(_id as bigint) div 500").alias("stream"), F.col("_id").cast("long").alias("doc_id"),
+                         (F.octet_length("header") + F.octet_length("body") + 2).cast("long").alias("size"))
+    got = chunks(sized, "stream", ["doc_id"], "size", max_rows=100, max_bytes=20_000)
+    return got.groupBy("stream", "chunk").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+
+
+@register("all_indices_mapping")
+def q_all_indices_mapping(spark, sf_dir):
+    """Three indices under one schema: a widened number, one value beside a
+    list, and a field without a common type (kept as it is, in a VARIANT)."""
+    from docindex.sources.merge import union_indices
+    orders = index(spark, sf_dir, "orders").select("_id", F.col("o_custkey").cast("int").alias("key"), F.col("o_totalprice").alias("amount"), F.array("o_orderstatus", "o_orderpriority").alias("tags"))
+    customers = index(spark, sf_dir, "customer").select("_id", F.col("c_custkey").alias("key"), F.col("c_nationkey").alias("amount"), F.col("c_mktsegment").alias("tags"), F.col("c_name").alias("mixed"))
+    events = index(spark, sf_dir, "events").select("_id", F.col("user_id").alias("key"), F.col("value").cast("float").alias("amount"), F.col("event_id").alias("mixed"))
+    got = union_indices({"orders": orders, "customer": customers, "events": events})
+    mixed = F.coalesce(F.try_variant_get("mixed", "$", "string"), F.lit("none"))
+    return got.groupBy("_index").agg(F.count(F.lit(1)).alias("n"), F.sum("key").alias("keys"), F.round(F.sum(F.round("amount", 2)), 1).alias("amount"),
+                                     F.sum(F.coalesce(F.size("tags"), F.lit(0))).cast("long").alias("tags"), F.max(mixed).alias("mixed"))
+
+
+class OrderDoc(Document):
+    o_orderkey = Long(required=True)
+    o_orderdate = Date(format="basic_date")
+    o_week = Date(format="basic_week_date||strict_date", multi=True)
+    o_totalprice = ScaledFloat(scaling_factor=100)
+
+    class Index:
+        name = "orders"
+
+
+@register("model_date_format")
+def q_model_date_format(spark, sf_dir):
+    """Dates in the format that the declared field names, also in lists."""
+    import warnings
+
+    from docindex.sources.model import model_to_struct
+    day = F.col("o_orderdate")
+    wire = index(spark, sf_dir, "orders").select(
+        "_id", "o_orderkey", F.date_format(day, "yyyyMMdd").alias("o_orderdate"),
+        F.array(F.concat(F.extract(F.lit("YEAROFWEEK"), day).cast("string"), F.lit("W"), F.lpad(F.extract(F.lit("WEEK"), day).cast("string"), 2, "0"), F.extract(F.lit("DAYOFWEEK_ISO"), day).cast("string")),
+                F.date_format(day, "yyyy-MM-dd")).alias("o_week"), "o_totalprice")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        schema = model_to_struct(OrderDoc, meta_fields=["id"])
+    text = lambda c: F.date_format(c, "yyyy-MM-dd")
+    return conform(wire, schema).select("o_orderkey", text(F.col("o_orderdate")).alias("o_orderdate"), F.array_join(F.transform("o_week", text), ",").alias("o_week"),
+                                        F.round("o_totalprice", 2).alias("o_totalprice"), "_id")
+
+
+@register("types_nested_list")
+def q_types_nested_list(spark, sf_dir):
+    """Lists of objects in JSON hits, some of them a lone object or missing."""
+    schema = complete_schema(mapping_to_struct({"event_id": {"type": "long"}, "tags": {"type": "nested", "properties": {"kind": {"type": "keyword"}, "weight": {"type": "double"}}}}), meta_fields=["id"])
+    e = "named_struct('kind', event_type, 'weight', value)"
+    tags = F.expr(f"""CASE WHEN event_id % 3 = 0 THEN to_json(array({e}, named_struct('kind', 'user', 'weight', cast(user_id as double))))
+                           WHEN event_id % 3 = 1 THEN to_json({e}) END""")
+    body = F.concat(F.lit('{"_id":"'), F.col("_id"), F.lit('","_source":{"event_id":'), F.col("event_id").cast("string"),
+                    F.when(tags.isNotNull(), F.concat(F.lit(',"tags":'), tags)).otherwise(F.lit("")), F.lit("}}"))
+    flat = hits_from_json(index(spark, sf_dir, "events").select(body.alias("hit")), "hit", schema)
+    total = F.aggregate(F.coalesce("tags", F.array().cast("array<struct<kind:string,weight:double>>")), F.lit(0.0), lambda a, x: a + x.weight)
+    return flat.select("event_id", "_id", F.coalesce(F.size("tags"), F.lit(0)).alias("n_tags"), F.get("tags", F.lit(0)).kind.alias("first_kind"), F.round(total, 2).alias("weight"))

@@ -23,7 +23,8 @@ FROM events
 """
 
 ORACLE["nest_hits"] = """
-SELECT 'events' AS _index, CAST(event_id AS VARCHAR) AS _id, event_id, event_type, user_id FROM events
+SELECT 'events' AS _index, '_doc' AS _type, CAST(event_id AS VARCHAR) AS _id, 1::BIGINT AS _version, 1::BIGINT AS _primary_term,
+       event_id, epoch_us(ts) AS ts_us, user_id, event_type, round(value, 2) AS value, props FROM events
 """
 
 ORACLE["meta_columns"] = """
@@ -216,7 +217,7 @@ SELECT CAST(doc_id AS VARCHAR) AS _id,
        CASE WHEN lang = 'de' THEN 2 ELSE 1 END::BIGINT AS _version, lang,
        CASE WHEN lang = 'de' THEN 'reindexed' ELSE source END AS source,
        CASE WHEN lang = 'de' THEN NULL ELSE n_chars END AS n_chars,
-       lang <> 'de' AS has_text
+       lang <> 'de' AS has_text, CASE WHEN lang <> 'de' THEN sha256(text) END AS text_sha256
 FROM documents
 """
 
@@ -225,28 +226,28 @@ SELECT CAST(doc_id AS VARCHAR) AS _id,
        CASE WHEN lang = 'es' THEN 2 ELSE 1 END::BIGINT AS _version, lang,
        CASE WHEN lang = 'es' THEN 'default' ELSE source END AS source,
        CASE WHEN lang = 'es' THEN NULL ELSE n_chars END AS n_chars,
-       lang <> 'es' AS has_text
+       lang <> 'es' AS has_text, CASE WHEN lang <> 'es' THEN sha256(text) END AS text_sha256
 FROM documents
 """
 
 ORACLE["bulk_create"] = """
-SELECT CAST(doc_id AS VARCHAR) AS _id, 1::BIGINT AS _version, lang, source, n_chars, true AS has_text
+SELECT CAST(doc_id AS VARCHAR) AS _id, 1::BIGINT AS _version, lang, source, n_chars, true AS has_text, sha256(text) AS text_sha256
 FROM documents
 UNION ALL
 SELECT 'b' || CAST(item_id AS VARCHAR) AS _id, 1::BIGINT AS _version, 'bench' AS lang,
-       'benchmark' AS source, NULL::BIGINT AS n_chars, true AS has_text
+       'benchmark' AS source, NULL::BIGINT AS n_chars, true AS has_text, sha256(text) AS text_sha256
 FROM benchmark
 """
 
 ORACLE["bulk_update"] = """
 SELECT CAST(d.doc_id AS VARCHAR) AS _id,
        CASE WHEN l.doc_id IS NULL THEN 1 ELSE 2 END::BIGINT AS _version,
-       lang, source, n_chars, quality, toxic, true AS has_text
+       lang, source, n_chars, quality, toxic, true AS has_text, sha256(text) AS text_sha256
 FROM documents d LEFT JOIN labels l USING (doc_id)
 """
 
 ORACLE["bulk_delete"] = """
-SELECT CAST(doc_id AS VARCHAR) AS _id, 1::BIGINT AS _version, lang, source, n_chars, true AS has_text
+SELECT CAST(doc_id AS VARCHAR) AS _id, 1::BIGINT AS _version, lang, source, n_chars, true AS has_text, sha256(text) AS text_sha256
 FROM documents d WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)
 """
 
@@ -256,12 +257,12 @@ SELECT CAST(d.doc_id AS VARCHAR) AS _id,
           + CASE WHEN l.doc_id IS NULL THEN 0 ELSE 1 END)::BIGINT AS _version,
        d.lang,
        CASE WHEN d.lang = 'fr' THEN 'fr-reindexed' ELSE d.source END AS source,
-       d.n_chars, l.quality, true AS has_text
+       d.n_chars, l.quality, true AS has_text, sha256(text) AS text_sha256
 FROM documents d LEFT JOIN labels l USING (doc_id)
 WHERE NOT coalesce(l.toxic = 1, false)
 UNION ALL
 SELECT 'b' || CAST(item_id AS VARCHAR) AS _id, 1::BIGINT AS _version, 'bench' AS lang,
-       NULL AS source, NULL::BIGINT AS n_chars, NULL::INTEGER AS quality, true AS has_text
+       NULL AS source, NULL::BIGINT AS n_chars, NULL::INTEGER AS quality, true AS has_text, sha256(text) AS text_sha256
 FROM benchmark
 """
 
@@ -368,7 +369,7 @@ WHERE (list_contains({tok('text')}, 'und') OR lang = 'und')
 
 ORACLE["hits_json_inferred"] = """
 SELECT 'orders' AS _index, CAST(o_orderkey AS VARCHAR) AS _id, 1::BIGINT AS _version, o_orderkey,
-       o_custkey, round(o_totalprice, 2) AS o_totalprice, o_orderstatus, o_orderpriority
+       o_custkey, round(o_totalprice, 2) AS o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderstatus, o_orderpriority
 FROM orders
 """
 

@@ -104,3 +104,43 @@ ORACLE["score_missing_field"] = f"""
 {counts(['the', 'und'], "(SELECT doc_id, CASE WHEN n_chars >= 1000 THEN text END AS text FROM documents)", 'doc_id')}
 SELECT doc_id, round({part(idf('df_the'), 'tf_the')} + {part(idf('df_und'), 'tf_und')}, 4) AS _score FROM f, s WHERE tf_the > 0 OR tf_und > 0
 """
+
+ORACLE["paged_scan"] = """
+WITH r AS (SELECT event_id, event_type, user_id, row_number() OVER (ORDER BY event_type DESC, user_id, event_id) - 1 AS p FROM events),
+g AS (SELECT p // 250 AS page, count(*) AS rows, min(p) AS a, max(p) AS z FROM r GROUP BY 1)
+SELECT page, rows, f.event_type AS first_event_type, f.user_id AS first_user_id, f.event_id AS first_event_id,
+       l.event_type AS last_event_type, l.user_id AS last_user_id, l.event_id AS last_event_id
+FROM g JOIN r AS f ON f.p = g.a JOIN r AS l ON l.p = g.z
+"""
+
+ORACLE["bulk_chunks"] = """
+WITH RECURSIVE d AS (
+  SELECT doc_id // 500 AS stream, doc_id,
+         strlen('{"index":{"_index":"copy","_id":"' || doc_id || '"}}') + strlen(to_json({'lang': lang, 'source': source, 'n_chars': n_chars, 'text': text})::VARCHAR) + 2 AS size FROM documents),
+n AS (SELECT *, row_number() OVER (PARTITION BY stream ORDER BY doc_id) AS i FROM d),
+w(stream, i, doc_id, size, chunk, used, held) AS (
+  SELECT stream, i, doc_id, size, 0::BIGINT, 1::BIGINT, size FROM n WHERE i = 1
+  UNION ALL
+  SELECT n.stream, n.i, n.doc_id, n.size, CASE WHEN used = 100 OR held + n.size > 20000 THEN chunk + 1 ELSE chunk END,
+         CASE WHEN used = 100 OR held + n.size > 20000 THEN 1 ELSE used + 1 END, CASE WHEN used = 100 OR held + n.size > 20000 THEN n.size ELSE held + n.size END
+  FROM w JOIN n ON n.stream = w.stream AND n.i = w.i + 1)
+SELECT stream, chunk, count(*) AS rows, sum(size)::BIGINT AS bytes, min(doc_id) AS first_id, max(doc_id) AS last_id FROM w GROUP BY stream, chunk
+"""
+
+ORACLE["all_indices_mapping"] = """
+SELECT 'orders' AS _index, count(*) AS n, sum(o_custkey)::BIGINT AS keys, round(sum(round(o_totalprice, 2)), 1) AS amount, (2 * count(*))::BIGINT AS tags, 'none' AS mixed FROM orders
+UNION ALL
+SELECT 'customer', count(*), sum(c_custkey)::BIGINT, round(sum(c_nationkey)::DOUBLE, 1), count(c_mktsegment)::BIGINT, max(c_name) FROM customer
+UNION ALL
+SELECT 'events', count(*), sum(user_id)::BIGINT, round(sum(round(value::FLOAT::DOUBLE, 2)), 1), 0::BIGINT, max(event_id::VARCHAR) FROM events
+"""
+
+ORACLE["model_date_format"] = """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, strftime(o_orderdate, '%Y-%m-%d') || ',' || strftime(o_orderdate, '%Y-%m-%d') AS o_week,
+       round(o_totalprice, 2) AS o_totalprice, o_orderkey::VARCHAR AS _id FROM orders
+"""
+
+ORACLE["types_nested_list"] = """
+SELECT event_id, event_id::VARCHAR AS _id, CASE event_id % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END::INT AS n_tags, CASE WHEN event_id % 3 < 2 THEN event_type END AS first_kind,
+       round(CASE event_id % 3 WHEN 0 THEN value + user_id WHEN 1 THEN value ELSE 0 END, 2) AS weight FROM events
+"""

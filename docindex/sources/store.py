@@ -95,7 +95,10 @@ def write_index(df: DataFrame, root: str, index: str | None = None,
     """Write flat documents as a new committed version; returns it.
 
     ``index`` names the index of every row; otherwise the ``_index`` column
-    routes rows (several indices in one write).
+    routes rows (several indices in one write), an index in as many files as
+    the session has shuffle partitions at most.  One writer at a time: a second
+    one mostly fails on the version it finds, but a rename is no lock, least of
+    all on an object store.
     """
     if index is not None:
         df = df.withColumn("_index", F.lit(index))
@@ -107,7 +110,8 @@ def write_index(df: DataFrame, root: str, index: str | None = None,
     attempt = f"{root}/.attempt-{uuid.uuid4().hex}"
     if index is None and "_id" in df.columns:
         # rows of an index go to few tasks, so files don't multiply
-        df = df.repartition("_index", F.pmod(F.xxhash64("_id"), F.lit(_SPREAD)))
+        spread = max(_SPREAD, int(spark_of(df).conf.get("spark.sql.shuffle.partitions")))
+        df = df.repartition("_index", F.pmod(F.xxhash64("_id"), F.lit(spread)))
     df.write.mode("errorifexists").partitionBy("_index").parquet(attempt)
     fs, src, jvm = _fs(spark_of(df), attempt)
     target = jvm.org.apache.hadoop.fs.Path(f"{root}/v={version}")

@@ -1,6 +1,6 @@
 """Transports: how the data source talks to a search server.
 
-A transport has six calls: ``get_mapping(index)``, ``open_pit(index,
+A transport has seven calls: ``get_mapping(index)`` (all indices without one), ``open_pit(index,
 keep_alive)``, ``close_pit(pit_id)``, ``search(body)``, ``count(index,
 query)``, ``stats(index)`` and ``bulk(lines)``.  The default wraps the
 installed search client package; none is bundled here, so without it only
@@ -39,8 +39,8 @@ class ClientTransport:
                 kwargs[k] = v
         self.es = _client_class()(**kwargs)
 
-    def get_mapping(self, index: str) -> dict:
-        return dict(self.es.indices.get_mapping(index=index))
+    def get_mapping(self, index: str | None) -> dict:
+        return dict(self.es.indices.get_mapping(index=index or "_all"))
 
     def open_pit(self, index: str | None, keep_alive: str) -> str:
         return self.es.open_point_in_time(index=index or "_all", keep_alive=keep_alive)["id"]

@@ -34,6 +34,9 @@ class FakeTransport:
             return json.load(f)
 
     def get_mapping(self, index):
+        if index is None:  # the mappings of all indices, by name
+            with open(os.path.join(self.path, "mappings.json")) as f:
+                return {name: {"mappings": m} for name, m in json.load(f).items()}
         with open(os.path.join(self.path, "mapping.json")) as f:
             return {index: {"mappings": json.load(f)}}
 

@@ -222,3 +222,33 @@ def test_equal_actions_without_id_stay_apart(spark):
     out = apply_bulk(empty, bulk_actions(actions, op_type="index", source_fields=["name"], order_col="o"), order_col="o")
     assert sorted(r.name for r in out.collect()) == ["x", "x", "y"]
     assert out.select("_id").distinct().count() == 3
+
+
+def test_ties_follow_the_input(spark):
+    """Actions with one order value: the row decides, on any partitioning that
+    keeps the input order."""
+    rows = [("1", "index", 5, "x"), ("1", "update", 5, "y"), ("1", "delete", 5, None), ("1", "create", 5, "z"), ("2", "index", 5, "p"), ("2", "update", 5, "q")]
+    empty = spark.createDataFrame([], "_id string, value string")
+    results = []
+    for parts in (1, 2, 4):
+        acts = spark.createDataFrame(spark.sparkContext.parallelize(rows, parts), "_id string, _op_type string, at long, value string")
+        out = apply_bulk(empty, bulk_actions(acts.withColumnRenamed("at", "_at"), order_col="_at"), order_col="_at")
+        results.append(sorted((r._id, r._version, r.value) for r in out.collect()))
+    assert results[0] == results[1] == results[2] == [("1", 4, "z"), ("2", 2, "q")]
+
+
+def test_predecessors_are_found_on_every_level(spark):
+    """One document with very many actions: over runs, ranges and between them."""
+    n = 60
+    ok = [("k", "create" if i == 0 else "update", i // 7, i) for i in range(n)]
+    empty = spark.createDataFrame([], "_id string, value long")
+
+    def run(rows):
+        acts = spark.createDataFrame(spark.sparkContext.parallelize(rows, 5), "_id string, _op_type string, _at long, value long")
+        return apply_bulk(empty, bulk_actions(acts, order_col="_at"), order_col="_at", bucket_width=3).collect()
+    assert [(r._version, r.value) for r in run(ok)] == [(n, n - 1)]
+    for bad in (1, 7, 21, 35, n - 1):
+        rows = list(ok)
+        rows[bad] = ("k", "create", bad // 7, bad)
+        with pytest.raises(Exception, match="create: document already exists: k"):
+            run(rows)

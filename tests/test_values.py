@@ -152,3 +152,32 @@ def test_unreadable_value_names_field_and_document(spark):
     with pytest.raises(PySparkException, match="n.*document 9.*abc"):
         hits_from_json(df, "hit", StructType.fromDDL("_id string, n bigint")).collect()
     assert hits_from_json(df, "hit", StructType.fromDDL("_id string, m bigint")).first().m is None
+
+
+@pytest.mark.parametrize("prop,value", [
+    ({"type": "date", "format": "basic_date"}, "2024-01-30"), ({"type": "date"}, "not a date"), ({"type": "integer"}, "x1"), ({"type": "byte"}, "300"),
+    ({"type": "boolean"}, "perhaps"), ({"type": "double"}, "1,5"),
+])
+def test_unreadable_values_fail_with_their_place(spark, prop, value):
+    df = spark.createDataFrame([("7", value), ("8", None)], "_id string, f string")
+    schema = mapping_to_struct({"_id": {"type": "keyword"}, "f": prop})
+    with pytest.raises(Exception, match="field f of document 7 is not a .*: " + value):
+        conform(df, schema).collect()
+    assert [r.f for r in conform(df.where("_id = '8'"), schema).collect()] == [None]
+    nested = df.selectExpr("_id", "array(named_struct('g', f)) as o")
+    with pytest.raises(Exception, match="field o.g of document 7"):
+        conform(nested, mapping_to_struct({"_id": {"type": "keyword"}, "o": {"type": "nested", "properties": {"g": prop}}})).collect()
+
+
+def test_declared_formats_and_dims(spark):
+    from docindex.sources.model import Date, DenseVector, Document, model_to_struct
+
+    class Day(Document):
+        d = Date(format="basic_date")
+        v = DenseVector(dims=3)
+
+    schema = model_to_struct(Day, meta_fields=[])
+    df = spark.createDataFrame([("20240130", [1.0, 2.0, 3.0])], "d string, v array<float>")
+    assert [str(r.d) for r in conform(df, schema).collect()] == ["2024-01-30"]
+    with pytest.raises(Exception, match="expected 3 dims, got 1"):
+        conform(spark.createDataFrame([("20240130", [1.0])], "d string, v array<float>"), schema).collect()
