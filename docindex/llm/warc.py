@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -41,8 +42,8 @@ _RECORD = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_typ
                      ("refers_to", pa.int64()), ("payload", pa.binary())])
 
 
-def record_id(page_id) -> str:
-    return "" if page_id is None else f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page:{page_id}')}>"
+#: Written as the target of a page without URL: the field is mandatory.
+NO_URL = "about:invalid"
 
 
 def clean(value) -> str:
@@ -50,16 +51,21 @@ def clean(value) -> str:
     return "" if value is None else " ".join(str(value).split())
 
 
-def record(r: dict) -> bytes:
-    """One record: header, blank line, block, two line ends; as a gzip member."""
-    body = (r["html"] or "").encode("utf-8") if r["record_type"] == "response" else b""
-    head = [("WARC-Type", r["record_type"]), ("WARC-Record-ID", record_id(r["page_id"])), ("WARC-Target-URI", clean(r["url"])),
-            ("WARC-Payload-Digest", "sha1:" + r["payload_digest"]), ("Content-Type", "text/html; charset=utf-8"),
+def record(r: dict, date: str) -> bytes:
+    """One record: header, blank line, block, two line ends; as a gzip member.
+
+    The block is an HTTP message: a response has the page as its body, a revisit
+    only the head.  Every record has an id of its own; a revisit names the
+    record it repeats by the payload's digest and the page's number."""
+    body = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {r['payload_bytes']}\r\n\r\n").encode()
+    if r["record_type"] == "response":
+        body += (r["html"] or "").encode("utf-8")
+    head = [("WARC-Type", r["record_type"]), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", date), ("WARC-Target-URI", clean(r["url"]) or NO_URL),
+            ("WARC-Payload-Digest", "sha1:" + r["payload_digest"]), ("Content-Type", "application/http; msgtype=response"),
             # extension fields: the page's number, and the full payload's size
             ("X-Page-ID", clean(r["page_id"])), ("X-Payload-Length", str(r["payload_bytes"]))]
     if r["refers_to"] is not None:
-        head += [("WARC-Refers-To", record_id(r["refers_to"])), ("X-Refers-To-Page", str(r["refers_to"])),
-                 ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
+        head += [("X-Refers-To-Page", str(r["refers_to"])), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
     head.append(("Content-Length", str(len(body))))
     raw = b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode("utf-8") + b"\r\n" + body + b"\r\n\r\n"
     z = zlib.compressobj(1, zlib.DEFLATED, 31)
@@ -73,13 +79,14 @@ def parse(member: bytes) -> dict:
     if lines[0] != "WARC/1.1":
         raise ValueError("not a WARC record")
     h = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines[1:])
-    body = rest[:int(h["Content-Length"])]
+    _, _, body = rest[:int(h["Content-Length"])].partition(b"\r\n\r\n")
     number = lambda k: int(h[k]) if h.get(k) else None
-    return {"page_id": number("X-Page-ID"), "url": h["WARC-Target-URI"], "record_type": h["WARC-Type"], "payload_bytes": number("X-Payload-Length"),
+    url = h["WARC-Target-URI"]
+    return {"page_id": number("X-Page-ID"), "url": "" if url == NO_URL else url, "record_type": h["WARC-Type"], "payload_bytes": number("X-Payload-Length"),
             "payload_digest": h["WARC-Payload-Digest"].removeprefix("sha1:"), "refers_to": number("X-Refers-To-Page"), "payload": body}
 
 
-def _write(root: str):
+def _write(root: str, date: str):
     def run(batches):
         out, file, path, at = None, None, None, 0
         try:
@@ -94,7 +101,7 @@ def _write(root: str):
                         store, path = pafs.FileSystem.from_uri(root)
                         store.create_dir(path, recursive=True)
                         out = store.open_output_stream(f"{path}/{file}", compression=None)
-                    member = record(r)
+                    member = record(r, date)
                     out.write(member)
                     rows.append({**{k: r[k] for k in ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to")}, "file": file, "offset": at, "length": len(member)})
                     at += len(member)
@@ -146,7 +153,9 @@ def write_archives(pages: DataFrame, root: str) -> DataFrame:
     payloads of at least 1000 bytes, the one with the largest page_id is a
     response and the others revisits of it.  Pages without page_id are always
     responses.  Rows that repeat the largest page_id of their payload are all
-    responses.
+    responses.  A URL is written on one line; a page without one reads back an
+    empty one.  Pages of any length are one record; an empty table writes no
+    file; other columns of ``pages`` are not looked at.
     """
     bounded_batches(pages.sparkSession)
     html = F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
@@ -160,7 +169,8 @@ def write_archives(pages: DataFrame, root: str) -> DataFrame:
     df = (df.join(keep, "payload_digest", "left").withColumn("record_type", F.when(again, "revisit").otherwise("response"))
           .withColumn("refers_to", F.when(again, F.col("keeper"))).drop("keeper")
           .withColumn("html", F.when(F.col("record_type") == "response", F.col("html"))))
-    return stored(df.mapInArrow(_write(_uri(root)), INDEX), "index")
+    date = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    return stored(df.mapInArrow(_write(_uri(root), date), INDEX), "index")
 
 
 def read_records(index: DataFrame, root: str) -> DataFrame:
