@@ -115,15 +115,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, remove: str = "documents") -> DataFrame:
     """``docs`` without documents that contain a benchmark window, or
     (``remove="spans"``) with the words inside such windows cut out of the
-    text.  Columns stay as they are; clean documents are left alone."""
+    text.  Columns stay as they are, whatever their names; clean documents are
+    left alone, null and empty texts among them.  Repeated rows go together;
+    texts are searched whole."""
     found = contamination(docs.select("doc_id", "text"), benchmark, width).where(F.size("hit") > 0)
     found = stored(found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("hit").alias("__hit")).distinct(), "found")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(text, F.length(text)) == F.col("__key"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    same = F.col("row.doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(text, F.length(text)) == F.col("__key"))
     if remove == "documents":
-        return docs.join(found, same, "left_anti")
+        return rows.join(found, same, "left_anti").select("row.*")
     words = F.array_remove(F.split(text, SEPARATOR, -1), "")
     gaps = F.split(text, WORD, -1)
     kept = F.concat(F.array_join(F.transform(words, lambda w, i: F.concat(F.get(gaps, i), F.when(F.array_contains("__hit", i), F.lit("")).otherwise(w))), ""), F.get(gaps, F.size(words)))
-    cut = docs.join(found, same, "left")
-    return cut.select(*(F.when(F.col("__hit").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns))
+    cut = rows.join(found, same, "left")
+    return cut.select(*(F.when(F.col("__hit").isNull(), F.col("row.text")).otherwise(kept).alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))

@@ -80,3 +80,13 @@ def test_empty_tables(spark):
     docs, bench = spark.createDataFrame(DOCS, "doc_id long, text string"), spark.createDataFrame(BENCH, "item_id long, text string")
     assert d.contamination(docs.limit(0), bench).collect() == []
     assert {len(r.hit) for r in d.contamination(docs, bench.limit(0)).collect()} == {0}
+
+
+def test_clashing_columns(spark):
+    words = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, f"a {words} b", 7, "k", 1), (2, "clean", 8, None, 2), (3, None, 9, "h", 3)], "doc_id long, text string, __id int, __key string, row int")
+    bench = spark.createDataFrame([(1, words)], "item_id long, text string")
+    out = d.decontaminate(docs, bench)
+    assert out.columns == docs.columns and sorted((r.doc_id, r["__id"], r["__key"], r.row) for r in out.collect()) == [(2, 8, None, 2), (3, 9, "h", 3)]
+    cut = {r.doc_id: (r.text, r["__key"]) for r in d.decontaminate(docs, bench, remove="spans").collect()}
+    assert cut[2] == ("clean", None) and cut[3] == (None, "h") and "w3" not in cut[1][0] and cut[1][1] == "k"
