@@ -331,9 +331,10 @@ def own_labels(page: Page) -> np.ndarray | None:
     return y
 
 
-def layouts(seed: int = 11, count: int = 120) -> list[str]:
+def layouts(seed: int = 11, count: int = 120, families: list[int] | None = None) -> list[str]:
     """Labelled pages of common layouts: ``data-content`` marks content (1)
-    and what isn't content inside it (0)."""
+    and what isn't content inside it (0).  A layout family is a way to hold the
+    article; ``families`` restricts the pages to some of them."""
     rng = np.random.default_rng(seed)
 
     def words(n):
@@ -369,6 +370,8 @@ def layouts(seed: int = 11, count: int = 120) -> list[str]:
 
     holders = ['<article {m}>|</article>', '<main {m}>|</main>', '<main><article class="post" {m}>|</article></main>', '<div id="content" class="content" {m}>|</div>', '<div class="post entry"><div class="entry content body" {m}>|</div></div>',
                '<div class="article" id="article" {m}>|</div>', '<div id="main"><div class="text story" {m}>|</div></div>', '<section class="article body" {m}>|</section>', '<div role="main" {m}>|</div>', '<table><tr><td class="menu"><ul>{l}</ul></td><td class="content main" {m}>|</td></tr></table>']
+    if families is not None:
+        holders = [holders[k] for k in families]
     pages = []
     for _ in range(count):
         inner = body()
@@ -401,7 +404,7 @@ def train(pages: DataFrame | None = None) -> Model:
 
 def _extract(shared, columns):
     def run(batches):
-        model = shared.value
+        model = Model(*shared.value)
         for batch in batches:
             sources = batch.column("html")
             i = 0
@@ -422,10 +425,14 @@ def _extract(shared, columns):
 
 def extract(pages: DataFrame, model: Model) -> DataFrame:
     """``row`` (a struct of the columns of ``pages`` but html) and text, for
-    every row.  Null, empty and tag-free pages without content give ''."""
+    every row.  Null, empty and tag-free pages without content give ''.
+
+    An element whose marginal is exactly one half is no content; repeated pages
+    give repeated rows; very long pages are read whole, in memory of some
+    hundred bytes an element; columns of any name travel in ``row``."""
     spark = pages.sparkSession
     bounded_batches(spark)
     rest = [F.col(f"`{c}`") for c in pages.columns if c != "html"]
     df = pages.select(F.struct(*rest).alias("row"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     kind = df.schema["row"].dataType.simpleString()
-    return df.mapInArrow(lean(_extract(spark.sparkContext.broadcast(model), ["row"])), f"row {kind}, text string")
+    return df.mapInArrow(lean(_extract(spark.sparkContext.broadcast((model.evidence, model.stay, model.begin)), ["row"])), f"row {kind}, text string")

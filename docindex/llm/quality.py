@@ -304,7 +304,7 @@ def _hand_over(shared):
     class, the gradient of the other side's loss, its offset's, and their
     number; text side first, in PARTS rows."""
     def run(batches):
-        sides: tuple[Side, Side] = shared.value
+        sides = tuple(Side(*x) for x in shared.value)
         sums = [np.zeros((2, _width(v) // 2)) for v in (0, 1)]
         for batch in batches:
             buf, offs = as_bytes(batch.column("text"))
@@ -345,7 +345,8 @@ def _add(table: pa.Table) -> pa.Table:
 def hand_over(rest: DataFrame, sides: tuple[Side, Side]) -> list[np.ndarray]:
     """For each side (2 x features, offset, number): sums over all of ``rest``
     (meta, text), see _hand_over."""
-    shared = rest.sparkSession.sparkContext.broadcast(sides)
+    # plain values: a worker reads them without this module
+    shared = rest.sparkSession.sparkContext.broadcast(tuple((s.fit, s.scale, s.shifts, s.trusted) for s in sides))
     parts = rest.mapInArrow(lean(_hand_over(shared)), "part int, sums binary").groupBy("part").applyInArrow(lean_group(_add), "part int, sums binary")
     got = {r.part: np.frombuffer(r.sums, float) for r in parts.collect()}  # PARTS rows of a fixed size
     whole = np.concatenate([got[k] for k in range(PARTS)]) if got else np.zeros(_width(0) + _width(1))
@@ -365,14 +366,19 @@ def refit(x: Sparse, y: np.ndarray, model: tuple[np.ndarray, float], sums: np.nd
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """A model from ``docs`` (doc_id, text and any of source, lang, n_chars)
-    and ``labels`` (doc_id, quality, toxic); None unless both classes occur."""
+    and ``labels`` (doc_id, quality, toxic); None unless both classes occur.
+
+    Documents without text or id teach nothing, repeated rows count as often as
+    they occur, labels that contradict each other count as the worst of them,
+    whole texts count, and other columns of ``docs`` may have any name."""
     bounded_batches(docs.sparkSession)
     # at most 2 * LABELLED short rows: small at any input size
     chosen = F.broadcast(stored(sample_ids(labels), "labelled"))
     same = F.col("doc_id") == F.col("__id")
-    whole = docs.where("text is not null").withColumn("text", F.col("text").cast("string"))
-    drawn = whole.join(chosen, same).select("good", "toxic", F.array(*meta_columns(docs)).alias("meta"), "text")
-    rest = whole.join(chosen, same, "left_anti").where("text <> ''").select(F.array(*meta_columns(docs)).alias("meta"), "text")
+    # columns of any other name stay out of the joins
+    whole = docs.where("text is not null").select("doc_id", F.array(*meta_columns(docs)).alias("meta"), F.col("text").cast("string").alias("text"))
+    drawn = whole.join(chosen, same).select("good", "toxic", "meta", "text")
+    rest = whole.join(chosen, same, "left_anti").where("text <> ''").select("meta", "text")
     got = drawn.mapInArrow(lean(_gather), "good double, toxic boolean, meta array<string>, cols binary, vals binary, words binary").toPandas()
     got = got.sort_values(["cols", "vals", "good", "toxic"]).reset_index(drop=True)  # the order of tasks doesn't matter
     y = got.good.to_numpy(float)
@@ -404,18 +410,39 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     scores = [x.take(held).dot(m[0]) + m[1] for x, m in zip(views, models)]
     scales = [calibrate(s, y[held]) for s in scores]
     odds = [a * s + b for (a, b), s in zip(scales, scores)]
-    both = Sparse(np.tile(np.arange(len(held)), 2), np.repeat([0, 1], len(held)), np.concatenate(odds) / 4, len(held), 2)
-    w, b = fit(both, y[held], steps=200, l2=1e-4)
-    blend = (w[0] / 4, w[1] / 4, float(b))
+    blend = blend_of(odds, y[held])
     p = _sigmoid(blend[0] * odds[0] + blend[1] * odds[1] + blend[2])
     threshold = cut_of(p, y[held] > 0.5)
     toxicity = fit_toxicity([np.frombuffer(w, np.uint64) for w in got.words], toxic, fitted, held)
     return Model(models[0], models[1], scales[0], scales[1], blend, threshold, toxicity)
 
 
+def _plain(m: Model) -> tuple:
+    """The parts of a model as arrays, tuples and numbers."""
+    t = m.toxicity
+    return (m.text, m.meta, m.text_scale, m.meta_scale, m.blend, m.threshold, t and (t.names, t.weight, t.scale, t.cut))
+
+
+def blend_of(odds: list[np.ndarray], y: np.ndarray) -> tuple[float, float, float]:
+    """Weights of both views' log odds and an offset; a view that would count
+    against itself is left out."""
+    used = [0, 1]
+    while True:
+        n = len(y)
+        x = Sparse(np.tile(np.arange(n), len(used)), np.repeat(np.arange(len(used)), n), np.concatenate([odds[v] for v in used]) / 4, n, len(used))
+        w, b = fit(x, y, steps=200, l2=1e-4)
+        if len(used) == 1 or min(w) >= 0:
+            weight = [0.0, 0.0]
+            for v, value in zip(used, w):
+                weight[v] = max(float(value), 0.0) / 4
+            return weight[0], weight[1], float(b)
+        used = [used[int(np.argmax(w))]]
+
+
 def _score(shared, columns):
     def run(batches):
-        m: Model = shared.value
+        *parts, toxicity = shared.value
+        m = Model(*parts, Toxicity(*toxicity) if toxicity else None)
         w, b = m.text
         for batch in batches:
             buf, offs = as_bytes(batch.column("text"))
@@ -452,6 +479,6 @@ def classify(docs: DataFrame, model: Model | None) -> DataFrame:
         none = F.lit(None).cast("double")
         return df.select("row", none.alias("text_score"), none.alias("meta_score"), F.when(~F.col("some"), 0.0).alias("score"), none.alias("toxic_score"), F.col("some").alias("keep"))
     kind = df.schema["row"].dataType.simpleString()
-    out = df.mapInArrow(lean(_score(spark.sparkContext.broadcast(model), ["row", "some"])), f"row {kind}, some boolean, text_score double, meta_score double, score double, toxic_score double, keep boolean")
+    out = df.mapInArrow(lean(_score(spark.sparkContext.broadcast(_plain(model)), ["row", "some"])), f"row {kind}, some boolean, text_score double, meta_score double, score double, toxic_score double, keep boolean")
     return out.select("row", "text_score", "meta_score", F.when(F.col("some"), F.col("score")).otherwise(0.0).alias("score"), "toxic_score",
                       (F.col("some") & F.col("keep")).alias("keep"))

@@ -217,3 +217,38 @@ def test_formulas_and_hidden_text_of_the_article(spark):
             "<p hidden>Solution one.</p><p style='display: none'>Solution two.</p><script>no()</script><svg><text>no</text></svg><p>Last words.</p>")
     df = spark.createDataFrame([(1, f"<html><body><nav><a href='/'>Menu</a></nav><article>{body}</article><footer>foot</footer></body></html>")], "page_id long, html string")
     assert html.extract(df, html.train()).first().text == "Head line\nSome words first. So a=b2 holds.\nThen c<d too.\nSolution one.\nSolution two.\nLast words."
+
+
+def test_layout_families_not_trained_on():
+    """Fitted on some ways to hold an article, tested on the others."""
+    right = n = 0
+    for held in ([0, 3, 9], [1, 5, 7], [2, 4], [6, 8]):
+        model = html.fit([(p, html.labels_of(p)) for p in map(html.parse, html.layouts(count=120, families=[k for k in range(10) if k not in held]))])
+        pages = [html.parse(x) for x in html.layouts(seed=77, count=40, families=held)]
+        forest = html.Forest(pages)
+        keep = html.marginals(forest, model) > 0.5
+        for p, a, b in zip(pages, forest.base[:-1], forest.base[1:]):
+            y = html.labels_of(p)
+            texts = [e for e, t in p.pieces if e >= 0 and t.strip()]
+            right += sum(bool(keep[a + e]) == bool(y[e]) for e in texts)
+            n += len(texts)
+    print("families not trained on:", right / n)
+    assert right / n > 0.9
+
+
+def test_training_with_clashing_columns(spark):
+    rows = [(i, ("good words in a fine long text " if i % 2 else "buy cheap junk now junk ") * (3 + i % 5), "src", "en", 100, 1, 2, 3) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long, toxic int, good int, __id int")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    out = quality.classify(docs, quality.train(docs, labels)).collect()
+    assert all(r.keep == (r.row.doc_id % 2 == 1) and r.row.toxic == 1 and r.row["__id"] == 3 for r in out)
+
+
+def test_blend_leaves_out_a_view_that_counts_against_itself():
+    rng = np.random.default_rng(3)
+    y = (rng.random(400) < 0.5).astype(float)
+    good, noise = 3 * (2 * y - 1) + rng.normal(0, 2, 400), rng.normal(0, 1, 400)
+    for odds in ([good, noise], [good, -good * 0.2 + noise], [noise, good]):
+        w = quality.blend_of(odds, y)
+        assert min(w[:2]) >= 0 and max(w[:2]) > 0
+        assert np.mean((w[0] * odds[0] + w[1] * odds[1] + w[2] > 0) == (y > 0.5)) > 0.85
