@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import as_bytes, bounded_batches, lean, lean_group, runs, stored
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BLANK = 0x20
 #: Fixed value: the pattern of byte-level pre-tokenisation.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
