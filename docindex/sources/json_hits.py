@@ -4,7 +4,7 @@
 a target schema (metadata fields by name, source fields from ``_source``),
 converting values as the mapping says: dates from text or epoch millis, one
 value or a list into a list, objects into structs.  Parsing is Spark's own
-(``parse_json`` into a variant), so it runs in the JVM.
+(``from_json``, and ``parse_json`` for what doesn't fit), so it runs in the JVM.
 """
 
 from __future__ import annotations
@@ -13,9 +13,21 @@ import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType, VariantType, _parse_datatype_string
-
-from docindex.functions.values import _variant_value, require, single_valued
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DateType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+    VariantType,
+    _parse_datatype_string,
+)
+
+from docindex.functions.values import _variant_value, parse_date, parse_timestamp, require, single_valued
 from docindex.sources.schema import META_FIELDS, META_NAMES
 
 
@@ -47,30 +59,63 @@ def _path(*names: str) -> str:
     return "$" + "".join("['" + n.replace("'", "\\'") + "']" for n in names)
 
 
+#: Holds the whole hit where one of its values doesn't fit its type.
+_BAD = "__unfit"
+
+
+def _wire_type(dt: DataType) -> DataType:
+    """The type a field is decoded to at first: dates as their text, whatever may
+    be one value or many, or an object, as it is."""
+    if isinstance(dt, (DateType, TimestampType, TimestampNTZType)):
+        return StringType()
+    return VariantType() if isinstance(dt, (ArrayType, StructType, MapType, VariantType)) else dt
+
+
 def hits_from_json(df: DataFrame, col: str, schema: StructType | None = None) -> DataFrame:
     """Flat typed rows from JSON hits; without ``schema`` one is inferred
-    over all hits (source fields, then the metadata columns)."""
+    over all hits (source fields, then the metadata columns).
+
+    A hit is decoded once, straight into the types of its fields.  Only a hit of
+    which some value doesn't fit (a lone element in a list, a number written as
+    text, an unreadable date) is read a second time, as a variant, by the rules
+    for such values: they convert, or fail with field, document and value.
+    """
     if schema is None:
         schema = StructType(infer_source_schema(df, col).fields + META_FIELDS.fields)
-    # parse once in its own projection; the fields read the variant
-    df = df.select(F.parse_json(F.col(col)).alias("_hit_v"))
-    v = F.col("_hit_v")
-    raw, guards = [], []
+    source = [f for f in schema.fields if f.name not in META_NAMES]
+    wire = StructType([StructField(f.name, f.dataType) for f in schema.fields if f.name in META_NAMES]
+                      + [StructField("_source", StructType([StructField(f.name, _wire_type(f.dataType)) for f in source])), StructField(_BAD, StringType())])
+    df = df.select(F.col(col).alias("__hit"), F.from_json(F.col(col), wire, {"columnNameOfCorruptRecord": _BAD}).alias("__p"))
+    raw, odd = [], F.col(f"__p.{_BAD}").isNotNull()
+    for i, f in enumerate(schema.fields):
+        c = F.col("__p").getField(f.name) if f.name in META_NAMES else F.col("__p._source").getField(f.name)
+        value, own = c, _wire_type(f.dataType)
+        if f.name in META_NAMES:
+            pass
+        elif isinstance(f.dataType, (DateType, TimestampType, TimestampNTZType)):
+            value = parse_date(c, (f.metadata or {}).get("format")) if isinstance(f.dataType, DateType) else parse_timestamp(c, isinstance(f.dataType, TimestampNTZType))
+            odd = odd | (c.isNotNull() & F.col(f"__r{i}").isNull())
+        elif isinstance(f.dataType, StringType):
+            odd = odd | c.startswith("[")  # a list's text, mostly
+        elif isinstance(f.dataType, ArrayType):
+            value = _variant_value(c, "$", f.dataType, f.metadata)
+        elif isinstance(own, VariantType) and not isinstance(f.dataType, VariantType):
+            # objects are read from the whole hit
+            value, odd = F.lit(None).cast(f.dataType), odd | c.isNotNull()
+        raw.append(value.alias(f"__r{i}"))
+    df = df.select("__hit", "__p", *raw)
+    df = df.select("*", F.when(F.coalesce(odd, F.lit(False)), F.parse_json("__hit")).alias("__v"))
+    v, cols = F.col("__v"), []
     for i, f in enumerate(schema.fields):
+        value = F.col(f"__r{i}")
         if f.name in META_NAMES:
-            raw.append(F.try_variant_get(v, _path(f.name), f.dataType.simpleString()).alias(f"_r{i}"))
-            guards.append(F.col(f"_r{i}"))
-            continue
-        path = _path("_source", f.name)
-        raw.append(_variant_value(v, path, f.dataType, f.metadata).alias(f"_r{i}"))
-        if isinstance(f.dataType, (ArrayType, VariantType)):
-            guards.append(F.col(f"_r{i}"))
+            again = F.try_variant_get(v, _path(f.name), f.dataType.simpleString())
         else:
-            # converted once (previous projection), list check only if suspect
-            guards.append(single_valued(v, path, F.col(f"_r{i}"), f.dataType, f.metadata))
-    df = df.select(v, *raw)
-    cols = []
-    for f, c in zip(schema.fields, guards):
+            path = _path("_source", f.name)
+            again = _variant_value(v, path, f.dataType, f.metadata)
+            if not isinstance(f.dataType, (ArrayType, VariantType)):
+                again = single_valued(v, path, again, f.dataType, f.metadata)
+        c = F.when(v.isNull(), value).otherwise(again)
         if not f.nullable:
             c = require(c, f.name)
         cols.append(c.alias(f.name, metadata=f.metadata or {}))
