@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .periodic_sql import periodic_runs_sql
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -127,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_simhash": op13_simhash,
 }
 ORACLE: dict[str, str] = {
+    "op11_periodic_runs": periodic_runs_sql(),
     "op6_hamming_top_k": """
 WITH c AS (SELECT DISTINCT vec_id, array_to_string(list_transform(range(1, 65), lambda i: CASE WHEN embedding[i] > 0 AND NOT isnan(embedding[i]) THEN '1' ELSE '0' END), '')::BIT AS code
            FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),

@@ -29,7 +29,7 @@ def test_empty_documents(spark):
     assert docs.collect() == []
 
 
-@pytest.mark.parametrize("name", ["op3_warc", "op5_decontaminate", "op6_hamming_top_k"])
+@pytest.mark.parametrize("name", ["op3_warc", "op5_decontaminate", "op6_hamming_top_k", "op11_periodic_runs"])
 def test_queries_match_sql(spark, name):
     import duckdb
     con = duckdb.connect()
