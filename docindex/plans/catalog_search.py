@@ -234,3 +234,19 @@ def q_types_nested_list(spark, sf_dir):
     flat = hits_from_json(index(spark, sf_dir, "events").select(body.alias("hit")), "hit", schema)
     total = F.aggregate(F.coalesce("tags", F.array().cast("array<struct<kind:string,weight:double>>")), F.lit(0.0), lambda a, x: a + x.weight)
     return flat.select("event_id", "_id", F.coalesce(F.size("tags"), F.lit(0)).alias("n_tags"), F.get("tags", F.lit(0)).kind.alias("first_kind"), F.round(total, 2).alias("weight"))
+
+
+@register("sliced_scan_pruned")
+def q_sliced_scan_pruned(spark, sf_dir):
+    """Two of seven slices, each read from its own files."""
+    from docindex.sources.slices import read_slices, write_slices
+    ev = index(spark, sf_dir, "events").select("_id", "event_id", "event_type", F.round("value", 2).alias("value"))
+    name = write_slices(ev, 7, by=F.expr("pmod(event_id, 7)"))
+    return read_slices(spark, name, [2, 5]).select("_id", "event_id", "event_type", "value")
+
+
+@register("index_bounds")
+def q_index_bounds(spark, sf_dir):
+    """Rows, and bounds of numbers and days, from file footers."""
+    from docindex.sources.stats import column_bounds
+    return column_bounds(spark, f"{sf_dir.rstrip('/')}/orders.parquet", ["o_orderkey", "o_custkey"])

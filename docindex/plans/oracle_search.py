@@ -144,3 +144,9 @@ ORACLE["types_nested_list"] = """
 SELECT event_id, event_id::VARCHAR AS _id, CASE event_id % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END::INT AS n_tags, CASE WHEN event_id % 3 < 2 THEN event_type END AS first_kind,
        round(CASE event_id % 3 WHEN 0 THEN value + user_id WHEN 1 THEN value ELSE 0 END, 2) AS weight FROM events
 """
+
+ORACLE["sliced_scan_pruned"] = "SELECT event_id::VARCHAR AS _id, event_id, event_type, round(value, 2) AS value FROM events WHERE event_id % 7 IN (2, 5)"
+
+ORACLE["index_bounds"] = """
+SELECT count(*) AS rows, min(o_orderkey) AS min_o_orderkey, max(o_orderkey) AS max_o_orderkey, min(o_custkey) AS min_o_custkey, max(o_custkey) AS max_o_custkey FROM orders
+"""
