@@ -12,6 +12,10 @@ Queries with equal codes are searched once.  When probes would outnumber the
 distinct codes, the queries still open are compared with all of them in
 blocks, which is exact as well.  A block hands on only each query's nearest
 candidates, never all of them.
+
+A segment's entries lie in blocks by their value, and a query goes only to blocks
+that can hold one of its probe values.  A value that more than BLOCK_CODES codes
+share is dealt over blocks of its own, and only probes for it go there.
 """
 
 from __future__ import annotations
@@ -80,6 +84,28 @@ def _probe(masks: list[int], k: int):
     return run
 
 
+def _own_block(value: Column, part: Column) -> Column:
+    """The number of a part of a heavy value, apart from all other blocks."""
+    return -1 - F.pmod(F.xxhash64(value, part), F.lit(1 << 40))
+
+
+def _asked(open_: DataFrame, segments: int, masks: list[int], blocks: int, heavy: DataFrame | None) -> DataFrame:
+    """(q, s, v, b): each open query for the blocks that can hold an entry whose
+    value differs from its own by one of ``masks``."""
+    rows = open_.select("q", F.posexplode(F.array(*_segments(F.col("q"), segments))).alias("s", "v"))
+    if len(masks) >= blocks:
+        every = rows.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    else:
+        own = [F.pmod(F.xxhash64(F.col("v").bitwiseXOR(F.lit(m))), F.lit(blocks)) for m in masks]
+        every = rows.withColumn("b", F.explode(F.array_distinct(F.array(*own))))
+    if heavy is None:
+        return every
+    probes = rows.withColumn("p", F.explode(F.array(*[F.col("v").bitwiseXOR(F.lit(m)) for m in masks])))
+    probes = probes.join(heavy, (F.col("s") == F.col("hs")) & (F.col("p") == F.col("hv")))
+    probes = probes.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    return every.unionByName(probes.select("q", "s", "v", _own_block(F.col("p"), F.col("part")).alias("b")))
+
+
 def top_k(points: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", segments: int | None = None) -> DataFrame:
     """For each row of ``queries`` (id, code) its ``k`` nearest rows of
     ``points`` (id, code): query_id, rank (from 1), id and distance; nearer
@@ -102,10 +128,18 @@ def top_k(points: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
         # segments of about log2(n) bits: a value has about one entry
         segments = min((m for m in (2, 4, 8, 16) if BITS // m <= 16), key=lambda m: abs(BITS / m - math.log2(max(n, 2))))
     width = BITS // segments
-    # a segment's values lie in blocks of bounded size
+    # a segment's values lie in blocks of bounded size, heavy values in several
     blocks = max(8, math.ceil(n / BLOCK_CODES))
     index = codes.select("code", "c", F.posexplode(F.array(*_segments(F.col("code"), segments))).alias("s", "v"))
-    index = stored(index.withColumn("b", F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int")), "index")
+    heavy = index.groupBy("s", "v").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_CODES)
+    heavy = stored(heavy.select(F.col("s").alias("hs"), F.col("v").alias("hv"), F.ceil(F.col("n") / BLOCK_CODES).cast("long").alias("parts")), "heavy")
+    some_heavy = not heavy.isEmpty()
+    index = index.withColumn("b", F.pmod(F.xxhash64("v"), F.lit(blocks)))
+    if some_heavy:
+        part = F.pmod(F.xxhash64("code"), F.col("parts"))
+        index = index.join(heavy, (F.col("s") == F.col("hs")) & (F.col("v") == F.col("hv")), "left")
+        index = index.select("code", "c", "s", "v", F.when(F.col("parts").isNull(), F.col("b")).otherwise(_own_block(F.col("v"), part)).alias("b"))
+    index = stored(index, "index")
     open_ = stored(q.select("q").distinct(), "queries")
     best, radius = None, 0
     done = []
@@ -116,12 +150,12 @@ def top_k(points: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
         masks = math.comb(width, radius)
         if radius > width or masks * segments >= max(n, 1):
             # as many probes as codes: compare with all, in blocks of codes
-            spread = open_.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("v", F.lit(0).cast("long"))
-            every = codes.withColumn("b", F.pmod(F.xxhash64("code"), F.lit(blocks)).cast("int")).withColumn("v", F.lit(0).cast("long"))
+            spread = open_.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).withColumn("v", F.lit(0).cast("long"))
+            every = codes.withColumn("b", F.pmod(F.xxhash64("code"), F.lit(blocks))).withColumn("v", F.lit(0).cast("long"))
             found = spread.groupBy("b").cogroup(every.groupBy("b")).applyInArrow(_probe([0], k), "q long, code long, c long, d int")
             done.append(_nearest(found, k))
             break
-        asked = open_.select("q", F.posexplode(F.array(*_segments(F.col("q"), segments))).alias("s", "v")).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        asked = _asked(open_, segments, _masks(width, radius), blocks, heavy if some_heavy else None)
         found = asked.groupBy("s", "b").cogroup(index.groupBy("s", "b")).applyInArrow(_probe(_masks(width, radius), k), "q long, code long, c long, d int")
         if best is not None:
             found = found.unionByName(best.join(open_, "q"))

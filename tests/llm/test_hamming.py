@@ -44,3 +44,24 @@ def test_few_points_and_empty(spark):
 def test_sign_code(spark):
     df = spark.createDataFrame([([1.0, -1.0, float("nan"), None, 2.0],), (None,), ([],)], "v array<double>")
     assert [r.c for r in df.select(sign_code(F.col("v")).alias("c")).collect()] == [0b10001, None, 0]
+
+
+@pytest.mark.parametrize("segments", [4, 16])
+def test_heavy_values_and_many_blocks(spark, monkeypatch, segments):
+    """A third of all codes share a segment's value: it lies in several blocks."""
+    from docindex.llm import hamming
+    monkeypatch.setattr(hamming, "BLOCK_CODES", 12)
+    rng = random.Random(segments)
+    points = [(i, signed(rng.getrandbits(64) if i % 3 else rng.getrandbits(48) << 16 | 0xBEEF)) for i in range(240)]
+    points += [(300 + i, signed((points[i][1] ^ 1 << i % 64) & (2**64 - 1))) for i in range(0, 240, 4)]
+    df = spark.createDataFrame(points, "vec_id long, code long")
+    ask = df.where("vec_id % 10 = 0")
+    assert got(top_k(df, ask, k=3, segments=segments)) == brute(points, [p for p in points if p[0] % 10 == 0], 3)
+
+
+def test_queries_go_to_the_blocks_of_their_probes(spark):
+    from docindex.llm.hamming import _asked, _masks
+    open_ = spark.createDataFrame([(signed(i * 0x9E3779B97F4A7C15 % 2**64),) for i in range(50)], "q long")
+    assert _asked(open_, 4, _masks(16, 0), 1000, None).count() == 50 * 4
+    assert _asked(open_, 4, _masks(16, 1), 1000, None).count() <= 50 * 4 * 16
+    assert _asked(open_, 4, _masks(16, 1), 8, None).count() == 50 * 4 * 8
