@@ -689,8 +689,10 @@ def q_types_multi(spark, sf_dir):
 def q_types_vector(spark, sf_dir):
     schema = mapping_to_struct({"embedding": {"type": "dense_vector", "dims": 64}, "label": {"type": "integer"}})
     df = conform(index(spark, sf_dir, "embeddings"), complete_schema(schema, meta_fields=["id"]))
-    return df.select("_id", F.size("embedding").alias("dims"),
-                     F.size(F.filter("embedding", lambda x: x > 0)).alias("n_positive"), "label")
+    # every number counts, by its place
+    weighted = F.aggregate(F.transform("embedding", lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    return df.select("_id", F.size("embedding").alias("dims"), F.size(F.filter("embedding", lambda x: x > 0)).alias("n_positive"),
+                     F.round(weighted, 2).alias("weighted_sum"), "label")
 
 
 @register("types_rank_features")

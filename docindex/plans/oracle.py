@@ -316,7 +316,8 @@ FROM events
 
 ORACLE["types_vector"] = """
 SELECT CAST(vec_id AS VARCHAR) AS _id, CAST(len(embedding) AS INTEGER) AS dims,
-       CAST(len(list_filter(embedding, lambda x: x > 0)) AS INTEGER) AS n_positive, label
+       CAST(len(list_filter(embedding, lambda x: x > 0)) AS INTEGER) AS n_positive,
+       round(list_sum(list_transform(embedding, lambda x, i: x::DOUBLE * i)), 2) AS weighted_sum, label
 FROM embeddings
 """
 
